@@ -166,6 +166,13 @@ def velocity_features(df: DataFrame, *, customer_col: str = CUSTOMER,
                      amount_scale=amount_scale)
 
 
+def category_counts(df: DataFrame, *, customer_col: str = CUSTOMER,
+                    category_col: str = CATEGORY, id_col: str = TXN_ID,
+                    out: str = "merchant_category_count") -> DataFrame:
+    """One row per (customer, category) with ``count(id_col)``; partial + final aggregate."""
+    return df.groupBy(customer_col, category_col).agg(F.count(id_col).alias(out))
+
+
 def merchant_category_profiling(df: DataFrame, *, customer_col: str = CUSTOMER,
                                 category_col: str = CATEGORY, id_col: str = TXN_ID,
                                 out: str = "merchant_category_count",
@@ -176,7 +183,8 @@ def merchant_category_profiling(df: DataFrame, *, customer_col: str = CUSTOMER,
             out, F.count(id_col).over(Window.partitionBy(customer_col, category_col)))
     if method != "grouped":
         raise ValueError(f"unknown method {method!r}")
-    counts = df.groupBy(customer_col, category_col).agg(F.count(id_col).alias(out))
+    counts = category_counts(df, customer_col=customer_col, category_col=category_col,
+                             id_col=id_col, out=out)
     return _attach(df, counts, [customer_col, category_col])
 
 
@@ -192,12 +200,27 @@ def full_feature_engineering(df: DataFrame, *, customer_col: str = CUSTOMER,
                              window_seconds: int = VELOCITY_WINDOW_SECONDS,
                              amount_scale: int | None = MONEY_SCALE,
                              method: str = "bucketed") -> DataFrame:
-    """Seconds, both velocities, category profile, time patterns -- in the reference's order."""
+    """Seconds, both velocities, category profile, time patterns -- in the reference's order.
+
+    Both answer tables (per second, per category) are aggregated from the raw
+    rows and joined back, so the input is scanned, not re-joined, for each.
+    """
     df = with_timestamp_seconds(df, timestamp_col)
-    df = velocity_features(df, customer_col=customer_col, id_col=id_col,
-                           amount_col=amount_col, window_seconds=window_seconds,
-                           amount_scale=amount_scale, method=method)
-    df = merchant_category_profiling(
-        df, customer_col=customer_col, category_col=category_col, id_col=id_col,
-        method="direct" if method == "direct" else "grouped")
+    if method == "direct":
+        df = velocity_features(df, customer_col=customer_col, id_col=id_col,
+                               amount_col=amount_col, window_seconds=window_seconds,
+                               amount_scale=amount_scale, method="direct")
+        df = merchant_category_profiling(df, customer_col=customer_col,
+                                         category_col=category_col, id_col=id_col,
+                                         method="direct")
+    elif method == "bucketed":
+        stats = trailing_window_stats(df, customer_col=customer_col, id_col=id_col,
+                                      amount_col=amount_col, window_seconds=window_seconds,
+                                      amount_scale=amount_scale)
+        counts = category_counts(df, customer_col=customer_col, category_col=category_col,
+                                 id_col=id_col)
+        df = _attach(df, stats, [customer_col, SECONDS])
+        df = _attach(df, counts, [customer_col, category_col])
+    else:
+        raise ValueError(f"unknown method {method!r}")
     return time_based_patterns(df, timestamp_col=timestamp_col)

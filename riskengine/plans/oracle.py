@@ -54,3 +54,191 @@ features AS (
 
 ORACLE["feature_engineering"] = f"""{_FEATURES_SQL}
 SELECT * FROM features"""
+
+# --- projections and casts ----------------------------------------------------
+
+# Text -> value round trips are the identity on these tables.
+ORACLE["preprocess"] = f"""WITH {SQL_TRANSACTIONS}
+SELECT {_RAW} FROM transactions"""
+
+ORACLE["label_to_int"] = f"""WITH {SQL_TRANSACTIONS}
+SELECT transaction_id, customer_id, "timestamp", amount, merchant_category,
+       CAST(is_fraud AS INTEGER) AS is_fraud
+FROM transactions"""
+
+ORACLE["label_to_double"] = f"""WITH {SQL_TRANSACTIONS}
+SELECT transaction_id,
+       CASE WHEN CAST(is_fraud AS VARCHAR) = 'true' THEN 1.0::DOUBLE
+            WHEN CAST(is_fraud AS VARCHAR) = 'false' THEN 0.0::DOUBLE END AS is_fraud
+FROM transactions"""
+
+# --- sampling -----------------------------------------------------------------
+
+
+def _split_sql(key: str, seed: int = 42, percent: int = 80) -> str:
+    bucket = (f"CAST(('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{seed}'), 1, 8)) AS BIGINT)"
+              " % 100")
+    return f"""WITH {SQL_TRANSACTIONS}
+SELECT {_RAW},
+       CASE WHEN coalesce({bucket} < {percent}, false) THEN 'train' ELSE 'inference' END AS split
+FROM transactions"""
+
+
+ORACLE["stable_split"] = _split_sql("transaction_id")
+ORACLE["stable_split_by_customer"] = _split_sql("customer_id")
+
+# --- class balance ---------------------------------------------------------------
+
+_COUNTS = """SELECT count(*) AS total,
+       count(*) FILTER (WHERE CAST(is_fraud AS INTEGER) = 1) AS positive,
+       count(*) FILTER (WHERE CAST(is_fraud AS INTEGER) = 0) AS negative
+FROM transactions"""
+
+ORACLE["class_counts"] = f"""WITH {SQL_TRANSACTIONS}
+{_COUNTS}"""
+
+ORACLE["class_weight"] = f"""WITH {SQL_TRANSACTIONS}, c AS ({_COUNTS})
+SELECT transaction_id, CAST(is_fraud AS INTEGER) AS is_fraud,
+       CASE WHEN CAST(is_fraud AS INTEGER) = 1
+            THEN CAST(total AS DOUBLE) / CAST(2 * positive AS DOUBLE)
+            ELSE CAST(total AS DOUBLE) / CAST(2 * negative AS DOUBLE) END AS class_weight
+FROM transactions, c"""
+
+# --- summaries --------------------------------------------------------------------
+
+
+def _describe_part(c: str) -> str:
+    x = f"CAST({c} AS DOUBLE)"
+    return (f"SELECT '{c}' AS \"column\", count({c}) AS count, round(avg({x}), 6) AS mean, "
+            f"round(stddev_samp({x}), 6) AS stddev, min({x}) AS min, max({x}) AS max "
+            f"FROM transactions")
+
+
+ORACLE["describe"] = f"""WITH {SQL_TRANSACTIONS}
+{' UNION ALL '.join(_describe_part(c) for c in ('transaction_id', 'customer_id', 'amount'))}"""
+
+
+def _distribution_part(c: str) -> str:
+    x = f"CAST({c} AS DOUBLE)"
+    return (f"SELECT '{c}' AS feature, round(avg({x}), 6) AS mean, "
+            f"round(stddev_samp({x}), 6) AS stddev, count({c}) AS count FROM features")
+
+
+ORACLE["feature_distribution"] = f"""{_FEATURES_SQL}
+{' UNION ALL '.join(_distribution_part(c) for c in (
+    'transaction_velocity', 'amount_velocity', 'merchant_category_count',
+    'hour_of_day', 'day_of_week'))}"""
+
+_JOINED = f"""WITH {SQL_SCORED}, {SQL_TRUTH},
+joined AS (SELECT s.transaction_id, s.prob_1, s.prediction, t.is_fraud
+           FROM scored s JOIN truth t ON s.transaction_id = t.transaction_id)"""
+
+ORACLE["join_truth"] = f"""{_JOINED}
+SELECT * FROM joined"""
+
+ORACLE["prediction_distribution"] = f"""{_JOINED}
+SELECT prediction, count(*) AS count FROM joined GROUP BY prediction"""
+
+
+def _histogram_sql(source: str, bins: int = 20) -> str:
+    def edge(i: str) -> str:
+        return f"(CASE WHEN {i} >= {bins} THEN hi ELSE CAST({i} AS DOUBLE) * step + lo END)"
+    return f"""{source},
+mm AS (SELECT min(prob_1) AS mn, max(prob_1) AS mx FROM joined),
+rng AS (SELECT CASE WHEN mn IS NULL THEN 0.0 WHEN mn = mx THEN mn - 0.5 ELSE mn END AS lo,
+               CASE WHEN mn IS NULL THEN 1.0 WHEN mn = mx THEN mx + 0.5 ELSE mx END AS hi
+        FROM mm),
+p AS (SELECT lo, hi, (hi - lo) / {bins} AS step FROM rng),
+g AS (SELECT prob_1 AS v, lo, hi, step,
+             least(greatest(CAST(floor((prob_1 - lo) / (hi - lo) * {float(bins)}) AS BIGINT), 0),
+                   {bins - 1}) AS guess
+      FROM joined, p WHERE prob_1 IS NOT NULL AND prob_1 >= lo AND prob_1 <= hi),
+b AS (SELECT CASE WHEN v < {edge('guess')} THEN guess - 1
+                  WHEN v >= {edge('guess + 1')} AND guess <> {bins - 1} THEN guess + 1
+                  ELSE guess END AS bin FROM g),
+c AS (SELECT bin, count(*) AS cnt FROM b GROUP BY bin),
+allb AS (SELECT CAST(range AS INTEGER) AS bin FROM range({bins}))
+SELECT allb.bin AS bin, {edge('allb.bin')} AS lower, {edge('allb.bin + 1')} AS upper,
+       coalesce(c.cnt, 0) AS count
+FROM allb LEFT JOIN c ON allb.bin = c.bin, p"""
+
+
+ORACLE["probability_histogram"] = _histogram_sql(_JOINED)
+
+_CONFUSION = """SELECT count(*) FILTER (WHERE prediction = 1.0 AND is_fraud = 1.0) AS tp,
+       count(*) FILTER (WHERE prediction = 1.0 AND is_fraud = 0.0) AS fp,
+       count(*) FILTER (WHERE prediction = 0.0 AND is_fraud = 0.0) AS tn,
+       count(*) FILTER (WHERE prediction = 0.0 AND is_fraud = 1.0) AS fn
+FROM joined"""
+
+ORACLE["confusion_matrix"] = f"""{_JOINED}
+{_CONFUSION}"""
+
+_METRICS = f"""cm AS ({_CONFUSION}),
+pr AS (SELECT *,
+  CASE WHEN tp + fp + tn + fn > 0
+       THEN CAST(tp + tn AS DOUBLE) / CAST(tp + tn + fp + fn AS DOUBLE) END AS accuracy,
+  CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE) ELSE 0.0 END
+    AS "precision",
+  CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / CAST(tp + fn AS DOUBLE) ELSE 0.0 END
+    AS recall
+  FROM cm)
+SELECT tp, fp, tn, fn, accuracy, "precision", recall,
+       CASE WHEN "precision" + recall > 0
+            THEN 2.0::DOUBLE * "precision" * recall / ("precision" + recall) ELSE 0.0 END
+         AS f1_score
+FROM pr"""
+
+ORACLE["classification_metrics"] = f"""{_JOINED},
+{_METRICS}"""
+
+_AUC = """d AS (SELECT CAST(prob_1 AS DOUBLE) AS score,
+                  count(*) FILTER (WHERE is_fraud = 1.0) AS pos,
+                  count(*) FILTER (WHERE is_fraud = 0.0) AS neg
+           FROM joined WHERE prob_1 IS NOT NULL AND is_fraud IN (0.0, 1.0) GROUP BY 1),
+c AS (SELECT pos, neg,
+             coalesce(sum(neg) OVER (ORDER BY score
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+               AS nb
+      FROM d)
+SELECT CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+            THEN CAST(sum(CAST(pos AS HUGEINT) * CAST(2 * nb + neg AS HUGEINT)) AS DOUBLE)
+                 / (2.0::DOUBLE * CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) END AS auc
+FROM c"""
+
+ORACLE["auc_exact"] = f"""{_JOINED},
+{_AUC}"""
+
+ORACLE["top_risk"] = f"""WITH {SQL_SCORED}
+SELECT * FROM scored ORDER BY prob_1 DESC NULLS LAST, transaction_id LIMIT 100"""
+
+# --- through files -------------------------------------------------------------------
+
+ORACLE["csv_round_trip"] = ORACLE["preprocess"]
+
+ORACLE["read_with_casts"] = f"""WITH {SQL_SCORED}
+SELECT CAST(transaction_id AS VARCHAR) AS transaction_id,
+       CAST(customer_id AS VARCHAR) AS customer_id, prob_0, prob_1, prediction
+FROM scored"""
+
+ORACLE["feature_pipeline"] = ORACLE["feature_engineering"]
+
+ORACLE["split_pipeline"] = ORACLE["stable_split"]
+
+ORACLE["label_pipeline"] = ORACLE["label_to_double"]
+
+_FILES_JOINED = f"""WITH {SQL_SCORED}, {SQL_TRUTH},
+joined AS (SELECT CAST(s.transaction_id AS VARCHAR) AS transaction_id, s.customer_id,
+                  s.prob_0, s.prob_1, s.prediction, t.is_fraud
+           FROM scored s JOIN truth t ON s.transaction_id = t.transaction_id)"""
+
+ORACLE["monitoring_auc"] = f"""{_FILES_JOINED},
+{_AUC}"""
+
+ORACLE["monitoring_distribution"] = f"""{_FILES_JOINED}
+SELECT prediction, count(*) AS count FROM joined GROUP BY prediction"""
+
+ORACLE["evaluation_metrics"] = f"""{_FILES_JOINED},
+{_METRICS}"""
+
+ORACLE["evaluation_histogram"] = _histogram_sql(_FILES_JOINED)

@@ -2,6 +2,8 @@
 
 Every query reads the driver's tables (through :mod:`riskengine.sources.testdata`)
 over their whole extent; SQL twins live in :mod:`riskengine.plans.oracle`.
+Queries that exercise a file sink write into a fresh folder under the
+session's checkpoint directory and read the result back.
 """
 
 from __future__ import annotations
@@ -9,9 +11,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..constants import FEATURE_COLUMNS, REG_PARAMS, SPLIT_SEED
+from ..operators import aggregates as agg
+from ..operators import evaluation as ev
 from ..operators import features as feat
+from ..operators import learning as ml
+from ..operators import prepare as prep
+from ..operators import sampling
+from ..session import scratch_path
+from ..sources import io
 from ..sources import testdata as td
+from . import pipelines as pl
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -49,3 +61,238 @@ def q_time_patterns(spark, sf_dir):
 @register("feature_engineering")
 def q_feature_engineering(spark, sf_dir):
     return feat.full_feature_engineering(td.transactions(spark, sf_dir))
+
+
+# --- projections and casts (P1, P3, P4) --------------------------------------
+
+@register("preprocess")
+def q_preprocess(spark, sf_dir):
+    """P1 on the text form of the raw table (amount and timestamp as strings)."""
+    raw = td.transactions(spark, sf_dir)
+    text = raw.withColumns({"amount": F.col("amount").cast("string"),
+                            "timestamp": F.col("timestamp").cast("string")})
+    return prep.preprocess(text)
+
+
+@register("label_to_int")
+def q_label_to_int(spark, sf_dir):
+    return prep.label_to_int(td.transactions(spark, sf_dir))
+
+
+@register("label_to_double")
+def q_label_to_double(spark, sf_dir):
+    return prep.label_to_double(td.transactions(spark, sf_dir)).select(
+        "transaction_id", "is_fraud")
+
+
+# --- sampling (X1, X2) -------------------------------------------------------
+
+@register("stable_split")
+def q_stable_split(spark, sf_dir):
+    return sampling.stable_split(td.transactions(spark, sf_dir), "transaction_id", 80,
+                                 SPLIT_SEED, label_col="split")
+
+
+@register("stable_split_by_customer")
+def q_stable_split_by_customer(spark, sf_dir):
+    return sampling.stable_split(td.transactions(spark, sf_dir), "customer_id", 80,
+                                 SPLIT_SEED, label_col="split")
+
+
+@register("random_split")
+def q_random_split(spark, sf_dir):
+    """Both sides of the 80/20 Bernoulli split, tagged (rows-only check)."""
+    train, inference = sampling.random_split(td.transactions(spark, sf_dir))
+    return (train.withColumn("split", F.lit("train"))
+            .unionByName(inference.withColumn("split", F.lit("inference"))))
+
+
+# --- class balance (A1, A2) --------------------------------------------------
+
+@register("class_counts")
+def q_class_counts(spark, sf_dir):
+    return agg.class_counts(td.transactions(spark, sf_dir))
+
+
+@register("class_weight")
+def q_class_weight(spark, sf_dir):
+    tx = prep.label_to_int(td.transactions(spark, sf_dir))
+    return agg.add_class_weight(tx).select("transaction_id", "is_fraud", "class_weight")
+
+
+# --- summaries and distributions (A3, A4, A5, A8) ----------------------------
+
+@register("describe")
+def q_describe(spark, sf_dir):
+    return agg.describe(td.transactions(spark, sf_dir),
+                        ["transaction_id", "customer_id", "amount"], digits=6)
+
+
+@register("feature_distribution")
+def q_feature_distribution(spark, sf_dir):
+    features = feat.full_feature_engineering(td.transactions(spark, sf_dir))
+    return agg.feature_distribution(features, list(FEATURE_COLUMNS), digits=6)
+
+
+def _joined(spark, sf_dir) -> DataFrame:
+    return ev.join_truth(td.scored(spark, sf_dir).select("transaction_id", "prob_1", "prediction"),
+                         td.truth(spark, sf_dir))
+
+
+@register("prediction_distribution")
+def q_prediction_distribution(spark, sf_dir):
+    return agg.prediction_distribution(_joined(spark, sf_dir))
+
+
+@register("probability_histogram")
+def q_probability_histogram(spark, sf_dir):
+    return agg.probability_histogram(_joined(spark, sf_dir), "prob_1")
+
+
+# --- evaluation (J1, A6, A7, L6, O1) -----------------------------------------
+
+@register("join_truth")
+def q_join_truth(spark, sf_dir):
+    return _joined(spark, sf_dir)
+
+
+@register("confusion_matrix")
+def q_confusion_matrix(spark, sf_dir):
+    return ev.confusion_matrix(_joined(spark, sf_dir))
+
+
+@register("classification_metrics")
+def q_classification_metrics(spark, sf_dir):
+    return ev.evaluate_predictions(_joined(spark, sf_dir))
+
+
+@register("auc_exact")
+def q_auc_exact(spark, sf_dir):
+    return ev.auc_exact(_joined(spark, sf_dir))
+
+
+@register("top_risk")
+def q_top_risk(spark, sf_dir):
+    return ev.top_risk(td.scored(spark, sf_dir), 100)
+
+
+# --- sources and sinks (S1-S5) through files ---------------------------------
+
+@register("csv_round_trip")
+def q_csv_round_trip(spark, sf_dir):
+    """S4 then S1: raw transactions to CSV and back with the explicit schema."""
+    path = scratch_path(spark, "raw-csv")
+    io.write_csv(td.transactions(spark, sf_dir), path)
+    return io.read_transactions(spark, path)
+
+
+@register("read_with_casts")
+def q_read_with_casts(spark, sf_dir):
+    """S4 then S2: the scored table to CSV, read back as text and cast by a dict."""
+    path = scratch_path(spark, "scored-csv")
+    io.write_csv(td.scored(spark, sf_dir), path)
+    return io.read_with_casts(spark, path, pl.SCORED_CASTS)
+
+
+@register("feature_pipeline")
+def q_feature_pipeline(spark, sf_dir):
+    """Q1 end to end: CSV -> preprocess -> features -> parquet, read back (S3)."""
+    raw_path = scratch_path(spark, "raw-csv")
+    out_path = scratch_path(spark, "features")
+    io.write_csv(td.transactions(spark, sf_dir), raw_path)
+    pl.feature_pipeline(spark, raw_path, out_path)
+    return io.read_features(spark, out_path)
+
+
+@register("split_pipeline")
+def q_split_pipeline(spark, sf_dir):
+    """Q2 with the stable split: CSV -> two CSVs, read back and tagged."""
+    raw_path = scratch_path(spark, "raw-csv")
+    train_path, inf_path = scratch_path(spark, "train-csv"), scratch_path(spark, "inf-csv")
+    io.write_csv(td.transactions(spark, sf_dir), raw_path)
+    pl.split_pipeline(spark, raw_path, train_path, inf_path, stable_key="transaction_id")
+    return (io.read_transactions(spark, train_path).withColumn("split", F.lit("train"))
+            .unionByName(io.read_transactions(spark, inf_path)
+                         .withColumn("split", F.lit("inference"))))
+
+
+@register("label_pipeline")
+def q_label_pipeline(spark, sf_dir):
+    """Q5: feature table -> text labels as 1.0 / 0.0 -> CSV, read back."""
+    feat_path, out_path = scratch_path(spark, "features"), scratch_path(spark, "labels-csv")
+    io.write_features(td.transactions(spark, sf_dir), feat_path)
+    pl.label_pipeline(spark, feat_path, out_path)
+    return io.read_with_casts(spark, out_path, {"transaction_id": "bigint", **pl.LABEL_CASTS})
+
+
+def _scored_and_label_files(spark, sf_dir) -> tuple[str, str]:
+    scored_path, labels_path = scratch_path(spark, "scored-csv"), scratch_path(spark, "labels-csv")
+    io.write_csv(td.scored(spark, sf_dir), scored_path)
+    io.write_csv(td.truth(spark, sf_dir), labels_path)
+    return scored_path, labels_path
+
+
+@register("monitoring_auc")
+def q_monitoring_auc(spark, sf_dir):
+    """Q6 from files: exact AUC of the joined scores."""
+    auc, _ = pl.monitoring_pipeline(spark, *_scored_and_label_files(spark, sf_dir))
+    return auc
+
+
+@register("monitoring_distribution")
+def q_monitoring_distribution(spark, sf_dir):
+    """Q6 from files: prediction counts of the joined scores."""
+    _, dist = pl.monitoring_pipeline(spark, *_scored_and_label_files(spark, sf_dir))
+    return dist
+
+
+@register("evaluation_metrics")
+def q_evaluation_metrics(spark, sf_dir):
+    """Q7 from files: confusion counts and metrics."""
+    return pl.evaluation_pipeline(spark, *_scored_and_label_files(spark, sf_dir)).metrics
+
+
+@register("evaluation_histogram")
+def q_evaluation_histogram(spark, sf_dir):
+    """Q7 from files: histogram of the joined probabilities."""
+    return pl.evaluation_pipeline(spark, *_scored_and_label_files(spark, sf_dir)).histogram
+
+
+# --- learning and scoring (L1-L5, P7, P9, S6, S7, Q3, Q4) -- rows-only checks -
+
+def _train_and_inference(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Split the raw rows (stable, by transaction) and build features on each side,
+    in the reference's order (split first, then features)."""
+    train_raw, inf_raw = sampling.stable_split(td.transactions(spark, sf_dir))
+    return (feat.full_feature_engineering(train_raw),
+            feat.full_feature_engineering(inf_raw))
+
+
+@register("train_cv_metrics")
+def q_train_cv_metrics(spark, sf_dir):
+    """Q3's cross-validation: average AUC per regParam (3 rows)."""
+    train, _ = _train_and_inference(spark, sf_dir)
+    result = ml.train_with_cv(pl.training_frame(train))
+    return result.metrics(spark)
+
+
+@register("score_batch")
+def q_score_batch(spark, sf_dir):
+    """Q3 -> S6 -> S7 -> Q4: fit, save, load, score the inference side (flattened)."""
+    train, inference = _train_and_inference(spark, sf_dir)
+    model = ml.fit_logistic(pl.training_frame(train), reg_param=REG_PARAMS[0])
+    path = scratch_path(spark, "model")
+    io.save_model(model, path)
+    loaded = io.load_model(path)
+    return ml.score(loaded, prep.assemble_features(inference))
+
+
+@register("model_auc")
+def q_model_auc(spark, sf_dir):
+    """Model AUC on its training rows and on the held-out rows (2 rows)."""
+    train, inference = _train_and_inference(spark, sf_dir)
+    data = pl.training_frame(train)
+    model = ml.fit_logistic(data, reg_param=REG_PARAMS[0])
+    held_out = ml.prepare_training(inference)
+    rows = [("train", ml.auc_model(model, data)), ("inference", ml.auc_model(model, held_out))]
+    return spark.createDataFrame(rows, "rows string, auc double")
