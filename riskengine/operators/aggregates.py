@@ -153,6 +153,7 @@ def probability_histogram(df: DataFrame, col: str = SCORE_COLUMN,
     spark = df.sparkSession
     all_bins = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
     b = F.col("bin")
-    return (all_bins.join(counts, "bin", "left")
+    # ``counts`` holds at most ``bins`` rows: a proven bound for the broadcast.
+    return (all_bins.join(F.broadcast(counts), "bin", "left")
             .select(b, edge(b).alias("lower"), edge(b + 1).alias("upper"),
                     F.coalesce(F.col("count"), F.lit(0)).alias("count")))

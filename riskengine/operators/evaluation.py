@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from ..constants import AUC_ROWS_PER_BUCKET, LABEL_COLUMN, PREDICTION_COLUMN, SCORE_COLUMN
+from ..session import materialize
 
 
 def join_truth(scored: DataFrame, labels: DataFrame, on: str = "transaction_id",
@@ -89,28 +90,33 @@ def auc_exact(df: DataFrame, label_col: str = LABEL_COLUMN, score_col: str = SCO
     offset; a window inside each bucket gives the rest.  Sums are exact decimals,
     so the answer does not depend on partitioning.
     """
-    counts = score_label_counts(df, label_col, score_col)
+    # The distinct-score table feeds a count, a quantile pass and the final plan:
+    # materialise it once so the upstream (typically a large join) runs once.
+    counts = materialize(score_label_counts(df, label_col, score_col))
     n_scores = counts.count()
-    if n_scores > rows_per_bucket:
+    if n_scores <= rows_per_bucket:
+        # One bucket of at most ``rows_per_bucket`` rows: a plain running sum.
+        below = Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = counts.withColumn("neg_below", F.coalesce(F.sum("neg").over(below), F.lit(0)))
+    else:
         n_buckets = math.ceil(n_scores / rows_per_bucket)
         probs = [i / n_buckets for i in range(1, n_buckets)]
         cuts = counts.approxQuantile("score", probs, 1.0 / (4 * n_buckets))
         splits = [-math.inf] + sorted(set(cuts)) + [math.inf]
         counts = Bucketizer(splits=splits, inputCol="score", outputCol="bucket").transform(counts)
-    else:
-        counts = counts.withColumn("bucket", F.lit(0.0))
+        # Negatives in all earlier buckets: a running sum over one row per bucket.
+        offsets = (counts.groupBy("bucket").agg(F.sum("neg").alias("bucket_neg"))
+                   .withColumn("neg_before", F.coalesce(F.sum("bucket_neg").over(
+                       Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)),
+                       F.lit(0)))
+                   .select("bucket", "neg_before"))
+        within = Window.partitionBy("bucket").orderBy("score").rowsBetween(
+            Window.unboundedPreceding, -1)
+        ranked = (counts.join(offsets, "bucket")
+                  .withColumn("neg_below", F.col("neg_before")
+                              + F.coalesce(F.sum("neg").over(within), F.lit(0))))
 
     big = DecimalType(38, 0)
-    offsets = (counts.groupBy("bucket").agg(F.sum("neg").alias("bucket_neg"))
-               .withColumn("neg_before", F.coalesce(F.sum("bucket_neg").over(
-                   Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)))
-               .select("bucket", "neg_before"))
-    within = Window.partitionBy("bucket").orderBy("score").rowsBetween(
-        Window.unboundedPreceding, -1)
-    ranked = (counts.join(offsets, "bucket")
-              .withColumn("neg_below", F.col("neg_before")
-                          + F.coalesce(F.sum("neg").over(within), F.lit(0))))
     term = (F.col("pos").cast(big)
             * (F.lit(2) * F.col("neg_below") + F.col("neg")).cast(big))
     totals = ranked.agg(F.sum(term).alias("num2"), F.sum("pos").alias("p"),

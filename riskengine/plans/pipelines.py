@@ -19,6 +19,7 @@ from ..operators import features as feat
 from ..operators import learning as ml
 from ..operators import prepare as prep
 from ..operators import sampling
+from ..session import materialize
 from ..sources import io
 
 SCORED_CASTS = {"prob_0": "double", "prob_1": "double", "prediction": "double"}
@@ -93,8 +94,11 @@ def label_pipeline(spark: SparkSession, features_path: str, output_path: str,
 
 
 def monitoring(scored: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Q6 core: J1 -> L6 (exact AUC) and A5 (prediction distribution)."""
-    joined = ev.join_truth(scored.select("transaction_id", "prob_1", "prediction"), labels)
+    """Q6 core: J1 -> L6 (exact AUC) and A5 (prediction distribution).
+
+    The joined table feeds both results, so it is materialised once."""
+    joined = materialize(ev.join_truth(
+        scored.select("transaction_id", "prob_1", "prediction"), labels))
     return ev.auc_exact(joined), agg.prediction_distribution(joined)
 
 
@@ -113,8 +117,12 @@ class EvaluationResult:
 
 
 def evaluation(scored: DataFrame, labels: DataFrame) -> EvaluationResult:
-    """Q7 core: J1 -> A6 -> A7, and A8 over the joined probabilities."""
-    joined = ev.join_truth(scored, labels)
+    """Q7 core: J1 -> A6 -> A7, and A8 over the joined probabilities.
+
+    The joined table feeds three jobs (metrics, histogram range, histogram), so it
+    is materialised once."""
+    joined = materialize(ev.join_truth(
+        scored.select("transaction_id", "prob_1", "prediction"), labels))
     return EvaluationResult(ev.evaluate_predictions(joined),
                             agg.probability_histogram(joined, "prob_1"))
 
@@ -126,7 +134,3 @@ def evaluation_pipeline(spark: SparkSession, scored_path: str,
     labels = io.read_with_casts(spark, labels_path, LABEL_CASTS)
     return evaluation(scored, labels)
 
-
-def label_column_text(df: DataFrame, label_col: str = LABEL_COLUMN) -> DataFrame:
-    """The label as the reference's files carry it (``"true"`` / ``"false"`` text)."""
-    return df.withColumn(label_col, F.col(label_col).cast("string"))

@@ -58,3 +58,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Write ``df`` once to the checkpoint folder and return a table that reads it back.
+
+    Used where one derived table feeds several jobs (a count, a quantile pass and
+    the final plan), so its upstream joins and shuffles run once.  A reliable
+    checkpoint: the files survive the loss of any executor.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
