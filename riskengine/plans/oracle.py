@@ -30,6 +30,12 @@ SELECT {_RAW}, timestamp_seconds,
        CAST(SUM(CAST(amount AS DECIMAL(18, 2))) OVER ({_FRAME}) AS DOUBLE) AS amount_velocity
 FROM with_secs"""
 
+ORACLE["velocity_features"] = f"""{_WITH_SECS}
+SELECT {_RAW}, timestamp_seconds,
+       COUNT(transaction_id) OVER ({_FRAME}) AS transaction_velocity,
+       CAST(SUM(CAST(amount AS DECIMAL(18, 2))) OVER ({_FRAME}) AS DOUBLE) AS amount_velocity
+FROM with_secs"""
+
 ORACLE["category_profile"] = f"""WITH {SQL_TRANSACTIONS}
 SELECT {_RAW},
        COUNT(transaction_id) OVER (PARTITION BY customer_id, merchant_category)
@@ -209,6 +215,10 @@ FROM c"""
 ORACLE["auc_exact"] = f"""{_JOINED},
 {_AUC}"""
 
+ORACLE["auc_binned"] = f"""WITH auc_row AS ({_JOINED},
+{_AUC})
+SELECT round(auc, 9) AS auc FROM auc_row"""
+
 ORACLE["top_risk"] = f"""WITH {SQL_SCORED}
 SELECT * FROM scored ORDER BY prob_1 DESC NULLS LAST, transaction_id LIMIT 100"""
 
