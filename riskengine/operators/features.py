@@ -19,10 +19,13 @@ data would hold a third of the data in one task.  Instead:
    collapse to one row;
 2. each per-second row goes to its week bucket ``b = floor(s / W)`` and is copied
    once into ``b + 1`` as history; every frame ``[s - W, s]`` lies inside buckets
-   ``b - 1`` and ``b``, so the range window over ``(customer, bucket)`` sees all of
-   it.  A window partition holds at most ``2 * W`` distinct seconds (1.2 M rows),
-   whatever the data size or the skew;
-3. the per-second answers are equi-joined back (null-safe) to the rows.
+   ``b - 1`` and ``b``.  A partition holds at most ``3 * W`` rows (two weeks of
+   distinct seconds and one week of probes), whatever the data size or the skew;
+3. the frame total is a difference of running totals (see
+   :func:`trailing_window_stats`): O(1) work per row, where Spark's sliding range
+   frame re-aggregates the whole frame for every row -- quadratic for a customer
+   active in most seconds of a week;
+4. the per-second answers are equi-joined back (null-safe) to the rows.
    The answer table has one row per key, so AQE's skew-join split of the big
    side stays correct.
 
@@ -79,34 +82,70 @@ def trailing_window_stats(
 ) -> DataFrame:
     """One row per distinct (customer, second) with the trailing-window count and sum.
 
-    Amounts are summed as ``decimal(18, amount_scale)`` (exact, so the answer does
-    not depend on the order of additions) and returned as double.
+    A frame total is a difference of two running totals: everything up to the
+    second ``s``, minus everything up to ``s - W - 1``.  Each distinct second
+    therefore travels in three roles into one ``(customer, week bucket)``
+    partition -- as itself in its own week, as history in the next week, and as
+    a *probe* at ``s - W - 1`` in its own week -- and one running sum over the
+    partition (O(1) per row, unlike a sliding range frame that re-adds its whole
+    frame for every row) gives both totals.  The probe's total comes back to its
+    row through a grouped aggregate on the same partitioning (no shuffle).
+
+    Amounts are summed as ``decimal(18, amount_scale)``, so the difference of
+    running sums is exact; with ``amount_scale=None`` doubles are used and the
+    last bits may differ from a direct sum.
     """
     if count_out is None and sum_out is None:
         raise ValueError("ask for at least one of count_out, sum_out")
-    aggs = []
-    if count_out is not None:
-        aggs.append(F.count(id_col).alias("_n"))
-    if sum_out is not None:
-        aggs.append(F.sum(money(amount_col, amount_scale)).alias("_s"))
-    per_second = df.groupBy(customer_col, seconds_col).agg(*aggs)
+    per_second = df.groupBy(customer_col, seconds_col).agg(
+        F.count(id_col).alias("_n"),
+        F.sum(money(amount_col, amount_scale)).alias("_s"),
+        F.count(amount_col).alias("_nn"))
+    s_type = per_second.schema["_s"].dataType
 
     secs = F.col(seconds_col)
     home = F.floor(secs / F.lit(window_seconds))
-    copies = F.when(secs.isNull(), F.array(F.lit(None).cast("long"))).otherwise(
-        F.array(home, home + F.lit(1)))
-    spread = per_second.select("*", home.alias("_home"), F.explode(copies).alias("_bucket"))
 
-    frame = (Window.partitionBy(customer_col, "_bucket").orderBy(seconds_col)
-             .rangeBetween(-window_seconds, 0))
+    def role(bucket, key, probe: bool, out: bool):
+        data = not probe
+        return F.struct(
+            bucket.alias("_bucket"), key.alias("_key"), F.lit(probe).alias("_probe"),
+            F.lit(out).alias("_out"),
+            (F.col("_n") if data else F.lit(None).cast("long")).alias("_n"),
+            (F.col("_s") if data else F.lit(None).cast(s_type)).alias("_s"),
+            (F.col("_nn") if data else F.lit(None).cast("long")).alias("_nn"))
+
+    roles = F.when(secs.isNull(), F.array(role(home, secs, False, True))).otherwise(F.array(
+        role(home, secs, False, True),                                   # itself
+        role(home + F.lit(1), secs, False, False),                       # history for next week
+        role(home, secs - F.lit(window_seconds + 1), True, False)))      # where its frame starts
+    spread = per_second.select(customer_col, F.col(seconds_col).alias("_target"),
+                               F.inline(roles))
+
+    running = (Window.partitionBy(customer_col, "_bucket").orderBy("_key", "_probe")
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    totals = spread.select(
+        customer_col, "_bucket", "_target", "_probe", "_out",
+        F.sum("_n").over(running).alias("_cn"),
+        F.sum("_s").over(running).alias("_cs"),
+        F.sum("_nn").over(running).alias("_cnn"))
+
+    def at(probe: bool, c: str):
+        return F.max(F.when(F.col("_probe") == F.lit(probe), F.col(c)))
+
+    def frame_total(c: str):
+        return at(False, c) - F.coalesce(at(True, c), F.lit(0))
+
     outs = []
     if count_out is not None:
-        outs.append(F.sum("_n").over(frame).alias(count_out))
+        outs.append(frame_total("_cn").alias(count_out))
     if sum_out is not None:
-        outs.append(F.sum("_s").over(frame).cast("double").alias(sum_out))
-    windowed = spread.select(customer_col, seconds_col, "_home", "_bucket", *outs)
-    return (windowed.where(F.col("_bucket").eqNullSafe(F.col("_home")))
-            .drop("_home", "_bucket"))
+        outs.append(F.when(frame_total("_cnn") > 0, frame_total("_cs"))
+                    .cast("double").alias(sum_out))
+    return (totals.where(F.col("_probe") | F.col("_out"))
+            .groupBy(customer_col, "_bucket", "_target").agg(*outs)
+            .select(customer_col, F.col("_target").alias(seconds_col),
+                    *[c for c in (count_out, sum_out) if c is not None]))
 
 
 def _direct_velocity(df: DataFrame, *, customer_col, seconds_col, id_col, amount_col,
