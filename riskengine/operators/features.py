@@ -97,23 +97,23 @@ def trailing_window_stats(
     """
     if count_out is None and sum_out is None:
         raise ValueError("ask for at least one of count_out, sum_out")
+    measures = {}                     # running total -> per-second value, only those asked for
+    if count_out is not None:
+        measures["_n"] = F.count(id_col)
+    if sum_out is not None:
+        measures["_s"] = F.sum(money(amount_col, amount_scale))
+        measures["_nn"] = F.count(amount_col)
     per_second = df.groupBy(customer_col, seconds_col).agg(
-        F.count(id_col).alias("_n"),
-        F.sum(money(amount_col, amount_scale)).alias("_s"),
-        F.count(amount_col).alias("_nn"))
-    s_type = per_second.schema["_s"].dataType
+        *[e.alias(name) for name, e in measures.items()])
+    types = {name: per_second.schema[name].dataType for name in measures}
 
     secs = F.col(seconds_col)
     home = F.floor(secs / F.lit(window_seconds))
 
     def role(bucket, key, probe: bool, out: bool):
-        data = not probe
-        return F.struct(
-            bucket.alias("_bucket"), key.alias("_key"), F.lit(probe).alias("_probe"),
-            F.lit(out).alias("_out"),
-            (F.col("_n") if data else F.lit(None).cast("long")).alias("_n"),
-            (F.col("_s") if data else F.lit(None).cast(s_type)).alias("_s"),
-            (F.col("_nn") if data else F.lit(None).cast("long")).alias("_nn"))
+        values = [(F.lit(None).cast(types[m]) if probe else F.col(m)).alias(m) for m in measures]
+        return F.struct(bucket.alias("_bucket"), key.alias("_key"),
+                        F.lit(probe).alias("_probe"), F.lit(out).alias("_out"), *values)
 
     roles = F.when(secs.isNull(), F.array(role(home, secs, False, True))).otherwise(F.array(
         role(home, secs, False, True),                                   # itself
@@ -124,11 +124,8 @@ def trailing_window_stats(
 
     running = (Window.partitionBy(customer_col, "_bucket").orderBy("_key", "_probe")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    totals = spread.select(
-        customer_col, "_bucket", "_target", "_probe", "_out",
-        F.sum("_n").over(running).alias("_cn"),
-        F.sum("_s").over(running).alias("_cs"),
-        F.sum("_nn").over(running).alias("_cnn"))
+    totals = spread.select(customer_col, "_bucket", "_target", "_probe", "_out",
+                           *[F.sum(m).over(running).alias(f"_c{m[1:]}") for m in measures])
 
     def at(probe: bool, c: str):
         return F.max(F.when(F.col("_probe") == F.lit(probe), F.col(c)))
