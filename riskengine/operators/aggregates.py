@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import NumericType, StringType
 
 from ..constants import HISTOGRAM_BINS, LABEL_COLUMN, PREDICTION_COLUMN, SCORE_COLUMN, WEIGHT_COLUMN
 from ..functions.columns import label_as_int
@@ -53,10 +53,11 @@ def add_class_weight(df: DataFrame, label_col: str = LABEL_COLUMN,
                          .otherwise(F.lit(neg_w)))
 
 
-def _numeric_columns(df: DataFrame, cols: Sequence[str] | None) -> list[str]:
+def _described_columns(df: DataFrame, cols: Sequence[str] | None) -> list[str]:
     if cols is not None:
         return list(cols)
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
+    return [f.name for f in df.schema.fields
+            if isinstance(f.dataType, (NumericType, StringType))]
 
 
 def _round(c: Column, digits: int | None) -> Column:
@@ -70,24 +71,32 @@ def _long_form(wide: DataFrame, rows: list[Column]) -> DataFrame:
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None,
              digits: int | None = None) -> DataFrame:
-    """A3: ``column, count, mean, stddev, min, max`` for each numeric column (one job).
+    """A3: one row per column -- ``column, count, mean, stddev, min, max, min_text, max_text``.
 
-    ``stddev`` is the sample form (null for a single row); ``min``/``max`` are doubles.
+    Numeric columns fill ``mean``, the sample ``stddev`` (null for one row) and
+    ``min``/``max`` as doubles; text columns fill ``min_text``/``max_text``
+    (byte order), like Spark's ``describe``.  All columns are summarised by one
+    aggregate job.  Defaults to every numeric and string column.
     """
-    names = _numeric_columns(df, cols)
-    aggs = []
+    names = _described_columns(df, cols)
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
+    aggs, rows = [], []
+    null_d, null_s = F.lit(None).cast("double"), F.lit(None).cast("string")
     for i, c in enumerate(names):
-        x = F.col(c).cast("double")
-        aggs += [F.count(c).alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
-                 F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
-                 F.max(x).alias(f"hi{i}")]
-    wide = df.agg(*aggs)
-    rows = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
-                     _round(F.col(f"m{i}"), digits).alias("mean"),
-                     _round(F.col(f"s{i}"), digits).alias("stddev"),
-                     F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"))
-            for i, c in enumerate(names)]
-    return _long_form(wide, rows)
+        aggs.append(F.count(c).alias(f"n{i}"))
+        if isinstance(types[c], StringType):
+            aggs += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
+            stats = [null_d, null_d, null_d, null_d, F.col(f"lo{i}"), F.col(f"hi{i}")]
+        else:
+            x = F.col(c).cast("double")
+            aggs += [F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
+                     F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+            stats = [_round(F.col(f"m{i}"), digits), _round(F.col(f"s{i}"), digits),
+                     F.col(f"lo{i}"), F.col(f"hi{i}"), null_s, null_s]
+        names_out = ("mean", "stddev", "min", "max", "min_text", "max_text")
+        rows.append(F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
+                             *[e.alias(n) for e, n in zip(stats, names_out)]))
+    return _long_form(df.agg(*aggs), rows)
 
 
 def feature_distribution(df: DataFrame, feature_columns: Sequence[str],

@@ -113,15 +113,20 @@ FROM transactions, c"""
 # --- summaries --------------------------------------------------------------------
 
 
-def _describe_part(c: str) -> str:
+def _describe_part(c: str, text: bool = False) -> str:
+    if text:
+        return (f"SELECT '{c}' AS \"column\", count({c}) AS count, NULL::DOUBLE AS mean, "
+                f"NULL::DOUBLE AS stddev, NULL::DOUBLE AS min, NULL::DOUBLE AS max, "
+                f"min({c}) AS min_text, max({c}) AS max_text FROM transactions")
     x = f"CAST({c} AS DOUBLE)"
     return (f"SELECT '{c}' AS \"column\", count({c}) AS count, round(avg({x}), 6) AS mean, "
-            f"round(stddev_samp({x}), 6) AS stddev, min({x}) AS min, max({x}) AS max "
-            f"FROM transactions")
+            f"round(stddev_samp({x}), 6) AS stddev, min({x}) AS min, max({x}) AS max, "
+            f"NULL::VARCHAR AS min_text, NULL::VARCHAR AS max_text FROM transactions")
 
 
 ORACLE["describe"] = f"""WITH {SQL_TRANSACTIONS}
-{' UNION ALL '.join(_describe_part(c) for c in ('transaction_id', 'customer_id', 'amount'))}"""
+{' UNION ALL '.join([_describe_part(c) for c in ('transaction_id', 'customer_id', 'amount')]
+                    + [_describe_part('merchant_category', text=True)])}"""
 
 
 def _distribution_part(c: str) -> str:

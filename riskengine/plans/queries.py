@@ -131,7 +131,8 @@ def q_class_weight(spark, sf_dir):
 @register("describe")
 def q_describe(spark, sf_dir):
     return agg.describe(td.transactions(spark, sf_dir),
-                        ["transaction_id", "customer_id", "amount"], digits=6)
+                        ["transaction_id", "customer_id", "amount", "merchant_category"],
+                        digits=6)
 
 
 @register("feature_distribution")

@@ -54,6 +54,17 @@ def test_describe_single_row_stddev_is_null(spark):
         "amount", 1, 5.0, None, 5.0, 5.0)
 
 
+def test_describe_numeric_and_text_columns(spark):
+    df = spark.createDataFrame([(1, "b", True), (3, "a", False), (None, None, None)],
+                               "n int, cat string, flag boolean")
+    rows = {r["column"]: r for r in agg.describe(df).collect()}
+    assert set(rows) == {"n", "cat"}                          # booleans are not described
+    assert (rows["n"]["count"], rows["n"]["mean"], rows["n"]["min"], rows["n"]["max"]) == (
+        2, 2.0, 1.0, 3.0)
+    assert (rows["cat"]["count"], rows["cat"]["min_text"], rows["cat"]["max_text"]) == (2, "a", "b")
+    assert rows["cat"]["mean"] is None and rows["n"]["min_text"] is None
+
+
 def test_prediction_distribution(spark):
     # the reference's fixture: three 0.0, two 1.0
     df = spark.createDataFrame([(0.0,), (0.0,), (0.0,), (1.0,), (1.0,)], "prediction double")
