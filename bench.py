@@ -22,7 +22,7 @@ from riskengine.session import local_session  # noqa: E402
 
 HEADLINE = [
     "feature_engineering",       # W1-W4, D1: both velocity windows + category profile
-    "feature_pipeline",          # Q1 through files: CSV -> features -> parquet
+    "features_via_files",        # Q1 through files: CSV -> features -> parquet
     "class_weight",              # A1 + A2
     "describe",                  # A3
     "feature_distribution",      # A4 over the feature table

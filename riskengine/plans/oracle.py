@@ -236,11 +236,11 @@ SELECT CAST(transaction_id AS VARCHAR) AS transaction_id,
        CAST(customer_id AS VARCHAR) AS customer_id, prob_0, prob_1, prediction
 FROM scored"""
 
-ORACLE["feature_pipeline"] = ORACLE["feature_engineering"]
+ORACLE["features_via_files"] = ORACLE["feature_engineering"]
 
-ORACLE["split_pipeline"] = ORACLE["stable_split"]
+ORACLE["split_via_files"] = ORACLE["stable_split"]
 
-ORACLE["label_pipeline"] = ORACLE["label_to_double"]
+ORACLE["labels_via_files"] = ORACLE["label_to_double"]
 
 _FILES_JOINED = f"""WITH {SQL_SCORED}, {SQL_TRUTH},
 joined AS (SELECT CAST(s.transaction_id AS VARCHAR) AS transaction_id, s.customer_id,

@@ -212,8 +212,8 @@ def q_read_with_casts(spark, sf_dir):
     return io.read_with_casts(spark, path, pl.SCORED_CASTS)
 
 
-@register("feature_pipeline")
-def q_feature_pipeline(spark, sf_dir):
+@register("features_via_files")
+def q_features_via_files(spark, sf_dir):
     """Q1 end to end: CSV -> preprocess -> features -> parquet, read back (S3)."""
     raw_path = scratch_path(spark, "raw-csv")
     out_path = scratch_path(spark, "features")
@@ -222,8 +222,8 @@ def q_feature_pipeline(spark, sf_dir):
     return io.read_features(spark, out_path)
 
 
-@register("split_pipeline")
-def q_split_pipeline(spark, sf_dir):
+@register("split_via_files")
+def q_split_via_files(spark, sf_dir):
     """Q2 with the stable split: CSV -> two CSVs, read back and tagged."""
     raw_path = scratch_path(spark, "raw-csv")
     train_path, inf_path = scratch_path(spark, "train-csv"), scratch_path(spark, "inf-csv")
@@ -234,8 +234,8 @@ def q_split_pipeline(spark, sf_dir):
                          .withColumn("split", F.lit("inference"))))
 
 
-@register("label_pipeline")
-def q_label_pipeline(spark, sf_dir):
+@register("labels_via_files")
+def q_labels_via_files(spark, sf_dir):
     """Q5: feature table -> text labels as 1.0 / 0.0 -> CSV, read back."""
     feat_path, out_path = scratch_path(spark, "features"), scratch_path(spark, "labels-csv")
     io.write_features(td.transactions(spark, sf_dir), feat_path)
