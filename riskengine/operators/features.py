@@ -97,7 +97,7 @@ def trailing_window_stats(
     """
     if count_out is None and sum_out is None:
         raise ValueError("ask for at least one of count_out, sum_out")
-    measures = {}                     # running total -> per-second value, only those asked for
+    measures = {}                     # per-second measures, only those asked for
     if count_out is not None:
         measures["_n"] = F.count(id_col)
     if sum_out is not None:
