@@ -3,8 +3,8 @@
     python scripts/plan_report.py [sf_dir] > PLANS.md
 
 For each query: shuffles (hash / single-partition / range), broadcasts, join
-strategies, windows, and the columns each parquet scan reads.  Queries run to
-completion into the ``noop`` sink first, so the plans are AQE's final plans.
+strategies, windows, and the columns each parquet scan reads.  Each query's
+DataFrame is collected, so the plan read back is AQE's final plan for it.
 """
 
 from __future__ import annotations
@@ -35,6 +35,8 @@ def summarise(plan: str) -> dict:
             ops["broadcast"] += 1
         elif s.startswith("ReusedExchange"):
             ops["reused exchange"] += 1
+        if s.startswith("AQEShuffleRead") and "skewed" in s:
+            ops["skew split"] += 1
         for op in ("SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin", "Window",
                    "TakeOrderedAndProject", "HashAggregate", "Generate"):
             if s.startswith(op):
@@ -57,13 +59,16 @@ def main(argv):
     for name in REGISTRY:
         df = REGISTRY[name](spark, sf_dir)
         t0 = time.perf_counter()
-        df.write.format("noop").mode("overwrite").save()
+        df.collect()
         secs = time.perf_counter() - t0
         plan = df._jdf.queryExecution().executedPlan().toString()
+        plan = plan.split("== Initial Plan ==")[0]
         s = summarise(plan)
         o = s["ops"]
         joins = ", ".join(f"{o[j]} {j}" for j in ("SortMergeJoin", "BroadcastHashJoin",
                                                    "ShuffledHashJoin") if o[j]) or "-"
+        if o["skew split"]:
+            joins += f" ({o['skew split']} skew-split reads)"
         scans = "<br>".join(f"`{x}`" for x in s["schemas"]) or "-"
         print(f"| `{name}` | {secs:.2f} | {o['hash shuffle']} / {o['single-partition exchange']}"
               f" / {o['range shuffle']} | {o['broadcast']} | {joins} | {o['Window']} "
