@@ -52,7 +52,8 @@ def main(argv):
     print("Generated by `scripts/plan_report.py`. Counts are of physical operators in the "
           "final plan of the returned DataFrame (jobs run before it -- counts, quantiles, "
           "checkpoints, file writes -- are not included). HashAggregate counts partial and "
-          "final steps separately.\n")
+          "final steps separately. `sec` includes collecting the rows to the driver (this report "
+          "only; the bench uses the `noop` sink).\n")
     print("| query | sec | shuffles (hash / single / range) | broadcasts | joins | windows "
           "| scans read |")
     print("| --- | --- | --- | --- | --- | --- | --- |")
