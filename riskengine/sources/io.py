@@ -24,6 +24,21 @@ TRANSACTION_SCHEMA = StructType([
     StructField("is_fraud", BooleanType()),
 ])
 
+# The raw card-transaction files as the reference's notebooks read them: text
+# ids ("CUST_########"), ISO country code, card-present flag, and the timestamp as
+# text ("yyyy-MM-dd HH:mm:ss") for ``preprocess`` to parse.  Read with this schema
+# the ids stay text (schema inference would turn all-digit ids into numbers).
+RAW_CSV_SCHEMA = StructType([
+    StructField("transaction_id", StringType()),
+    StructField("customer_id", StringType()),
+    StructField("timestamp", StringType()),
+    StructField("amount", DoubleType()),
+    StructField("merchant_category", StringType()),
+    StructField("merchant_country", StringType()),
+    StructField("card_present", BooleanType()),
+    StructField("is_fraud", StringType()),
+])
+
 # Text forms that keep microseconds (the CSV default keeps milliseconds only).
 TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 

@@ -11,6 +11,7 @@ from pyspark.ml.classification import LogisticRegressionModel
 
 from riskengine.operators import features as feat
 from riskengine.operators import learning as ml
+from riskengine.operators import prepare as prep
 from riskengine.plans import pipelines as pl
 from riskengine.sources import io
 from riskengine.sources import testdata as td
@@ -66,6 +67,23 @@ def test_csv_keeps_microseconds_and_schema(spark):
     assert back.collect() == df.collect()
 
 
+def test_raw_csv_layout_to_features(spark):
+    """The reference's raw file layout: text ids stay text, text time is parsed."""
+    path = tempfile.mkdtemp(prefix="riskengine-csv-") + "/raw.csv"
+    with open(path, "w") as fh:
+        fh.write("transaction_id,customer_id,timestamp,amount,merchant_category,"
+                 "merchant_country,card_present,is_fraud\n"
+                 "000000000001,CUST_00000007,2024-01-01 10:00:00,12.5,grocery,US,true,false\n"
+                 "000000000002,CUST_00000007,2024-01-02 11:00:00,30.0,grocery,ZZ,false,true\n")
+    raw = io.read_transactions(spark, path, schema=io.RAW_CSV_SCHEMA)
+    out = {r["transaction_id"]: r for r in
+           feat.full_feature_engineering(prep.preprocess(raw)).collect()}
+    assert set(out) == {"000000000001", "000000000002"}
+    assert out["000000000002"]["transaction_velocity"] == 2
+    assert out["000000000002"]["amount_velocity"] == 42.5
+    assert prep.label_to_double(raw).where("is_fraud = 1.0").count() == 1
+
+
 def test_read_with_casts_malformed_is_null(spark):
     path = tempfile.mkdtemp(prefix="riskengine-csv-") + "/s"
     spark.createDataFrame([("1", "0.5"), ("2", "oops")], "transaction_id string, prob_1 string") \
