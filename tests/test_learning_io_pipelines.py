@@ -114,6 +114,8 @@ def test_seven_pipelines_end_to_end(spark):
     n_inf = spark.read.option("header", "true").csv(p["inf_csv"]).count()
     assert sum(r["count"] for r in dist.collect()) == n_inf
     assert 0.0 <= auc.first()["auc"] <= 1.0
+    binned, _ = pl.monitoring_pipeline(spark, p["scored"], p["labels"], auc_method="binned")
+    assert binned.first()["auc"] == pytest.approx(auc.first()["auc"], abs=1e-3)
     report = pl.evaluation_pipeline(spark, p["scored"], p["labels"])
     m = report.metrics.first()
     assert m["tp"] + m["fp"] + m["tn"] + m["fn"] == n_inf
