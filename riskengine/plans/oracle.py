@@ -48,7 +48,12 @@ _TIME = ('CAST(hour("timestamp") AS INTEGER) AS hour_of_day, '
 ORACLE["time_patterns"] = f"""WITH {SQL_TRANSACTIONS}
 SELECT {_RAW}, {_TIME} FROM transactions"""
 
-_FEATURES_SQL = f"""{_WITH_SECS},
+def _features_sql(source_where: str | None = None) -> str:
+    """The feature table over ``transactions`` (optionally only rows matching a filter)."""
+    rows = "transactions" if source_where is None else (
+        f"(SELECT * FROM transactions WHERE {source_where})")
+    return f"""WITH {SQL_TRANSACTIONS},
+with_secs AS (SELECT *, {_SECS} AS timestamp_seconds FROM {rows}),
 features AS (
   SELECT {_RAW}, timestamp_seconds,
          COUNT(transaction_id) OVER ({_FRAME}) AS transaction_velocity,
@@ -58,6 +63,9 @@ features AS (
          {_TIME}
   FROM with_secs)"""
 
+
+_FEATURES_SQL = _features_sql()
+
 ORACLE["feature_engineering"] = f"""{_FEATURES_SQL}
 SELECT * FROM features"""
 
@@ -81,18 +89,28 @@ FROM transactions"""
 # --- sampling -----------------------------------------------------------------
 
 
-def _split_sql(key: str, seed: int = 42, percent: int = 80) -> str:
+def _in_first_side(key: str, seed: int = 42, percent: int = 80) -> str:
     bucket = (f"CAST(('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{seed}'), 1, 8)) AS BIGINT)"
               " % 100")
+    return f"coalesce({bucket} < {percent}, false)"
+
+
+def _split_sql(key: str, seed: int = 42, percent: int = 80) -> str:
     return f"""WITH {SQL_TRANSACTIONS}
 SELECT {_RAW},
-       CASE WHEN coalesce({bucket} < {percent}, false) THEN 'train' ELSE 'inference' END AS split
+       CASE WHEN {_in_first_side(key, seed, percent)} THEN 'train' ELSE 'inference' END AS split
 FROM transactions"""
 
 
 ORACLE["stable_split"] = _split_sql("transaction_id")
 ORACLE["stable_split_by_customer"] = _split_sql("customer_id")
 
+# Split first, then features on each side (the reference's order).
+ORACLE["train_features"] = f"""{_features_sql(_in_first_side('transaction_id'))}
+SELECT * FROM features"""
+ORACLE["inference_features"] = f"""{_features_sql(f"NOT {_in_first_side('transaction_id')}")}
+SELECT * FROM features"""
+
 # --- class balance ---------------------------------------------------------------
 
 _COUNTS = """SELECT count(*) AS total,

@@ -105,6 +105,20 @@ def q_stable_split_by_customer(spark, sf_dir):
                                  SPLIT_SEED, label_col="split")
 
 
+@register("train_features")
+def q_train_features(spark, sf_dir):
+    """Split first (stable, by transaction), then features on the training side only."""
+    train, _ = sampling.stable_split(td.transactions(spark, sf_dir))
+    return feat.full_feature_engineering(train)
+
+
+@register("inference_features")
+def q_inference_features(spark, sf_dir):
+    """Split first, then features on the inference side only (the inference notebook)."""
+    _, inference = sampling.stable_split(td.transactions(spark, sf_dir))
+    return feat.full_feature_engineering(inference)
+
+
 @register("random_split")
 def q_random_split(spark, sf_dir):
     """Both sides of the 80/20 Bernoulli split, tagged (rows-only check)."""
