@@ -39,8 +39,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, setting one only where none is configured.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS, S3, ...);
-    it is read, never replaced.  When it is unset (local runs, tests) a fresh
-    ``mkdtemp`` folder is used.  Sessions without a ``SparkContext`` (Spark
+    it is read, never replaced.  When it is unset, a local-mode session (tests,
+    single-machine runs) gets a fresh ``mkdtemp`` folder; any other master gets an
+    error, as a machine-local folder cannot serve a cluster.  Sessions without a ``SparkContext`` (Spark
     Connect) are answered from the configuration alone.
     """
     try:
@@ -53,6 +54,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.conf.get("spark.master", None) or (sc.master if sc is not None else "")
+        if not str(master).startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a shared folder (HDFS, S3, ...) "
+                "that every executor can reach")
         configured = tempfile.mkdtemp(prefix="riskengine-ckpt-")
         if sc is None:
             try:
