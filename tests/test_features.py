@@ -134,3 +134,17 @@ def test_plan_has_no_customer_only_window(spark):
     df = frame(spark, EDGE_ROWS)
     plan = feat.velocity_features(df)._jdf.queryExecution().executedPlan().toString()
     assert "_bucket" in plan
+
+
+def test_a_third_of_rows_are_copies_of_one_row(spark):
+    """A group of copies holding a third of the rows: same answers as the plain window."""
+    rnd = random.Random(7)
+    rows = [(i, rnd.randrange(0, 20), rnd.randrange(0, 3 * W), round(rnd.uniform(1, 300), 2),
+             rnd.choice("abc")) for i in range(1000)]
+    rows += [(999999, 3, W + 17, 42.42, "b")] * 500          # 500 copies of one transaction
+    df = frame(spark, rows)
+    got, ref = both_ways(df, feat.full_feature_engineering)
+    assert rows_of(got) == rows_of(ref)
+    copy = [r for r in got.collect() if r["transaction_id"] == 999999]
+    assert len(copy) == 500 and len({tuple(r) for r in copy}) == 1
+    assert copy[0]["transaction_velocity"] >= 500

@@ -85,3 +85,11 @@ def test_random_split_partitions_the_rows(spark):
     train, inference = sampling.random_split(df)
     assert train.count() + inference.count() == df.count()
     assert set(_ids(train)).isdisjoint(_ids(inference))
+
+
+def test_stable_split_sends_null_keys_to_the_second_side(spark):
+    df = spark.createDataFrame([(None,), (1,), (2,)], "transaction_id long")
+    first, second = sampling.stable_split(df)
+    assert None not in _ids(first) and None in [r[0] for r in second.collect()]
+    labelled = sampling.stable_split(df, label_col="split").where("transaction_id IS NULL")
+    assert labelled.first()["split"] == "inference"
