@@ -56,7 +56,11 @@ def main() -> None:
     times = {name: round(min(_run(spark, name, sf_dir) for _ in range(repeats)), 3)
              for name in names}
     spark.stop()
-    sf = os.path.basename(sf_dir).removeprefix("sf")
+    sf_text = os.path.basename(sf_dir).removeprefix("sf")
+    try:
+        sf = float(sf_text)
+    except ValueError:
+        sf = sf_text
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf}))
 
