@@ -33,7 +33,8 @@ def test_prepare_training_types(spark, training):
 def test_cv_is_repeatable_with_a_seed(spark, training):
     a = ml.train_with_cv(training, reg_params=(0.01, 1.0), num_folds=2, max_iter=5)
     b = ml.train_with_cv(training, reg_params=(0.01, 1.0), num_folds=2, max_iter=5)
-    assert a.avg_auc == pytest.approx(b.avg_auc, rel=1e-9)   # same folds; sums may differ by an ulp
+    # same folds; fits may differ in the last bits (other seeds move it by ~1e-2)
+    assert a.avg_auc == pytest.approx(b.avg_auc, abs=1e-6)
     assert isinstance(a.model, LogisticRegressionModel)
     assert a.best_reg_param in (0.01, 1.0)
     m = a.metrics(spark).collect()
