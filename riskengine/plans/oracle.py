@@ -275,3 +275,8 @@ ORACLE["evaluation_metrics"] = f"""{_FILES_JOINED},
 {_METRICS}"""
 
 ORACLE["evaluation_histogram"] = _histogram_sql(_FILES_JOINED)
+
+# --- streaming -------------------------------------------------------------------
+
+ORACLE["stream_prediction_counts"] = f"""WITH {SQL_SCORED}
+SELECT prediction, count(*) AS count FROM scored GROUP BY prediction"""

@@ -23,6 +23,7 @@ from ..operators import sampling
 from ..session import materialize, scratch_path
 from ..sources import io
 from ..sources import testdata as td
+from ..streaming import scoring as stream
 from . import pipelines as pl
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -329,3 +330,31 @@ def q_model_auc(spark, sf_dir):
     held_out = ml.prepare_training(inference)
     rows = [("train", ml.auc_model(model, data)), ("inference", ml.auc_model(model, held_out))]
     return spark.createDataFrame(rows, "rows string, auc double")
+
+
+# --- the same operators run incrementally (Structured Streaming) --------------
+
+@register("stream_prediction_counts")
+def q_stream_prediction_counts(spark, sf_dir):
+    """A5 as a running aggregate: scored files arrive as a stream (one file per
+    trigger); the counts table is rewritten per micro-batch; read back when done."""
+    source, out = scratch_path(spark, "scored-files"), scratch_path(spark, "counts")
+    scored = td.scored(spark, sf_dir)
+    scored.write.parquet(source)
+    incoming = spark.readStream.schema(scored.schema).option("maxFilesPerTrigger", 1) \
+        .parquet(source)
+    stream.run_to_end(stream.start_table_sink(stream.prediction_counts_stream(incoming), out))
+    return spark.read.parquet(out)
+
+
+@register("stream_scoring")
+def q_stream_scoring(spark, sf_dir):
+    """L4 + P7 on inference feature files arriving as a stream, with a model fitted on
+    the training side; the scored rows are appended to files and read back."""
+    train, inference = _train_and_inference(spark, sf_dir)
+    model = ml.fit_logistic(pl.training_frame(train), reg_param=REG_PARAMS[0])
+    source, out = scratch_path(spark, "feature-files"), scratch_path(spark, "scored")
+    inference.write.parquet(source)
+    incoming = stream.read_feature_stream(spark, source, inference.schema)
+    stream.run_to_end(stream.start_file_sink(stream.score_stream(model, incoming), out))
+    return spark.read.parquet(out)

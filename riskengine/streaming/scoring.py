@@ -55,3 +55,33 @@ def start_file_sink(scored: DataFrame, output_path: str, fmt: str = "parquet",
               .option("checkpointLocation", checkpoint).option("path", output_path))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
+
+
+def start_table_sink(aggregated: DataFrame, output_path: str, fmt: str = "parquet",
+                     checkpoint_location: str | None = None,
+                     available_now: bool = True) -> StreamingQuery:
+    """Keep the current result of a running aggregate in a table.
+
+    Each micro-batch overwrites ``output_path`` with the complete aggregate (one
+    row per group), so the table always holds the latest counts; the rewrite is
+    idempotent, so a replayed batch after a failure writes the same table.
+    """
+    spark = aggregated.sparkSession
+    checkpoint = checkpoint_location or scratch_path(spark, "counts-stream")
+
+    def write(batch: DataFrame, _batch_id: int) -> None:
+        batch.write.format(fmt).mode("overwrite").save(output_path)
+
+    writer = (aggregated.writeStream.outputMode("complete").foreachBatch(write)
+              .option("checkpointLocation", checkpoint))
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    return writer.start()
+
+
+def run_to_end(query: StreamingQuery, timeout_s: int = 900) -> None:
+    """Wait for an ``availableNow`` query to finish; stop it and fail after ``timeout_s``."""
+    if not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"streaming query {query.name or query.id} did not finish")
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
