@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DecimalType
+from pyspark.sql.types import DataType, DecimalType, StringType
 
 from ..constants import MONEY_SCALE
 
@@ -35,9 +35,19 @@ def label_as_double(c: str | Column) -> Column:
             .otherwise(F.lit(None).cast("double")))
 
 
-def label_as_int(c: str | Column) -> Column:
-    """Boolean or numeric label -> int (true -> 1); unparsable text -> null."""
-    return as_col(c).try_cast("int")
+def label_as_int(c: str | Column, text: bool = False) -> Column:
+    """Label -> int: boolean true -> 1, numbers truncated; unparsable -> null.
+
+    With ``text=True`` (a string column) the label is read as a boolean first, so
+    ``"true"`` / ``"false"`` (any case) and ``"1"`` / ``"0"`` give 1 / 0.
+    """
+    col = as_col(c)
+    return col.try_cast("boolean").cast("int") if text else col.try_cast("int")
+
+
+def label_int_of(df, label_col: str) -> Column:
+    """:func:`label_as_int` chosen by the column's type in ``df``."""
+    return label_as_int(label_col, text=isinstance(df.schema[label_col].dataType, StringType))
 
 
 def money(c: str | Column, scale: int | None = MONEY_SCALE) -> Column:

@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from ..constants import HISTOGRAM_BINS, LABEL_COLUMN, PREDICTION_COLUMN, SCORE_COLUMN, WEIGHT_COLUMN
-from ..functions.columns import label_as_int
+from ..functions.columns import label_int_of
 
 
 def class_counts(df: DataFrame, label_col: str = LABEL_COLUMN) -> DataFrame:
     """A1: one row ``total, positive, negative`` (total includes null labels)."""
-    lab = label_as_int(label_col)
+    lab = label_int_of(df, label_col)
     return df.agg(F.count(F.lit(1)).alias("total"),
                   F.count_if(lab == F.lit(1)).alias("positive"),
                   F.count_if(lab == F.lit(0)).alias("negative"))
@@ -49,7 +49,7 @@ def add_class_weight(df: DataFrame, label_col: str = LABEL_COLUMN,
     if weights is None:
         return df.withColumn(out, F.lit(None).cast("double"))
     pos_w, neg_w = weights
-    return df.withColumn(out, F.when(label_as_int(label_col) == F.lit(1), F.lit(pos_w))
+    return df.withColumn(out, F.when(label_int_of(df, label_col) == F.lit(1), F.lit(pos_w))
                          .otherwise(F.lit(neg_w)))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..constants import FEATURE_COLUMNS, LABEL_COLUMN
-from ..functions.columns import label_as_double, label_as_int, lenient_cast
+from ..functions.columns import label_as_double, label_int_of, lenient_cast
 
 
 def preprocess(df: DataFrame, casts: dict[str, str] | None = None) -> DataFrame:
@@ -40,8 +40,8 @@ def cast_columns(df: DataFrame, casts: dict[str, str]) -> DataFrame:
 
 
 def label_to_int(df: DataFrame, label_col: str = LABEL_COLUMN) -> DataFrame:
-    """Boolean / numeric label -> int (true -> 1)."""
-    return df.withColumn(label_col, label_as_int(label_col))
+    """Boolean / numeric / text label -> int (true -> 1; text read as a boolean)."""
+    return df.withColumn(label_col, label_int_of(df, label_col))
 
 
 def label_to_double(df: DataFrame, label_col: str = LABEL_COLUMN) -> DataFrame:

@@ -83,6 +83,8 @@ def test_raw_csv_layout_to_features(spark):
     assert out["000000000002"]["transaction_velocity"] == 2
     assert out["000000000002"]["amount_velocity"] == 42.5
     assert prep.label_to_double(raw).where("is_fraud = 1.0").count() == 1
+    weighted = pl.training_frame(feat.full_feature_engineering(prep.preprocess(raw)))
+    assert {r["is_fraud"]: r["class_weight"] for r in weighted.collect()} == {0: 1.0, 1: 1.0}
 
 
 def test_read_with_casts_malformed_is_null(spark):

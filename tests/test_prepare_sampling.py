@@ -42,8 +42,9 @@ def test_label_to_double(spark, value, dtype, expected):
 def test_label_to_int(spark):
     df = spark.createDataFrame([(True,), (False,), (None,)], "is_fraud boolean")
     assert [r[0] for r in prep.label_to_int(df).collect()] == [1, 0, None]
-    text = spark.createDataFrame([("1",), ("x",)], "is_fraud string")
-    assert [r[0] for r in prep.label_to_int(text).collect()] == [1, None]
+    text = spark.createDataFrame([("1",), ("x",), ("true",), ("False",), ("0",)],
+                                 "is_fraud string")
+    assert [r[0] for r in prep.label_to_int(text).collect()] == [1, None, 1, 0, 0]
 
 
 def test_assemble_rejects_null_feature(spark):
