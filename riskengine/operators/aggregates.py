@@ -123,8 +123,8 @@ def prediction_distribution(df: DataFrame, prediction_col: str = PREDICTION_COLU
 
 def histogram_range(df: DataFrame, col: str = SCORE_COLUMN) -> tuple[float, float]:
     """Range numpy's ``histogram`` would use: [min, max], widened by 0.5 when they meet."""
-    row = df.agg(F.min(F.col(col).cast("double")).alias("lo"),
-                 F.max(F.col(col).cast("double")).alias("hi")).first()
+    row = df.agg(F.min(F.col(col).try_cast("double")).alias("lo"),
+                 F.max(F.col(col).try_cast("double")).alias("hi")).first()
     lo, hi = row["lo"], row["hi"]
     if lo is None:
         return 0.0, 1.0
@@ -149,7 +149,7 @@ def probability_histogram(df: DataFrame, col: str = SCORE_COLUMN,
         return F.when(i >= F.lit(bins), F.lit(hi)).otherwise(i.cast("double") * F.lit(step)
                                                                + F.lit(lo))
 
-    v = F.col(col).cast("double")
+    v = F.col(col).try_cast("double")
     guess = F.least(F.greatest(
         F.floor((v - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(bins))), F.lit(0)),
         F.lit(bins - 1))
