@@ -123,8 +123,9 @@ def prediction_distribution(df: DataFrame, prediction_col: str = PREDICTION_COLU
 
 def histogram_range(df: DataFrame, col: str = SCORE_COLUMN) -> tuple[float, float]:
     """Range numpy's ``histogram`` would use: [min, max], widened by 0.5 when they meet."""
-    row = df.agg(F.min(F.col(col).try_cast("double")).alias("lo"),
-                 F.max(F.col(col).try_cast("double")).alias("hi")).first()
+    v = F.col(col).try_cast("double")
+    finite = F.when(~F.isnan(v), v)
+    row = df.agg(F.min(finite).alias("lo"), F.max(finite).alias("hi")).first()
     lo, hi = row["lo"], row["hi"]
     if lo is None:
         return 0.0, 1.0
@@ -140,7 +141,7 @@ def probability_histogram(df: DataFrame, col: str = SCORE_COLUMN,
     Bin edges are ``lo + i * step`` with the last edge ``hi``; a value goes to the
     bin whose edges hold it, the last bin closed -- the rule of ``numpy.histogram``.
     The bin index is a column expression; counting is a grouped aggregate, so
-    no value leaves the executors.  Null values are not counted.
+    no value leaves the executors.  Null and NaN values are not counted.
     """
     lo, hi = histogram_range(df, col)
     step = (hi - lo) / bins
@@ -156,7 +157,7 @@ def probability_histogram(df: DataFrame, col: str = SCORE_COLUMN,
     fixed = (F.when(v < edge(guess), guess - 1)
              .when((v >= edge(guess + 1)) & (guess != F.lit(bins - 1)), guess + 1)
              .otherwise(guess))
-    counts = (df.where(v.isNotNull() & (v >= F.lit(lo)) & (v <= F.lit(hi)))
+    counts = (df.where(v.isNotNull() & ~F.isnan(v) & (v >= F.lit(lo)) & (v <= F.lit(hi)))
               .select(fixed.cast("int").alias("bin"))
               .groupBy("bin").agg(F.count(F.lit(1)).alias("count")))
     spark = df.sparkSession

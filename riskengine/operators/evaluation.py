@@ -66,10 +66,10 @@ def evaluate_predictions(df: DataFrame, prediction_col: str = PREDICTION_COLUMN,
 
 def score_label_counts(df: DataFrame, label_col: str = LABEL_COLUMN,
                        score_col: str = SCORE_COLUMN) -> DataFrame:
-    """Positives and negatives per distinct score (rows with a null score or a label
-    other than 0/1 are left out, as the evaluator cannot use them)."""
+    """Positives and negatives per distinct score (rows with a null or NaN score, or a
+    label other than 0/1, are left out, as the evaluator cannot use them)."""
     y, s = F.col(label_col).try_cast("double"), F.col(score_col).try_cast("double")
-    return (df.where(s.isNotNull() & y.isin(0.0, 1.0))
+    return (df.where(s.isNotNull() & ~F.isnan(s) & y.isin(0.0, 1.0))
             .groupBy(s.alias("score"))
             .agg(F.count_if(y == F.lit(1.0)).alias("pos"),
                  F.count_if(y == F.lit(0.0)).alias("neg")))

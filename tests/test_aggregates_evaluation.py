@@ -87,6 +87,13 @@ def test_histogram_matches_numpy(spark, values):
     assert [g[2] for g in got] == edges[1:].tolist()
 
 
+def test_histogram_skips_nan(spark):
+    df = spark.createDataFrame([(0.1,), (0.9,), (float("nan"),)], "prob_1 double")
+    got = agg.probability_histogram(df).collect()
+    assert sum(r["count"] for r in got) == 2
+    assert min(r["lower"] for r in got) == 0.1 and max(r["upper"] for r in got) == 0.9
+
+
 def test_histogram_empty(spark):
     df = spark.createDataFrame([], "prob_1 double")
     got = agg.probability_histogram(df).collect()
@@ -158,6 +165,12 @@ def test_auc_exact_against_brute_force_and_mllib(spark, seed, rows_per_bucket):
     assert got == pytest.approx(mllib, rel=1e-9)
 
 
+def test_auc_skips_nan_scores(spark):
+    df = spark.createDataFrame([(1.0, 0.9), (0.0, 0.2), (1.0, float("nan")), (0.0, 0.5)],
+                               "is_fraud double, prob_1 double")
+    assert ev.auc_exact(df, rows_per_bucket=1).first()["auc"] == 1.0
+
+
 def test_auc_single_class_is_null(spark):
     df = spark.createDataFrame([(1.0, 0.3), (1.0, 0.7)], "is_fraud double, prob_1 double")
     assert ev.auc_exact(df).first()["auc"] is None
