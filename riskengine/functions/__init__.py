@@ -1,0 +1 @@
+"""Column expressions shared by the operators (casts, labels, seconds, money, keys)."""

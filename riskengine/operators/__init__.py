@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators: preparation, sampling, features, aggregates, evaluation, learning."""

@@ -1,0 +1 @@
+"""Composite pipelines, the registered queries and their SQL twins."""

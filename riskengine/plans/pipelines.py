@@ -10,7 +10,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..constants import FEATURE_COLUMNS, LABEL_COLUMN, SPLIT_SEED, SPLIT_WEIGHTS
 from ..operators import aggregates as agg

@@ -1,0 +1 @@
+"""Readers and writers (CSV, columnar files, models) and the driver-table mapping."""

@@ -1,0 +1 @@
+"""The batch scoring operators run incrementally with Structured Streaming."""
