@@ -321,6 +321,32 @@ def q_score_batch(spark, sf_dir):
     return ml.score(loaded, prep.assemble_features(inference))
 
 
+@register("training_via_files")
+def q_training_via_files(spark, sf_dir):
+    """Q3 end to end: training features written as a table (S5), then read (S3) ->
+    assemble + int label (L1) -> class weights (A2) -> CV (L3) -> model AUC (L5) ->
+    saved model (S6).  Returns the grid metrics with the model's training AUC."""
+    train, _ = _train_and_inference(spark, sf_dir)
+    feat_path, model_path = scratch_path(spark, "train-features"), scratch_path(spark, "model")
+    io.write_features(train, feat_path)
+    result = pl.training_pipeline(spark, feat_path, model_path)
+    return result.cv.metrics(spark).withColumn("model_auc", F.lit(float(result.auc)))
+
+
+@register("scoring_via_files")
+def q_scoring_via_files(spark, sf_dir):
+    """Q4 end to end: inference features as a table + a saved model -> assemble (P9) ->
+    score (L4) -> flatten (P7) -> scored CSV (S4), read back with casts (S2)."""
+    train, inference = _train_and_inference(spark, sf_dir)
+    model = ml.fit_logistic(pl.training_frame(train), reg_param=REG_PARAMS[0])
+    feat_path, model_path = scratch_path(spark, "inf-features"), scratch_path(spark, "model")
+    out_path = scratch_path(spark, "scored-csv")
+    io.write_features(inference, feat_path)
+    io.save_model(model, model_path)
+    pl.scoring_pipeline(spark, feat_path, model_path, out_path)
+    return io.read_with_casts(spark, out_path, pl.SCORED_CASTS)
+
+
 @register("model_auc")
 def q_model_auc(spark, sf_dir):
     """Model AUC on its training rows and on the held-out rows (2 rows)."""

@@ -131,5 +131,5 @@ def test_entry_contract(spark):
     assert df.count() > 0
     qs, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(qs)
-    assert {"train_cv_metrics", "score_batch", "model_auc", "random_split",
-            "stream_scoring"} == set(qs) - set(sql)
+    assert {"train_cv_metrics", "score_batch", "model_auc", "random_split", "stream_scoring",
+            "training_via_files", "scoring_via_files"} == set(qs) - set(sql)
