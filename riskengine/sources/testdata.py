@@ -35,6 +35,16 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hot_customer_transactions(spark: SparkSession, sf_dir: str, hot_customer: int = -1,
+                              parts: int = 3) -> DataFrame:
+    """The transactions with every ``parts``-th row (by a hash of its id) moved to one
+    customer: one key holding a third of all rows, for skew measurements."""
+    tx = transactions(spark, sf_dir)
+    hot = F.pmod(F.xxhash64("transaction_id"), F.lit(parts)) == F.lit(0)
+    return tx.withColumn("customer_id",
+                         F.when(hot, F.lit(hot_customer)).otherwise(F.col("customer_id")))
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A scored table (as written by the scoring pipeline): id, customer, prob_0, prob_1, prediction."""
     ev = table(spark, sf_dir, "events")

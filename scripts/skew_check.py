@@ -30,9 +30,7 @@ HOT = -1
 
 
 def hot_transactions(spark, sf_dir):
-    tx = td.transactions(spark, sf_dir)
-    hot = F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == F.lit(0)
-    return tx.withColumn("customer_id", F.when(hot, F.lit(HOT)).otherwise(F.col("customer_id")))
+    return td.hot_customer_transactions(spark, sf_dir, hot_customer=HOT)
 
 
 def task_records(log_dir: str) -> dict[int, int]:
