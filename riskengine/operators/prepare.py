@@ -49,6 +49,14 @@ def label_to_double(df: DataFrame, label_col: str = LABEL_COLUMN) -> DataFrame:
     return df.withColumn(label_col, label_as_double(label_col))
 
 
+def label_slice(df: DataFrame, value: int = 1, label_col: str = LABEL_COLUMN) -> DataFrame:
+    """The rows of one class (``label == value``, the label read as an int).
+
+    A plain filter: on a label derived from stored columns Catalyst pushes it into
+    the scan."""
+    return df.where(label_int_of(df, label_col) == F.lit(value))
+
+
 def assemble_features(df: DataFrame, feature_columns: Sequence[str] = FEATURE_COLUMNS,
                       output_column: str = "features",
                       handle_invalid: str = "error") -> DataFrame:

@@ -86,6 +86,9 @@ SELECT transaction_id,
             WHEN CAST(is_fraud AS VARCHAR) = 'false' THEN 0.0::DOUBLE END AS is_fraud
 FROM transactions"""
 
+ORACLE["label_slice"] = f"""WITH {SQL_TRANSACTIONS}
+SELECT {_RAW} FROM transactions WHERE CAST(is_fraud AS INTEGER) = 1"""
+
 # --- sampling -----------------------------------------------------------------
 
 

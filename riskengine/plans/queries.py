@@ -92,6 +92,12 @@ def q_label_to_double(spark, sf_dir):
         "transaction_id", "is_fraud")
 
 
+@register("label_slice")
+def q_label_slice(spark, sf_dir):
+    """The fraud rows only."""
+    return prep.label_slice(td.transactions(spark, sf_dir), 1)
+
+
 # --- sampling (X1, X2) -------------------------------------------------------
 
 @register("stable_split")
