@@ -171,6 +171,12 @@ def test_auc_skips_nan_scores(spark):
     assert ev.auc_exact(df, rows_per_bucket=1).first()["auc"] == 1.0
 
 
+def test_auc_all_scores_equal_is_half(spark):
+    df = spark.createDataFrame([(1.0, 0.4), (0.0, 0.4), (0.0, 0.4), (1.0, 0.4)],
+                               "is_fraud double, prob_1 double")
+    assert ev.auc_exact(df).first()["auc"] == 0.5
+
+
 def test_auc_single_class_is_null(spark):
     df = spark.createDataFrame([(1.0, 0.3), (1.0, 0.7)], "is_fraud double, prob_1 double")
     assert ev.auc_exact(df).first()["auc"] is None
