@@ -17,6 +17,7 @@ from pyspark.sql.types import NumericType, StringType
 
 from ..constants import HISTOGRAM_BINS, LABEL_COLUMN, PREDICTION_COLUMN, SCORE_COLUMN, WEIGHT_COLUMN
 from ..functions.columns import label_int_of
+from ..session import materialize
 
 
 def class_counts(df: DataFrame, label_col: str = LABEL_COLUMN) -> DataFrame:
@@ -121,11 +122,20 @@ def prediction_distribution(df: DataFrame, prediction_col: str = PREDICTION_COLU
     return df.groupBy(prediction_col).agg(F.count(F.lit(1)).alias("count"))
 
 
-def histogram_range(df: DataFrame, col: str = SCORE_COLUMN) -> tuple[float, float]:
-    """Range numpy's ``histogram`` would use: [min, max], widened by 0.5 when they meet."""
+def value_counts(df: DataFrame, col: str = SCORE_COLUMN) -> DataFrame:
+    """Rows per distinct finite value of ``col`` (``v, n``); nulls and NaN left out.
+
+    A grouped count with map-side partial aggregation, so tied scores collapse
+    before the shuffle."""
     v = F.col(col).try_cast("double")
-    finite = F.when(~F.isnan(v), v)
-    row = df.agg(F.min(finite).alias("lo"), F.max(finite).alias("hi")).first()
+    return (df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+            .groupBy("v").agg(F.count(F.lit(1)).alias("n")))
+
+
+def histogram_range(values: DataFrame) -> tuple[float, float]:
+    """Range numpy's ``histogram`` would use for a :func:`value_counts` table:
+    [min, max], widened by 0.5 when they meet, [0, 1] when empty."""
+    row = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()
     lo, hi = row["lo"], row["hi"]
     if lo is None:
         return 0.0, 1.0
@@ -140,26 +150,31 @@ def probability_histogram(df: DataFrame, col: str = SCORE_COLUMN,
 
     Bin edges are ``lo + i * step`` with the last edge ``hi``; a value goes to the
     bin whose edges hold it, the last bin closed -- the rule of ``numpy.histogram``.
-    The bin index is a column expression; counting is a grouped aggregate, so
-    no value leaves the executors.  Null and NaN values are not counted.
+    Null and NaN values are not counted.
+
+    The input is read once: its distinct values and their counts are materialised
+    (a partial aggregate, so ties collapse early), then the range and the bin
+    counts both come from that table.  The bin index is a column expression and
+    the counts a grouped sum, so no value leaves the executors.
     """
-    lo, hi = histogram_range(df, col)
+    values = materialize(value_counts(df, col))
+    lo, hi = histogram_range(values)
     step = (hi - lo) / bins
 
     def edge(i: Column) -> Column:
         return F.when(i >= F.lit(bins), F.lit(hi)).otherwise(i.cast("double") * F.lit(step)
                                                                + F.lit(lo))
 
-    v = F.col(col).try_cast("double")
+    v = F.col("v")
     guess = F.least(F.greatest(
         F.floor((v - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(bins))), F.lit(0)),
         F.lit(bins - 1))
     fixed = (F.when(v < edge(guess), guess - 1)
              .when((v >= edge(guess + 1)) & (guess != F.lit(bins - 1)), guess + 1)
              .otherwise(guess))
-    counts = (df.where(v.isNotNull() & ~F.isnan(v) & (v >= F.lit(lo)) & (v <= F.lit(hi)))
-              .select(fixed.cast("int").alias("bin"))
-              .groupBy("bin").agg(F.count(F.lit(1)).alias("count")))
+    counts = (values.where((v >= F.lit(lo)) & (v <= F.lit(hi)))
+              .select(fixed.cast("int").alias("bin"), "n")
+              .groupBy("bin").agg(F.sum("n").alias("count")))
     spark = df.sparkSession
     all_bins = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
     b = F.col("bin")

@@ -138,8 +138,8 @@ class EvaluationResult:
 def evaluation(scored: DataFrame, labels: DataFrame) -> EvaluationResult:
     """Q7 core: J1 -> A6 -> A7, and A8 over the joined probabilities.
 
-    The joined table feeds three jobs (metrics, histogram range, histogram), so it
-    is materialised once."""
+    The joined table (read from two CSV files and joined) feeds two jobs -- the
+    metrics and the histogram's value counts -- so it is materialised once."""
     joined = materialize(ev.join_truth(
         scored.select("transaction_id", "prob_1", "prediction"), labels))
     return EvaluationResult(ev.evaluate_predictions(joined),
