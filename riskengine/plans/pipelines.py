@@ -47,10 +47,11 @@ def feature_pipeline(spark: SparkSession, input_path: str, output_path: str,
 
 def split_pipeline(spark: SparkSession, input_path: str, train_path: str,
                    inference_path: str, weights=SPLIT_WEIGHTS, seed: int = SPLIT_SEED,
-                   stable_key: str | None = None) -> tuple[str, str]:
+                   stable_key: str | None = None,
+                   schema=io.TRANSACTION_SCHEMA) -> tuple[str, str]:
     """Q2: raw CSV -> two CSVs.  ``stable_key=None`` is the reference's random split;
     a key column gives the layout-independent hash split (X2)."""
-    raw = io.read_transactions(spark, input_path)
+    raw = io.read_transactions(spark, input_path, schema)
     if stable_key is None:
         train, inference = sampling.random_split(raw, weights, seed)
     else:
