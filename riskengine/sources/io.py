@@ -46,9 +46,10 @@ TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 def read_transactions(spark: SparkSession, path: str, schema: StructType | None = TRANSACTION_SCHEMA,
                       infer_schema: bool = False) -> DataFrame:
     """CSV with a header.  An explicit schema by default: inference costs a full
-    extra scan and turns all-digit text ids into numbers."""
-    reader = spark.read.option("header", "true").option(
-        "timestampNTZFormat", TIMESTAMP_TEXT).option("timestampFormat", TIMESTAMP_TEXT)
+    extra scan and turns all-digit text ids into numbers.  Timestamps are read by
+    Spark's default parser, which takes both ``yyyy-MM-dd HH:mm:ss`` and the ISO
+    form with microseconds that :func:`write_csv` produces."""
+    reader = spark.read.option("header", "true")
     if schema is not None:
         reader = reader.schema(schema)
     elif infer_schema:

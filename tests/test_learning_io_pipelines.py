@@ -87,6 +87,15 @@ def test_raw_csv_layout_to_features(spark):
     assert {r["is_fraud"]: r["class_weight"] for r in weighted.collect()} == {0: 1.0, 1: 1.0}
 
 
+def test_plain_timestamp_text_reads_with_the_typed_schema(spark):
+    path = tempfile.mkdtemp(prefix="riskengine-csv-") + "/plain.csv"
+    with open(path, "w") as fh:
+        fh.write("transaction_id,customer_id,timestamp,amount,merchant_category,is_fraud\n"
+                 "1,7,2024-01-01 10:00:00,12.5,grocery,false\n")
+    row = io.read_transactions(spark, path).first()
+    assert row["timestamp"] == dt.datetime(2024, 1, 1, 10, 0, 0)
+
+
 def test_read_with_casts_malformed_is_null(spark):
     path = tempfile.mkdtemp(prefix="riskengine-csv-") + "/s"
     spark.createDataFrame([("1", "0.5"), ("2", "oops")], "transaction_id string, prob_1 string") \
