@@ -58,3 +58,20 @@ def test_exact_auc_equals_pair_count(spark, pairs, per_bucket):
     got = ev.auc_exact(df, rows_per_bucket=per_bucket).first()["auc"]
     want = brute_auc(pairs)
     assert (got is None and want is None) or abs(got - want) < 1e-12
+
+
+@SETTINGS
+@given(values=st.lists(st.one_of(st.floats(0, 1, allow_nan=False),
+                                 st.integers(0, 20).map(lambda k: k / 20)),
+                       min_size=1, max_size=60),
+       bins=st.sampled_from([1, 3, 20]))
+def test_histogram_equals_numpy(spark, values, bins):
+    import numpy as np
+    from riskengine.operators import aggregates as agg
+    df = spark.createDataFrame([(v,) for v in values], "prob_1 double")
+    got = sorted((r["bin"], r["lower"], r["upper"], r["count"])
+                 for r in agg.probability_histogram(df, bins=bins).collect())
+    counts, edges = np.histogram(values, bins=bins)
+    assert [g[3] for g in got] == counts.tolist()
+    assert [g[1] for g in got] == edges[:-1].tolist()
+    assert [g[2] for g in got] == edges[1:].tolist()
