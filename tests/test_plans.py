@@ -49,3 +49,13 @@ def test_label_filter_reaches_the_scan(spark):
     plan = _plan(REGISTRY["label_slice"](spark, SF_SMALL))
     scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
     assert "PushedFilters: [IsNotNull(value), GreaterThan(value,150.0)]" in scan
+
+
+def test_queries_run_over_whole_tables():
+    """Only the top-k report limits its rows; no SQL twin samples or caps its input."""
+    import re
+
+    import __spark_entry__ as entry
+    for name, sql in entry.oracle_sql().items():
+        capped = re.search(r"\bLIMIT\b|\bUSING\s+SAMPLE\b|\bTABLESAMPLE\b", sql, re.I)
+        assert not capped or name == "top_risk", name
