@@ -30,3 +30,25 @@ def test_materialize_cuts_lineage(spark):
 def test_auc_of_empty_input_is_null(spark):
     empty = spark.createDataFrame([], "is_fraud double, prob_1 double")
     assert ev.auc_exact(empty).first()["auc"] is None
+
+
+def test_configured_checkpoint_dir_is_used(tmp_path):
+    """A session started with ``spark.checkpoint.dir`` keeps it (a fresh JVM is needed)."""
+    import subprocess
+    import sys
+    import textwrap
+    root = __import__("os").path.dirname(__import__("os").path.dirname(__file__))
+    code = textwrap.dedent(f"""
+        import sys
+        sys.path.insert(0, {root!r})
+        from pyspark.sql import SparkSession
+        from riskengine.session import ensure_checkpoint_dir
+        spark = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+                 .config("spark.checkpoint.dir", {str(tmp_path)!r}).getOrCreate())
+        print("DIR=" + ensure_checkpoint_dir(spark))
+        spark.stop()
+    """)
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True,
+                         timeout=300).stdout
+    used = [line for line in out.splitlines() if line.startswith("DIR=")][0][4:]
+    assert used.replace("file:", "").startswith(str(tmp_path))
