@@ -283,3 +283,8 @@ ORACLE["evaluation_histogram"] = _histogram_sql(_FILES_JOINED)
 
 ORACLE["stream_prediction_counts"] = f"""WITH {SQL_SCORED}
 SELECT prediction, count(*) AS count FROM scored GROUP BY prediction"""
+
+# --- names from the survey's plan ---------------------------------------------------
+
+ORACLE["velocity_bucketed"] = ORACLE["velocity_features"]
+ORACLE["feature_round_trip"] = ORACLE["feature_engineering"]

@@ -55,6 +55,13 @@ def q_velocity_features(spark, sf_dir):
     return feat.velocity_features(td.transactions(spark, sf_dir))
 
 
+@register("velocity_bucketed")
+def q_velocity_bucketed(spark, sf_dir):
+    """W1 + W2 through the bucketed plan, named as in the survey's plan; checked
+    against the SQL of the plain window."""
+    return feat.velocity_features(td.transactions(spark, sf_dir), method="bucketed")
+
+
 @register("category_profile")
 def q_category_profile(spark, sf_dir):
     return feat.merchant_category_profiling(td.transactions(spark, sf_dir))
@@ -243,6 +250,14 @@ def q_features_via_files(spark, sf_dir):
     return io.read_features(spark, out_path)
 
 
+@register("feature_round_trip")
+def q_feature_round_trip(spark, sf_dir):
+    """S5 then S3: the feature table written as parquet and read back."""
+    path = scratch_path(spark, "features")
+    io.write_features(feat.full_feature_engineering(td.transactions(spark, sf_dir)), path)
+    return io.read_features(spark, path)
+
+
 @register("split_via_files")
 def q_split_via_files(spark, sf_dir):
     """Q2 with the stable split: CSV -> two CSVs, read back and tagged."""
