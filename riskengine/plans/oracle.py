@@ -150,6 +150,16 @@ ORACLE["describe"] = f"""WITH {SQL_TRANSACTIONS}
                     + [_describe_part('merchant_category', text=True)])}"""
 
 
+def _describe_features_part(c: str, text: bool = False) -> str:
+    return _describe_part(c, text).replace("FROM transactions", "FROM features")
+
+
+ORACLE["describe_features"] = f"""{_FEATURES_SQL}
+{' UNION ALL '.join([_describe_features_part(c) for c in (
+    'transaction_velocity', 'amount_velocity', 'merchant_category_count', 'hour_of_day',
+    'day_of_week')] + [_describe_features_part('merchant_category', text=True)])}"""
+
+
 def _distribution_part(c: str) -> str:
     x = f"CAST({c} AS DOUBLE)"
     return (f"SELECT '{c}' AS feature, round(avg({x}), 6) AS mean, "

@@ -163,6 +163,13 @@ def q_describe(spark, sf_dir):
                         digits=6)
 
 
+@register("describe_features")
+def q_describe_features(spark, sf_dir):
+    """A3 on the feature table (as the training and scoring steps inspect it)."""
+    features = feat.full_feature_engineering(td.transactions(spark, sf_dir))
+    return agg.describe(features, list(FEATURE_COLUMNS) + ["merchant_category"], digits=6)
+
+
 @register("feature_distribution")
 def q_feature_distribution(spark, sf_dir):
     features = feat.full_feature_engineering(td.transactions(spark, sf_dir))
