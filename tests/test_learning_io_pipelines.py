@@ -87,6 +87,19 @@ def test_raw_csv_layout_to_features(spark):
     assert {r["is_fraud"]: r["class_weight"] for r in weighted.collect()} == {0: 1.0, 1: 1.0}
 
 
+def test_schema_inference_loses_text_ids(spark):
+    """Trap 1: inference reads all-digit ids as numbers; the explicit raw schema keeps text."""
+    path = tempfile.mkdtemp(prefix="riskengine-csv-") + "/ids.csv"
+    with open(path, "w") as fh:
+        fh.write("transaction_id,customer_id,timestamp,amount,merchant_category,"
+                 "merchant_country,card_present,is_fraud\n"
+                 "000000000042,00000007,2024-01-01 10:00:00,1.0,a,US,true,false\n")
+    inferred = io.read_transactions(spark, path, schema=None, infer_schema=True).first()
+    explicit = io.read_transactions(spark, path, schema=io.RAW_CSV_SCHEMA).first()
+    assert inferred["transaction_id"] == 42
+    assert explicit["transaction_id"] == "000000000042" and explicit["customer_id"] == "00000007"
+
+
 def test_plain_timestamp_text_reads_with_the_typed_schema(spark):
     path = tempfile.mkdtemp(prefix="riskengine-csv-") + "/plain.csv"
     with open(path, "w") as fh:
