@@ -148,3 +148,16 @@ def test_a_third_of_rows_are_copies_of_one_row(spark):
     copy = [r for r in got.collect() if r["transaction_id"] == 999999]
     assert len(copy) == 500 and len({tuple(r) for r in copy}) == 1
     assert copy[0]["transaction_velocity"] >= 500
+
+
+def test_pre_1970_and_far_apart_times(spark):
+    """Negative epoch seconds floor into the right week; distant years never mix."""
+    rows = [(1, 1, -W - 5, 1.0, "a"), (2, 1, -3, 2.0, "a"), (3, 1, 0, 3.0, "a"),
+            (4, 1, W - 2, 4.0, "b"), (5, 1, 40 * 365 * 86400, 5.0, "b"),
+            (6, 2, -2 * W, 6.0, "a"), (7, 2, -2 * W + 1, 7.0, "a")]
+    df = frame(spark, rows)
+    got, ref = both_ways(df, feat.full_feature_engineering)
+    assert rows_of(got) == rows_of(ref)
+    v = {r["transaction_id"]: r["transaction_velocity"] for r in got.collect()}
+    # row 1 (-W-5) is just outside row 2's frame [-W-3, -3]; row 2 is outside row 4's
+    assert (v[1], v[2], v[3], v[4], v[5], v[6], v[7]) == (1, 1, 2, 2, 1, 1, 2)
