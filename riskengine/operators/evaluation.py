@@ -84,10 +84,11 @@ def auc_exact(df: DataFrame, label_col: str = LABEL_COLUMN, score_col: str = SCO
     trapezoid area of the un-binned ROC curve.
 
     The running count ``neg_below`` needs the scores in order, but never in one
-    task: distinct scores are cut into buckets of about ``rows_per_bucket`` by
-    approximate quantiles (so no bucket is hot, whatever the score skew); a
-    running sum over the bucket totals (one row per bucket) gives each bucket's
-    offset; a window inside each bucket gives the rest.  Sums are exact decimals,
+    task: distinct scores are cut into buckets of about ``rows_per_bucket`` (at
+    least sqrt(n), so both levels stay within ~sqrt(n) rows) by approximate
+    quantiles, so no bucket is hot whatever the score skew; a running sum over
+    the bucket totals (one row per bucket) gives each bucket's offset; a window
+    inside each bucket gives the rest.  Sums are exact decimals,
     so the answer does not depend on partitioning.
     """
     # The distinct-score table feeds a count, a quantile pass and the final plan:
@@ -99,7 +100,10 @@ def auc_exact(df: DataFrame, label_col: str = LABEL_COLUMN, score_col: str = SCO
         below = Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
         ranked = counts.withColumn("neg_below", F.coalesce(F.sum("neg").over(below), F.lit(0)))
     else:
-        n_buckets = math.ceil(n_scores / rows_per_bucket)
+        # Two levels, balanced: at least sqrt(n) scores per bucket keeps both the
+        # per-bucket window and the running sum over bucket totals within ~sqrt(n) rows.
+        per_bucket = max(rows_per_bucket, math.isqrt(n_scores - 1) + 1)
+        n_buckets = math.ceil(n_scores / per_bucket)
         probs = [i / n_buckets for i in range(1, n_buckets)]
         cuts = counts.approxQuantile("score", probs, 1.0 / (4 * n_buckets))
         splits = [-math.inf] + sorted(set(cuts)) + [math.inf]
