@@ -95,14 +95,14 @@ def auc_exact(df: DataFrame, label_col: str = LABEL_COLUMN, score_col: str = SCO
     # materialise it once so the upstream (typically a large join) runs once.
     counts = materialize(score_label_counts(df, label_col, score_col))
     n_scores = counts.count()
-    if n_scores <= rows_per_bucket:
-        # One bucket of at most ``rows_per_bucket`` rows: a plain running sum.
+    # Two levels, balanced: at least sqrt(n) scores per bucket keeps both the
+    # per-bucket window and the running sum over bucket totals within ~sqrt(n) rows.
+    per_bucket = max(rows_per_bucket, math.isqrt(max(n_scores - 1, 0)) + 1)
+    if n_scores <= per_bucket:
+        # One bucket of at most ``per_bucket`` rows: a plain running sum.
         below = Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
         ranked = counts.withColumn("neg_below", F.coalesce(F.sum("neg").over(below), F.lit(0)))
     else:
-        # Two levels, balanced: at least sqrt(n) scores per bucket keeps both the
-        # per-bucket window and the running sum over bucket totals within ~sqrt(n) rows.
-        per_bucket = max(rows_per_bucket, math.isqrt(n_scores - 1) + 1)
         n_buckets = math.ceil(n_scores / per_bucket)
         probs = [i / n_buckets for i in range(1, n_buckets)]
         cuts = counts.approxQuantile("score", probs, 1.0 / (4 * n_buckets))

@@ -177,6 +177,12 @@ def test_auc_all_scores_equal_is_half(spark):
     assert ev.auc_exact(df).first()["auc"] == 0.5
 
 
+def test_auc_few_scores_with_tiny_buckets(spark):
+    """Two distinct scores and one score per bucket asked for: one bucket suffices."""
+    df = spark.createDataFrame([(1.0, 0.9), (0.0, 0.1), (0.0, 0.9)], "is_fraud double, prob_1 double")
+    assert ev.auc_exact(df, rows_per_bucket=1).first()["auc"] == 0.75
+
+
 def test_auc_single_class_is_null(spark):
     df = spark.createDataFrame([(1.0, 0.3), (1.0, 0.7)], "is_fraud double, prob_1 double")
     assert ev.auc_exact(df).first()["auc"] is None

@@ -13,7 +13,7 @@ from conftest import rows_of
 
 W = 604800
 EPOCH = dt.datetime(1970, 1, 1)
-SETTINGS = settings(max_examples=20, deadline=None,
+SETTINGS = settings(max_examples=int(__import__("os").environ.get("PROPERTY_EXAMPLES", "20")), deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture,
                                            HealthCheck.too_slow])
 
