@@ -80,6 +80,10 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None,
     aggregate job.  Defaults to every numeric and string column.
     """
     names = _described_columns(df, cols)
+    if not names:
+        return df.sparkSession.createDataFrame(
+            [], "column string, count bigint, mean double, stddev double, min double, "
+                "max double, min_text string, max_text string")
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     aggs, rows = [], []
     null_d, null_s = F.lit(None).cast("double"), F.lit(None).cast("string")
@@ -103,6 +107,9 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None,
 def feature_distribution(df: DataFrame, feature_columns: Sequence[str],
                          digits: int | None = None) -> DataFrame:
     """A4: ``feature, mean, stddev, count`` per feature, all features in one job."""
+    if not feature_columns:
+        return df.sparkSession.createDataFrame(
+            [], "feature string, mean double, stddev double, count bigint")
     aggs = []
     for i, c in enumerate(feature_columns):
         x = F.col(c).cast("double")

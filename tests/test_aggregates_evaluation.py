@@ -65,6 +65,12 @@ def test_describe_numeric_and_text_columns(spark):
     assert rows["cat"]["mean"] is None and rows["n"]["min_text"] is None
 
 
+def test_summaries_of_no_columns_are_empty(spark):
+    df = spark.createDataFrame([(True,)], "flag boolean")
+    assert agg.describe(df).count() == 0
+    assert agg.feature_distribution(df, []).count() == 0
+
+
 def test_prediction_distribution(spark):
     # the reference's fixture: three 0.0, two 1.0
     df = spark.createDataFrame([(0.0,), (0.0,), (0.0,), (1.0,), (1.0,)], "prediction double")
