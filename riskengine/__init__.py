@@ -6,7 +6,7 @@ survey's operator inventory to functions and registered queries.
 
 from .operators.aggregates import (add_class_weight, class_counts, class_weights, describe,
                                    feature_distribution, prediction_distribution,
-                                   probability_histogram)
+                                   probability_histogram, value_counts)
 from .operators.evaluation import (auc_binned, auc_exact, classification_metrics,
                                    confusion_matrix, evaluate_predictions, join_truth, top_risk)
 from .operators.features import (amount_velocity, full_feature_engineering,
@@ -15,7 +15,7 @@ from .operators.features import (amount_velocity, full_feature_engineering,
 from .operators.learning import (auc_model, fit_logistic, prepare_training, score,
                                  train_with_cv)
 from .operators.prepare import (assemble_features, cast_columns, flatten_probability,
-                                label_to_double, label_to_int, preprocess)
+                                label_slice, label_to_double, label_to_int, preprocess)
 from .operators.sampling import random_split, stable_split
 
 __all__ = [
@@ -23,8 +23,8 @@ __all__ = [
     "auc_model", "cast_columns", "class_counts", "class_weights", "classification_metrics",
     "confusion_matrix", "describe", "evaluate_predictions", "feature_distribution",
     "fit_logistic", "flatten_probability", "full_feature_engineering", "join_truth",
-    "label_to_double", "label_to_int", "merchant_category_profiling", "prediction_distribution",
+    "label_slice", "label_to_double", "label_to_int", "merchant_category_profiling", "prediction_distribution",
     "prepare_training", "preprocess", "probability_histogram", "random_split", "score",
     "stable_split", "time_based_patterns", "top_risk", "train_with_cv", "transaction_velocity",
-    "velocity_features",
+    "value_counts", "velocity_features",
 ]
