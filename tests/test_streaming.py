@@ -22,7 +22,7 @@ def test_stream_scoring_matches_batch(spark):
                                           max_files_per_trigger=1)
     q = stream.start_file_sink(stream.score_stream(model, incoming), f"{base}/out",
                                checkpoint_location=f"{base}/ckpt")
-    q.awaitTermination(120)
+    stream.run_to_end(q, 600)
     streamed = spark.read.parquet(f"{base}/out")
     batch = ml.score(model, prep.assemble_features(features))
     assert rows_of(streamed) == rows_of(batch)
@@ -37,7 +37,7 @@ def test_running_prediction_counts(spark):
     q = (stream.prediction_counts_stream(incoming).writeStream.outputMode("complete")
          .format("memory").queryName("prediction_counts")
          .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
-    q.awaitTermination(120)
+    stream.run_to_end(q, 600)
     got = {r["prediction"]: r["count"] for r in spark.table("prediction_counts").collect()}
     want = {r["prediction"]: r["count"] for r in
             scored.groupBy("prediction").count().collect()}
