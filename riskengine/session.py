@@ -23,6 +23,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.default.parallelism", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # Small data on one machine: AQE may merge shuffle partitions, but never below
+        # the core count, so every stage keeps all cores busy.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionNum",
+                str(shuffle_partitions))
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
