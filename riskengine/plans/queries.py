@@ -41,11 +41,13 @@ def register(name: str):
 
 @register("transaction_velocity")
 def q_transaction_velocity(spark, sf_dir):
+    """Count of ids per customer in the trailing 7 days."""
     return feat.transaction_velocity(td.transactions(spark, sf_dir))
 
 
 @register("amount_velocity")
 def q_amount_velocity(spark, sf_dir):
+    """Sum of amounts per customer in the trailing 7 days."""
     return feat.amount_velocity(td.transactions(spark, sf_dir))
 
 
@@ -64,16 +66,19 @@ def q_velocity_bucketed(spark, sf_dir):
 
 @register("category_profile")
 def q_category_profile(spark, sf_dir):
+    """Transactions per (customer, category), on every row."""
     return feat.merchant_category_profiling(td.transactions(spark, sf_dir))
 
 
 @register("time_patterns")
 def q_time_patterns(spark, sf_dir):
+    """Hour of day and day of week (1 = Sunday)."""
     return feat.time_based_patterns(td.transactions(spark, sf_dir))
 
 
 @register("feature_engineering")
 def q_feature_engineering(spark, sf_dir):
+    """All features in the reference's order (the flagship query)."""
     return feat.full_feature_engineering(td.transactions(spark, sf_dir))
 
 
@@ -90,11 +95,13 @@ def q_preprocess(spark, sf_dir):
 
 @register("label_to_int")
 def q_label_to_int(spark, sf_dir):
+    """The label as an int."""
     return prep.label_to_int(td.transactions(spark, sf_dir))
 
 
 @register("label_to_double")
 def q_label_to_double(spark, sf_dir):
+    """The label as 1.0 / 0.0 from its text form."""
     return prep.label_to_double(td.transactions(spark, sf_dir)).select(
         "transaction_id", "is_fraud")
 
@@ -109,12 +116,14 @@ def q_label_slice(spark, sf_dir):
 
 @register("stable_split")
 def q_stable_split(spark, sf_dir):
+    """The layout-independent 80/20 split by transaction, as a label column."""
     return sampling.stable_split(td.transactions(spark, sf_dir), "transaction_id", 80,
                                  SPLIT_SEED, label_col="split")
 
 
 @register("stable_split_by_customer")
 def q_stable_split_by_customer(spark, sf_dir):
+    """X2 keyed by customer: each customer's history on one side."""
     return sampling.stable_split(td.transactions(spark, sf_dir), "customer_id", 80,
                                  SPLIT_SEED, label_col="split")
 
@@ -145,11 +154,13 @@ def q_random_split(spark, sf_dir):
 
 @register("class_counts")
 def q_class_counts(spark, sf_dir):
+    """A1: total, positive and negative rows in one job."""
     return agg.class_counts(td.transactions(spark, sf_dir))
 
 
 @register("class_weight")
 def q_class_weight(spark, sf_dir):
+    """A2: the per-row class weight total / (2 * n_class)."""
     tx = prep.label_to_int(td.transactions(spark, sf_dir))
     return agg.add_class_weight(tx).select("transaction_id", "is_fraud", "class_weight")
 
@@ -158,6 +169,7 @@ def q_class_weight(spark, sf_dir):
 
 @register("describe")
 def q_describe(spark, sf_dir):
+    """A3: count, mean, stddev, min, max of the raw columns (text min/max too)."""
     return agg.describe(td.transactions(spark, sf_dir),
                         ["transaction_id", "customer_id", "amount", "merchant_category"],
                         digits=6)
@@ -172,6 +184,7 @@ def q_describe_features(spark, sf_dir):
 
 @register("feature_distribution")
 def q_feature_distribution(spark, sf_dir):
+    """A4: mean, stddev and count of the five model features."""
     features = feat.full_feature_engineering(td.transactions(spark, sf_dir))
     return agg.feature_distribution(features, list(FEATURE_COLUMNS), digits=6)
 
@@ -183,11 +196,13 @@ def _joined(spark, sf_dir) -> DataFrame:
 
 @register("prediction_distribution")
 def q_prediction_distribution(spark, sf_dir):
+    """A5: rows per predicted class of the joined scores."""
     return agg.prediction_distribution(_joined(spark, sf_dir))
 
 
 @register("probability_histogram")
 def q_probability_histogram(spark, sf_dir):
+    """The 20-bin histogram of the joined probabilities."""
     return agg.probability_histogram(_joined(spark, sf_dir), "prob_1")
 
 
@@ -195,21 +210,25 @@ def q_probability_histogram(spark, sf_dir):
 
 @register("join_truth")
 def q_join_truth(spark, sf_dir):
+    """Scores joined with the truth on the transaction id."""
     return _joined(spark, sf_dir)
 
 
 @register("confusion_matrix")
 def q_confusion_matrix(spark, sf_dir):
+    """Tp, fp, tn, fn of the joined scores."""
     return ev.confusion_matrix(_joined(spark, sf_dir))
 
 
 @register("classification_metrics")
 def q_classification_metrics(spark, sf_dir):
+    """A6 + A7: confusion counts with accuracy, precision, recall, F1."""
     return ev.evaluate_predictions(_joined(spark, sf_dir))
 
 
 @register("auc_exact")
 def q_auc_exact(spark, sf_dir):
+    """Exact area under ROC of the joined scores."""
     return ev.auc_exact(_joined(spark, sf_dir))
 
 
@@ -226,6 +245,7 @@ def q_auc_binned(spark, sf_dir):
 
 @register("top_risk")
 def q_top_risk(spark, sf_dir):
+    """O1: the 100 highest-risk transactions."""
     return ev.top_risk(td.scored(spark, sf_dir), 100)
 
 
