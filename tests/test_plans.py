@@ -59,3 +59,31 @@ def test_queries_run_over_whole_tables():
     for name, sql in entry.oracle_sql().items():
         capped = re.search(r"\bLIMIT\b|\bUSING\s+SAMPLE\b|\bTABLESAMPLE\b", sql, re.I)
         assert not capped or name == "top_risk", name
+
+
+def test_aqe_splits_the_hot_category_join(spark):
+    """With one customer holding a third of the rows, AQE splits the skewed join
+    partitions (thresholds scaled down to the test data size)."""
+    from riskengine.operators.features import full_feature_engineering
+    from riskengine.sources.testdata import hot_customer_transactions
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.shuffle.partitions": "64"}
+    saved = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = full_feature_engineering(hot_customer_transactions(spark, "/root/testdata/sf0.01"))
+        df.collect()
+        final = _plan(df).split("== Initial Plan ==")[0]
+        assert "SortMergeJoin(skew=true)" in final
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
