@@ -30,7 +30,9 @@ data would hold a third of the data in one task.  Instead:
    side stays correct.
 
 Category counts are a grouped count joined back; AQE turns that join into a
-broadcast when the measured aggregate is under the broadcast threshold.
+broadcast when the measured aggregate is under the broadcast threshold, and
+otherwise splits the partitions of a hot (customer, category) key -- the answer
+side has one row per key, so every split needs just that row.
 
 ``method="direct"`` runs the reference's plain window (used in tests as the
 equivalence oracle).
