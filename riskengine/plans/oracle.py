@@ -298,3 +298,22 @@ SELECT prediction, count(*) AS count FROM scored GROUP BY prediction"""
 
 ORACLE["velocity_bucketed"] = ORACLE["velocity_features"]
 ORACLE["feature_round_trip"] = ORACLE["feature_engineering"]
+
+# --- the deterministic parts of the learning queries ---------------------------------
+
+_TRAIN_SIDE = f"""WITH {SQL_TRANSACTIONS},
+train AS (SELECT * FROM transactions WHERE {_in_first_side('transaction_id')}),
+c AS (SELECT count(*) AS total,
+             count(*) FILTER (WHERE CAST(is_fraud AS INTEGER) = 1) AS positive,
+             count(*) FILTER (WHERE CAST(is_fraud AS INTEGER) = 0) AS negative FROM train)"""
+
+ORACLE["training_weights"] = f"""{_TRAIN_SIDE}
+SELECT transaction_id, CAST(is_fraud AS INTEGER) AS is_fraud,
+       CASE WHEN CAST(is_fraud AS INTEGER) = 1
+            THEN CAST(total AS DOUBLE) / CAST(2 * positive AS DOUBLE)
+            ELSE CAST(total AS DOUBLE) / CAST(2 * negative AS DOUBLE) END AS class_weight
+FROM train, c"""
+
+ORACLE["scored_rows"] = f"""WITH {SQL_TRANSACTIONS}
+SELECT transaction_id, customer_id, true AS has_prediction
+FROM transactions WHERE NOT {_in_first_side('transaction_id')}"""

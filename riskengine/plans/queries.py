@@ -395,6 +395,23 @@ def q_scoring_via_files(spark, sf_dir):
     return io.read_with_casts(spark, out_path, pl.SCORED_CASTS)
 
 
+@register("training_weights")
+def q_training_weights(spark, sf_dir):
+    """L1 + A2 on the training side: the int label and class weight of every training row."""
+    train, _ = _train_and_inference(spark, sf_dir)
+    return pl.training_frame(train).select("transaction_id", "is_fraud", "class_weight")
+
+
+@register("scored_rows")
+def q_scored_rows(spark, sf_dir):
+    """L4 keeps every inference row exactly once: the scored ids, with a valid prediction."""
+    train, inference = _train_and_inference(spark, sf_dir)
+    model = ml.fit_logistic(pl.training_frame(train), reg_param=REG_PARAMS[0])
+    scored = ml.score(model, prep.assemble_features(inference))
+    return scored.select("transaction_id", "customer_id",
+                         F.col("prediction").isin(0.0, 1.0).alias("has_prediction"))
+
+
 @register("model_auc")
 def q_model_auc(spark, sf_dir):
     """Model AUC on its training rows and on the held-out rows (2 rows)."""
