@@ -9,7 +9,7 @@ Rules that keep the two engines bit-equal:
 from __future__ import annotations
 
 from ..constants import VELOCITY_WINDOW_SECONDS as W
-from ..sources.testdata import SQL_SCORED, SQL_TRANSACTIONS, SQL_TRUTH  # noqa: F401
+from ..sources.testdata import SQL_SCORED, SQL_TRANSACTIONS, SQL_TRUTH
 
 ORACLE: dict[str, str] = {}
 
@@ -20,6 +20,8 @@ _FRAME = (f"PARTITION BY customer_id ORDER BY timestamp_seconds "
 _WITH_SECS = f"""WITH {SQL_TRANSACTIONS},
 with_secs AS (SELECT *, {_SECS} AS timestamp_seconds FROM transactions)"""
 
+# --- window features -----------------------------------------------------------
+
 ORACLE["transaction_velocity"] = f"""{_WITH_SECS}
 SELECT {_RAW}, timestamp_seconds,
        COUNT(transaction_id) OVER ({_FRAME}) AS transaction_velocity
