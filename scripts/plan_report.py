@@ -1,6 +1,7 @@
 """Summarise the executed physical plan of every registered query (after AQE).
 
-    python scripts/plan_report.py [sf_dir] > PLANS.md
+    python scripts/plan_report.py [sf_dir]            # table to stdout
+    python scripts/plan_report.py [sf_dir] --write    # refresh PLANS.md, keep its notes
 
 For each query: shuffles (hash / single-partition / range), broadcasts, join
 strategies, windows, and the columns each parquet scan reads.  Each query's
@@ -45,18 +46,35 @@ def summarise(plan: str) -> dict:
     return {"ops": ops, "schemas": schemas}
 
 
+NOTES_START = "## Steps that run before the returned plan"
+
+
 def main(argv):
-    sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
+    write = "--write" in argv
+    args = [a for a in argv[1:] if a != "--write"]
+    sf_dir = args[0] if args else "/root/testdata/sf0.1"
+    plans_md = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+                            "PLANS.md")
+    notes = ""
+    if write and os.path.exists(plans_md):
+        text = open(plans_md).read()
+        notes = text[text.index(NOTES_START):] if NOTES_START in text else ""
+    lines = []
+    print_ = print
+    if write:
+        def print_(*a, **kw):  # noqa: ANN001 -- collect instead of printing
+            lines.append(" ".join(str(x) for x in a) + kw.get("end", "\n"))
     spark = local_session(8)
-    print(f"# Executed plans at `{os.path.basename(sf_dir)}` (local[8], AQE final plans)\n")
-    print("Generated by `scripts/plan_report.py`. Counts are of physical operators in the "
+    print_(f"# Executed plans at `{os.path.basename(sf_dir)}` (local[8], AQE final plans, "
+           "read after collecting each query)\n")
+    print_("Generated by `scripts/plan_report.py`. Counts are of physical operators in the "
           "final plan of the returned DataFrame (jobs run before it -- counts, quantiles, "
           "checkpoints, file writes -- are not included). HashAggregate counts partial and "
           "final steps separately. `sec` includes collecting the rows to the driver (this report "
           "only; the bench uses the `noop` sink).\n")
-    print("| query | sec | shuffles (hash / single / range) | broadcasts | joins | windows "
-          "| scans read |")
-    print("| --- | --- | --- | --- | --- | --- | --- |")
+    print_("| query | sec | shuffles (hash / single / range) | broadcasts | joins | windows "
+           "| scans read |")
+    print_("| --- | --- | --- | --- | --- | --- | --- |")
     for name in REGISTRY:
         df = REGISTRY[name](spark, sf_dir)
         t0 = time.perf_counter()
@@ -71,10 +89,13 @@ def main(argv):
         if o["skew split"]:
             joins += f" ({o['skew split']} skew-split reads)"
         scans = "<br>".join(f"`{x}`" for x in s["schemas"]) or "-"
-        print(f"| `{name}` | {secs:.2f} | {o['hash shuffle']} / {o['single-partition exchange']}"
+        print_(f"| `{name}` | {secs:.2f} | {o['hash shuffle']} / {o['single-partition exchange']}"
               f" / {o['range shuffle']} | {o['broadcast']} | {joins} | {o['Window']} "
               f"| {scans} |")
     spark.stop()
+    if write:
+        with open(plans_md, "w") as fh:
+            fh.write("".join(lines) + ("\n" + notes if notes else ""))
 
 
 if __name__ == "__main__":
