@@ -1,3 +1,21 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+#: Windows of 50 words, brute force; space-separated words numbered from 1.
+REPEATS = r"""
+WITH d AS (SELECT doc_id, [x FOR x IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS w
+           FROM documents),
+h AS (SELECT doc_id, s, md5(array_to_string(w[s:s + 49], ' ')) AS k
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS s FROM d WHERE len(w) >= 50)),
+m AS (SELECT k, min(doc_id) AS m FROM h GROUP BY k),
+gone AS (SELECT DISTINCT h.doc_id, unnest(range(h.s, h.s + 50)) AS i FROM h JOIN m USING (k) WHERE m.m < h.doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+kept AS (SELECT w.doc_id, count(*) AS n, string_agg(w.word, ' ' ORDER BY w.i) AS t
+         FROM words w ANTI JOIN gone g ON w.doc_id = g.doc_id AND w.i = g.i GROUP BY w.doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words,
+       CAST(len(d.w) - coalesce(k.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
+FROM d LEFT JOIN kept k USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op5_substring_dedup": REPEATS,
+}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import simhash, substrings
 from .common import table
 
 
@@ -13,4 +13,9 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup,)}
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words covered by 50-word windows that also start in a document with a smaller id."""
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), length=50)
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op5_substring_dedup)}
