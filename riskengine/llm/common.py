@@ -22,8 +22,8 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Lower-cases and turns every byte outside 0-9, a-z and 0x80-0xFF into a space.
 ALNUM = bytes(c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in LOWER)
 
-#: Java-regex forms of the two kinds of word, for native expressions.
-SPACE_WORD = r"[^\x20\x09-\x0D]+"
+#: What separates the two kinds of word, for native expressions.
+ASCII_SPACE = r"[\x20\x09-\x0D]+"
 NOT_ALNUM = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 MIX = np.uint64(0x9E3779B97F4A7C15)

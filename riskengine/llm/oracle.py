@@ -16,6 +16,28 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words,
 FROM d LEFT JOIN kept k USING (doc_id)
 """
 
+#: Words of documents and items, windows by text, brute force.
+LEAKS = r"""
+WITH lowered AS (SELECT 0 AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+t AS (SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM lowered),
+item AS (SELECT id, w, least(10, len(w)) AS m FROM t WHERE kind = 1 AND len(w) > 0),
+win AS (SELECT DISTINCT id AS item, m, array_to_string(w[s:s + m - 1], ' ') AS k
+        FROM (SELECT id, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM item)),
+sizes AS (SELECT DISTINCT m FROM win),
+place AS (SELECT id, s, m, array_to_string(w[s:s + m - 1], ' ') AS k
+          FROM (SELECT id, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM t, sizes WHERE kind = 0 AND len(w) >= m)),
+hit AS (SELECT place.id, place.s, place.m, win.item FROM place JOIN win USING (m, k)),
+n AS (SELECT id, count(DISTINCT i) AS n FROM (SELECT id, unnest(range(s, s + m)) AS i FROM hit) GROUP BY id),
+items AS (SELECT id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS l
+          FROM (SELECT DISTINCT id, CAST(item AS VARCHAR) AS item FROM hit) GROUP BY id)
+SELECT t.id AS doc_id, CAST(len(t.w) AS BIGINT) AS n_words, CAST(coalesce(n.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(items.l, '')) AS items_sha256,
+       coalesce(n.n, 0) > 0 AS contaminated
+FROM t LEFT JOIN n USING (id) LEFT JOIN items USING (id) WHERE kind = 0
+"""
+
 ORACLE: dict[str, str] = {
+    "op9_decontamination": LEAKS,
     "op5_substring_dedup": REPEATS,
 }

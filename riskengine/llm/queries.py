@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash, substrings
+from . import decontam, mixing, simhash, substrings
 from .common import table
 
 
@@ -18,4 +18,14 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"), length=50)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op5_substring_dedup)}
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to weights 1, 2, 3, ... of their sources, three copies at most."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents inside 10-word windows of benchmark items."""
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), length=10)
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op5_substring_dedup, op6_mixing, op9_decontamination)}
