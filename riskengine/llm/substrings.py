@@ -38,7 +38,7 @@ from .common import MIX, Scratch, mixed, utf8, word_hashes, words
 
 GRAM = 10
 #: Suffixes of one subtree group; beyond that its prefix is extended to the whole window.
-GROUP_SUFFIXES = 200_000
+GROUP_SUFFIXES = 20_000
 #: Words that a task holds while it builds subtrees.
 TREE_WORDS = 1_500_000
 NO_ID = (1 << 63) - 1
