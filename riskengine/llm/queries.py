@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontam, mixing, simhash, substrings
+from . import decontam, langid, mixing, simhash, substrings
 from .common import table
 
 
@@ -13,6 +14,15 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learned from three of four folds of the documents."""
+    docs = table(spark, sf_dir, "documents")
+    fold = langid.fold("doc_id", 4)
+    got = langid.identify(docs, langid.learn(docs.where(fold != 2)))
+    return got.select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"),
+                      F.col("language.lang").alias("lang_pred"), "language.score", "language.ambiguous")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words covered by 50-word windows that also start in a document with a smaller id."""
     return substrings.remove_repeats(table(spark, sf_dir, "documents"), length=50)
@@ -28,4 +38,4 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), length=10)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op5_substring_dedup, op6_mixing, op9_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op3_language_id, op5_substring_dedup, op6_mixing, op9_decontamination)}
