@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, mixing, simhash, substrings
+from . import decontam, langid, mixing, simhash, substrings, toxicity
 from .common import table
 
 
@@ -23,6 +23,15 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("language.lang").alias("lang_pred"), "language.score", "language.ambiguous")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text, learned from labelled rows of two of three folds."""
+    docs, fold = table(spark, sf_dir, "documents"), langid.fold("doc_id", 3)
+    fitted = toxicity.learn(docs.where(fold != 1), table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, *fitted, into="score").select(
+        "doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words covered by 50-word windows that also start in a document with a smaller id."""
     return substrings.remove_repeats(table(spark, sf_dir, "documents"), length=50)
@@ -38,4 +47,5 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), length=10)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op3_language_id, op5_substring_dedup, op6_mixing, op9_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op3_language_id, op4_toxicity,
+                                      op5_substring_dedup, op6_mixing, op9_decontamination)}
