@@ -36,30 +36,39 @@ def alnum_words(text: str) -> Column:
     return F.array_remove(F.split(lower_ascii(F.coalesce(F.col(text).cast("string"), F.lit(""))), NOT_ALNUM), "")
 
 
-def least_grams(words: str, length: int) -> Column:
-    """For each window of ``length`` words the least hash of its k-grams (empty if too short)."""
-    k = min(GRAM, length)
-    w, n = F.col(words), F.size(words)
-    # rolling: one word's hash, then doubled and joined up to k words, position by position
-    pair = lambda x, y, s: F.zip_with(x, F.slice(y, s + 1, F.greatest(F.size(y) - s, F.lit(0))),
-                                      lambda a, b: F.xxhash64(a, b))
-    have, gram, done, part = 1, None, 0, F.transform(w, lambda x: F.xxhash64(x))
+def with_least_grams(df: DataFrame, words: str, length: int, into: str) -> DataFrame:
+    """``df`` with, for each window of ``length`` words, the least hash of its k-grams (none if too short).
+
+    Hashes roll by doubling: of 1, 2, 4, ... words joined up to k, then minima of 1, 2, 4, ...
+    neighbours up to the window.  Each step is a column of its own, so that it is computed once.
+    """
+    columns, k = df.columns, min(GRAM, length)
+
+    def shifted(x, by):
+        return F.slice(x, by + 1, F.greatest(F.size(x) - by, F.lit(0)))
+
+    def step(name, x, y, by, join):
+        nonlocal df
+        df = df.withColumn(name, F.zip_with(F.col(x), shifted(F.col(y), by), join))
+        return name
+
+    df = df.withColumn("_h1", F.transform(words, lambda x: F.xxhash64(x)))
+    part, have, gram, done = "_h1", 1, None, 0
     while True:
         if k & have:
-            gram = part if gram is None else pair(gram, part, done)
+            gram = part if gram is None else step(f"_g{have}", gram, part, done, lambda a, b: F.xxhash64(a, b))
             done += have
         if have * 2 > k:
             break
-        part, have = pair(part, part, have), have * 2
-    least = lambda x, s: F.zip_with(x, F.slice(x, s + 1, F.greatest(F.size(x) - s, F.lit(0))),
-                                    lambda a, b: F.least(a, b))
+        part, have = step(f"_h{2 * have}", part, part, have, lambda a, b: F.xxhash64(a, b)), have * 2
     width, have = length - k + 1, 1
     while have * 2 <= width:
-        gram, have = least(gram, have), have * 2
+        gram, have = step(f"_m{2 * have}", gram, gram, have, lambda a, b: F.least(a, b)), have * 2
     if width > have:
-        gram = least(gram, width - have)
+        gram = step("_m", gram, gram, width - have, lambda a, b: F.least(a, b))
     # entries past the last whole window are cut off
-    return F.slice(gram, 1, F.greatest(n - length + 1, F.lit(0)))
+    whole = F.slice(gram, 1, F.greatest(F.size(words) - length + 1, F.lit(0)))
+    return df.select(*columns, whole.alias(into))
 
 
 def benchmark_windows(items: DataFrame, length: int, id_col: str, text_col: str) -> DataFrame:
@@ -80,12 +89,15 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = 10, id_col: s
                          alnum_words(text_col).alias("w"))
     if not sizes:
         sizes = [length]
-    prints = [F.array_distinct(least_grams("w", m)) for m in sizes]
-    scan = scratch.save(source.select("doc_id", "row", F.size("w").cast("long").alias("n_words"),
-                                      *[p.alias(f"f{m}") for p, m in zip(prints, sizes, strict=True)]))
+    prints = source
+    for m in sizes:
+        prints = with_least_grams(prints, "w", m, f"f{m}")
+    scan = scratch.save(prints.select("doc_id", "row", F.size("w").cast("long").alias("n_words"),
+                                      *[F.array_distinct(f"f{m}").alias(f"f{m}") for m in sizes]))
     known = of_item.select("size", "window").distinct().withColumn("w", F.split("window", " "))
     known = scratch.save(union_all([
-        known.where(F.col("size") == m).select("size", "window", least_grams("w", m)[0].alias("f")) for m in sizes]))
+        with_least_grams(known.where(F.col("size") == m), "w", m, "f").select("size", "window", F.col("f")[0].alias("f"))
+        for m in sizes]))
     suspects = union_all([
         scan.select("doc_id", "row", F.explode(f"f{m}").alias("f"))
         .join(known.where(F.col("size") == m).select("f").distinct(), "f", "left_semi").select("doc_id", "row")
@@ -96,7 +108,7 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = 10, id_col: s
     places = []
     for m in sizes:
         at = F.expr(f"transform(f, (x, i) -> struct(x AS f, i AS at, concat_ws(' ', slice(w, i + 1, {m})) AS window))")
-        places.append(looked_at.withColumn("f", least_grams("w", m)).select("doc_id", "row", F.explode(at).alias("p"))
+        places.append(with_least_grams(looked_at, "w", m, "f").select("doc_id", "row", F.explode(at).alias("p"))
                       .select("doc_id", "row", "p.f", "p.at", "p.window")
                       .join(known.where(F.col("size") == m).select("f", "window"), ["f", "window"])
                       .select("doc_id", "row", "at", "window", F.lit(m).alias("size")))
