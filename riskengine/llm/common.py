@@ -112,6 +112,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_sample(rows: DataFrame, order: str, limit: int) -> DataFrame:
+    """``limit`` rows at most, those of the least hash ``order``; few others are moved for it."""
+    n = rows.count()
+    share = max(1, min(1 << 20, -(-2 * limit * (1 << 20) // max(1, n))))
+    return rows.where(F.pmod(F.col(order), F.lit(1 << 20)) < share).orderBy(F.pmod(F.col(order), F.lit(1 << 20)), order).limit(limit)
+
+
 # --- connected components ---------------------------------------------------------------
 
 def components(scratch: Scratch, edges: DataFrame) -> DataFrame:

@@ -37,7 +37,23 @@ SELECT t.id AS doc_id, CAST(len(t.w) AS BIGINT) AS n_words, CAST(coalesce(n.n, 0
 FROM t LEFT JOIN n USING (id) LEFT JOIN items USING (id) WHERE kind = 0
 """
 
+#: Base 32 from hexadecimal: each 5 bits from the three digits that hold them.
+ARCHIVES = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) || '00' AS x,
+                  min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((
+           (instr('0123456789abcdef', substr(x, 1 + (5 * i) // 4, 1)) - 1) * 256
+           + (instr('0123456789abcdef', substr(x, 2 + (5 * i) // 4, 1)) - 1) * 16
+           + (instr('0123456789abcdef', substr(x, 3 + (5 * i) // 4, 1)) - 1)) // (1 << (7 - (5 * i) % 4)) % 32 AS BIGINT), 1)
+         FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p
+"""
+
 ORACLE: dict[str, str] = {
+    "op7_warc": ARCHIVES,
     "op9_decontamination": LEAKS,
     "op5_substring_dedup": REPEATS,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, mixing, simhash, substrings, toxicity
+from . import decontam, langid, mixing, simhash, substrings, toxicity, warc
 from .common import table
 
 
@@ -42,10 +42,16 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records, repeats as revisits, and read back."""
+    return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of documents inside 10-word windows of benchmark items."""
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), length=10)
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op3_language_id, op4_toxicity,
-                                      op5_substring_dedup, op6_mixing, op9_decontamination)}
+                                      op5_substring_dedup, op6_mixing, op7_warc, op9_decontamination)}
