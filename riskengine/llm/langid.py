@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, utf8
+from .common import LOWER, bounded_sample, utf8
 
 BITS = 14          # hashed n-grams: 2 ** BITS buckets
 ORDERS = (1, 2, 3)
@@ -141,7 +141,7 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
                 yield pa.RecordBatch.from_arrays([pa.array([s[0] for s in some], pa.string()),
                                                   pa.array([s[1] for s in some], pa.list_(pa.float64()))], ["lang", "m"])
 
-        sample = rows.orderBy(F.xxhash64(text_col), "lang").limit(SAMPLE)
+        sample = bounded_sample(rows.withColumn("o", F.xxhash64(text_col, "lang")), "o", SAMPLE)
         seen = sample.mapInArrow(measure, "lang string, m array<double>").collect()
         model.weigh([s.lang for s in seen], np.array([s.m for s in seen]))
         shared.unpersist()
