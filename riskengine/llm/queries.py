@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, mixing, simhash, substrings, toxicity, warc
+from . import decontam, langid, licenses, mixing, simhash, substrings, toxicity, warc
 from .common import table
 
 
@@ -14,6 +14,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in every text."""
+    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents"), licenses.templates()))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every text, learned from three of four folds of the documents."""
     docs = table(spark, sf_dir, "documents")
@@ -53,5 +58,5 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), length=10)
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op3_language_id, op4_toxicity,
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_license_scan, op3_language_id, op4_toxicity,
                                       op5_substring_dedup, op6_mixing, op7_warc, op9_decontamination)}
