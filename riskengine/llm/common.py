@@ -164,18 +164,14 @@ def tally(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarra
     return keys[first], np.add.reduceat(counts[order], first)
 
 
-def buckets_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Even buckets of sorted keys by their leading bits: cut points into ``keys``."""
-    edges = [(i << 64) // buckets for i in range(1, buckets)]
-    return np.r_[0, np.searchsorted(keys, np.array(edges, np.uint64)), len(keys)]
-
-
-PACKED = "bucket int, keys binary, counts binary"
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Even buckets of keys by their leading bits; they never decrease over sorted keys."""
+    return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
 def packed(keys: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
     """One row for each bucket that has keys: its sorted keys and counts as bytes."""
-    cuts = buckets_of(keys, buckets)
+    cuts = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
     some = [i for i in range(buckets) if cuts[i] < cuts[i + 1]]
     c32 = counts.astype(np.int64)
     return pa.RecordBatch.from_arrays(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, licenses, mixing, simhash, substrings, toxicity, warc
+from . import bloomlm, decontam, langid, licenses, mixing, simhash, substrings, toxicity, warc
 from .common import table
 
 
@@ -53,10 +53,16 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probabilities of all texts, learned from six of seven folds of the documents."""
+    return bloomlm.score(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of documents inside 10-word windows of benchmark items."""
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), length=10)
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_license_scan, op3_language_id, op4_toxicity,
-                                      op5_substring_dedup, op6_mixing, op7_warc, op9_decontamination)}
+                                      op5_substring_dedup, op6_mixing, op7_warc, op8_lm_scoring,
+                                      op9_decontamination)}
