@@ -79,16 +79,17 @@ def benchmark_windows(items: DataFrame, length: int, id_col: str, text_col: str)
         "transform(sequence(0, size(w) - size), i -> concat_ws(' ', slice(w, i + 1, size)))")).alias("window"))
 
 
-def contamination(docs: DataFrame, items: DataFrame, length: int = 10, id_col: str = "doc_id",
-                  text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) for each row of ``docs``."""
-    scratch = Scratch(docs.sparkSession, "decontam")
+def hits(scratch: Scratch, docs: DataFrame, items: DataFrame, length: int = 10, id_col: str = "doc_id",
+         text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """All rows as (doc_id, row, n_words), and those with hits as (_id, _row, n_hit, items).
+
+    ``row`` is a hash of the text, which tells rows of one id apart.
+    """
     of_item = scratch.save(benchmark_windows(items, length, item_col, item_text).distinct())
     sizes = sorted(r[0] for r in of_item.select("size").distinct().collect())  # at most ``length`` numbers
     source = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("row"),
                          alnum_words(text_col).alias("w"))
-    if not sizes:
-        sizes = [length]
+    sizes = sizes or [length]
     prints = source
     for m in sizes:
         prints = with_least_grams(prints, "w", m, f"f{m}")
@@ -102,9 +103,8 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = 10, id_col: s
         scan.select("doc_id", "row", F.explode(f"f{m}").alias("f"))
         .join(known.where(F.col("size") == m).select("f").distinct(), "f", "left_semi").select("doc_id", "row")
         for m in sizes]).distinct()
-    suspects = scratch.save(suspects)
-    looked_at = source.join(suspects.withColumnsRenamed({"doc_id": "_id", "row": "_row"}),
-                            F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row")), "left_semi")
+    suspects = scratch.save(suspects.toDF("_id", "_row"))
+    looked_at = source.join(suspects, same_row(), "left_semi")
     places = []
     for m in sizes:
         at = F.expr(f"transform(f, (x, i) -> struct(x AS f, i AS at, concat_ws(' ', slice(w, i + 1, {m})) AS window))")
@@ -118,13 +118,30 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = 10, id_col: s
             "transform(s, x -> sequence(x.at, x.at + x.size - 1))")))).cast("long").alias("n_hit"))
     found = (places.select("doc_id", "row", "window", "size").distinct().join(of_item, ["window", "size"])
              .select("doc_id", "row", "item").where("item is not null").distinct().groupBy("doc_id", "row")
-             .agg(F.sort_array(F.collect_list("item")).alias("items")))
-    hits = covered.join(found.withColumnsRenamed({"doc_id": "_id", "row": "_row"}),
-                        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row")), "left")
-    hits = scratch.save(hits.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "n_hit",
-                                    F.coalesce("items", F.array().cast("array<string>")).alias("items")))
-    return scan.join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row")), "left").select(
+             .agg(F.sort_array(F.collect_list("item")).alias("items")).withColumnsRenamed({"doc_id": "_id", "row": "_row"}))
+    got = covered.join(found, same_row(), "left").select(
+        F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "n_hit",
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    return scan.select("doc_id", "row", "n_words"), scratch.save(got)
+
+
+def same_row() -> Column:
+    return F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row"))
+
+
+def contamination(docs: DataFrame, items: DataFrame, length: int = 10, **columns: str) -> DataFrame:
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) for each row of ``docs``."""
+    scan, hit = hits(Scratch(docs.sparkSession, "decontam"), docs, items, length, **columns)
+    return scan.join(hit, same_row(), "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.concat_ws(",", "items"), F.lit("")), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, length: int = 10, id_col: str = "doc_id",
+                         text_col: str = "text", **columns: str) -> DataFrame:
+    """``docs`` less the documents that hold a benchmark window."""
+    _, hit = hits(Scratch(docs.sparkSession, "decontam"), docs, items, length, id_col, text_col, **columns)
+    same = (F.col("_id").eqNullSafe(F.col(id_col)) & (F.col("_row") == F.xxhash64(F.col(text_col).cast("string"))))
+    return docs.join(hit.select("_id", "_row"), same, "left_anti")

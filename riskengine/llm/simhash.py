@@ -68,15 +68,16 @@ def fingerprint(text: bytes | None, shingle: int = 4) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): one row for each document row."""
+    """(doc_id, row, fp): one row for each document row; ``row`` is a hash of its text."""
 
     def run(batches):
         for b in batches:
-            fps = [fingerprint(t.as_py(), shingle) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            fps = [fingerprint(t.as_py(), shingle) for t in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps, pa.int64())], ["doc_id", "row", "fp"])
 
-    df = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(docs, text_col))
-    return df.mapInArrow(run, "doc_id long, fp long")
+    df = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("row"),
+                     utf8(docs, text_col))
+    return df.mapInArrow(run, "doc_id long, row long, fp long")
 
 
 # --- the tree ---------------------------------------------------------------------------
@@ -294,6 +295,19 @@ def links(scratch: Scratch, distinct: DataFrame, max_bits: int = 4) -> DataFrame
     return got.where("a is not null").select("a", "b").union(across)
 
 
+def groups(scratch: Scratch, docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id",
+           text_col: str = "text") -> DataFrame:
+    """(doc_id, row, fp, group, component_id) for each row of ``docs``; ``group`` is a fingerprint."""
+    fps = scratch.save(fingerprints(docs, shingle, id_col, text_col))
+    distinct = scratch.save(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")))
+    root = components(scratch, links(scratch, distinct.select("fp"), max_bits))
+    member = (distinct.join(root, distinct.fp == root.node, "left")
+              .select("fp", "rep", F.coalesce("root", "fp").alias("group")))
+    member = scratch.save(member)
+    least = member.groupBy("group").agg(F.min("rep").alias("component_id"))
+    return fps.join(member.join(least, "group").select("fp", "group", "component_id"), "fp")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id) for each row of ``docs``.
@@ -301,14 +315,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col
     Fingerprints that differ in at most ``max_bits`` bits are linked; ``component_id`` is the
     smallest doc_id reachable over links.
     """
-    scratch = Scratch(docs.sparkSession, "simhash")
-    fps = scratch.save(fingerprints(docs, shingle, id_col, text_col))
-    distinct = scratch.save(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    root = components(scratch, links(scratch, distinct.select("fp"), max_bits))
-    member = (distinct.join(root, distinct.fp == root.node, "left")
-              .select("fp", "rep", F.coalesce("root", "fp").alias("root")))
-    member = scratch.save(member)
-    least = member.groupBy("root").agg(F.min("rep").alias("component_id"))
-    member = member.join(least, "root").select("fp", "component_id")
-    return fps.join(member, "fp").select(
+    return groups(Scratch(docs.sparkSession, "simhash"), docs, shingle, max_bits, id_col, text_col).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id",
+             text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group: that of the smallest id (a null id is the largest)."""
+    scratch = Scratch(docs.sparkSession, "simhash")
+    found = scratch.save(groups(scratch, docs, shingle, max_bits, id_col, text_col).select("doc_id", "row", "group"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("k")
+    keep = scratch.save(found.groupBy("group").agg(first).select(F.col("k.doc_id").alias("_id"), F.col("k.row").alias("_row")))
+    same = F.col("_id").eqNullSafe(F.col(id_col).cast("long")) & (F.col("_row") == F.xxhash64(F.col(text_col).cast("string")))
+    kept = docs.join(keep, same, "left_semi")
+    rows = found.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row")), "left_semi")
+    again = rows.groupBy("doc_id", "row").count().where("count > 1").limit(1).count()
+    return kept.dropDuplicates([id_col, text_col]) if again else kept
