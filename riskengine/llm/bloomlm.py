@@ -26,6 +26,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +35,7 @@ from .langid import fold
 
 ORDER = 2
 TASK_TOKENS = 2_000_000        # tokens that a task tallies at once
+SCORE_BYTES = 3_000_000        # bytes of text that a task scores at once
 BUCKET_TOKENS = 4_000_000      # tokens of a bucket
 FILTER_BYTES = 32 << 20
 BITS_PER_ENTRY, PROBES = 12, 4
@@ -57,12 +59,6 @@ def ngram_keys(h: np.ndarray, order: int) -> np.ndarray:
     return key
 
 
-def history_keys(h: np.ndarray, order: int) -> np.ndarray:
-    """Keys, one order down, of the histories of the n-grams at each token."""
-    before = np.concatenate([[START], h[:-1]])
-    return ngram_keys(before, order - 1)
-
-
 def level_of(counts: np.ndarray) -> np.ndarray:
     return np.where(counts > 0, np.frexp(np.maximum(counts, 1).astype(np.float64))[1], 0)
 
@@ -73,11 +69,15 @@ def middle(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, (low + 2 * low - 1) / 2, 0.0)
 
 
-def _positions(keys: np.ndarray, level: int, size: np.ndarray) -> np.ndarray:
-    """The probes' places (one row a probe) of keys at a level, within segments of ``size`` bits."""
+def _probes(keys: np.ndarray, level: int):
+    """Start and step of the probes of keys at a level; probe i is place ``_place(a, b, i, size)``."""
     a = mixed(keys + np.uint64(level * int(MIX) % (1 << 64)))
-    b = (a >> np.uint64(32)) | np.uint64(1)
-    return np.stack([((a + np.uint64(i) * b) & np.uint64(0xFFFFFFFF)) * size >> np.uint64(32) for i in range(PROBES)])
+    return a, (a >> np.uint64(32)) | np.uint64(1)
+
+
+def _place(a: np.ndarray, b: np.ndarray, i: int, size: np.ndarray) -> np.ndarray:
+    """The place of probe ``i`` within segments of ``size`` bits."""
+    return ((a + np.uint64(i) * b) & np.uint64(0xFFFFFFFF)) * size >> np.uint64(32)
 
 
 def fill_segment(keys: np.ndarray, counts: np.ndarray, most_bits: int) -> tuple[np.ndarray, int]:
@@ -90,7 +90,9 @@ def fill_segment(keys: np.ndarray, counts: np.ndarray, most_bits: int) -> tuple[
     bits = np.zeros(-(-max(8, min(most_bits, entries * BITS_PER_ENTRY)) // 8) * 8, np.uint8)
     size = np.full(1, len(bits), np.uint64)
     for q in range(1, int(level.max(initial=0)) + 1):
-        bits[_positions(keys[level >= q], q, size).ravel()] = 1
+        a, b = _probes(keys[level >= q], q)
+        for i in range(PROBES):
+            bits[_place(a, b, i, size)] = 1
     return np.packbits(bits, bitorder="little"), least
 
 
@@ -109,15 +111,16 @@ class Filter:
         level = np.zeros(len(keys), np.int64)
         if not len(self.size):
             return level
+        bucket = bucket_of(keys, len(self.size))
         alive, q = np.arange(len(keys)), 1
         while len(alive):
-            k = keys[alive]
-            bucket = bucket_of(k, len(self.size))
-            at = _positions(k, q, self.size[bucket]) + self.start[bucket]
-            hit = np.ones(len(alive), bool)
-            for row in at:
-                hit &= (self.bits[row >> np.uint64(3)] >> (row & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            alive = alive[hit]
+            size, start = self.size[bucket[alive]], self.start[bucket[alive]]
+            a, b = _probes(keys[alive], q)
+            for i in range(PROBES):  # most absent n-grams end at the first probe
+                at = _place(a, b, i, size) + start
+                hit = (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                if not hit.all():
+                    alive, a, b, size, start = alive[hit], a[hit], b[hit], size[hit], start[hit]
             level[alive] = q
             q += 1
         return level
@@ -133,12 +136,13 @@ class Model:
 
     def log_probabilities(self, texts: list[np.ndarray]) -> np.ndarray:
         """log10 of each token's smoothed probability, texts laid end to end."""
-        h = np.concatenate(texts)
-        one = self.filters[0].counts(ngram_keys(h, 1))
-        p = (one + 1) / (self.tokens + self.types + 1)
+        first = np.cumsum([0, *[len(t) for t in texts[:-1]]])
+        own = self.filters[0].counts(ngram_keys(np.concatenate(texts), 1))
+        p = (own + 1) / (self.tokens + self.types + 1)
         for n in range(2, len(self.filters) + 1):
+            past = np.concatenate([[0.0], own[:-1]])  # the history is the shorter n-gram of the token before
+            past[first] = 0
             own = self.filters[n - 1].counts(np.concatenate([ngram_keys(t, n) for t in texts]))
-            past = self.filters[n - 2].counts(np.concatenate([history_keys(t, n) for t in texts]))
             share = np.minimum(1.0, own / np.maximum(past, 1))
             p = np.where(past > 0, SHARE[n - 1] * share + (1 - SHARE[n - 1]) * p, p)
         return np.log10(p)
@@ -236,6 +240,16 @@ SCORED = ("row long, doc_id long, held_out boolean, n_tokens long, n_known long,
           "bucket int, rows binary, keys binary")
 
 
+def _slices(batches):
+    """Batches cut to about ``SCORE_BYTES`` of text."""
+    for b in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(b.column(2)), 0).to_numpy().astype(np.int64))
+        cuts = np.searchsorted(size, np.arange(SCORE_BYTES, size[-1] if len(size) else 0, SCORE_BYTES))
+        for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, b.num_rows], strict=True):
+            if lo < hi:
+                yield b.slice(lo, hi - lo)
+
+
 def _score_tasks(shared, buckets: int):
     """A row for each document, and packed requests for the counts of words that aren't common."""
 
@@ -244,7 +258,7 @@ def _score_tasks(shared, buckets: int):
         model, keys, counts = shared.value
         top = (TaskContext.get().partitionId() + 1) << 40
         seen = 0
-        for b in batches:
+        for b in _slices(batches):
             texts = [token_hashes(t) for t in b.column(2).to_pylist()]
             rows = np.arange(top + seen, top + seen + len(texts))
             seen += len(texts)
