@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bloomlm, decontam, langid, licenses, mixing, simhash, substrings, toxicity, warc
+from . import bloomlm, decontam, langid, licenses, mixing, search, simhash, substrings, toxicity, warc
 from .common import table
 
 
@@ -63,6 +63,11 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), length=10)
 
 
+def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents by BM25 for the whole text of each document whose id 50 divides."""
+    return search.top_k(table(spark, sf_dir, "documents"), F.col("doc_id") % 50 == 0, k=10)
+
+
 QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_license_scan, op3_language_id, op4_toxicity,
                                       op5_substring_dedup, op6_mixing, op7_warc, op8_lm_scoring,
-                                      op9_decontamination)}
+                                      op9_decontamination, op10_topk_search)}
