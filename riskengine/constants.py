@@ -34,5 +34,5 @@ PREDICTION_COLUMN = "prediction"
 # Our own choices (not from the reference).
 CV_SEED = 42                      # the reference leaves the CV seed unset
 CV_PARALLELISM = 3                # fits of one fold run concurrently
-MONEY_SCALE = 2                   # amounts are summed exactly as decimal(18, 2)
-AUC_ROWS_PER_BUCKET = 1_000_000   # distinct scores per task in the exact AUC
+AMOUNT_TYPE = (28, 10)             # amounts are summed exactly as decimals of this type
+SPLIT_BUCKETS = 1_000_000         # hash buckets of the stable split

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType, StringType
 
-from ..constants import MONEY_SCALE
+from ..constants import AMOUNT_TYPE
 
 
 def as_col(c: str | Column) -> Column:
@@ -50,11 +50,25 @@ def label_int_of(df, label_col: str) -> Column:
     return label_as_int(label_col, text=isinstance(df.schema[label_col].dataType, StringType))
 
 
-def money(c: str | Column, scale: int | None = MONEY_SCALE) -> Column:
-    """Amount as an exact decimal so sums are order-independent (None keeps double)."""
-    if scale is None:
-        return as_col(c).cast("double")
-    return as_col(c).cast(DecimalType(18, scale))
+def exact_amount(c: str | Column, scale: int | None = None) -> Column:
+    """Amount as an exact decimal, so that sums don't depend on their order.
+
+    ``scale=None`` keeps ten decimals, enough not to change an amount that is held as a
+    double to six places; a number of decimals rounds to them.  An amount that the type
+    can't hold (see :func:`odd_amount`) gives null.
+    """
+    digits, places = AMOUNT_TYPE
+    return as_col(c).try_cast(DecimalType(digits, places if scale is None else scale))
+
+
+def odd_amount(c: str | Column, kind: str) -> Column:
+    """Whether an amount is outside the exact type: ``nan``, or ``high`` / ``low`` for
+    infinities and numbers of 19 digits and more."""
+    x = as_col(c).cast("double")
+    bound = F.lit(10.0 ** (AMOUNT_TYPE[0] - AMOUNT_TYPE[1]))
+    if kind == "nan":
+        return F.isnan(x)
+    return ~F.isnan(x) & ((x >= bound) if kind == "high" else (x <= -bound))
 
 
 def null_safe_keys(left, right, keys) -> Column:

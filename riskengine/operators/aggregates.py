@@ -2,22 +2,21 @@
 
 Every statistic over many columns is one aggregate job (partial per task, one
 small final merge), unpivoted afterwards inside the same plan -- never a job
-per column.  Where a statistic must parameterise a later step (class weights,
-histogram range), the one-row result comes to the driver as a handful of
-scalars and returns as literals; nothing row-sized passes the driver.
+per column.  The histogram's range comes to the driver as two numbers and returns
+as literals; nothing row-sized passes the driver.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import DecimalType, IntegralType, NumericType, StringType
 
 from ..constants import HISTOGRAM_BINS, LABEL_COLUMN, PREDICTION_COLUMN, SCORE_COLUMN, WEIGHT_COLUMN
 from ..functions.columns import label_int_of
-from ..session import materialize
 
 
 def class_counts(df: DataFrame, label_col: str = LABEL_COLUMN) -> DataFrame:
@@ -28,30 +27,34 @@ def class_counts(df: DataFrame, label_col: str = LABEL_COLUMN) -> DataFrame:
                   F.count_if(lab == F.lit(0)).alias("negative"))
 
 
-def class_weights(df: DataFrame, label_col: str = LABEL_COLUMN) -> tuple[float, float] | None:
-    """``(positive_weight, negative_weight)`` = ``total / (2 * n_class)``; None when empty.
+def _weight(total: Column, n: Column, label_col: str) -> Column:
+    absent = F.raise_error(F.lit(f"class absent from {label_col!r}")).cast("double")
+    return F.when((total > 0) & (n == 0), absent).otherwise(total / (n * F.lit(2)))
 
-    One aggregate job; raises ``ValueError`` when a class is absent (the weight
-    would divide by zero).
+
+def class_weights(df: DataFrame, label_col: str = LABEL_COLUMN) -> DataFrame:
+    """One row ``positive_weight, negative_weight`` = ``total / (2 * n_class)``.
+
+    Null when empty; the row fails when it is read if a class is absent (the weight would
+    divide by zero).
     """
-    row = class_counts(df, label_col).first()
-    total, pos, neg = row["total"], row["positive"], row["negative"]
-    if total == 0:
-        return None
-    if pos == 0 or neg == 0:
-        raise ValueError(f"class absent from {label_col!r}: positive={pos}, negative={neg}")
-    return total / (pos * 2), total / (neg * 2)
+    total, pos, neg = (F.col(c) for c in ("total", "positive", "negative"))
+    one = class_counts(df, label_col).where(total >= 0)
+    return one.select(*[F.when(total > 0, _weight(total, n, label_col)).alias(out)
+                        for n, out in ((pos, "positive_weight"), (neg, "negative_weight"))])
 
 
 def add_class_weight(df: DataFrame, label_col: str = LABEL_COLUMN,
                      out: str = WEIGHT_COLUMN) -> DataFrame:
-    """A2: per-row class weight; a null label takes the negative weight (as ``otherwise``)."""
-    weights = class_weights(df, label_col)
-    if weights is None:
-        return df.withColumn(out, F.lit(None).cast("double"))
-    pos_w, neg_w = weights
-    return df.withColumn(out, F.when(label_int_of(df, label_col) == F.lit(1), F.lit(pos_w))
-                         .otherwise(F.lit(neg_w)))
+    """A2: per-row class weight; a null label takes the negative weight (as ``otherwise``).
+
+    Lazy: the counts are a one-row aggregate, broadcast and joined to the rows when the
+    result is read.  An absent class fails then; an empty input gives no rows.
+    """
+    weights = class_weights(df, label_col).toDF("_positive", "_negative")
+    weighted = df.crossJoin(F.broadcast(weights))  # one row by construction
+    own = F.when(label_int_of(df, label_col) == F.lit(1), F.col("_positive")).otherwise(F.col("_negative"))
+    return weighted.withColumn(out, own).drop("_positive", "_negative")
 
 
 def _described_columns(df: DataFrame, cols: Sequence[str] | None) -> list[str]:
@@ -75,9 +78,10 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None,
     """A3: one row per column -- ``column, count, mean, stddev, min, max, min_text, max_text``.
 
     Numeric columns fill ``mean``, the sample ``stddev`` (null for one row) and
-    ``min``/``max`` as doubles; text columns fill ``min_text``/``max_text``
-    (byte order), like Spark's ``describe``.  All columns are summarised by one
-    aggregate job.  Defaults to every numeric and string column.
+    ``min``/``max`` as doubles; ``min_text``/``max_text`` hold the exact extremes of
+    integer and decimal columns (a double can't hold a long beyond 2^53) and those of
+    text columns (byte order), like Spark's ``describe``.  All columns are summarised by
+    one aggregate job.  Defaults to every numeric and string column.
     """
     names = _described_columns(df, cols)
     if not names:
@@ -95,9 +99,11 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None,
         else:
             x = F.col(c).cast("double")
             aggs += [F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                     F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-            stats = [_round(F.col(f"m{i}"), digits), _round(F.col(f"s{i}"), digits),
-                     F.col(f"lo{i}"), F.col(f"hi{i}"), null_s, null_s]
+                     F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
+            lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
+            exact = isinstance(types[c], (IntegralType, DecimalType))
+            stats = [_round(F.col(f"m{i}"), digits), _round(F.col(f"s{i}"), digits), lo.cast("double"), hi.cast("double"),
+                     *((lo.cast("string"), hi.cast("string")) if exact else (null_s, null_s))]
         names_out = ("mean", "stddev", "min", "max", "min_text", "max_text")
         rows.append(F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
                              *[e.alias(n) for e, n in zip(stats, names_out)]))
@@ -139,13 +145,17 @@ def value_counts(df: DataFrame, col: str = SCORE_COLUMN) -> DataFrame:
             .groupBy("v").agg(F.count(F.lit(1)).alias("n")))
 
 
-def histogram_range(values: DataFrame) -> tuple[float, float]:
-    """Range numpy's ``histogram`` would use for a :func:`value_counts` table:
-    [min, max], widened by 0.5 when they meet, [0, 1] when empty."""
-    row = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+def histogram_range(df: DataFrame, col: str = SCORE_COLUMN) -> tuple[float, float]:
+    """Range numpy's ``histogram`` would use: [min, max], widened by 0.5 when they meet,
+    [0, 1] when empty; ``ValueError`` when a value is infinite.  One min/max aggregate."""
+    v = F.col(col).try_cast("double")
+    some = F.when(~F.isnan(v), v)
+    row = df.agg(F.min(some).alias("lo"), F.max(some).alias("hi")).first()
     lo, hi = row["lo"], row["hi"]
     if lo is None:
         return 0.0, 1.0
+    if math.isinf(lo) or math.isinf(hi):
+        raise ValueError(f"{col!r} holds infinite values: [{lo}, {hi}]")
     if lo == hi:
         return lo - 0.5, hi + 0.5
     return lo, hi
@@ -157,15 +167,12 @@ def probability_histogram(df: DataFrame, col: str = SCORE_COLUMN,
 
     Bin edges are ``lo + i * step`` with the last edge ``hi``; a value goes to the
     bin whose edges hold it, the last bin closed -- the rule of ``numpy.histogram``.
-    Null and NaN values are not counted.
+    Null and NaN values are not counted; infinite ones are an error, as in numpy.
 
-    The input is read once: its distinct values and their counts are materialised
-    (a partial aggregate, so ties collapse early), then the range and the bin
-    counts both come from that table.  The bin index is a column expression and
-    the counts a grouped sum, so no value leaves the executors.
+    Two aggregates over the input: its range, then the counts by bin, where each task
+    sends ``bins`` rows at most.  No value leaves the executors.
     """
-    values = materialize(value_counts(df, col))
-    lo, hi = histogram_range(values)
+    lo, hi = histogram_range(df, col)
     step = (hi - lo) / bins
 
     def edge(i: Column) -> Column:
@@ -179,9 +186,9 @@ def probability_histogram(df: DataFrame, col: str = SCORE_COLUMN,
     fixed = (F.when(v < edge(guess), guess - 1)
              .when((v >= edge(guess + 1)) & (guess != F.lit(bins - 1)), guess + 1)
              .otherwise(guess))
-    counts = (values.where((v >= F.lit(lo)) & (v <= F.lit(hi)))
-              .select(fixed.cast("int").alias("bin"), "n")
-              .groupBy("bin").agg(F.sum("n").alias("count")))
+    counts = (df.select(F.col(col).try_cast("double").alias("v"))
+              .where((v >= F.lit(lo)) & (v <= F.lit(hi)))  # drops null and NaN
+              .groupBy(fixed.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count")))
     spark = df.sparkSession
     all_bins = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
     b = F.col("bin")

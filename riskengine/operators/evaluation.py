@@ -6,14 +6,11 @@ written, joined or collected by the caller.
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from ..constants import AUC_ROWS_PER_BUCKET, LABEL_COLUMN, PREDICTION_COLUMN, SCORE_COLUMN
+from ..constants import LABEL_COLUMN, PREDICTION_COLUMN, SCORE_COLUMN
 from ..session import materialize
 
 
@@ -76,49 +73,30 @@ def score_label_counts(df: DataFrame, label_col: str = LABEL_COLUMN,
 
 
 def auc_exact(df: DataFrame, label_col: str = LABEL_COLUMN, score_col: str = SCORE_COLUMN,
-              rows_per_bucket: int = AUC_ROWS_PER_BUCKET) -> DataFrame:
+              partitions: int | None = None) -> DataFrame:
     """Exact area under the ROC curve, one row ``auc`` (null if a class is absent).
 
     ``AUC = sum_s pos(s) * (neg_below(s) + neg(s) / 2) / (P * N)`` over distinct
     scores ``s`` -- the Mann-Whitney form, ties counted half; it equals the
     trapezoid area of the un-binned ROC curve.
 
-    The running count ``neg_below`` needs the scores in order, but never in one
-    task: distinct scores are cut into buckets of about ``rows_per_bucket`` (at
-    least sqrt(n), so both levels stay within ~sqrt(n) rows) by approximate
-    quantiles, so no bucket is hot whatever the score skew; a running sum over
-    the bucket totals (one row per bucket) gives each bucket's offset; a window
-    inside each bucket gives the rest.  Sums are exact decimals,
-    so the answer does not depend on partitioning.
+    The running count ``neg_below`` needs the scores in order, but never in one task:
+    distinct scores (ties have collapsed, so none is hot) are range-partitioned into
+    ``partitions`` ordered parts (the session's shuffle partitions by default) and written
+    once; a running sum over one row a part gives each part's offset, and a window inside
+    each part the rest.  Sums are exact decimals, so the answer does not depend on
+    partitioning.
     """
-    # The distinct-score table feeds a count, a quantile pass and the final plan:
-    # materialise it once so the upstream (typically a large join) runs once.
-    counts = materialize(score_label_counts(df, label_col, score_col))
-    n_scores = counts.count()
-    # Two levels, balanced: at least sqrt(n) scores per bucket keeps both the
-    # per-bucket window and the running sum over bucket totals within ~sqrt(n) rows.
-    per_bucket = max(rows_per_bucket, math.isqrt(max(n_scores - 1, 0)) + 1)
-    if n_scores <= per_bucket:
-        # One bucket of at most ``per_bucket`` rows: a plain running sum.
-        below = Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-        ranked = counts.withColumn("neg_below", F.coalesce(F.sum("neg").over(below), F.lit(0)))
-    else:
-        n_buckets = math.ceil(n_scores / per_bucket)
-        probs = [i / n_buckets for i in range(1, n_buckets)]
-        cuts = counts.approxQuantile("score", probs, 1.0 / (4 * n_buckets))
-        splits = [-math.inf] + sorted(set(cuts)) + [math.inf]
-        counts = Bucketizer(splits=splits, inputCol="score", outputCol="bucket").transform(counts)
-        # Negatives in all earlier buckets: a running sum over one row per bucket.
-        offsets = (counts.groupBy("bucket").agg(F.sum("neg").alias("bucket_neg"))
-                   .withColumn("neg_before", F.coalesce(F.sum("bucket_neg").over(
-                       Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)),
-                       F.lit(0)))
-                   .select("bucket", "neg_before"))
-        within = Window.partitionBy("bucket").orderBy("score").rowsBetween(
-            Window.unboundedPreceding, -1)
-        ranked = (counts.join(offsets, "bucket")
-                  .withColumn("neg_below", F.col("neg_before")
-                              + F.coalesce(F.sum("neg").over(within), F.lit(0))))
+    spark = df.sparkSession
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    counts = materialize(score_label_counts(df, label_col, score_col).repartitionByRange(parts, "score")
+                         .withColumn("part", F.spark_partition_id()))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (counts.groupBy("part").agg(F.sum("neg").alias("part_neg"))
+               .select("part", F.coalesce(F.sum("part_neg").over(earlier), F.lit(0)).alias("neg_before")))
+    within = Window.partitionBy("part").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = (counts.join(offsets, "part")
+              .withColumn("neg_below", F.col("neg_before") + F.coalesce(F.sum("neg").over(within), F.lit(0))))
 
     big = DecimalType(38, 0)
     term = (F.col("pos").cast(big)

@@ -19,16 +19,21 @@ data would hold a third of the data in one task.  Instead:
    collapse to one row;
 2. each per-second row goes to its week bucket ``b = floor(s / W)`` and is copied
    once into ``b + 1`` as history; every frame ``[s - W, s]`` lies inside buckets
-   ``b - 1`` and ``b``.  A partition holds at most ``3 * W`` rows (two weeks of
-   distinct seconds and one week of probes), whatever the data size or the skew;
-3. the frame total is a difference of running totals (see
-   :func:`trailing_window_stats`): O(1) work per row, where Spark's sliding range
-   frame re-aggregates the whole frame for every row -- quadratic for a customer
-   active in most seconds of a week;
+   ``b - 1`` and ``b``.  A partition holds at most ``2 * W`` rows (two weeks of
+   distinct seconds), whatever the data size or the skew;
+3. the frame total is the difference of two growing frames of that partition, all
+   up to ``s`` and all before ``s - W``: O(1) work per row, where Spark's sliding
+   range frame re-aggregates the whole frame for every row -- quadratic for a
+   customer active in most seconds of a week;
 4. the per-second answers are equi-joined back (null-safe) to the rows.
    The answer table has one row per key, so AQE's skew-join split of the big
    side stays correct.
 
+Amounts are summed as ``decimal(38, 10)``: exact for amounts up to 18 integer digits
+and ten decimals, so differences of running sums don't drift.  A frame that holds a
+NaN sums to NaN.  Infinities, and amounts of 1e18 and beyond, which the decimal can't
+hold, make their frame's sum infinite (NaN where both signs meet).
+
 Category counts are a grouped count joined back; AQE turns that join into a
 broadcast when the measured aggregate is under the broadcast threshold, and
 otherwise splits the partitions of a hot (customer, category) key -- the answer
@@ -43,8 +48,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import MONEY_SCALE, VELOCITY_WINDOW_SECONDS
-from ..functions.columns import epoch_seconds, money, null_safe_keys
+from ..constants import VELOCITY_WINDOW_SECONDS
+from ..functions.columns import epoch_seconds, exact_amount, null_safe_keys, odd_amount
 
 CUSTOMER = "customer_id"
 SECONDS = "timestamp_seconds"
@@ -52,6 +57,7 @@ TXN_ID = "transaction_id"
 AMOUNT = "amount"
 CATEGORY = "merchant_category"
 TIMESTAMP = "timestamp"
+ODD_DIGIT = 1 << 21  # kinds of odd amounts are counted in digits of this base, one a second at most
 
 
 def with_timestamp_seconds(df: DataFrame, timestamp_col: str = TIMESTAMP,
@@ -80,71 +86,57 @@ def trailing_window_stats(
     window_seconds: int = VELOCITY_WINDOW_SECONDS,
     count_out: str | None = "transaction_velocity",
     sum_out: str | None = "amount_velocity",
-    amount_scale: int | None = MONEY_SCALE,
+    amount_scale: int | None = None,
 ) -> DataFrame:
     """One row per distinct (customer, second) with the trailing-window count and sum.
 
-    A frame total is a difference of two running totals: everything up to the
-    second ``s``, minus everything up to ``s - W - 1``.  Each distinct second
-    therefore travels in three roles into one ``(customer, week bucket)``
-    partition -- as itself in its own week, as history in the next week, and as
-    a *probe* at ``s - W - 1`` in its own week -- and one running sum over the
-    partition (O(1) per row, unlike a sliding range frame that re-adds its whole
-    frame for every row) gives both totals.  The probe's total comes back to its
-    row through a grouped aggregate on the same partitioning (no shuffle).
-
-    Amounts are summed as ``decimal(18, amount_scale)``, so the difference of
-    running sums is exact; with ``amount_scale=None`` doubles are used and the
-    last bits may differ from a direct sum.
+    A frame total is what lies in the partition up to the second ``s``, less what lies
+    before ``s - W``: two growing frames over ``(customer, week bucket)``.  Rows with null
+    seconds are one peer group that only sees itself, so nothing is subtracted there.
     """
     if count_out is None and sum_out is None:
         raise ValueError("ask for at least one of count_out, sum_out")
+    if sum_out is not None and 2 * window_seconds >= ODD_DIGIT:
+        raise ValueError(f"windows of amounts are limited to {ODD_DIGIT // 2 - 1} seconds")
     measures = {}                     # per-second measures, only those asked for
     if count_out is not None:
         measures["_n"] = F.count(id_col)
     if sum_out is not None:
-        measures["_s"] = F.sum(money(amount_col, amount_scale))
+        measures["_s"] = F.sum(exact_amount(amount_col, amount_scale))
         measures["_nn"] = F.count(amount_col)
+        # which kinds of odd amounts a second holds: one digit a kind, summed with the frame
+        measures["_odd"] = sum((F.max(odd_amount(amount_col, kind).cast("long")) * F.lit(ODD_DIGIT ** i)
+                                for i, kind in enumerate(("nan", "high", "low"))), F.lit(0))
     per_second = df.groupBy(customer_col, seconds_col).agg(
-        *[e.alias(name) for name, e in measures.items()])
-    types = {name: per_second.schema[name].dataType for name in measures}
+        *[(F.coalesce(e, F.lit(0)) if name == "_odd" else e).alias(name) for name, e in measures.items()])
 
     secs = F.col(seconds_col)
     home = F.floor(secs / F.lit(window_seconds))
 
-    def role(bucket, key, probe: bool, out: bool):
-        values = [(F.lit(None).cast(types[m]) if probe else F.col(m)).alias(m) for m in measures]
-        return F.struct(bucket.alias("_bucket"), key.alias("_key"),
-                        F.lit(probe).alias("_probe"), F.lit(out).alias("_out"), *values)
-
-    roles = F.when(secs.isNull(), F.array(role(home, secs, False, True))).otherwise(F.array(
-        role(home, secs, False, True),                                   # itself
-        role(home + F.lit(1), secs, False, False),                       # history for next week
-        role(home, secs - F.lit(window_seconds + 1), True, False)))      # where its frame starts
-    spread = per_second.select(customer_col, F.col(seconds_col).alias("_target"),
-                               F.inline(roles))
+    def role(bucket, out: bool):
+        return F.struct(bucket.alias("_bucket"), F.lit(out).alias("_out"))
 
-    running = (Window.partitionBy(customer_col, "_bucket").orderBy("_key", "_probe")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    totals = spread.select(customer_col, "_bucket", "_target", "_probe", "_out",
-                           *[F.sum(m).over(running).alias(f"_c{m[1:]}") for m in measures])
+    roles = F.when(secs.isNull(), F.array(role(home, True))).otherwise(
+        F.array(role(home, True), role(home + F.lit(1), False)))  # itself; history for next week
+    spread = per_second.select(customer_col, seconds_col, *measures, F.inline(roles))
 
-    def at(probe: bool, c: str):
-        return F.max(F.when(F.col("_probe") == F.lit(probe), F.col(c)))
+    growing = Window.partitionBy(customer_col, "_bucket").orderBy(seconds_col)
+    upto = growing.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    before = growing.rangeBetween(Window.unboundedPreceding, -(window_seconds + 1))
 
-    def frame_total(c: str):
-        return at(False, c) - F.coalesce(at(True, c), F.lit(0))
+    def total(m: str):
+        return F.sum(m).over(upto) - F.when(secs.isNotNull(), F.coalesce(F.sum(m).over(before), F.lit(0))).otherwise(F.lit(0))
 
+    totals = spread.select(customer_col, seconds_col, "_out", *[total(m).alias(m) for m in measures]).where("_out")
     outs = []
     if count_out is not None:
-        outs.append(frame_total("_cn").alias(count_out))
+        outs.append(F.col("_n").alias(count_out))
     if sum_out is not None:
-        outs.append(F.when(frame_total("_cnn") > 0, frame_total("_cs"))
-                    .cast("double").alias(sum_out))
-    return (totals.where(F.col("_probe") | F.col("_out"))
-            .groupBy(customer_col, "_bucket", "_target").agg(*outs)
-            .select(customer_col, F.col("_target").alias(seconds_col),
-                    *[c for c in (count_out, sum_out) if c is not None]))
+        nan, high, low = (F.pmod(F.floor(F.col("_odd") / F.lit(ODD_DIGIT ** i)), F.lit(ODD_DIGIT)) > 0 for i in range(3))
+        plain = F.when(F.col("_nn") > 0, F.coalesce(F.col("_s"), F.lit(0)).cast("double"))
+        outs.append(F.when(F.col("_odd") == 0, plain).when(nan | (high & low), F.lit(float("nan")))
+                    .when(high, F.lit(float("inf"))).otherwise(F.lit(float("-inf"))).alias(sum_out))
+    return totals.select(customer_col, seconds_col, *outs)
 
 
 def _direct_velocity(df: DataFrame, *, customer_col, seconds_col, id_col, amount_col,
@@ -154,8 +146,8 @@ def _direct_velocity(df: DataFrame, *, customer_col, seconds_col, id_col, amount
     if count_out is not None:
         df = df.withColumn(count_out, F.count(id_col).over(frame))
     if sum_out is not None:
-        df = df.withColumn(
-            sum_out, F.sum(money(amount_col, amount_scale)).over(frame).cast("double"))
+        amount = F.col(amount_col).cast("double") if amount_scale is None else exact_amount(amount_col, amount_scale)
+        df = df.withColumn(sum_out, F.sum(amount).over(frame).cast("double"))
     return df
 
 
@@ -183,7 +175,7 @@ def transaction_velocity(df: DataFrame, *, customer_col: str = CUSTOMER,
 def amount_velocity(df: DataFrame, *, customer_col: str = CUSTOMER,
                     seconds_col: str = SECONDS, amount_col: str = AMOUNT,
                     window_seconds: int = VELOCITY_WINDOW_SECONDS,
-                    out: str = "amount_velocity", amount_scale: int | None = MONEY_SCALE,
+                    out: str = "amount_velocity", amount_scale: int | None = None,
                     method: str = "bucketed") -> DataFrame:
     """Sum of ``amount_col`` per customer in the trailing window."""
     return _velocity(df, method, customer_col=customer_col, seconds_col=seconds_col,
@@ -195,7 +187,7 @@ def velocity_features(df: DataFrame, *, customer_col: str = CUSTOMER,
                       seconds_col: str = SECONDS, id_col: str = TXN_ID,
                       amount_col: str = AMOUNT,
                       window_seconds: int = VELOCITY_WINDOW_SECONDS,
-                      amount_scale: int | None = MONEY_SCALE,
+                      amount_scale: int | None = None,
                       method: str = "bucketed") -> DataFrame:
     """W1 + W2 in one pass: both come from the same window, one join back."""
     return _velocity(df, method, customer_col=customer_col, seconds_col=seconds_col,
@@ -211,11 +203,43 @@ def category_counts(df: DataFrame, *, customer_col: str = CUSTOMER,
     return df.groupBy(customer_col, category_col).agg(F.count(id_col).alias(out))
 
 
+def running_category_counts(df: DataFrame, *, customer_col: str = CUSTOMER, category_col: str = CATEGORY,
+                            id_col: str = TXN_ID, out: str = "merchant_category_count",
+                            seconds_col: str = SECONDS, part_seconds: int = VELOCITY_WINDOW_SECONDS) -> DataFrame:
+    """One row per (customer, category, second) with the count up to that second.
+
+    A running count inside each week, plus the weeks before it (one row a week): no task
+    holds more than a week's seconds, or the weeks, of a customer and category.
+    """
+    keys = [customer_col, category_col]
+    per_second = df.groupBy(*keys, seconds_col).agg(F.count(id_col).alias("_n"))
+    per_second = per_second.withColumn("_week", F.floor(F.col(seconds_col) / F.lit(part_seconds)))
+    weeks = per_second.groupBy(*keys, "_week").agg(F.sum("_n").alias("_all"))
+    earlier = Window.partitionBy(*keys).orderBy("_week").rowsBetween(Window.unboundedPreceding, -1)
+    weeks = weeks.select(*keys, "_week", F.coalesce(F.sum("_all").over(earlier), F.lit(0)).alias("_before"))
+    inside = (Window.partitionBy(*keys, "_week").orderBy(seconds_col)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    own = per_second.withColumn("_upto", F.sum("_n").over(inside))
+    return _attach(own, weeks, [*keys, "_week"]).select(
+        *keys, seconds_col, (F.col("_upto") + F.col("_before")).alias(out))
+
+
 def merchant_category_profiling(df: DataFrame, *, customer_col: str = CUSTOMER,
                                 category_col: str = CATEGORY, id_col: str = TXN_ID,
                                 out: str = "merchant_category_count",
-                                method: str = "grouped") -> DataFrame:
-    """Count of ``id_col`` per (customer, category) over the whole group, on every row."""
+                                method: str = "grouped", running: bool = False,
+                                seconds_col: str = SECONDS) -> DataFrame:
+    """Count of ``id_col`` per (customer, category) over the whole group, on every row.
+
+    The whole group includes later rows.  With ``running=True`` a row counts only what its
+    customer and category had up to its own second (rows of one second are peers, null
+    seconds come first); this adds ``timestamp_seconds``.
+    """
+    if running:
+        df = with_timestamp_seconds(df, seconds_col=seconds_col)
+        counts = running_category_counts(df, customer_col=customer_col, category_col=category_col,
+                                         id_col=id_col, out=out, seconds_col=seconds_col)
+        return _attach(df, counts, [customer_col, category_col, seconds_col])
     if method == "direct":
         return df.withColumn(
             out, F.count(id_col).over(Window.partitionBy(customer_col, category_col)))
@@ -236,7 +260,7 @@ def full_feature_engineering(df: DataFrame, *, customer_col: str = CUSTOMER,
                              timestamp_col: str = TIMESTAMP, id_col: str = TXN_ID,
                              amount_col: str = AMOUNT, category_col: str = CATEGORY,
                              window_seconds: int = VELOCITY_WINDOW_SECONDS,
-                             amount_scale: int | None = MONEY_SCALE,
+                             amount_scale: int | None = None,
                              method: str = "bucketed") -> DataFrame:
     """Seconds, both velocities, category profile, time patterns -- in the reference's order.
 

@@ -28,18 +28,18 @@ def prepare_training(df: DataFrame, feature_columns: Sequence[str] = FEATURE_COL
 
 
 def logistic(label_col: str = LABEL_COLUMN, weight_col: str | None = WEIGHT_COLUMN,
-             max_iter: int = MAX_ITER, reg_param: float = 0.0) -> LogisticRegression:
+             max_iter: int = MAX_ITER, reg_param: float = 0.0, tol: float = 1e-6) -> LogisticRegression:
     """The reference's estimator: weighted, L2 (elasticNet 0), threshold 0.5, standardised."""
     kw = {"weightCol": weight_col} if weight_col else {}
     return LogisticRegression(featuresCol="features", labelCol=label_col, maxIter=max_iter,
-                              regParam=reg_param, **kw)
+                              regParam=reg_param, tol=tol, **kw)
 
 
 def fit_logistic(df: DataFrame, label_col: str = LABEL_COLUMN,
                  weight_col: str | None = WEIGHT_COLUMN, max_iter: int = MAX_ITER,
-                 reg_param: float = 0.0) -> LogisticRegressionModel:
+                 reg_param: float = 0.0, tol: float = 1e-6) -> LogisticRegressionModel:
     """L2: one weighted logistic-regression fit."""
-    return logistic(label_col, weight_col, max_iter, reg_param).fit(df)
+    return logistic(label_col, weight_col, max_iter, reg_param, tol).fit(df)
 
 
 @dataclass
@@ -60,9 +60,11 @@ def train_with_cv(df: DataFrame, label_col: str = LABEL_COLUMN,
                   weight_col: str | None = WEIGHT_COLUMN,
                   reg_params: Sequence[float] = REG_PARAMS, num_folds: int = NUM_FOLDS,
                   max_iter: int = MAX_ITER, seed: int = CV_SEED,
-                  parallelism: int = CV_PARALLELISM) -> CVResult:
+                  parallelism: int = CV_PARALLELISM, fold_col: str | None = None) -> CVResult:
     """L3: grid over ``regParam``, k-fold CV on area under ROC, refit the best on all rows.
 
+    Folds are random by ``seed``, or given by ``fold_col`` (integers from 0 to
+    ``num_folds - 1``), which makes them independent of the data's layout.
     The training rows are persisted (memory, spilling to disk) for the
     ``len(grid) * folds + 1`` fits and released afterwards.
     """
@@ -70,9 +72,11 @@ def train_with_cv(df: DataFrame, label_col: str = LABEL_COLUMN,
     grid = ParamGridBuilder().addGrid(lr.regParam, list(reg_params)).build()
     evaluator = BinaryClassificationEvaluator(labelCol=label_col, metricName="areaUnderROC")
     cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=evaluator,
-                        numFolds=num_folds, seed=seed, parallelism=parallelism)
+                        numFolds=num_folds, seed=seed, parallelism=parallelism,
+                        **({"foldCol": fold_col} if fold_col else {}))
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        cached.count()  # fill the cache once, before fits run side by side
         cv_model = cv.fit(cached)
     finally:
         cached.unpersist()

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import SPLIT_SEED, SPLIT_WEIGHTS
+from ..constants import SPLIT_BUCKETS, SPLIT_SEED, SPLIT_WEIGHTS
 
 
 def random_split(df: DataFrame, weights: Sequence[float] = SPLIT_WEIGHTS,
@@ -25,22 +25,22 @@ def random_split(df: DataFrame, weights: Sequence[float] = SPLIT_WEIGHTS,
 
 
 def split_bucket(key: str | Column, seed: int = SPLIT_SEED) -> Column:
-    """Integer in [0, 100) from ``md5(key || ':' || seed)`` -- layout-independent."""
+    """Integer in [0, SPLIT_BUCKETS) from ``md5(key || ':' || seed)`` -- layout-independent."""
     k = F.col(key) if isinstance(key, str) else key
     digest = F.md5(F.concat(k.cast("string"), F.lit(f":{seed}")))
-    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(100))
+    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(SPLIT_BUCKETS))
 
 
-def stable_split(df: DataFrame, key: str = "transaction_id", percent: int = 80,
+def stable_split(df: DataFrame, key: str = "transaction_id", percent: float = 80,
                  seed: int = SPLIT_SEED, label_col: str | None = None,
                  labels: tuple[str, str] = ("train", "inference")) -> DataFrame | tuple:
-    """Deterministic split by key hash.
+    """Deterministic split by key hash; ``percent`` may have up to four decimals.
 
     With ``label_col`` the rows come back in one table with a split label column;
     without, as a (first, second) pair of filtered tables.  A null key goes to the
     second side.
     """
-    inside = split_bucket(key, seed) < F.lit(percent)
+    inside = split_bucket(key, seed) < F.lit(round(percent * SPLIT_BUCKETS / 100))
     inside = F.coalesce(inside, F.lit(False))
     if label_col is not None:
         return df.withColumn(

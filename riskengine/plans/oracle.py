@@ -3,7 +3,7 @@
 Rules that keep the two engines bit-equal:
 * epoch seconds are ``CAST(floor(epoch(ts)) AS BIGINT)`` (a bare cast rounds);
 * ``dayofweek`` is ``extract(dow) + 1`` (1 = Sunday);
-* money is summed as ``DECIMAL(18, 2)`` and cast to double, as on the Spark side.
+* amounts are summed as doubles and rounded to 6 places on both sides.
 """
 
 from __future__ import annotations
@@ -29,13 +29,13 @@ FROM with_secs"""
 
 ORACLE["amount_velocity"] = f"""{_WITH_SECS}
 SELECT {_RAW}, timestamp_seconds,
-       CAST(SUM(CAST(amount AS DECIMAL(18, 2))) OVER ({_FRAME}) AS DOUBLE) AS amount_velocity
+       round(SUM(amount) OVER ({_FRAME}), 6) AS amount_velocity
 FROM with_secs"""
 
 ORACLE["velocity_features"] = f"""{_WITH_SECS}
 SELECT {_RAW}, timestamp_seconds,
        COUNT(transaction_id) OVER ({_FRAME}) AS transaction_velocity,
-       CAST(SUM(CAST(amount AS DECIMAL(18, 2))) OVER ({_FRAME}) AS DOUBLE) AS amount_velocity
+       round(SUM(amount) OVER ({_FRAME}), 6) AS amount_velocity
 FROM with_secs"""
 
 ORACLE["category_profile"] = f"""WITH {SQL_TRANSACTIONS}
@@ -44,6 +44,12 @@ SELECT {_RAW},
          AS merchant_category_count
 FROM transactions"""
 
+ORACLE["category_profile_running"] = f"""{_WITH_SECS}
+SELECT {_RAW}, timestamp_seconds,
+       COUNT(transaction_id) OVER (PARTITION BY customer_id, merchant_category ORDER BY timestamp_seconds
+                                   RANGE UNBOUNDED PRECEDING) AS merchant_category_count
+FROM with_secs"""
+
 _TIME = ('CAST(hour("timestamp") AS INTEGER) AS hour_of_day, '
          'CAST(extract(dow FROM "timestamp") + 1 AS INTEGER) AS day_of_week')
 
@@ -59,7 +65,7 @@ with_secs AS (SELECT *, {_SECS} AS timestamp_seconds FROM {rows}),
 features AS (
   SELECT {_RAW}, timestamp_seconds,
          COUNT(transaction_id) OVER ({_FRAME}) AS transaction_velocity,
-         CAST(SUM(CAST(amount AS DECIMAL(18, 2))) OVER ({_FRAME}) AS DOUBLE) AS amount_velocity,
+         round(SUM(amount) OVER ({_FRAME}), 6) AS amount_velocity,
          COUNT(transaction_id) OVER (PARTITION BY customer_id, merchant_category)
            AS merchant_category_count,
          {_TIME}
@@ -96,8 +102,8 @@ SELECT {_RAW} FROM transactions WHERE CAST(is_fraud AS INTEGER) = 1"""
 
 def _in_first_side(key: str, seed: int = 42, percent: int = 80) -> str:
     bucket = (f"CAST(('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{seed}'), 1, 8)) AS BIGINT)"
-              " % 100")
-    return f"coalesce({bucket} < {percent}, false)"
+              " % 1000000")
+    return f"coalesce({bucket} < {percent * 10000}, false)"
 
 
 def _split_sql(key: str, seed: int = 42, percent: int = 80) -> str:
@@ -144,7 +150,12 @@ def _describe_part(c: str, text: bool = False) -> str:
     x = f"CAST({c} AS DOUBLE)"
     return (f"SELECT '{c}' AS \"column\", count({c}) AS count, round(avg({x}), 6) AS mean, "
             f"round(stddev_samp({x}), 6) AS stddev, min({x}) AS min, max({x}) AS max, "
-            f"NULL::VARCHAR AS min_text, NULL::VARCHAR AS max_text FROM transactions")
+            f"{_exact_text(c, 'min')} AS min_text, {_exact_text(c, 'max')} AS max_text FROM transactions")
+
+
+def _exact_text(c: str, which: str) -> str:
+    """The extreme's text for integer columns, null for the two columns of doubles."""
+    return "NULL::VARCHAR" if c in ("amount", "amount_velocity") else f"CAST({which}({c}) AS VARCHAR)"
 
 
 ORACLE["describe"] = f"""WITH {SQL_TRANSACTIONS}
@@ -298,7 +309,9 @@ SELECT prediction, count(*) AS count FROM scored GROUP BY prediction"""
 
 # --- names from the survey's plan ---------------------------------------------------
 
-ORACLE["velocity_bucketed"] = ORACLE["velocity_features"]
+ORACLE["velocity_bucketed"] = ORACLE["velocity_features"].replace(
+    "with_secs AS (SELECT *,", "with_secs AS (SELECT * REPLACE (CAST(CASE WHEN transaction_id % 3 = 0 THEN -1 "
+    "ELSE customer_id END AS BIGINT) AS customer_id),")
 ORACLE["feature_round_trip"] = ORACLE["feature_engineering"]
 
 # --- the deterministic parts of the learning queries ---------------------------------
@@ -319,3 +332,61 @@ FROM train, c"""
 ORACLE["scored_rows"] = f"""WITH {SQL_TRANSACTIONS}
 SELECT transaction_id, customer_id, true AS has_prediction
 FROM transactions WHERE NOT {_in_first_side('transaction_id')}"""
+
+# Saturated model: a row's probability is its category's weighted fraud rate.
+ORACLE["score_saturated"] = f"""{_TRAIN_SIDE},
+weighted AS (SELECT merchant_category, CAST(is_fraud AS INTEGER) AS y,
+                    CASE WHEN is_fraud THEN CAST(total AS DOUBLE) / (2 * positive)
+                         ELSE CAST(total AS DOUBLE) / (2 * negative) END AS w FROM train, c),
+rate AS (SELECT merchant_category, sum(w * y) / sum(w) AS p FROM weighted GROUP BY merchant_category)
+SELECT transaction_id, customer_id, round(1 - p, 5) AS prob_0, round(p, 5) AS prob_1,
+       CAST(p > 0.5 AS DOUBLE) AS prediction
+FROM transactions JOIN rate USING (merchant_category) WHERE NOT {_in_first_side('transaction_id')}"""
+ORACLE["scoring_saturated_via_files"] = ORACLE["score_saturated"]
+
+_BITS = "CAST(('0x' || substr(md5(CAST(transaction_id AS VARCHAR)), 1, 8)) AS BIGINT)"
+
+
+def _auc_of(source: str, by: str = "") -> str:
+    """AUC of ``noisy_amount`` for ``is_fraud`` in ``source`` (by a column): ties count half."""
+    part, keep = (f"PARTITION BY {by}", f"{by},") if by else ("", "")
+    return f"""SELECT {keep} sum(pos * (coalesce(below, 0) + neg / 2.0)) / (sum(pos) * sum(neg)) AS auc
+  FROM (SELECT {keep} pos, neg, sum(neg) OVER ({part} ORDER BY noisy_amount
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS below
+        FROM (SELECT {keep} noisy_amount, CAST(count(*) FILTER (WHERE is_fraud) AS DOUBLE) AS pos,
+                     CAST(count(*) FILTER (WHERE NOT is_fraud) AS DOUBLE) AS neg
+              FROM {source} GROUP BY ALL)) {f"GROUP BY {by}" if by else ""}"""
+
+
+_ONE_FEATURE = f"""WITH {SQL_TRANSACTIONS},
+noisy AS (SELECT *, floor(amount / 20) + {_BITS} % 10 AS noisy_amount, ({_BITS} // 16) % 3 AS fold,
+                 {_in_first_side('transaction_id')} AS first_side FROM transactions),
+train AS (SELECT * FROM noisy WHERE first_side), inference AS (SELECT * FROM noisy WHERE NOT first_side),
+cv AS (SELECT round(avg(auc), 9) AS avg_auc FROM ({_auc_of('train', 'fold')})),
+grid AS (SELECT * FROM (VALUES (0.01::DOUBLE, true), (0.1::DOUBLE, false), (1.0::DOUBLE, false)) g(reg_param, is_best))"""
+
+ORACLE["cv_one_feature"] = f"""{_ONE_FEATURE}
+SELECT reg_param, avg_auc, is_best FROM grid, cv"""
+ORACLE["training_one_feature_via_files"] = f"""{_ONE_FEATURE}
+SELECT reg_param, avg_auc, is_best, round(auc, 9) AS model_auc FROM grid, cv, ({_auc_of('train')})"""
+ORACLE["model_auc_one_feature"] = f"""{_ONE_FEATURE}
+SELECT 'train' AS rows, round(auc, 9) AS auc FROM ({_auc_of('train')})
+UNION ALL SELECT 'inference', round(auc, 9) FROM ({_auc_of('inference')})"""
+
+ORACLE["distinct_weights"] = f"""WITH w AS ({ORACLE["training_weights"]})
+SELECT DISTINCT is_fraud, class_weight FROM w"""
+
+# The random split's rows are its own; that each id is on one side, and the share, are not.
+ORACLE["random_split_via_files"] = f"""WITH {SQL_TRANSACTIONS}
+SELECT transaction_id, CAST(1 AS BIGINT) AS sides, true AS share_ok FROM transactions"""
+
+ORACLE["describe_exact"] = f"""WITH {SQL_TRANSACTIONS}, far AS (
+SELECT transaction_id * 2 + 9007199254740993 AS far_id FROM transactions)
+SELECT 'far_id' AS "column", count(far_id) AS count, CAST(min(far_id) AS VARCHAR) AS min_text,
+       CAST(max(far_id) AS VARCHAR) AS max_text FROM far"""
+
+_CONTINUOUS = f"""WITH {SQL_TRUTH},
+joined AS (SELECT is_fraud, CAST({_BITS} AS DOUBLE) / 4294967296.0::DOUBLE AS prob_1 FROM truth)"""
+ORACLE["histogram_continuous"] = _histogram_sql(_CONTINUOUS)
+ORACLE["auc_continuous"] = f"""{_CONTINUOUS},
+{_AUC}"""

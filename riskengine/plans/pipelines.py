@@ -18,7 +18,7 @@ from ..operators import features as feat
 from ..operators import learning as ml
 from ..operators import prepare as prep
 from ..operators import sampling
-from ..session import materialize, scratch_path
+from ..session import drop_scratch, materialize, scratch_path
 from ..sources import io
 
 SCORED_CASTS = {"prob_0": "double", "prob_1": "double", "prediction": "double"}
@@ -33,7 +33,7 @@ def feature_pipeline(spark: SparkSession, input_path: str, output_path: str,
     The feature plan reads its input three times (per-second answers, category
     counts, the rows themselves).  With ``stage_input`` the parsed rows are first
     written once as parquet in the shared checkpoint folder, so the text is parsed
-    once and the three reads are pruned columnar scans.
+    once and the three reads are pruned columnar scans; the copy is removed at the end.
     """
     raw = prep.preprocess(io.read_transactions(spark, input_path, schema))
     if stage_input:
@@ -42,6 +42,8 @@ def feature_pipeline(spark: SparkSession, input_path: str, output_path: str,
         raw = spark.read.parquet(staged)
     features = feat.full_feature_engineering(raw)
     io.write_features(features, output_path, fmt)
+    if stage_input:
+        drop_scratch(spark, staged)
     return output_path
 
 
@@ -50,17 +52,25 @@ def split_pipeline(spark: SparkSession, input_path: str, train_path: str,
                    stable_key: str | None = None,
                    schema=io.TRANSACTION_SCHEMA) -> tuple[str, str]:
     """Q2: raw CSV -> two CSVs.  ``stable_key=None`` is the reference's random split;
-    a key column gives the layout-independent hash split (X2)."""
+    a key column gives the layout-independent hash split (X2) of two sides.  Weights
+    are normalised by their sum."""
     raw = io.read_transactions(spark, input_path, schema)
     if stable_key is None:
         train, inference = sampling.random_split(raw, weights, seed)
     else:
-        train, inference = sampling.stable_split(raw, stable_key, round(weights[0] * 100), seed)
+        train, inference = sampling.stable_split(raw, stable_key, split_percent(weights), seed)
     io.write_csv(train, train_path)
     io.write_csv(inference, inference_path)
     return train_path, inference_path
 
 
+def split_percent(weights) -> float:
+    """The first side's share of two weights, in percent."""
+    if len(weights) != 2 or min(weights) < 0 or sum(weights) <= 0:
+        raise ValueError(f"a stable split takes two weights, not {tuple(weights)}")
+    return 100 * weights[0] / sum(weights)
+
+
 @dataclass
 class TrainingResult:
     cv: ml.CVResult
@@ -76,9 +86,9 @@ def training_frame(features: DataFrame, feature_columns=FEATURE_COLUMNS,
 
 
 def training_pipeline(spark: SparkSession, features_path: str, model_path: str | None,
-                      fmt: str = "parquet", **cv_kw) -> TrainingResult:
+                      fmt: str = "parquet", feature_columns=FEATURE_COLUMNS, **cv_kw) -> TrainingResult:
     """Q3: feature table -> L1 -> A2 -> L3 -> L5 -> saved model."""
-    data = training_frame(io.read_features(spark, features_path, fmt))
+    data = training_frame(io.read_features(spark, features_path, fmt), feature_columns)
     cv = ml.train_with_cv(data, **cv_kw)
     auc = ml.auc_model(cv.model, data)
     if model_path:
@@ -140,7 +150,7 @@ def evaluation(scored: DataFrame, labels: DataFrame) -> EvaluationResult:
     """Q7 core: J1 -> A6 -> A7, and A8 over the joined probabilities.
 
     The joined table (read from two CSV files and joined) feeds two jobs -- the
-    metrics and the histogram's value counts -- so it is materialised once."""
+    metrics and the histogram -- so it is materialised once."""
     joined = materialize(ev.join_truth(
         scored.select("transaction_id", "prob_1", "prediction"), labels))
     return EvaluationResult(ev.evaluate_predictions(joined),

@@ -6,6 +6,7 @@ Library operators never build a session; they take the caller's. Only tests,
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -75,18 +76,47 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_SCRATCH: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder for written tables."""
+    """A fresh, unique path under the shared checkpoint folder for written tables.
+
+    Its caller removes it with :func:`drop_scratch` after the last read.  A table that a
+    returned, lazy result still reads has no such moment in the library: it is removed
+    when the program ends, with whatever else is left.
+    """
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.add(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession, *paths: str) -> None:
+    """Remove scratch tables (paths from :func:`scratch_path`) through Spark's file system."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
+        _SCRATCH.discard(path)
+
+
+@atexit.register
+def _sweep() -> None:
+    spark = SparkSession.getActiveSession()
+    try:
+        if spark is not None:
+            drop_scratch(spark, *list(_SCRATCH))
+    except Exception:  # noqa: BLE001 -- the session is gone: its checkpoint folder's owner clears it
+        pass
 
 
 def materialize(df):
-    """Write ``df`` once to the checkpoint folder and return a table that reads it back.
+    """Write ``df`` once to the shared folder and return a table that reads it back.
 
-    Used where one derived table feeds several jobs (a count, a quantile pass and
-    the final plan), so its upstream joins and shuffles run once.  A reliable
-    checkpoint: the files survive the loss of any executor.
+    Used where one derived table feeds several jobs, so its upstream joins and shuffles
+    run once.  Readers get column pruning, and the files survive the loss of any executor.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -81,7 +81,7 @@ def write_features(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "
                    partition_by: list[str] | None = None) -> None:
     """Write a feature table; an empty path is an error."""
     if not path:
-        raise ValueError("Output path cannot be empty.")
+        raise ValueError("write_features needs a path to write to")
     writer = df.write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

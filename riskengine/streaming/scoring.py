@@ -20,7 +20,7 @@ from ..constants import FEATURE_COLUMNS
 from ..operators import aggregates as agg
 from ..operators import learning as ml
 from ..operators import prepare as prep
-from ..session import scratch_path
+from ..session import drop_scratch, scratch_path
 
 
 def read_feature_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
@@ -60,17 +60,21 @@ def start_file_sink(scored: DataFrame, output_path: str, fmt: str = "parquet",
 def start_table_sink(aggregated: DataFrame, output_path: str, fmt: str = "parquet",
                      checkpoint_location: str | None = None,
                      available_now: bool = True) -> StreamingQuery:
-    """Keep the current result of a running aggregate in a table.
+    """Keep the current result of a running aggregate as a table.
 
-    Each micro-batch overwrites ``output_path`` with the complete aggregate (one
-    row per group), so the table always holds the latest counts; the rewrite is
-    idempotent, so a replayed batch after a failure writes the same table.
+    Each micro-batch writes the complete aggregate (one row per group) to a folder of its
+    own under ``output_path``; :func:`read_table_sink` reads the last complete one, so a
+    reader never meets a table that is being replaced.  A batch replayed after a failure
+    writes the same folder again; older folders than the last two are removed.
     """
     spark = aggregated.sparkSession
     checkpoint = checkpoint_location or scratch_path(spark, "counts-stream")
 
-    def write(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.format(fmt).mode("overwrite").save(output_path)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.format(fmt).mode("overwrite").save(_batch_path(output_path, batch_id))
+        for old in _batches(spark, output_path):
+            if old < batch_id - 1:
+                drop_scratch(spark, _batch_path(output_path, old))
 
     writer = (aggregated.writeStream.outputMode("complete").foreachBatch(write)
               .option("checkpointLocation", checkpoint))
@@ -78,6 +82,23 @@ def start_table_sink(aggregated: DataFrame, output_path: str, fmt: str = "parque
     return writer.start()
 
 
+def _batch_path(output_path: str, batch_id: int) -> str:
+    return f"{output_path}/batch-{batch_id:012d}"
+
+
+def _batches(spark: SparkSession, output_path: str) -> list[int]:
+    """Ids of the complete batches in a table sink's folder, in order."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    done = jvm.org.apache.hadoop.fs.Path(f"{output_path}/batch-*/_SUCCESS")
+    found = done.getFileSystem(conf).globStatus(done) or []
+    return sorted(int(f.getPath().getParent().getName().removeprefix("batch-")) for f in found)
+
+
+def read_table_sink(spark: SparkSession, output_path: str, fmt: str = "parquet") -> DataFrame:
+    """The last complete result that :func:`start_table_sink` published in ``output_path``."""
+    return spark.read.format(fmt).load(_batch_path(output_path, _batches(spark, output_path)[-1]))
+
+
 def run_to_end(query: StreamingQuery, timeout_s: int = 900) -> None:
     """Wait for an ``availableNow`` query to finish; stop it and fail after ``timeout_s``."""
     if not query.awaitTermination(timeout_s):

@@ -1,4 +1,4 @@
-"""Aggregates and evaluation: the reference's exact expectations, rules 7-9 and 11,
+"""Aggregates and evaluation: fixed expectations, rules 7-9 and 11,
 exact AUC against brute force and MLlib, histogram against numpy."""
 
 from __future__ import annotations
@@ -12,6 +12,13 @@ from riskengine.operators import aggregates as agg
 from riskengine.operators import evaluation as ev
 
 
+# --- fixed values (inputs and results that must equal the reference's) ----------
+FIXED_LABELS = [0, 1, 0]
+FIXED_COUNTS = (50, 10, 30, 10)                       # TP, FP, TN, FN
+FIXED_METRICS = {"accuracy": 0.8, "precision": 0.8333, "recall": 0.8333, "f1_score": 0.8333}
+FIXED_SCORES = [(1.0, 0.9), (0.0, 0.2), (1.0, 0.8), (0.0, 0.1)]   # AUC 1
+
+
 # --- class balance ------------------------------------------------------------
 
 def test_class_weight_values_and_null_label(spark):
@@ -22,16 +29,16 @@ def test_class_weight_values_and_null_label(spark):
     assert out == {(1, 5 / 2), (0, 5 / 6), (None, 5 / 6)}   # null takes the negative weight
 
 
-def test_class_weight_absent_class_and_empty(spark):
-    with pytest.raises(ValueError):
-        agg.add_class_weight(spark.createDataFrame([(0,), (0,)], "is_fraud int"))
+def test_class_weight_is_lazy_and_fails_on_an_absent_class(spark):
+    one_class = agg.add_class_weight(spark.createDataFrame([(0,), (0,)], "is_fraud int"))
+    with pytest.raises(Exception, match="class absent"):
+        one_class.collect()
     empty = agg.add_class_weight(spark.createDataFrame([], "is_fraud int"))
     assert empty.count() == 0 and dict(empty.dtypes)["class_weight"] == "double"
 
 
 def test_class_weight_one_weight_per_class(spark):
-    # the reference's 3-row fixture: labels 0, 1, 0
-    df = spark.createDataFrame([(0,), (1,), (0,)], "is_fraud int")
+    df = spark.createDataFrame([(x,) for x in FIXED_LABELS], "is_fraud int")
     w = agg.add_class_weight(df)
     assert w.select("class_weight").distinct().count() == 2
     assert {r[0]: r[1] for r in w.distinct().collect()} == {0: 0.75, 1: 1.5}
@@ -62,7 +69,15 @@ def test_describe_numeric_and_text_columns(spark):
     assert (rows["n"]["count"], rows["n"]["mean"], rows["n"]["min"], rows["n"]["max"]) == (
         2, 2.0, 1.0, 3.0)
     assert (rows["cat"]["count"], rows["cat"]["min_text"], rows["cat"]["max_text"]) == (2, "a", "b")
-    assert rows["cat"]["mean"] is None and rows["n"]["min_text"] is None
+    assert rows["cat"]["mean"] is None
+    assert (rows["n"]["min_text"], rows["n"]["max_text"]) == ("1", "3")   # exact integers as text
+
+
+def test_describe_keeps_integers_beyond_doubles(spark):
+    big = 2 ** 53
+    df = spark.createDataFrame([(big + 1,), (big + 3,)], "id long")
+    row = agg.describe(df).first()
+    assert (row["min_text"], row["max_text"]) == (str(big + 1), str(big + 3))
 
 
 def test_summaries_of_no_columns_are_empty(spark):
@@ -71,10 +86,9 @@ def test_summaries_of_no_columns_are_empty(spark):
     assert agg.feature_distribution(df, []).count() == 0
 
 
-def test_prediction_distribution(spark):
-    # the reference's fixture: three 0.0, two 1.0
-    df = spark.createDataFrame([(0.0,), (0.0,), (0.0,), (1.0,), (1.0,)], "prediction double")
-    assert {r[0]: r[1] for r in agg.prediction_distribution(df).collect()} == {0.0: 3, 1.0: 2}
+def test_prediction_distribution_counts_a_null_class(spark):
+    df = spark.createDataFrame([(1.0,), (None,), (0.0,), (1.0,), (1.0,), (None,)], "prediction double")
+    assert {r[0]: r[1] for r in agg.prediction_distribution(df).collect()} == {0.0: 1, 1.0: 3, None: 2}
 
 
 @pytest.mark.parametrize("values", [
@@ -100,6 +114,13 @@ def test_histogram_skips_nan(spark):
     assert min(r["lower"] for r in got) == 0.1 and max(r["upper"] for r in got) == 0.9
 
 
+@pytest.mark.parametrize("bad", [float("inf"), float("-inf")])
+def test_histogram_of_infinite_values_fails_as_in_numpy(spark, bad):
+    df = spark.createDataFrame([(0.1,), (bad,)], "prob_1 double")
+    with pytest.raises(ValueError):
+        agg.probability_histogram(df)
+
+
 def test_histogram_empty(spark):
     df = spark.createDataFrame([], "prob_1 double")
     got = agg.probability_histogram(df).collect()
@@ -116,12 +137,10 @@ def test_confusion_matrix_one_of_each(spark):
 
 
 def test_metrics_reference_numbers(spark):
-    cm = spark.createDataFrame([(50, 10, 30, 10)], "tp long, fp long, tn long, fn long")
+    cm = spark.createDataFrame([FIXED_COUNTS], "tp long, fp long, tn long, fn long")
     r = ev.classification_metrics(cm).first()
-    assert r["accuracy"] == pytest.approx(0.8)
-    assert r["precision"] == pytest.approx(0.8333, abs=1e-4)
-    assert r["recall"] == pytest.approx(0.8333, abs=1e-4)
-    assert r["f1_score"] == pytest.approx(0.8333, abs=1e-4)
+    for name, want in FIXED_METRICS.items():
+        assert r[name] == pytest.approx(want, abs=1e-4)
 
 
 def test_metrics_guards_and_nulls(spark):
@@ -147,14 +166,13 @@ def brute_auc(pairs):
 
 
 def test_auc_reference_fixture_is_one(spark):
-    df = spark.createDataFrame([(1.0, 0.9), (0.0, 0.2), (1.0, 0.8), (0.0, 0.1)],
-                               "is_fraud double, prob_1 double")
+    df = spark.createDataFrame(FIXED_SCORES, "is_fraud double, prob_1 double")
     assert ev.auc_exact(df).first()["auc"] == 1.0
     assert ev.auc_binned(df) == 1.0
 
 
-@pytest.mark.parametrize("seed,rows_per_bucket", [(1, 7), (2, 50), (3, 1_000_000)])
-def test_auc_exact_against_brute_force_and_mllib(spark, seed, rows_per_bucket):
+@pytest.mark.parametrize("seed,parts", [(1, 80), (2, 7), (3, 1)])
+def test_auc_exact_against_brute_force_and_mllib(spark, seed, parts):
     rnd = random.Random(seed)
     pairs = []
     for _ in range(600):
@@ -163,7 +181,7 @@ def test_auc_exact_against_brute_force_and_mllib(spark, seed, rows_per_bucket):
         pairs.append((y, s))
     pairs += [(None, 0.5), (1.0, None), (2.0, 0.4)]       # not usable: left out
     df = spark.createDataFrame(pairs, "is_fraud double, prob_1 double")
-    got = ev.auc_exact(df, rows_per_bucket=rows_per_bucket).first()["auc"]
+    got = ev.auc_exact(df, partitions=parts).first()["auc"]
     clean = [(y, s) for y, s in pairs if y in (0.0, 1.0) and s is not None]
     assert got == pytest.approx(brute_auc(clean), rel=1e-12)
     mllib = ev.auc_binned(spark.createDataFrame(clean, "is_fraud double, prob_1 double"),
@@ -174,7 +192,7 @@ def test_auc_exact_against_brute_force_and_mllib(spark, seed, rows_per_bucket):
 def test_auc_skips_nan_scores(spark):
     df = spark.createDataFrame([(1.0, 0.9), (0.0, 0.2), (1.0, float("nan")), (0.0, 0.5)],
                                "is_fraud double, prob_1 double")
-    assert ev.auc_exact(df, rows_per_bucket=1).first()["auc"] == 1.0
+    assert ev.auc_exact(df, partitions=5).first()["auc"] == 1.0
 
 
 def test_auc_all_scores_equal_is_half(spark):
@@ -183,10 +201,10 @@ def test_auc_all_scores_equal_is_half(spark):
     assert ev.auc_exact(df).first()["auc"] == 0.5
 
 
-def test_auc_few_scores_with_tiny_buckets(spark):
-    """Two distinct scores and one score per bucket asked for: one bucket suffices."""
+def test_auc_fewer_scores_than_partitions(spark):
+    """Two distinct scores over five partitions: empty parts change nothing."""
     df = spark.createDataFrame([(1.0, 0.9), (0.0, 0.1), (0.0, 0.9)], "is_fraud double, prob_1 double")
-    assert ev.auc_exact(df, rows_per_bucket=1).first()["auc"] == 0.75
+    assert ev.auc_exact(df, partitions=5).first()["auc"] == 0.75
 
 
 def test_auc_single_class_is_null(spark):

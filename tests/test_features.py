@@ -5,7 +5,11 @@ from __future__ import annotations
 import datetime as dt
 import random
 
+import math
+
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 from riskengine.operators import features as feat
 from conftest import rows_of
 
@@ -28,6 +32,12 @@ def both_ways(df, fn, **kw):
     return fn(df, method="bucketed", **kw), fn(df, method="direct", **kw)
 
 
+def rounded(df, *cols):
+    """Rows with the amounts' sums to six places: the plain window sums doubles."""
+    sums = [c for c in ("amount_velocity",) if c in df.columns]
+    return rows_of(df.withColumns({c: F.round(c, 6) for c in sums}), *cols)
+
+
 EDGE_ROWS = [
     # id, customer, seconds, amount, category
     (1, 7, 0, 10.00, "a"),
@@ -48,7 +58,7 @@ def test_velocity_edges_match_reference_window(spark):
     got, ref = both_ways(df, feat.velocity_features)
     cols = ["transaction_id", "customer_id", "timestamp_seconds", "transaction_velocity",
             "amount_velocity"]
-    assert rows_of(got, *cols) == rows_of(ref, *cols)
+    assert rounded(got, *cols) == rounded(ref, *cols)
     by_id = {r["transaction_id"]: r for r in got.collect() if r["transaction_id"] is not None}
     assert by_id[1]["transaction_velocity"] == 1          # [-W, 0]: only itself (id null at 5 s is later)
     assert by_id[2]["transaction_velocity"] == 2          # rows 1 and 2 (the null id is not counted)
@@ -89,7 +99,7 @@ def test_bucketed_equals_direct_on_skewed_random_data(spark, seed):
     df = frame(spark, rows)
     got, ref = both_ways(df, feat.full_feature_engineering)
     assert got.columns == ref.columns
-    assert rows_of(got) == rows_of(ref)
+    assert rounded(got) == rounded(ref)
 
 
 def test_full_feature_columns_in_reference_order(spark):
@@ -113,20 +123,57 @@ def test_time_patterns_sunday_is_one(spark):
     assert [(r[1], r[2]) for r in got] == [(23, 7), (13, 1)]
 
 
-def test_reference_velocity_fixture(spark):
-    # Two rows of one customer, one day and one hour apart (the reference's test frame).
+def test_features_from_raw_text_rows(spark):
+    """Text timestamps and text ids through preprocess: a third row just outside the week."""
     df = spark.createDataFrame(
-        [("tx1", "CUST_1", "2024-01-01 10:00:00", 100.0, "grocery", "US", True),
-         ("tx2", "CUST_1", "2024-01-02 11:00:00", 200.0, "grocery", "US", False)],
-        "transaction_id string, customer_id string, timestamp string, amount double, "
-        "merchant_category string, merchant_country string, card_present boolean")
+        [("a", "C1", "2024-03-01 23:59:59", 12.5, "fuel"), ("b", "C1", "2024-03-05 00:00:00", 7.25, "fuel"),
+         ("c", "C1", "2024-03-09 00:00:00", 1.0, "books"), ("d", "C2", "2024-03-05 00:00:00", 3.0, "fuel")],
+        "transaction_id string, customer_id string, timestamp string, amount double, merchant_category string")
     from riskengine.operators.prepare import preprocess
-    out = feat.full_feature_engineering(preprocess(df))
-    got = {r["transaction_id"]: r for r in out.collect()}
-    assert got["tx1"]["transaction_velocity"] == 1 and got["tx2"]["transaction_velocity"] == 2
-    assert got["tx2"]["amount_velocity"] == 300.0
-    assert got["tx1"]["merchant_category_count"] == 2
-    assert got["tx2"]["hour_of_day"] == 11 and got["tx2"]["day_of_week"] == 3
+    got = {r["transaction_id"]: r for r in feat.full_feature_engineering(preprocess(df)).collect()}
+    assert [got[x]["transaction_velocity"] for x in "abcd"] == [1, 2, 2, 1]
+    assert [got[x]["amount_velocity"] for x in "abcd"] == [12.5, 19.75, 8.25, 3.0]
+    assert [got[x]["merchant_category_count"] for x in "abcd"] == [2, 2, 1, 1]
+    assert (got["a"]["hour_of_day"], got["a"]["day_of_week"]) == (23, 6)
+
+
+def test_amounts_are_not_rounded(spark):
+    rows = [(i, 1, i, 0.004, "a") for i in range(3)] + [(3, 2, 0, 1e17, "a"), (4, 2, 1, 0.1234567891, "a"),
+                                                        (5, 2, 2 * W, 0.000001, "a")]
+    got, ref = both_ways(frame(spark, rows), feat.amount_velocity)
+    assert rounded(got) == rounded(ref)
+    by_id = {r["transaction_id"]: r["amount_velocity"] for r in got.collect()}
+    assert [by_id[i] for i in range(3)] == [0.004, 0.008, 0.012]
+    assert by_id[3] == 1e17 and by_id[5] == 0.000001
+    cents = feat.amount_velocity(frame(spark, rows[:3]), amount_scale=2)
+    assert {r["amount_velocity"] for r in cents.collect()} == {0.0}    # only where it is asked for
+
+
+def test_nan_and_infinite_amounts_stay_in_their_frames(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(0, 1, 0, 1.0, "a"), (1, 1, 10, nan, "a"), (2, 1, 20, 2.0, "a"), (3, 1, W + 11, 4.0, "a"),
+            (4, 2, 0, inf, "a"), (5, 2, 5, 1.0, "a"), (6, 2, 9, -inf, "a"), (7, 2, W + 1, 3.0, "a"),
+            (8, 2, W + 10, 5.0, "a"), (9, 3, 0, None, "a"), (10, 4, 0, -1e18, "a"), (11, 4, W + 1, 2.5, "a")]
+    got, ref = both_ways(frame(spark, rows), feat.amount_velocity)
+    a, b = ({r["transaction_id"]: r["amount_velocity"] for r in x.collect()} for x in (got, ref))
+    same = lambda x, y: x == y or (x is not None and y is not None and math.isnan(x) and math.isnan(y))
+    assert all(same(a[i], b[i]) for i in range(10)), (a, b)
+    assert a[10] == -inf and a[11] == 2.5                # beyond the decimal: infinite, in its frame only
+
+
+def test_windows_of_amounts_have_a_stated_limit(spark):
+    with pytest.raises(ValueError):
+        feat.amount_velocity(frame(spark, EDGE_ROWS), window_seconds=feat.ODD_DIGIT)
+
+
+def test_running_category_profile_equals_the_plain_window(spark):
+    rnd = random.Random(5)
+    rows = EDGE_ROWS + [(100 + i, rnd.choice([7, 8, None]), rnd.choice([None, rnd.randrange(0, 5 * W), W]), 1.0,
+                         rnd.choice(["a", None])) for i in range(300)]
+    df = feat.with_timestamp_seconds(frame(spark, rows))
+    plain = Window.partitionBy("customer_id", "merchant_category").orderBy("timestamp_seconds")
+    want = df.withColumn("merchant_category_count", F.count("transaction_id").over(plain))
+    assert rows_of(feat.merchant_category_profiling(df, running=True)) == rows_of(want)
 
 
 def test_plan_has_no_customer_only_window(spark):
@@ -144,7 +191,7 @@ def test_a_third_of_rows_are_copies_of_one_row(spark):
     rows += [(999999, 3, W + 17, 42.42, "b")] * 500          # 500 copies of one transaction
     df = frame(spark, rows)
     got, ref = both_ways(df, feat.full_feature_engineering)
-    assert rows_of(got) == rows_of(ref)
+    assert rounded(got) == rounded(ref)
     copy = [r for r in got.collect() if r["transaction_id"] == 999999]
     assert len(copy) == 500 and len({tuple(r) for r in copy}) == 1
     assert copy[0]["transaction_velocity"] >= 500
@@ -157,7 +204,7 @@ def test_pre_1970_and_far_apart_times(spark):
             (6, 2, -2 * W, 6.0, "a"), (7, 2, -2 * W + 1, 7.0, "a")]
     df = frame(spark, rows)
     got, ref = both_ways(df, feat.full_feature_engineering)
-    assert rows_of(got) == rows_of(ref)
+    assert rounded(got) == rounded(ref)
     v = {r["transaction_id"]: r["transaction_velocity"] for r in got.collect()}
     # row 1 (-W-5) is just outside row 2's frame [-W-3, -3]; row 2 is outside row 4's
     assert (v[1], v[2], v[3], v[4], v[5], v[6], v[7]) == (1, 1, 2, 2, 1, 1, 2)

@@ -94,3 +94,18 @@ def test_stable_split_sends_null_keys_to_the_second_side(spark):
     assert None not in _ids(first) and None in [r[0] for r in second.collect()]
     labelled = sampling.stable_split(df, label_col="split").where("transaction_id IS NULL")
     assert labelled.first()["split"] == "inference"
+
+
+def test_split_weights_are_normalised():
+    from riskengine.plans.pipelines import split_percent
+    assert split_percent((4, 1)) == 80.0 and split_percent((0.805, 0.195)) == 80.5
+    for bad in ((1,), (0.6, 0.2, 0.2), (0, 0), (-1, 2)):
+        with pytest.raises(ValueError):
+            split_percent(bad)
+
+
+def test_stable_split_honours_fractions_of_a_percent(spark):
+    df = spark.range(40_000).withColumnRenamed("id", "transaction_id")
+    n = sampling.stable_split(df, percent=80.5)[0].count()
+    assert abs(n / 40_000 - 0.805) < 0.01
+    assert sampling.stable_split(df, percent=0.5)[0].count() in range(120, 290)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from riskengine.operators import evaluation as ev
-from riskengine.session import ensure_checkpoint_dir, materialize, scratch_path
+import os
+
+from riskengine.session import drop_scratch, ensure_checkpoint_dir, materialize, scratch_path
 
 
 def test_existing_checkpoint_dir_is_kept(spark):
@@ -27,6 +29,15 @@ def test_materialize_cuts_lineage(spark):
     assert "Range" not in plan                       # reads the checkpoint, not the source
 
 
+def test_scratch_is_removed_by_its_owner(spark):
+    path = scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    local = path.removeprefix("file:")
+    assert os.path.isdir(local)
+    drop_scratch(spark, path)
+    assert not os.path.exists(local)
+
+
 def test_auc_of_empty_input_is_null(spark):
     empty = spark.createDataFrame([], "is_fraud double, prob_1 double")
     assert ev.auc_exact(empty).first()["auc"] is None

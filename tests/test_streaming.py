@@ -42,3 +42,16 @@ def test_running_prediction_counts(spark):
     want = {r["prediction"]: r["count"] for r in
             scored.groupBy("prediction").count().collect()}
     assert got == want
+
+
+def test_table_sink_publishes_whole_results(spark):
+    """Three micro-batches: the last one's counts are read, and only the last two are kept."""
+    import os
+    base = tempfile.mkdtemp(prefix="riskengine-stream-")
+    scored = td.scored(spark, SF_SMALL)
+    scored.repartition(3).write.parquet(f"{base}/in")
+    incoming = spark.readStream.schema(scored.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    stream.run_to_end(stream.start_table_sink(stream.prediction_counts_stream(incoming), f"{base}/out",
+                                              checkpoint_location=f"{base}/ckpt"), 600)
+    assert rows_of(stream.read_table_sink(spark, f"{base}/out")) == rows_of(stream.prediction_counts_stream(scored))
+    assert len(os.listdir(f"{base}/out")) == 2
