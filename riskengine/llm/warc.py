@@ -37,6 +37,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 MANDATORY = ("warc-type", "warc-record-id", "warc-date", "content-length")
 
 ARCHIVE_BYTES = 16 << 20     # a new archive starts beyond this many payload bytes
+READERS = 10_000             # tasks that read archives
 SAMPLES, SAMPLE_BYTES = 256, 4 << 20
 DICTIONARY_BYTES, LEVEL = 16 << 10, 3
 CHUNK = 1 << 20
@@ -286,7 +287,9 @@ def read_pages(archives: DataFrame, payloads: bool = True) -> DataFrame:
                 if rows:
                     yield batch(rows)
 
-    return archives.repartition("path").mapInArrow(run, "page_id long, url string, payload binary, payload_bytes long, "
+    # a task for each archive, up to ``READERS`` at once: their names are too few bytes for Spark to spread by itself
+    tasks = max(1, min(READERS, archives.count()))
+    return archives.repartition(tasks, "path").mapInArrow(run, "page_id long, url string, payload binary, payload_bytes long, "
                                                    "payload_digest string, record_type string, refers_to long")
 
 
