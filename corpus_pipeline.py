@@ -18,8 +18,9 @@ from riskengine.llm.common import Scratch, table
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; those of no letter or of two near languages go."""
-    got = langid.identify(docs, langid.learn(docs), into="_language")
-    return got.where((F.col("_language.lang") != langid.UNKNOWN) & ~F.col("_language.ambiguous")).select(docs.columns)
+    rows = docs.select(F.struct("*").alias("d"), F.col("text"))  # a struct can't clash with the prediction's name
+    got = langid.identify(rows, langid.learn(docs))
+    return got.where((F.col("language.lang") != langid.UNKNOWN) & ~F.col("language.ambiguous")).select("d.*")
 
 
 def near_deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +30,10 @@ def near_deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts less the words of 50-word windows that start in an earlier document too."""
-    return substrings.cleaned_texts(docs, length=50).withColumn(
-        "n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    cleaned = substrings.cleaned_texts(docs, length=50)
+    if "n_chars" not in docs.columns:
+        return cleaned
+    return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -143,5 +143,5 @@ def without_contaminated(docs: DataFrame, items: DataFrame, length: int = 10, id
                          text_col: str = "text", **columns: str) -> DataFrame:
     """``docs`` less the documents that hold a benchmark window."""
     _, hit = hits(Scratch(docs.sparkSession, "decontam"), docs, items, length, id_col, text_col, **columns)
-    same = (F.col("_id").eqNullSafe(F.col(id_col)) & (F.col("_row") == F.xxhash64(F.col(text_col).cast("string"))))
-    return docs.join(hit.select("_id", "_row"), same, "left_anti")
+    same = hit["_id"].eqNullSafe(docs[id_col]) & (hit["_row"] == F.xxhash64(docs[text_col].cast("string")))
+    return docs.join(hit, same, "left_anti")

@@ -56,6 +56,8 @@ def gram_counts(text: bytes) -> np.ndarray:
 
 def codewords(k: int, seed: int = 3) -> np.ndarray:
     """``k`` codewords of +1 and -1: all distinct splits, or the best of seeded random codes."""
+    if k < 2:
+        return np.ones((k, 0))
     if k <= EXHAUSTIVE:
         splits = [[1] + [1 if (s >> i) & 1 else -1 for i in range(k - 1)] for s in range((1 << (k - 1)) - 1)]
         return np.array(splits, np.float64).reshape(-1, k).T

@@ -326,7 +326,7 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str =
     found = scratch.save(groups(scratch, docs, shingle, max_bits, id_col, text_col).select("doc_id", "row", "group"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("k")
     keep = scratch.save(found.groupBy("group").agg(first).select(F.col("k.doc_id").alias("_id"), F.col("k.row").alias("_row")))
-    same = F.col("_id").eqNullSafe(F.col(id_col).cast("long")) & (F.col("_row") == F.xxhash64(F.col(text_col).cast("string")))
+    same = keep["_id"].eqNullSafe(docs[id_col].cast("long")) & (keep["_row"] == F.xxhash64(docs[text_col].cast("string")))
     kept = docs.join(keep, same, "left_semi")
     rows = found.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row")), "left_semi")
     again = rows.groupBy("doc_id", "row").count().where("count > 1").limit(1).count()

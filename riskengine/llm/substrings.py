@@ -326,8 +326,9 @@ def cleaned_texts(docs: DataFrame, length: int = 50, id_col: str = "doc_id",
         return pa.array([None if s is None else b" ".join(_kept_words(t, s, length)[0]).decode()
                          for t, s in zip(text.to_pylist(), spans.to_pylist(), strict=True)], pa.string())
 
-    text = F.col(text_col).cast("string")
-    rows = docs.withColumns({"_doc": F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), "_row": F.xxhash64(text)})
-    rows = rows.join(spans.withColumnsRenamed({"doc": "_doc", "row": "_row"}), ["_doc", "_row"], "left")
+    # the row travels as one struct, so that none of its columns can clash with ours
+    rows = docs.select(F.struct("*").alias("d"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
+                       F.xxhash64(F.col(text_col).cast("string")).alias("row")).join(spans, ["doc", "row"], "left")
+    text = F.col(f"d.`{text_col}`").cast("string")
     stripped = F.coalesce(strip(F.when(F.col("spans").isNotNull(), text.cast("binary")), F.col("spans")), text)
-    return rows.withColumn(text_col, stripped).select(docs.columns)
+    return rows.select(*[stripped.alias(c) if c == text_col else F.col(f"d.`{c}`").alias(c) for c in docs.columns])
