@@ -36,7 +36,7 @@ from .langid import fold
 ORDER = 2
 TASK_TOKENS = 2_000_000        # tokens that a task tallies at once
 SCORE_BYTES = 3_000_000        # bytes of text that a task scores at once
-BUCKET_TOKENS = 4_000_000      # tokens of a bucket
+BUCKET_TOKENS = 1_000_000      # tokens of a bucket
 FILTER_BYTES = 32 << 20
 BITS_PER_ENTRY, PROBES = 12, 4
 COMMON = 1 << 18
@@ -293,7 +293,7 @@ def _score_tasks(shared, buckets: int):
 
 def _answer(_key, counts: pa.Table, asked: pa.Table) -> pa.Table:
     """Sums of log10(count + 1), and known tokens, by document row, for a bucket's requests."""
-    keys, n = unpacked(counts.column("keys").to_pylist(), counts.column("counts").to_pylist())
+    keys, n = unpacked(counts.column("keys").to_pylist(), counts.column("counts").to_pylist(), np.int64)
     rows, known, logs = [], [], []
     for r, k in zip(asked.column("rows").to_pylist(), asked.column("keys").to_pylist(), strict=True):
         r, k = np.frombuffer(r, np.int64), np.frombuffer(k, np.uint64)

@@ -170,10 +170,10 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def packed(keys: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """One row for each bucket that has keys: its sorted keys and counts as bytes."""
+    """One row for each bucket that has keys: its sorted keys and counts (of one task, 32 bits) as bytes."""
     cuts = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
     some = [i for i in range(buckets) if cuts[i] < cuts[i + 1]]
-    c32 = counts.astype(np.int64)
+    c32 = counts.astype(np.uint32)
     return pa.RecordBatch.from_arrays(
         [pa.array(some, pa.int32()),
          pa.array([keys[cuts[i]:cuts[i + 1]].tobytes() for i in some], pa.binary()),
@@ -181,9 +181,9 @@ def packed(keys: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch
         ["bucket", "keys", "counts"])
 
 
-def unpacked(keys: list[bytes], counts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def unpacked(keys: list[bytes], counts: list[bytes], kind=np.uint32) -> tuple[np.ndarray, np.ndarray]:
     """Merge packed rows of one bucket."""
-    return tally(np.frombuffer(b"".join(keys), np.uint64), np.frombuffer(b"".join(counts), np.int64))
+    return tally(np.frombuffer(b"".join(keys), np.uint64), np.frombuffer(b"".join(counts), kind).astype(np.int64))
 
 
 def union_all(tables: list[DataFrame]) -> DataFrame:
