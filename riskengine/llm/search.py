@@ -31,11 +31,11 @@ from pyspark.sql.window import Window
 from .common import ALNUM, Scratch, bucket_of, packed, tally, union_all, unpacked, utf8, word_hashes, words
 
 K1, B = 1.2, 0.75
-SHARD_DOCS, SHARD_TOKENS = 8192, 4_000_000
+SHARD_DOCS, SHARD_TOKENS = 4096, 2_000_000
 BLOCK = 64
-COMMON_SHARE = 32          # a term in more than a 32nd of a shard's documents is common there
+COMMON_SHARE = 16          # a term in more than a 16th of a shard's documents is common there
 BATCH_TERMS = 2_000_000    # query terms that are broadcast at once
-CHUNK = 128                # queries that a shard handles at once
+CHUNK = 64                 # queries that a shard handles at once
 BUCKET_KEYS = 2_000_000
 PLACES = 6
 NO_ID = np.iinfo(np.int64).max
@@ -164,9 +164,10 @@ class Shard:
         lo, n = np.where(have, starts[at], 0), np.where(have, starts[at + 1] - starts[at], 0)
         self.begin = np.cumsum(np.r_[0, n])  # a vocabulary term's postings
         pick = np.repeat(lo - self.begin[:-1], n) + np.arange(self.begin[-1])
-        self.doc = np.frombuffer(row["docs"], np.uint32)[pick].astype(np.int64)
-        tf = np.frombuffer(row["tfs"], np.uint32)[pick].astype(np.float64)
+        self.doc = np.frombuffer(row["docs"], np.uint32)[pick].astype(np.int32)
+        tf = np.frombuffer(row["tfs"], np.uint32)[pick]
         self.impact = tf * (K1 + 1) / (tf + norm[self.doc])
+        del pick, tf
         self.n, self.blocks = len(self.ids), -(-len(self.ids) // BLOCK)
         self.common = np.flatnonzero(n * COMMON_SHARE > self.n)
         self.place = np.full(len(vocabulary), -1)
@@ -177,7 +178,7 @@ class Shard:
             self.dense[i, self.doc[s]] = self.impact[s]
         self.dense_most = self.dense.reshape(len(self.common), self.blocks, BLOCK).max(axis=2, initial=0)
         # block maxima of all terms: (term, block) runs of the postings
-        owner, block = np.repeat(np.arange(len(vocabulary)), n), self.doc // BLOCK
+        owner, block = np.repeat(np.arange(len(vocabulary), dtype=np.int32), n), self.doc // BLOCK
         run = np.flatnonzero(np.r_[len(owner) > 0, (owner[1:] != owner[:-1]) | (block[1:] != block[:-1])])
         self.most = np.maximum.reduceat(self.impact, run) if len(run) else np.zeros(0)
         self.most_block = block[run]
