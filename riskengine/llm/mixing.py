@@ -8,8 +8,9 @@ undecided document is left over from a chunk of documents; the leftovers of chun
 again, a reduction tree whose depth is the logarithm of the source's size.  A chunk has about
 ``CHUNK`` documents whatever the source holds, so a hot source is many small folds.  In the end
 one document a source is rounded alone: the taken words miss the target by less than its size.
-So that this one is small, a source's few large documents (over ``1 / LARGE`` of it) are rounded
-first, and the others share what they leave of the target; large ones trade first in a chunk.
+So that this one is small, a source's documents are rounded from the few large ones down (those
+over an eighth of it, over a 64th, ..., the rest), each class sharing what the larger ones left
+of the target; in a chunk, too, large ones trade first.
 
 Randomness is hashed from ids, the level and the seed, so reruns agree.
 
@@ -27,7 +28,7 @@ from pyspark.sql.window import Window
 from .common import ASCII_SPACE, Scratch, union_all
 
 CHUNK = 256
-LARGE = 64
+LARGE = (8, 64, 512, 4096)
 MAX_COPIES = 3
 WEIGHTS = (1, 2, 3)
 SEED = 20
@@ -142,14 +143,19 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES, seed: in
     targets = scratch.save(source_targets(scratch, sizes, weights, max_copies))
     rows = sizes.join(targets, sizes.source.eqNullSafe(targets.source)).select(
         "key", "doc_id", "size", "source_size", "target")
-    large = F.col("size") * LARGE > F.col("source_size")
-    first = scratch.save(_round(scratch, rows.where(large), F.col("target") / F.col("source_size"), max_copies, seed))
-    taken = first.groupBy("key").agg(F.sum("size").alias("seen"), F.sum(F.col("copies") * F.col("size")).alias("got"))
-    rest = (rows.where(~large).join(taken, "key", "left")
-            .withColumns({"seen": F.coalesce("seen", F.lit(0)), "got": F.coalesce("got", F.lit(0))}))
-    worth = (F.col("target") - F.col("got")) / F.nullif(F.col("source_size") - F.col("seen"), F.lit(0))
-    rest = _round(scratch, rest, worth, max_copies, seed + 1)
-    return first.unionByName(rest).join(targets.select("key", "source_size", "target"), "key").select(
+    done = None
+    for i, share in enumerate((*LARGE, None)):
+        part = rows if i == 0 else rows.where(F.col("size") * LARGE[i - 1] <= F.col("source_size"))
+        part = part if share is None else part.where(F.col("size") * share > F.col("source_size"))
+        seen, got = F.lit(0), F.lit(0)
+        if done is not None:  # what larger documents took of the target, and their size
+            taken = done.groupBy("key").agg(F.sum("size").alias("seen"), F.sum(F.col("copies") * F.col("size")).alias("got"))
+            part = part.join(taken, "key", "left")
+            seen, got = F.coalesce("seen", F.lit(0)), F.coalesce("got", F.lit(0))
+        worth = (F.col("target") - got) / F.nullif(F.col("source_size") - seen, F.lit(0))
+        part = scratch.save(_round(scratch, part, worth, max_copies, seed + i))
+        done = part if done is None else done.unionByName(part)
+    return done.join(targets.select("key", "source_size", "target"), "key").select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 

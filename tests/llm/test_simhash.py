@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from llm_fixtures import documents  # noqa: F401 -- a fixture
 from riskengine.llm import simhash
 from riskengine.llm.common import Scratch, components
 

@@ -7,6 +7,7 @@ import random
 
 import pytest
 
+from llm_fixtures import documents  # noqa: F401 -- a fixture
 from riskengine.llm import substrings
 
 
