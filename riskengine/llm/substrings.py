@@ -38,7 +38,7 @@ from .common import MIX, Scratch, mixed, utf8, word_hashes, words
 
 GRAM = 10
 #: Suffixes of one subtree group; beyond that its prefix is extended to the whole window.
-GROUP_SUFFIXES = 20_000
+GROUP_SUFFIXES = 200_000
 #: Words that a task holds while it builds subtrees.
 TREE_WORDS = 1_500_000
 NO_ID = (1 << 63) - 1
@@ -214,7 +214,7 @@ def _split(length: int):
 
 def repeated_windows(scratch: Scratch, docs: DataFrame, length: int = 50, id_col: str = "doc_id",
                      text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The scan of all rows, and the repeats as (doc, row, start, cnt): runs of ``cnt`` windows.
+    """The scan of all rows, and the repeats as (doc, row, places): runs of ``cnt`` windows at ``start``.
 
     Rows that share all their words with a smaller id are left out of the repeats; they are
     marked in the scan (``first_doc < doc``).
@@ -250,9 +250,14 @@ def repeated_windows(scratch: Scratch, docs: DataFrame, length: int = 50, id_col
     node = windows.groupBy("prefix").agg(F.min("first_doc").alias("least"))
     deep = (windows.join(node, "prefix").where("least < last_doc")
             .select("anchor", "piece", "off", F.lit(1).alias("cnt"), "least"))
-    runs = scratch.save(small.unionByName(deep))
-    repeats = (pieces.drop("content").join(runs, ["anchor", "piece"]).where("least < doc")
-               .select("doc", "row", (F.col("start") + F.col("off")).alias("start"), "cnt"))
+    # one row a fragment, so that its places meet one row each
+    runs = scratch.save(small.unionByName(deep).groupBy("anchor", "piece").agg(
+        F.sort_array(F.collect_list(F.struct("off", "cnt", "least"))).alias("runs")))
+    own = F.filter("runs", lambda r: r.least < F.col("doc"))
+    repeats = (pieces.drop("content").join(runs, ["anchor", "piece"])
+               .select("doc", "row", F.transform(own, lambda r: F.struct(
+                   (F.col("start") + r.off).alias("start"), r.cnt.alias("cnt"))).alias("places"))
+               .where(F.size("places") > 0))
     return scan_first, repeats
 
 
@@ -289,7 +294,7 @@ def _kept(length: int):
 
 
 def _spans(repeats: DataFrame) -> DataFrame:
-    return repeats.groupBy("doc", "row").agg(F.collect_list(F.struct("start", "cnt")).alias("spans"))
+    return repeats.groupBy("doc", "row").agg(F.flatten(F.collect_list("places")).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id",
@@ -318,7 +323,8 @@ def cleaned_texts(docs: DataFrame, length: int = 50, id_col: str = "doc_id",
     scratch = Scratch(docs.sparkSession, "substrings")
     scan, repeats = repeated_windows(scratch, docs, length, id_col, text_col)
     copies = (scan.where((F.col("first_doc") < F.col("doc")) & (F.col("n_words") >= length))
-              .select("doc", "row", F.lit(0).alias("start"), (F.col("n_words") - length + 1).cast("int").alias("cnt")))
+              .select("doc", "row", F.array(F.struct(
+                  F.lit(0).alias("start"), (F.col("n_words") - length + 1).cast("int").alias("cnt"))).alias("places")))
     spans = scratch.save(_spans(repeats.unionByName(copies)))
 
     @F.arrow_udf("string")
