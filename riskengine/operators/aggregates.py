@@ -48,13 +48,12 @@ def add_class_weight(df: DataFrame, label_col: str = LABEL_COLUMN,
                      out: str = WEIGHT_COLUMN) -> DataFrame:
     """A2: per-row class weight; a null label takes the negative weight (as ``otherwise``).
 
-    Lazy: the counts are a one-row aggregate, broadcast and joined to the rows when the
-    result is read.  An absent class fails then; an empty input gives no rows.
+    Lazy: the counts are a scalar subquery, run when the result is read.  An absent class
+    fails then; an empty input gives no rows.
     """
-    weights = class_weights(df, label_col).toDF("_positive", "_negative")
-    weighted = df.crossJoin(F.broadcast(weights))  # one row by construction
-    own = F.when(label_int_of(df, label_col) == F.lit(1), F.col("_positive")).otherwise(F.col("_negative"))
-    return weighted.withColumn(out, own).drop("_positive", "_negative")
+    weights = class_weights(df, label_col).select(F.struct("positive_weight", "negative_weight")).scalar()
+    return df.withColumn(out, F.when(label_int_of(df, label_col) == F.lit(1), weights["positive_weight"])
+                         .otherwise(weights["negative_weight"]))
 
 
 def _described_columns(df: DataFrame, cols: Sequence[str] | None) -> list[str]:
