@@ -6,7 +6,6 @@ operations whatever the text holds; a null text has no words.
 
 from __future__ import annotations
 
-import atexit
 from functools import reduce
 
 import numpy as np
@@ -15,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import drop_scratch, scratch_path
 
 #: Maps A-Z to a-z and leaves every other byte as it is.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -61,25 +60,6 @@ def lower_ascii(column):
 
 # --- scratch tables ---------------------------------------------------------------------
 
-_FOLDERS: set[str] = set()
-
-
-def _drop(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-@atexit.register
-def _sweep() -> None:
-    spark = SparkSession.getActiveSession()
-    for path in list(_FOLDERS):
-        try:
-            _drop(spark, path)
-        except Exception:  # noqa: BLE001 -- the session is gone; the folder's owner clears it
-            return
-
-
 class Scratch:
     """Tables written to the shared checkpoint folder and read back.
 
@@ -89,23 +69,16 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.base = spark, scratch_path(spark, name)
-        self.paths: dict[int, str] = {}
-        _FOLDERS.add(self.base)
-
-    def path(self) -> str:
-        return f"{self.base}/{len(self.paths)}"
+        self.saved: list[DataFrame] = []
 
     def save(self, df: DataFrame) -> DataFrame:
-        path = self.path()
+        path = f"{self.base}/{len(self.saved)}"
         df.write.parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[len(self.paths)] = path
-        out._scratch_path = path
-        return out
+        self.saved.append(self.spark.read.schema(df.schema).parquet(path))
+        return self.saved[-1]
 
     def drop(self, *tables: DataFrame) -> None:
-        for t in tables:
-            _drop(self.spark, t._scratch_path)
+        drop_scratch(self.spark, *[f"{self.base}/{i}" for i, t in enumerate(self.saved) if any(t is x for x in tables)])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

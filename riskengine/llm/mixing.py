@@ -123,7 +123,8 @@ def settle(scratch: Scratch, units: DataFrame, seed: int = SEED) -> DataFrame:
             return union_all([*settled, left.withColumn("prob", alone)])
         chunk = F.pmod(F.xxhash64("doc_id", "size", F.lit(seed), F.lit(level)), F.ceil(F.col("n") / CHUNK))
         # large documents trade first, so what is left over at the end is small
-        item = F.struct((-F.col("size")).alias("large_first"), F.xxhash64("doc_id", "size", F.lit(seed), F.lit(level), F.lit("order")).alias("o"),
+        item = F.struct((-F.col("size")).alias("large_first"),
+                        F.xxhash64("doc_id", "size", F.lit(seed), F.lit(level), F.lit("order")).alias("o"),
                         _uniform("doc_id", F.lit(seed), F.lit(level)).alias("u"),
                         F.struct(*FIELDS.split(", ")).alias("unit"))
         folded = (left.join(count, "key").groupBy("key", chunk.alias("chunk"))

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ALNUM, Scratch, bucket_of, packed, tally, union_all, unpacked, utf8, word_hashes, words
+from .common import ALNUM, Scratch, bucket_of, packed, union_all, unpacked, utf8, word_hashes, words
 
 K1, B = 1.2, 0.75
 SHARD_DOCS, SHARD_TOKENS = 4096, 2_000_000
