@@ -48,10 +48,13 @@ SHARD = ("n_docs long, n_tokens long, ids binary, lengths binary, terms binary,
 def build_shard(ids: list[int | None], texts: list[np.ndarray]) -> list:
     """One shard's row from document ids and their words' hashes."""
     lengths = np.array([len(t) for t in texts], np.int32)
-    doc = np.repeat(np.arange(len(texts)), lengths)
+    n_docs = len(texts)
+    doc = np.repeat(np.arange(n_docs, dtype=np.int32), lengths)
     term = np.concatenate(texts)
+    texts.clear()  # a shard is large: only one copy of its words at a time
     order = np.argsort(term, kind="stable")  # by term, then document
     term, doc = term[order], doc[order]
+    del order
     first = np.flatnonzero(np.r_[len(term) > 0, (term[1:] != term[:-1]) | (doc[1:] != doc[:-1])])
     tf = np.diff(np.r_[first, len(term)])
     term, doc = term[first], doc[first]
@@ -59,14 +62,14 @@ def build_shard(ids: list[int | None], texts: list[np.ndarray]) -> list:
     terms, starts = term[start], np.r_[start, len(term)]
     # alike documents side by side: by the most used of the shard's commonest terms, then length
     most = np.argsort(-np.diff(starts), kind="stable")[:16]
-    use = np.zeros((len(most) + 1, len(texts)))
+    use = np.zeros((len(most) + 1, n_docs))
     for i, t in enumerate(most):
         use[i, doc[starts[t]:starts[t + 1]]] = tf[starts[t]:starts[t + 1]]
     rank = np.lexsort((lengths, use.argmax(axis=0)))
-    place = np.empty(len(rank), np.int64)
+    place = np.empty(len(rank), np.int32)
     place[rank] = np.arange(len(rank))
     doc = place[doc]
-    order = np.lexsort((doc, np.repeat(np.arange(len(terms)), np.diff(starts))))
+    order = np.lexsort((doc, np.repeat(np.arange(len(terms), dtype=np.int32), np.diff(starts))))
     own = np.array([NO_ID if i is None else i for i in ids], np.int64)[rank]
     return [len(ids), int(lengths.sum()), own.tobytes(), lengths[rank].tobytes(), terms.tobytes(),
             starts.astype(np.int64).tobytes(), doc[order].astype(np.uint32).tobytes(), tf[order].astype(np.uint32).tobytes()]
@@ -145,44 +148,50 @@ class Batch:
     def __init__(self, ids: np.ndarray, terms: list[np.ndarray], weights: list[np.ndarray]):
         self.ids = ids
         self.size = np.array([len(t) for t in terms], np.int64)
-        self.vocabulary, self.term = np.unique(np.concatenate(terms), return_inverse=True)
+        self.vocabulary, term = np.unique(np.concatenate(terms), return_inverse=True)
+        self.term = term.astype(np.int32)
         self.weight = np.concatenate(weights)
         self.first = np.cumsum(np.r_[0, self.size])
 
 
 class Shard:
-    """A shard's postings of a batch's terms, as impacts and block maxima."""
+    """A shard's postings of a batch's terms, as impacts and block maxima.
+
+    ``own`` gives a vocabulary term's row here, -1 if the shard doesn't have it.
+    """
 
     def __init__(self, row: dict, vocabulary: np.ndarray, average: float):
         self.ids = np.frombuffer(row["ids"], np.int64)
         norm = K1 * (1 - B + B * np.frombuffer(row["lengths"], np.int32) / average)
         terms, starts = np.frombuffer(row["terms"], np.uint64), np.frombuffer(row["starts"], np.int64)
-        if not len(terms):
-            terms, starts = np.zeros(1, np.uint64), np.zeros(2, np.int64)
-        at = np.minimum(np.searchsorted(terms, vocabulary), len(terms) - 1)
-        have = terms[at] == vocabulary
-        lo, n = np.where(have, starts[at], 0), np.where(have, starts[at + 1] - starts[at], 0)
-        self.begin = np.cumsum(np.r_[0, n])  # a vocabulary term's postings
-        pick = np.repeat(lo - self.begin[:-1], n) + np.arange(self.begin[-1])
+        self.n, self.blocks = len(self.ids), -(-len(self.ids) // BLOCK)
+        at = np.searchsorted(terms, vocabulary).astype(np.int32)
+        have = np.flatnonzero((at < len(terms)) & (terms[np.minimum(at, len(terms) - 1)] == vocabulary)) if len(terms) else at[:0]
+        self.own = np.full(len(vocabulary), -1, np.int32)
+        self.own[have] = np.arange(len(have))
+        lo, hi = starts[at[have]], starts[at[have] + 1]
+        del at, have
+        n = hi - lo
+        self.begin = np.r_[0, np.cumsum(n)]  # a term's postings
+        pick = _ranges(lo, hi)
         self.doc = np.frombuffer(row["docs"], np.uint32)[pick].astype(np.int32)
         tf = np.frombuffer(row["tfs"], np.uint32)[pick]
         self.impact = tf * (K1 + 1) / (tf + norm[self.doc])
         del pick, tf
-        self.n, self.blocks = len(self.ids), -(-len(self.ids) // BLOCK)
-        self.common = np.flatnonzero(n * COMMON_SHARE > self.n)
-        self.place = np.full(len(vocabulary), -1)
-        self.place[self.common] = np.arange(len(self.common))
-        self.dense = np.zeros((len(self.common), self.blocks * BLOCK))
-        for i, t in enumerate(self.common):
+        common = np.flatnonzero(n * COMMON_SHARE > self.n)
+        self.place = np.full(len(n), -1, np.int32)
+        self.place[common] = np.arange(len(common))
+        self.dense = np.zeros((len(common), self.blocks * BLOCK))
+        for i, t in enumerate(common):
             s = slice(self.begin[t], self.begin[t + 1])
             self.dense[i, self.doc[s]] = self.impact[s]
-        self.dense_most = self.dense.reshape(len(self.common), self.blocks, BLOCK).max(axis=2, initial=0)
+        self.dense_most = self.dense.reshape(len(common), self.blocks, BLOCK).max(axis=2, initial=0)
         # block maxima of all terms: (term, block) runs of the postings
-        owner, block = np.repeat(np.arange(len(vocabulary), dtype=np.int32), n), self.doc // BLOCK
+        owner, block = np.repeat(np.arange(len(n), dtype=np.int32), n), self.doc // BLOCK
         run = np.flatnonzero(np.r_[len(owner) > 0, (owner[1:] != owner[:-1]) | (block[1:] != block[:-1])])
         self.most = np.maximum.reduceat(self.impact, run) if len(run) else np.zeros(0)
         self.most_block = block[run]
-        self.most_begin = np.searchsorted(owner[run], np.arange(len(vocabulary) + 1))
+        self.most_begin = np.searchsorted(owner[run], np.arange(len(n) + 1))
 
 
 def _ranges(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -194,10 +203,12 @@ def search_shard(shard: Shard, batch: Batch, some: np.ndarray, best: np.ndarray,
     """Raise the k best scores and ids (rows of ``best`` and ``found``) of queries ``some``."""
     k, width = best.shape[1], shard.blocks * BLOCK
     of = _ranges(batch.first[some], batch.first[some + 1])
-    query, term, weight = np.repeat(np.arange(len(some)), batch.size[some]), batch.term[of], batch.weight[of]
+    query, term, weight = np.repeat(np.arange(len(some)), batch.size[some]), shard.own[batch.term[of]], batch.weight[of]
+    here = term >= 0
+    query, term, weight = query[here], term[here], weight[here]
     place = shard.place[term]
     rare = place < 0
-    common = np.zeros((len(some), len(shard.common)))
+    common = np.zeros((len(some), len(shard.dense)))
     common[query[~rare], place[~rare]] = weight[~rare]
     rq, rt, rw = query[rare], term[rare], weight[rare]
     # bounds of every block, and the sums of the rare terms' postings
@@ -237,10 +248,12 @@ def _search(shared, k: int, average: float):
         best = np.full((len(batch.ids), k), -1.0)
         found = np.full((len(batch.ids), k), NO_ID)
         for b in batches:
-            for row in b.to_pylist():
+            for i in range(b.num_rows):
+                row = b.slice(i, 1).to_pylist()[0]
                 shard = Shard(row, batch.vocabulary, average)
                 for lo in range(0, len(batch.ids), CHUNK):
                     search_shard(shard, batch, np.arange(lo, min(lo + CHUNK, len(batch.ids))), best, found)
+                del shard, row  # before the next one is built
         q, i = np.nonzero(best > 0)
         ids = found[q, i]
         yield pa.RecordBatch.from_arrays([pa.array(batch.ids[q]), pa.array(ids, mask=ids == NO_ID), pa.array(best[q, i])],
