@@ -73,7 +73,7 @@ def test_blocks_are_skipped_and_nothing_is_lost():
     """Two kinds of documents: a query of one kind never scores a block of the other."""
     rnd = np.random.default_rng(1)
     texts = [rnd.integers(0, 50, 40).astype(np.uint64) + np.uint64(1000 * (i % 2)) for i in range(256)]
-    row = dict(zip([c.split()[0] for c in search.SHARD.split(", ")], search.build_shard(list(range(256)), texts)))
+    row = dict(zip([c.split()[0] for c in search.SHARD.split(", ")], search.build_shard(list(range(256)), list(texts))))
     batch = search.Batch(np.array([0]), [np.unique(texts[0])], [np.ones(len(np.unique(texts[0])))])
     shard = search.Shard(row, batch.vocabulary, 40.0)
     best, found = np.full((1, 3), -1.0), np.full((1, 3), search.NO_ID)
