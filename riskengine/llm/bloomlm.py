@@ -214,21 +214,20 @@ def learn(scratch: Scratch, docs: DataFrame, order: int = ORDER, filter_bytes: i
     return model, merged.where("n = 1").select("bucket", "keys", "counts"), buckets
 
 
-def common_words(counts: DataFrame, limit: int = COMMON) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys and counts of the ``limit`` most frequent words."""
+def common_words(counts: DataFrame, buckets: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and counts of ``limit`` frequent words at most: each bucket's share of its most frequent.
 
+    Buckets are even, so these are nearly the corpus's most frequent; which ones doesn't matter
+    to the result, as all others are looked up.
+    """
     def tops(batches):
-        keys, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for b in batches:
             for k, c in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                keys, n = np.append(keys, np.frombuffer(k, np.uint64)), np.append(n, np.frombuffer(c, np.int64))
-                if len(keys) > limit:
-                    top = np.lexsort((keys, -n))[:limit]
-                    keys, n = keys[top], n[top]
-        if len(keys):
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["key", "n"])
-
-    got = (counts.mapInArrow(tops, "key long, n long").orderBy(F.desc("n"), "key").limit(limit).toArrow())
+                keys, n = np.frombuffer(k, np.uint64), np.frombuffer(c, np.int64)
+                top = np.sort(np.lexsort((keys, -n))[:limit // buckets])
+                yield pa.RecordBatch.from_arrays([pa.array(keys[top].view(np.int64)), pa.array(n[top])], ["key", "n"])
+
+    got = counts.mapInArrow(tops, "key long, n long").toArrow()
     keys, n = got.column("key").to_numpy().view(np.uint64), got.column("n").to_numpy()
     order = np.argsort(keys)
     return keys[order], n[order]
@@ -314,7 +313,7 @@ def score(docs: DataFrame, order: int = ORDER, filter_bytes: int = FILTER_BYTES,
     scratch = Scratch(docs.sparkSession, "bloomlm")
     part = fold(id_col, folds)
     model, counts, buckets = learn(scratch, docs.where(part != held_out), order, filter_bytes, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast((model, *common_words(counts)))
+    shared = docs.sparkSession.sparkContext.broadcast((model, *common_words(counts, buckets, COMMON)))
     out = scratch.save(
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(part == held_out, F.lit(False)).alias("held_out"),
                     utf8(docs, text_col)).mapInArrow(_score_tasks(shared, buckets), SCORED))
