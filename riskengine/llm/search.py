@@ -279,6 +279,8 @@ def top_k(docs: DataFrame, is_query: Column, k: int = 10, id_col: str = "doc_id"
     queries = scratch.save(parts.groupBy("query").agg(F.flatten(F.collect_list("terms")).alias("terms"), idf.alias("weights"))
                            .where(F.size("terms") > 0))
     batches = max(1, math.ceil((queries.agg(F.sum(F.size("terms"))).first()[0] or 0) / BATCH_TERMS))
+    # few tasks with many shards each: a task sends k results a query, and thresholds rise from shard to shard
+    shards = index.coalesce(2 * spark.sparkContext.defaultParallelism)
     results = []
     for i in range(batches):
         got = queries.where(F.pmod(F.xxhash64("query"), F.lit(batches)) == i).orderBy(F.element_at("weights", 1), "query").toArrow()
@@ -288,7 +290,7 @@ def top_k(docs: DataFrame, is_query: Column, k: int = 10, id_col: str = "doc_id"
         weights = [np.array(w) for w in got.column("weights").to_pylist()]
         shared = spark.sparkContext.broadcast(Batch(got.column("query").to_numpy(), terms, weights))
         run = _search(shared, k, tokens / n)
-        results.append(scratch.save(index.mapInArrow(run, "query_id long, doc_id long, score double")))
+        results.append(scratch.save(shards.mapInArrow(run, "query_id long, doc_id long, score double")))
         shared.destroy()
     if not results:
         return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
