@@ -1 +1 @@
-"""Column expressions shared by the operators (casts, labels, seconds, money, keys)."""
+"""Column expressions shared by the operators (casts, labels, seconds, amounts, keys)."""
