@@ -31,7 +31,8 @@ from pyspark.sql.window import Window
 from .common import ALNUM, Scratch, bucket_of, packed, union_all, unpacked, utf8, word_hashes, words
 
 K1, B = 1.2, 0.75
-SHARD_DOCS, SHARD_TOKENS = 4096, 2_000_000
+SHARD_DOCS, SHARD_TOKENS = 3072, 1_500_000
+READ_DOCS = 512            # documents whose texts are held at once while a shard is built
 BLOCK = 64
 COMMON_SHARE = 16          # a term in more than a 16th of a shard's documents is common there
 BATCH_TERMS = 2_000_000    # query terms that are broadcast at once
@@ -83,7 +84,7 @@ def _shards(batches):
     def flush():
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(build_shard(ids, texts), types, strict=True)], names)
 
-    for b in batches:
+    for b in (b.slice(lo, READ_DOCS) for b in batches for lo in range(0, b.num_rows, READ_DOCS)):
         for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             ids.append(i)
             texts.append(word_hashes(words(t, ALNUM)))
