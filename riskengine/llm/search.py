@@ -33,10 +33,10 @@ from .common import ALNUM, Scratch, bucket_of, packed, union_all, unpacked, utf8
 K1, B = 1.2, 0.75
 SHARD_DOCS, SHARD_TOKENS = 3072, 1_500_000
 READ_DOCS = 512            # documents whose texts are held at once while a shard is built
-BLOCK = 64
+BLOCK = 128
 COMMON_SHARE = 16          # a term in more than a 16th of a shard's documents is common there
 BATCH_TERMS = 2_000_000    # query terms that are broadcast at once
-CHUNK = 64                 # queries that a shard handles at once
+CHUNK = 128                # queries that a shard handles at once
 BUCKET_KEYS = 2_000_000
 PLACES = 6
 NO_ID = np.iinfo(np.int64).max
@@ -186,6 +186,7 @@ class Shard:
         for i, t in enumerate(common):
             s = slice(self.begin[t], self.begin[t + 1])
             self.dense[i, self.doc[s]] = self.impact[s]
+        self.dense32 = self.dense.astype(np.float32)
         self.dense_most = self.dense.reshape(len(common), self.blocks, BLOCK).max(axis=2, initial=0)
         # block maxima of all terms: (term, block) runs of the postings
         owner, block = np.repeat(np.arange(len(n), dtype=np.int32), n), self.doc // BLOCK
@@ -224,11 +225,16 @@ def search_shard(shard: Shard, batch: Batch, some: np.ndarray, best: np.ndarray,
     seed = np.partition(partial, width - k, axis=1)[:, width - k] if width >= k else np.zeros(len(some))
     threshold = np.maximum(best[some, -1], seed)
     slack = 10.0 ** -PLACES
+    common32 = common.astype(np.float32)
+    error = (common.shape[1] + 2) * 2.0 ** -23  # of a sum in single precision, in shares of the block's bound
     for b in np.argsort(-bound.max(axis=0), kind="stable"):
         alive = np.flatnonzero((bound[:, b] + slack >= threshold) & (bound[:, b] > 0))
         if not len(alive):
             continue
         docs = slice(b * BLOCK, min((b + 1) * BLOCK, shard.n))
+        # single precision tells who may reach a threshold; their scores are then exact
+        rough = common32[alive] @ shard.dense32[:, docs] + partial[alive, docs]
+        alive = alive[rough.max(axis=1) + error * bound[alive, b] + slack >= threshold[alive]]
         score = np.round(common[alive] @ shard.dense[:, docs] + partial[alive, docs], PLACES)
         hit = (score > 0) & (score + slack >= threshold[alive, None])
         raised = hit.any(axis=1)

@@ -80,7 +80,7 @@ def test_blocks_are_skipped_and_nothing_is_lost():
     search.search_shard(shard, batch, np.array([0]), best, found)
     assert found[0, 0] == 0 and (found[0] % 2 == 0).all()
     bound = sum(shard.most[shard.most_begin[t]:shard.most_begin[t + 1]].sum() for t in range(len(shard.place)))
-    assert bound > 0 and shard.blocks == 4
+    assert bound > 0 and shard.blocks == 2
 
 
 def test_empty_tables_and_queries(spark, documents):
