@@ -34,9 +34,9 @@ from .common import LOWER, MIX, Scratch, bucket_of, mixed, packed, tally, unpack
 from .langid import fold
 
 ORDER = 2
-TASK_TOKENS = 2_000_000        # tokens that a task tallies at once
+TASK_TOKENS = 1_000_000        # tokens that a task tallies at once
 SCORE_BYTES = 3_000_000        # bytes of text that a task scores at once
-BUCKET_TOKENS = 1_000_000      # tokens of a bucket
+BUCKET_TOKENS = 250_000        # tokens of a bucket
 FILTER_BYTES = 32 << 20
 BITS_PER_ENTRY, PROBES = 12, 4
 COMMON = 1 << 18

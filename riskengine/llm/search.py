@@ -21,6 +21,7 @@ found as often as they are there.
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -269,6 +270,18 @@ def _search(shared, k: int, average: float):
     return run
 
 
+@contextmanager
+def rows_at_once(spark, n: int):
+    """Hand Python tasks ``n`` rows at once: a shard's row is megabytes, and Spark's default is thousands."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def top_k(docs: DataFrame, is_query: Column, k: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(query_id, rank, doc_id, score): the ``k`` best rows of ``docs`` for each row that ``is_query``."""
     spark = docs.sparkSession
@@ -283,8 +296,9 @@ def top_k(docs: DataFrame, is_query: Column, k: int = 10, id_col: str = "doc_id"
     parts = (counts.groupBy("bucket").cogroup(asked.groupBy("bucket"))
              .applyInArrow(_look_up, "query long, terms array<long>, df array<long>"))
     idf = F.transform(F.flatten(F.collect_list("df")), lambda d: F.log(1 + (F.lit(float(n or 0)) - d + 0.5) / (d + 0.5)))
-    queries = scratch.save(parts.groupBy("query").agg(F.flatten(F.collect_list("terms")).alias("terms"), idf.alias("weights"))
-                           .where(F.size("terms") > 0))
+    with rows_at_once(spark, 8):
+        queries = scratch.save(parts.groupBy("query").agg(F.flatten(F.collect_list("terms")).alias("terms"), idf.alias("weights"))
+                               .where(F.size("terms") > 0))
     batches = max(1, math.ceil((queries.agg(F.sum(F.size("terms"))).first()[0] or 0) / BATCH_TERMS))
     # few tasks with many shards each: a task sends k results a query, and thresholds rise from shard to shard
     shards = index.coalesce(2 * spark.sparkContext.defaultParallelism)
@@ -297,7 +311,8 @@ def top_k(docs: DataFrame, is_query: Column, k: int = 10, id_col: str = "doc_id"
         weights = [np.array(w) for w in got.column("weights").to_pylist()]
         shared = spark.sparkContext.broadcast(Batch(got.column("query").to_numpy(), terms, weights))
         run = _search(shared, k, tokens / n)
-        results.append(scratch.save(shards.mapInArrow(run, "query_id long, doc_id long, score double")))
+        with rows_at_once(spark, 1):
+            results.append(scratch.save(shards.mapInArrow(run, "query_id long, doc_id long, score double")))
         shared.destroy()
     if not results:
         return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
