@@ -4,16 +4,17 @@
    numpy and ship them as sorted runs, cut into even buckets by the hash's leading bits (so no
    n-gram, however common, makes a bucket heavy); a bucket's task merges its runs.
 2. A count ``c`` has level ``1 + floor(log2 c)``; the filter holds the n-gram once for each level
-   up to its own.  Each bucket fills its own segment of the filter, so the driver only joins
-   segments.  The filter has a fixed bound, ``FILTER_BYTES``: where a bucket's n-grams need more than
-   its share, those below the least level that fits are left to smoothing.  Below the bound all
-   are held.  It is broadcast, and what is counted and shuffled grows with the corpus.
+   up to its own.  Each bucket fills its own segment, sized from its own entries, so every n-gram
+   is held; segments are a written table by bucket that grows with the corpus.
 3. A probability comes from repeated probes: levels are asked for until one is missing, the last
    one's middle is the count, and the n-gram's share of its history is interpolated with the
-   share of the shorter n-gram, down to add-one smoothed words.
+   share of the shorter n-gram, down to add-one smoothed words.  A slice of texts sends its
+   distinct n-grams to their buckets and gets their levels back; nothing of the filter passes the
+   driver.  Longer n-grams are sent, and probed, as 32 bits within their bucket: in a bucket of
+   ``BUCKET_TOKENS`` one in some 17,000 meets another, far fewer than the filter's own false hits.
 
-The exact add-one unigram score is computed beside it: counts of the ``COMMON`` most frequent
-tokens are broadcast, and all other tokens are looked up by their bucket, exactly.
+The exact add-one unigram score is computed beside it: counts and levels of the ``COMMON`` most
+frequent tokens are broadcast, and all other tokens are looked up by their bucket, exactly.
 
 Tokens are lower-cased words (A-Z) and one end of text.  Defined cases: a null text is empty
 and scores its end alone; a null id is not learned from and not held out; without learning
@@ -37,8 +38,8 @@ ORDER = 2
 TASK_TOKENS = 1_000_000        # tokens that a task tallies at once
 SCORE_BYTES = 3_000_000        # bytes of text that a task scores at once
 BUCKET_TOKENS = 250_000        # tokens of a bucket
-FILTER_BYTES = 32 << 20
 BITS_PER_ENTRY, PROBES = 12, 4
+EMPTY = bytes(1)               # segment of a bucket without n-grams
 COMMON = 1 << 18
 SHARE = (0.0, 0.6)             # weight of the bigram's own share in the interpolation
 END = np.uint64(0x5BD1E9955BD1E995)
@@ -71,7 +72,7 @@ def middle(level: np.ndarray) -> np.ndarray:
 
 def _probes(keys: np.ndarray, level: int):
     """Start and step of the probes of keys at a level; probe i is place ``_place(a, b, i, size)``."""
-    a = mixed(keys + np.uint64(level * int(MIX) % (1 << 64)))
+    a = mixed((keys & np.uint64(0xFFFFFFFF)) + np.uint64(level * int(MIX) % (1 << 64)))
     return a, (a >> np.uint64(32)) | np.uint64(1)
 
 
@@ -80,14 +81,14 @@ def _place(a: np.ndarray, b: np.ndarray, i: int, size: np.ndarray) -> np.ndarray
     return ((a + np.uint64(i) * b) & np.uint64(0xFFFFFFFF)) * size >> np.uint64(32)
 
 
-def fill_segment(keys: np.ndarray, counts: np.ndarray, most_bits: int) -> tuple[np.ndarray, int]:
-    """A bucket's bits (packed) and the least level that they hold."""
+def fill_segment(keys: np.ndarray, counts: np.ndarray, most_bits: int | None) -> tuple[np.ndarray, int]:
+    """A bucket's bits (packed) and the least level that they hold: 1, that is all, without a bound."""
     level = level_of(counts)
     least = 1
-    while (entries := int(level[level >= least].sum())) * BITS_PER_ENTRY > most_bits:
+    while (entries := int(level[level >= least].sum())) * BITS_PER_ENTRY > (most_bits or math.inf):
         least += 1
     keys, level = keys[level >= least], level[level >= least]
-    bits = np.zeros(-(-max(8, min(most_bits, entries * BITS_PER_ENTRY)) // 8) * 8, np.uint8)
+    bits = np.zeros(-(-max(8, entries * BITS_PER_ENTRY) // 8) * 8, np.uint8)
     size = np.full(1, len(bits), np.uint64)
     for q in range(1, int(level.max(initial=0)) + 1):
         a, b = _probes(keys[level >= q], q)
@@ -130,22 +131,30 @@ class Filter:
         return middle(self.levels(distinct))[inverse]
 
 
+def smoothed(counts: list[np.ndarray], first: np.ndarray, tokens: int, types: int) -> np.ndarray:
+    """log10 of each token's probability from its n-grams' counts by order; texts start at ``first``."""
+    own = counts[0]
+    p = (own + 1) / (tokens + types + 1)
+    for n in range(2, len(counts) + 1):
+        past = np.concatenate([[0.0], own[:-1]])  # the history is the shorter n-gram of the token before
+        past[first] = 0
+        own = counts[n - 1]
+        share = np.minimum(1.0, own / np.maximum(past, 1))
+        p = np.where(past > 0, SHARE[n - 1] * share + (1 - SHARE[n - 1]) * p, p)
+    return np.log10(p)
+
+
 class Model:
+    """The segments of all orders in one process, for texts of the driver."""
+
     def __init__(self, filters: list[Filter], tokens: int, types: int):
         self.filters, self.tokens, self.types = filters, tokens, types
 
     def log_probabilities(self, texts: list[np.ndarray]) -> np.ndarray:
         """log10 of each token's smoothed probability, texts laid end to end."""
         first = np.cumsum([0, *[len(t) for t in texts[:-1]]])
-        own = self.filters[0].counts(ngram_keys(np.concatenate(texts), 1))
-        p = (own + 1) / (self.tokens + self.types + 1)
-        for n in range(2, len(self.filters) + 1):
-            past = np.concatenate([[0.0], own[:-1]])  # the history is the shorter n-gram of the token before
-            past[first] = 0
-            own = self.filters[n - 1].counts(np.concatenate([ngram_keys(t, n) for t in texts]))
-            share = np.minimum(1.0, own / np.maximum(past, 1))
-            p = np.where(past > 0, SHARE[n - 1] * share + (1 - SHARE[n - 1]) * p, p)
-        return np.log10(p)
+        counts = [f.counts(np.concatenate([ngram_keys(t, n) for t in texts])) for n, f in enumerate(self.filters, 1)]
+        return smoothed(counts, first, self.tokens, self.types)
 
 
 # --- counting ---------------------------------------------------------------------------
@@ -174,69 +183,112 @@ def _tally_tasks(order: int, buckets: int):
     return run
 
 
-def _merge(most_bits: dict[int, int]):
-    """A bucket's counts, filter segment and totals; words keep their counts, longer n-grams don't."""
+MERGED = ("n int, bucket long, segment binary, least int, tokens long, types long, "
+          "keys binary, counts binary, levels binary")
+
+
+def _merge(most_bits: dict[int, int | None]):
+    """A bucket's filter segment and totals; words keep their counts, and levels in the filter."""
 
     def run(table: pa.Table) -> pa.Table:
         n, bucket = table.column("n")[0].as_py(), table.column("bucket")[0].as_py()
         keys, counts = unpacked(table.column("keys").to_pylist(), table.column("counts").to_pylist())
         segment, least = fill_segment(keys, counts, most_bits[n])
-        own = (keys.tobytes(), counts.tobytes()) if n == 1 else (b"", b"")
-        return pa.table([pa.array([n], pa.int32()), pa.array([bucket], pa.int32()), pa.array([segment.tobytes()], pa.binary()),
+        own = [b""] * 3
+        if n == 1:
+            own = [keys.tobytes(), counts.tobytes(), Filter([segment.tobytes()], [least]).levels(keys).astype(np.uint8).tobytes()]
+        return pa.table([pa.array([n], pa.int32()), pa.array([bucket], pa.int64()), pa.array([segment.tobytes()], pa.binary()),
                          pa.array([least], pa.int32()), pa.array([int(counts.sum())], pa.int64()),
                          pa.array([len(keys)], pa.int64()), *[pa.array([x], pa.binary()) for x in own]],
-                        ["n", "bucket", "segment", "least", "tokens", "types", "keys", "counts"])
+                        [f.split()[0] for f in MERGED.split(", ")])
 
     return run
 
 
-def learn(scratch: Scratch, docs: DataFrame, order: int = ORDER, filter_bytes: int = FILTER_BYTES,
-          text_col: str = "text") -> tuple[Model, DataFrame, int]:
-    """The model, the words' exact counts by bucket (bucket, keys, counts), and the buckets' number."""
+def count(scratch: Scratch, docs: DataFrame, order: int = ORDER, filter_bytes: int | None = None,
+          text_col: str = "text") -> tuple[DataFrame, int, int, int]:
+    """The written segments and words by bucket (``MERGED``), the buckets' number, tokens and distinct words.
+
+    All n-grams are held, unless the caller bounds the filter by ``filter_bytes``: then a bucket's
+    n-grams below the least level that fits its share are left to smoothing.
+    """
     size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
     buckets = max(4, math.ceil(size / 6 / BUCKET_TOKENS))
     runs = docs.select(utf8(docs, text_col)).mapInArrow(
         _tally_tasks(order, buckets), "n int, bucket int, keys binary, counts binary")
-    # words get a quarter of the bound, longer n-grams share the rest
-    shares = {n: filter_bytes * 8 // buckets // 4 * (1 if n == 1 else 3) // max(1, order - 1 if n > 1 else 1)
+    # words get a quarter of a bound, longer n-grams share the rest
+    shares = {n: filter_bytes and filter_bytes * 8 // buckets // 4 * (1 if n == 1 else 3) // max(1, order - 1 if n > 1 else 1)
               for n in range(1, order + 1)}
-    merged = scratch.save(runs.groupBy("n", "bucket").applyInArrow(
-        _merge(shares), "n int, bucket int, segment binary, least int, tokens long, types long, keys binary, counts binary"))
-    got = merged.select("n", "bucket", "segment", "least", "tokens", "types").collect()  # ``filter_bytes`` at most
+    merged = scratch.save(runs.groupBy("n", "bucket").applyInArrow(_merge(shares), MERGED))
+    tokens, types = merged.where("n = 1").agg(F.sum("tokens"), F.sum("types")).first()
+    return merged, buckets, tokens or 0, types or 0
+
+
+def learn(scratch: Scratch, docs: DataFrame, order: int = ORDER, filter_bytes: int | None = None,
+          text_col: str = "text") -> tuple[Model, DataFrame, int]:
+    """A model for the driver, the words' exact counts by bucket (bucket, keys, counts, levels), and the buckets' number.
+
+    It collects all segments, which grow with the corpus; ``score`` doesn't.
+    """
+    merged, buckets, tokens, types = count(scratch, docs, order, filter_bytes, text_col)
+    got = merged.select("n", "bucket", "segment", "least").collect()
     filters = []
     for n in range(1, order + 1):
         own = {r["bucket"]: r for r in got if r["n"] == n}
-        empty = bytes(1)
-        filters.append(Filter([bytes(own[b]["segment"]) if b in own else empty for b in range(buckets)],
+        filters.append(Filter([bytes(own[b]["segment"]) if b in own else EMPTY for b in range(buckets)],
                               [own[b]["least"] if b in own else 1 for b in range(buckets)]))
-    words_ = [r for r in got if r["n"] == 1]
-    model = Model(filters, sum(r["tokens"] for r in words_), sum(r["types"] for r in words_))
-    return model, merged.where("n = 1").select("bucket", "keys", "counts"), buckets
+    return Model(filters, tokens, types), word_counts(merged), buckets
+
 
+def word_counts(merged: DataFrame) -> DataFrame:
+    return merged.where("n = 1").select("bucket", "keys", "counts", "levels")
 
-def common_words(counts: DataFrame, buckets: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys and counts of ``limit`` frequent words at most: each bucket's share of its most frequent.
+
+def common_words(counts: DataFrame, buckets: int, limit: int) -> tuple[np.ndarray, ...]:
+    """Sorted keys and their ranks, and counts and levels by rank, of ``limit`` frequent words at most:
+    each bucket's share of its most frequent.  Ranks of frequent words are small, so places compress.
 
     Buckets are even, so these are nearly the corpus's most frequent; which ones doesn't matter
     to the result, as all others are looked up.
     """
     def tops(batches):
         for b in batches:
-            for k, c in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                keys, n = np.frombuffer(k, np.uint64), np.frombuffer(c, np.int64)
+            for k, c, q in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+                keys, n, q = np.frombuffer(k, np.uint64), np.frombuffer(c, np.int64), np.frombuffer(q, np.uint8)
                 top = np.sort(np.lexsort((keys, -n))[:limit // buckets])
-                yield pa.RecordBatch.from_arrays([pa.array(keys[top].view(np.int64)), pa.array(n[top])], ["key", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys[top].view(np.int64)), pa.array(n[top]),
+                                                  pa.array(q[top].astype(np.int32))], ["key", "n", "level"])
 
-    got = counts.mapInArrow(tops, "key long, n long").toArrow()
-    keys, n = got.column("key").to_numpy().view(np.uint64), got.column("n").to_numpy()
-    order = np.argsort(keys)
-    return keys[order], n[order]
+    got = counts.mapInArrow(tops, "key long, n long, level int").toArrow()
+    keys, n, q = got.column("key").to_numpy().view(np.uint64), got.column("n").to_numpy(), got.column("level").to_numpy()
+    order = np.lexsort((keys, -n))
+    keys, n, q = keys[order], n[order], q[order].astype(np.uint8)
+    rank = np.argsort(keys)
+    return keys[rank], rank, n, q
 
 
 # --- scoring ----------------------------------------------------------------------------
 
-SCORED = ("row long, doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double, "
-          "bucket int, rows binary, keys binary")
+DOCS = "ids array<bigint>, held array<boolean>, sizes array<bigint>, places binary"
+DOC_TYPES = pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary()
+ASKED = "slice long, n int, bucket long, keys binary, " + DOCS
+ANSWERED = "slice long, n int, bucket long, levels binary, counts binary, " + DOCS
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+
+
+def _names(schema: str) -> list[str]:
+    return [f.split()[0] for f in schema.split(", ")]
+
+
+def _squeezed(places: list[np.ndarray]) -> bytes:
+    """Places as compressed planes of their four bytes."""
+    planes = np.concatenate(places).astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unsqueezed(places: bytes, orders: int, tokens: int) -> np.ndarray:
+    planes = pa.decompress(places, decompressed_size=4 * orders * tokens, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").reshape(orders, tokens)
 
 
 def _slices(batches):
@@ -249,79 +301,93 @@ def _slices(batches):
                 yield b.slice(lo, hi - lo)
 
 
-def _score_tasks(shared, buckets: int):
-    """A row for each document, and packed requests for the counts of words that aren't common."""
+def _ask(shared, order: int, buckets: int):
+    """For each slice of texts, a row (n = 0) of its documents and their tokens' places among the
+    slice's distinct n-grams, and packed requests for the n-grams that aren't common words."""
 
     def run(batches):
         from pyspark import TaskContext
-        model, keys, counts = shared.value
-        top = (TaskContext.get().partitionId() + 1) << 40
-        seen = 0
-        for b in _slices(batches):
+        common, rank = shared.value[:2]
+        own = TaskContext.get().partitionId() << 32
+        for own, b in enumerate(_slices(batches), own):
             texts = [token_hashes(t) for t in b.column(2).to_pylist()]
-            rows = np.arange(top + seen, top + seen + len(texts))
-            seen += len(texts)
-            size = np.array([len(t) for t in texts])
-            start = np.cumsum(np.r_[0, size[:-1]])
-            score = np.add.reduceat(model.log_probabilities(texts), start)
-            key = ngram_keys(np.concatenate(texts), 1)
-            at = np.minimum(np.searchsorted(keys, key), max(0, len(keys) - 1))
-            hit = keys[at] == key if len(keys) else np.zeros(len(key), bool)
-            logs = np.add.reduceat(np.where(hit, np.log10((counts[at] if len(keys) else 0) + 1.0), 0.0), start)
-            known = np.add.reduceat(hit.astype(np.int64), start)
-            none = pa.nulls(len(texts))
+            places = []
+            for n in range(1, order + 1):
+                key, place = np.unique(np.concatenate([ngram_keys(t, n) for t in texts]), return_inverse=True)
+                if n == 1:  # the common words' places come first
+                    at = np.minimum(np.searchsorted(common, key), max(0, len(common) - 1))
+                    hit = common[at] == key if len(common) else np.zeros(len(key), bool)
+                    place = np.where(hit, rank[at] if len(common) else 0, len(common) + np.cumsum(~hit) - 1)[place]
+                    key = key[~hit]
+                places.append(place)
+                cuts = np.searchsorted(bucket_of(key, buckets), np.arange(buckets + 1))
+                some = np.flatnonzero(cuts[1:] > cuts[:-1])
+                key = key if n == 1 else key.astype(np.uint32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(some), own)), pa.array(np.full(len(some), n, np.int32)), pa.array(some),
+                     pa.array([key[cuts[i]:cuts[i + 1]].tobytes() for i in some], pa.binary()),
+                     *[pa.nulls(len(some), t) for t in DOC_TYPES]], _names(ASKED))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows), b.column(0), b.column(1), pa.array(size, pa.int64()), pa.array(known), pa.array(logs),
-                 pa.array(score), none.cast(pa.int32()), none.cast(pa.binary()), none.cast(pa.binary())],
-                [f.split()[0] for f in SCORED.split(", ")])
-            miss = ~hit
-            owner, key = np.repeat(rows, size)[miss], key[miss]
-            order = np.argsort(key, kind="stable")
-            owner, key = owner[order], key[order]
-            cuts = np.searchsorted(bucket_of(key, buckets), np.arange(buckets + 1))
-            some = [i for i in range(buckets) if cuts[i] < cuts[i + 1]]
-            none = pa.nulls(len(some))
-            yield pa.RecordBatch.from_arrays(
-                [none.cast(t) for t in (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
-                + [pa.array(some, pa.int32()), pa.array([owner[cuts[i]:cuts[i + 1]].tobytes() for i in some], pa.binary()),
-                   pa.array([key[cuts[i]:cuts[i + 1]].tobytes() for i in some], pa.binary())],
-                [f.split()[0] for f in SCORED.split(", ")])
+                [pa.array([own]), pa.array([0], pa.int32()), pa.array([own]), pa.nulls(1, pa.binary()),
+                 pa.array([b.column(0).to_pylist()], DOC_TYPES[0]), pa.array([b.column(1).to_pylist()], DOC_TYPES[1]),
+                 pa.array([[len(t) for t in texts]], DOC_TYPES[2]), pa.array([_squeezed(places)], DOC_TYPES[3])], _names(ASKED))
+
+    return run
+
+
+def _answer(key, held: pa.Table, asked: pa.Table) -> pa.Table:
+    """Levels of a bucket's requests, and exact counts of words; a slice's documents pass through."""
+    n, levels, counts = key[0].as_py(), [None] * asked.num_rows, [None] * asked.num_rows
+    if n:
+        sent = [np.frombuffer(k, np.uint64 if n == 1 else np.uint32) for k in asked.column("keys").to_pylist()]
+        cuts = np.cumsum([0, *map(len, sent)])
+        distinct, inverse = np.unique(np.concatenate([*sent, np.zeros(0, np.uint64)]).astype(np.uint64), return_inverse=True)
+        segment = held.column("segment")[0].as_py() if held.num_rows else EMPTY
+        got = Filter([segment], [1]).levels(distinct).astype(np.uint8)[inverse]
+        levels = [got[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        if n == 1:
+            known, times = unpacked(held.column("keys").to_pylist(), held.column("counts").to_pylist(), np.int64)
+            at = np.minimum(np.searchsorted(known, distinct), max(0, len(known) - 1))
+            got = (np.where(known[at] == distinct, times[at], 0) if len(known) else np.zeros(len(distinct), np.int64))[inverse]
+            counts = [got[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return pa.table([*[asked.column(c) for c in ("slice", "n", "bucket")], pa.array(levels, pa.binary()), pa.array(counts, pa.binary()),
+                     *[asked.column(c) for c in _names(DOCS)]], _names(ANSWERED))
+
+
+def _sum_up(shared, order: int, tokens: int, types: int):
+    """Scores of a slice's documents from the answers, which laid end to end by bucket are in its n-grams' order."""
+
+    def run(table: pa.Table) -> pa.Table:
+        _, _, common_counts, common_levels = shared.value
+        table = table.sort_by([("n", "ascending"), ("bucket", "ascending")])
+        n = table.column("n").to_numpy()
+        size = np.array(table.column("sizes")[0].as_py(), np.int64)
+        places = _unsqueezed(table.column("places")[0].as_py(), order, int(size.sum()))
+        joined = lambda c, k, t: np.frombuffer(b"".join(table.column(c).filter(pa.array(n == k)).to_pylist()), t)
+        levels = [joined("levels", k, np.uint8) for k in range(1, order + 1)]
+        levels[0] = np.concatenate([common_levels, levels[0]])
+        exact = np.concatenate([common_counts, joined("counts", 1, np.int64)])[places[0]]
+        first = np.cumsum(np.r_[0, size[:-1]])
+        logs = smoothed([middle(q.astype(np.int64))[p] for q, p in zip(levels, places, strict=True)], first, tokens, types)
+        return pa.table([pa.array(table.column("ids")[0].as_py(), pa.int64()), pa.array(table.column("held")[0].as_py(), pa.bool_()),
+                         pa.array(size), pa.array(np.add.reduceat((exact > 0).astype(np.int64), first)),
+                         pa.array(np.add.reduceat(np.log10(exact + 1.0), first) - size * math.log10(tokens + types + 1)),
+                         pa.array(np.add.reduceat(logs, first))], _names(SCORED))
 
     return run
 
 
-def _answer(_key, counts: pa.Table, asked: pa.Table) -> pa.Table:
-    """Sums of log10(count + 1), and known tokens, by document row, for a bucket's requests."""
-    keys, n = unpacked(counts.column("keys").to_pylist(), counts.column("counts").to_pylist(), np.int64)
-    rows, known, logs = [], [], []
-    for r, k in zip(asked.column("rows").to_pylist(), asked.column("keys").to_pylist(), strict=True):
-        r, k = np.frombuffer(r, np.int64), np.frombuffer(k, np.uint64)
-        at = np.minimum(np.searchsorted(keys, k), max(0, len(keys) - 1))
-        hit = keys[at] == k if len(keys) else np.zeros(len(k), bool)
-        r, c = r[hit], n[at[hit]]
-        who, inverse = np.unique(r, return_inverse=True)
-        rows.append(who)
-        known.append(np.bincount(inverse, minlength=len(who)))
-        logs.append(np.bincount(inverse, np.log10(c + 1.0), minlength=len(who)))
-    cat = lambda x, t: pa.array(np.concatenate(x) if x else [], t)
-    return pa.table([cat(rows, pa.int64()), cat(known, pa.int64()), cat(logs, pa.float64())], ["row", "known", "logs"])
-
-
-def score(docs: DataFrame, order: int = ORDER, filter_bytes: int = FILTER_BYTES, id_col: str = "doc_id",
+def score(docs: DataFrame, order: int = ORDER, filter_bytes: int | None = None, id_col: str = "doc_id",
           text_col: str = "text", folds: int = 7, held_out: int = 2) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of ``docs``."""
     scratch = Scratch(docs.sparkSession, "bloomlm")
     part = fold(id_col, folds)
-    model, counts, buckets = learn(scratch, docs.where(part != held_out), order, filter_bytes, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast((model, *common_words(counts, buckets, COMMON)))
-    out = scratch.save(
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(part == held_out, F.lit(False)).alias("held_out"),
-                    utf8(docs, text_col)).mapInArrow(_score_tasks(shared, buckets), SCORED))
-    asked = out.where("bucket is not null").select("bucket", "rows", "keys")
-    rest = (counts.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_answer, "row long, known long, logs double")
-            .groupBy("row").agg(F.sum("known").alias("more"), F.sum("logs").alias("more_logs")))
-    per_token = math.log10(model.tokens + model.types + 1)
-    return out.where("row is not null").drop("bucket", "rows", "keys").join(rest, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(per_token)).alias("base_score"), "score")
+    merged, buckets, tokens, types = count(scratch, docs.where(part != held_out), order, filter_bytes, text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(common_words(word_counts(merged), buckets, COMMON))
+    asked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(part == held_out, F.lit(False)).alias("held_out"),
+                        utf8(docs, text_col)).mapInArrow(_ask(shared, order, buckets), ASKED)
+    answered = (merged.select("n", "bucket", "segment", "keys", "counts").groupBy("n", "bucket")
+                .cogroup(asked.groupBy("n", "bucket")).applyInArrow(_answer, ANSWERED))
+    scored = answered.groupBy("slice").applyInArrow(_sum_up(shared, order, tokens, types), SCORED)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"),
+                         "base_score", "score")

@@ -100,6 +100,21 @@ def test_bounded_filter_leaves_rare_ngrams_to_smoothing(spark, documents):
     assert (got[level >= least] >= level[level >= least]).all()
 
 
+@pytest.mark.parametrize("common", [1 << 18, 0])
+def test_scores_use_every_ngram_however_large_the_corpus(spark, documents, monkeypatch, common):
+    """The filter outgrows the 32 MB that once bounded it, scaled down with the corpus; scores are the whole filter's."""
+    monkeypatch.setattr(bloomlm, "COMMON", common)
+    monkeypatch.setattr(bloomlm.score, "__defaults__", tuple(1500 if d == 32 << 20 else d for d in bloomlm.score.__defaults__))
+    monkeypatch.setattr(bloomlm, "BUCKET_TOKENS", 2000)
+    monkeypatch.setattr(bloomlm, "SCORE_BYTES", 4000)
+    rows = corpus(4)
+    kept = [(i, t) for i, t in rows if i is not None and zlib.crc32(str(i).encode()) % 7 != 2]
+    model, _, buckets = learned(spark, documents, kept, filter_bytes=1 << 30)
+    assert buckets > 4 and all(least == 1 for f in model.filters for least in f.least)
+    want = sorted((str(i), round(float(model.log_probabilities([bloomlm.token_hashes(t.encode() if t else t)]).sum()), 5)) for i, t in rows)
+    assert sorted((str(r.doc_id), round(r.score, 5)) for r in bloomlm.score(documents(rows)).collect()) == want
+
+
 def test_longer_ngrams_and_likelier_texts(spark, documents):
     rows = [(i, "the cat sat on the mat and the dog sat on the rug") for i in range(40)]
     model, _, _ = learned(spark, documents, rows, order=2)
