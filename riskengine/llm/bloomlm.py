@@ -41,7 +41,7 @@ BUCKET_TOKENS = 250_000        # tokens of a bucket
 BITS_PER_ENTRY, PROBES = 12, 4
 EMPTY = bytes(1)               # segment of a bucket without n-grams
 COMMON = 1 << 18
-SHARE = (0.0, 0.6)             # weight of the bigram's own share in the interpolation
+SHARE = 0.6                    # weight of a longer n-gram's own share in the interpolation, at any order
 END = np.uint64(0x5BD1E9955BD1E995)
 START = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -140,7 +140,7 @@ def smoothed(counts: list[np.ndarray], first: np.ndarray, tokens: int, types: in
         past[first] = 0
         own = counts[n - 1]
         share = np.minimum(1.0, own / np.maximum(past, 1))
-        p = np.where(past > 0, SHARE[n - 1] * share + (1 - SHARE[n - 1]) * p, p)
+        p = np.where(past > 0, SHARE * share + (1 - SHARE) * p, p)
     return np.log10(p)
 
 

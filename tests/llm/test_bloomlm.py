@@ -122,6 +122,28 @@ def test_longer_ngrams_and_likelier_texts(spark, documents):
     assert p("the cat sat on the mat") > p("mat the on sat cat the") > p("unknown words only stand in here")
 
 
+def test_trigrams_interpolate_down_to_words(spark, documents):
+    ids = [i for i in range(20) if zlib.crc32(str(i).encode()) % 7 != 2]
+    rows = list(zip(ids, ["a b a b a c", "a b b", "a b a"]))
+    model, _, _ = learned(spark, documents, rows, order=3)
+    count = {n: dict(zip(*(x.tolist() for x in ngrams([t for _, t in rows], n)))) for n in (1, 2, 3)}
+    q = lambda n, k: float(bloomlm.middle(bloomlm.level_of(np.array([count[n].get(int(k), 0)])))[0])
+    want = {}
+    for i, t in rows:
+        h = bloomlm.token_hashes(t.encode())
+        keys = {n: bloomlm.ngram_keys(h, n) for n in (1, 2, 3)}
+        want[i] = 0.0
+        for at in range(len(h)):
+            p = (q(1, keys[1][at]) + 1) / (model.tokens + model.types + 1)
+            for n in (2, 3):
+                past = q(n - 1, keys[n - 1][at - 1]) if at else 0
+                if past:
+                    p = 0.6 * min(1, q(n, keys[n][at]) / past) + 0.4 * p
+            want[i] += math.log10(p)
+    got = {r.doc_id: r.score for r in bloomlm.score(documents(rows), order=3).collect()}
+    assert got == pytest.approx(want)
+
+
 def test_empty_tables(spark, documents):
     assert bloomlm.score(documents([])).collect() == []
     only = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
