@@ -15,7 +15,8 @@
 A query is the distinct words of its whole text (0-9, a-z and non-ASCII, lower-cased).  Defined
 cases: a query without words has no results; a null or empty text is never found; results with
 a score of zero are none; a null id is not a query and loses ties; rows that repeat are
-found as often as they are there.
+found as often as they are there; as queries, rows of equal id and text are one, and those of
+one id but different texts are ranked each by itself, all under that id.
 """
 
 from __future__ import annotations
@@ -119,12 +120,14 @@ def _query_terms(buckets: int):
     def run(batches):
         for b in batches:
             out = []
-            for q, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for q, t, v in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 terms = np.unique(word_hashes(words(t, ALNUM)))
                 cuts = np.searchsorted(bucket_of(terms, buckets), np.arange(buckets + 1))
-                out += [(q, i, terms[cuts[i]:cuts[i + 1]].view(np.int64)) for i in range(buckets) if cuts[i] < cuts[i + 1]]
-            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int32()),
-                                              pa.array([o[2] for o in out], pa.list_(pa.int64()))], ["query", "bucket", "terms"])
+                out += [(q, v, i, terms[cuts[i]:cuts[i + 1]].view(np.int64)) for i in range(buckets) if cuts[i] < cuts[i + 1]]
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
+                                              pa.array([o[2] for o in out], pa.int32()),
+                                              pa.array([o[3] for o in out], pa.list_(pa.int64()))],
+                                             ["query", "version", "bucket", "terms"])
 
     return run
 
@@ -133,13 +136,14 @@ def _look_up(_key, counts: pa.Table, asked: pa.Table) -> pa.Table:
     """Each query's terms of a bucket with their global document frequencies."""
     keys, n = unpacked(counts.column("keys").to_pylist(), counts.column("counts").to_pylist())
     out = []
-    for q, t in zip(asked.column("query").to_pylist(), asked.column("terms").to_pylist(), strict=True):
+    for q, v, t in zip(*(asked.column(c).to_pylist() for c in ("query", "version", "terms")), strict=True):
         t = np.array(t, np.int64).view(np.uint64)
         at = np.minimum(np.searchsorted(keys, t), max(0, len(keys) - 1))
         hit = keys[at] == t if len(keys) else np.zeros(len(t), bool)
-        out.append((q, t[hit].view(np.int64), n[at[hit]]))
-    return pa.table([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.list_(pa.int64())),
-                     pa.array([o[2] for o in out], pa.list_(pa.int64()))], ["query", "terms", "df"])
+        out.append((q, v, t[hit].view(np.int64), n[at[hit]]))
+    return pa.table([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
+                     pa.array([o[2] for o in out], pa.list_(pa.int64())),
+                     pa.array([o[3] for o in out], pa.list_(pa.int64()))], ["query", "version", "terms", "df"])
 
 
 # --- search -----------------------------------------------------------------------------
@@ -250,7 +254,7 @@ def search_shard(shard: Shard, batch: Batch, some: np.ndarray, best: np.ndarray,
         threshold[alive[raised]] = np.maximum(threshold[alive[raised]], best[rows, -1])
 
 
-def _search(shared, k: int, average: float):
+def _search(shared, k: int, average: float, start: int):
     def run(batches):
         batch = shared.value
         best = np.full((len(batch.ids), k), -1.0)
@@ -264,8 +268,8 @@ def _search(shared, k: int, average: float):
                 del shard, row  # before the next one is built
         q, i = np.nonzero(best > 0)
         ids = found[q, i]
-        yield pa.RecordBatch.from_arrays([pa.array(batch.ids[q]), pa.array(ids, mask=ids == NO_ID), pa.array(best[q, i])],
-                                         ["query_id", "doc_id", "score"])
+        yield pa.RecordBatch.from_arrays([pa.array(batch.ids[q]), pa.array(q + start), pa.array(ids, mask=ids == NO_ID),
+                                          pa.array(best[q, i])], ["query_id", "query", "doc_id", "score"])
 
     return run
 
@@ -283,38 +287,40 @@ def rows_at_once(spark, n: int):
 
 
 def top_k(docs: DataFrame, is_query: Column, k: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(query_id, rank, doc_id, score): the ``k`` best rows of ``docs`` for each row that ``is_query``."""
+    """(query_id, rank, doc_id, score): the ``k`` best rows of ``docs`` for each distinct row that ``is_query``."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "search")
     index = build_index(scratch, docs, id_col, text_col)
     n, tokens, keys = index.agg(F.sum("n_docs"), F.sum("n_tokens"), F.sum(F.octet_length("terms") / 8)).first()
     queries = (docs.where(is_query & F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
-               .select(F.col(id_col).cast("long").alias("query"), utf8(docs, text_col)).groupBy("query").agg(F.min(text_col).alias("text")))
+               .select(F.col(id_col).cast("long").alias("query"), utf8(docs, text_col).alias("text")).distinct()
+               .withColumn("version", F.xxhash64("text")))  # tells texts of one id apart
     buckets = max(4, math.ceil((keys or 0) / BUCKET_KEYS))
     counts = index.select("terms", "starts").mapInArrow(_frequencies(buckets), "bucket int, keys binary, counts binary")
-    asked = queries.mapInArrow(_query_terms(buckets), "query long, bucket int, terms array<long>")
+    asked = queries.mapInArrow(_query_terms(buckets), "query long, version long, bucket int, terms array<long>")
     parts = (counts.groupBy("bucket").cogroup(asked.groupBy("bucket"))
-             .applyInArrow(_look_up, "query long, terms array<long>, df array<long>"))
+             .applyInArrow(_look_up, "query long, version long, terms array<long>, df array<long>"))
     idf = F.transform(F.flatten(F.collect_list("df")), lambda d: F.log(1 + (F.lit(float(n or 0)) - d + 0.5) / (d + 0.5)))
     with rows_at_once(spark, 8):
-        queries = scratch.save(parts.groupBy("query").agg(F.flatten(F.collect_list("terms")).alias("terms"), idf.alias("weights"))
+        queries = scratch.save(parts.groupBy("query", "version").agg(F.flatten(F.collect_list("terms")).alias("terms"), idf.alias("weights"))
                                .where(F.size("terms") > 0))
     batches = max(1, math.ceil((queries.agg(F.sum(F.size("terms"))).first()[0] or 0) / BATCH_TERMS))
     # few tasks with many shards each: a task sends k results a query, and thresholds rise from shard to shard
     shards = index.coalesce(2 * spark.sparkContext.defaultParallelism)
-    results = []
+    results, start = [], 0
     for i in range(batches):
-        got = queries.where(F.pmod(F.xxhash64("query"), F.lit(batches)) == i).orderBy(F.element_at("weights", 1), "query").toArrow()
+        got = queries.where(F.pmod(F.xxhash64("query"), F.lit(batches)) == i).orderBy(F.element_at("weights", 1), "query", "version").toArrow()
         if not got.num_rows:
             continue
         terms = [np.array(t, np.int64).view(np.uint64) for t in got.column("terms").to_pylist()]
         weights = [np.array(w) for w in got.column("weights").to_pylist()]
         shared = spark.sparkContext.broadcast(Batch(got.column("query").to_numpy(), terms, weights))
-        run = _search(shared, k, tokens / n)
+        run = _search(shared, k, tokens / n, start)
+        start += got.num_rows
         with rows_at_once(spark, 1):
-            results.append(scratch.save(shards.mapInArrow(run, "query_id long, doc_id long, score double")))
+            results.append(scratch.save(shards.mapInArrow(run, "query_id long, query long, doc_id long, score double")))
         shared.destroy()
     if not results:
         return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id")))
+    rank = F.row_number().over(Window.partitionBy("query_id", "query").orderBy(F.desc("score"), F.asc_nulls_last("doc_id")))
     return union_all(results).withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")

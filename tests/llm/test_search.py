@@ -69,6 +69,17 @@ def test_batches_of_queries_give_the_same(spark, documents, monkeypatch):
     assert run() == whole
 
 
+@pytest.mark.parametrize("batch_terms", [2_000_000, 3])
+def test_texts_of_one_id_are_queries_each(spark, documents, monkeypatch, batch_terms):
+    monkeypatch.setattr(search, "BATCH_TERMS", batch_terms)
+    rows = [(1, "a b"), (2, "c d"), (4, "a b c"), (4, "d e"), (4, "d e"), (6, "e f"), (7, "f")]
+    want = []
+    for q, text in sorted({r for r in rows if r[0] % 2 == 0}):
+        want += [(q, n, i, s) for n, (i, s) in enumerate(by_hand(rows, [(q, text)], 3)[q], 1)]
+    got = search.top_k(documents(rows), F.col("doc_id") % 2 == 0, 3).collect()
+    assert sorted((r.query_id, r.rank, r.doc_id, round(r.score, 5)) for r in got) == sorted((*w[:3], round(w[3], 5)) for w in want)
+
+
 def test_blocks_are_skipped_and_nothing_is_lost():
     """Two kinds of documents: a query of one kind never scores a block of the other."""
     rnd = np.random.default_rng(1)
