@@ -68,7 +68,53 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, do
 WHERE rank <= 10
 """
 
+#: Words by runs, each distinct run of a document with its CRC 32 (table by rule, bytes from
+#: hexadecimal); near words share what is left when one code point goes.
+VARIANTS = r"""
+WITH RECURSIVE crc AS (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)
+                                  ORDER BY i) AS t FROM (SELECT unnest(range(256)) AS i)),
+found AS (SELECT doc_id, run, count(*) AS n
+          FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[a-z\x{C0}-\x{FF}]{7,}')) AS run FROM documents) GROUP BY ALL),
+hexed AS (SELECT *, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM found),
+hashed AS (SELECT run, n, xor(list_reduce([CAST('0x' || substr(x, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT) FOR i IN range(len(x) // 2)],
+                  lambda c, b: xor(c >> 8, crc.t[CAST(xor(c, b) & 255 AS BIGINT) + 1]), 4294967295), 4294967295) AS h
+           FROM hexed, crc),
+changed AS (SELECT CASE WHEN h % 31 <> 0 THEN run ELSE substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) END AS word, n FROM hashed),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM changed WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+gone AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+         FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)),
+longer AS (SELECT DISTINCT w.word AS a, gone.word AS b FROM w JOIN gone ON w.word = gone.rest),
+near AS (SELECT a.word, b.word AS other FROM gone a JOIN gone b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+         UNION SELECT a, b FROM longer UNION SELECT b, a FROM longer),
+best AS (SELECT near.word, count(*) AS n_near, min((-w.n, near.other)) AS best FROM near JOIN w ON w.word = near.other GROUP BY near.word),
+forms AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best[1] >= 10 * w.n THEN best[2] END AS form,
+                 CASE WHEN -best[1] >= 10 * w.n THEN -best[1] END AS form_n FROM w LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS at FROM forms
+          UNION ALL SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.at WHERE forms.form IS NOT NULL)
+SELECT f.word, f.form, chain.at AS root, f.n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM forms f JOIN chain USING (word) JOIN forms last ON last.word = chain.at WHERE last.form IS NULL
+"""
+
+#: Every row scored for every anchor.
+NEGATIVES = r"""
+WITH v AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+                                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.id AS anchor, b.id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+           FROM v a JOIN v b ON a.id <> b.id AND len(a.q) = len(b.q) WHERE a.id % 50 = 0),
+positive AS (SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5)
+SELECT p.anchor AS anchor_id, p.id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY n.score DESC, n.id) AS INTEGER) AS rank,
+       n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positive p JOIN scored n ON n.anchor = p.anchor AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY n.score DESC, n.id) <= 3
+"""
+
 ORACLE: dict[str, str] = {
+    "op11_spelling_variants": VARIANTS,
+    "op13_hard_negatives": NEGATIVES,
     "op10_topk_search": SEARCH,
     "op7_warc": ARCHIVES,
     "op9_decontamination": LEAKS,

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bloomlm, decontam, langid, licenses, mixing, search, simhash, substrings, toxicity, warc
+from . import (bloomlm, decontam, langid, licenses, mixing, negatives, search, simhash, spelling, substrings, tokens, toxicity,
+               warc)
 from .common import table
 
 
@@ -68,6 +72,40 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top_k(table(spark, sf_dir, "documents"), F.col("doc_id") % 50 == 0, k=10)
 
 
+class LostLetter:
+    """Deletes a code point of every 31st run of a document, told by a hash of id and run."""
+
+    @staticmethod
+    def start(doc_id: str | None) -> int:
+        return zlib.crc32(f"{doc_id or ''}:".encode())
+
+    def __call__(self, start: int, run: str) -> str:
+        h = zlib.crc32(run.encode(), start)
+        if h % 31:
+            return run
+        at = h % len(run)
+        return run[:at] + run[at + 1:]
+
+
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of 7 letters or more that occur twice, their near words and the forms that they vary."""
+    return spelling.variants(table(spark, sf_dir, "documents"), LostLetter(), shortest=7, least=2, factor=10)
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text by the public word tokenizer."""
+    counts = tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of five positives of every vector whose id 50 divides."""
+    rows, vec_id, label = table(spark, sf_dir, "embeddings"), F.col("vec_id"), F.col("label")
+    rows = rows.withColumn("label", F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label))
+    return negatives.hard_negatives(rows, vec_id % 50 == 0, n_positives=5, n_negatives=3, low=50, high=95, scale=256)
+
+
 QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_license_scan, op3_language_id, op4_toxicity,
                                       op5_substring_dedup, op6_mixing, op7_warc, op8_lm_scoring,
-                                      op9_decontamination, op10_topk_search)}
+                                      op9_decontamination, op10_topk_search, op11_spelling_variants, op12_token_counts,
+                                      op13_hard_negatives)}

@@ -1,0 +1,87 @@
+"""Token counts: pieces against whole texts, for each public tokenizer and rule."""
+
+from __future__ import annotations
+
+import random
+
+import public_tokenizers
+import pyarrow as pa
+import pytest
+
+from llm_fixtures import documents  # noqa: F401 -- a fixture
+from riskengine.llm import tokens
+
+FILES = {"word_bpe_49k.json": "dropped", "byte_bpe_50k.json": "leading", "piece_bpe_32k.model": "marked"}
+
+
+def whole(name, texts):
+    """Every text in one call of the library, nothing split or kept."""
+    path = public_tokenizers.path(name)
+    if name.endswith(".model"):
+        import sentencepiece
+
+        return [len(sentencepiece.SentencePieceProcessor(model_file=path).encode(t)) for t in texts]
+    from tokenizers import Tokenizer
+
+    made = Tokenizer.from_file(path)
+    return [len(made.encode(t, add_special_tokens=False)) for t in texts]
+
+
+def odd_texts(seed, n=400):
+    rnd = random.Random(seed)
+    bits = ["a", "Word", "don't", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>x", " ", "  ", "\n", "\t \r\n", " ", "　", "\x0b",
+            "\x1c", "\x85", "12", "3", "...", "!?", "é", "é", "̸", "́", "=", "ß", "İ", "Σ", "ΑΣ", "漢字", "👍🏽", "�", "ſ", "'", "'s", "'LL", "_", "▁", "</w>", "\x00"]
+    return ["".join(rnd.choice(bits) for _ in range(rnd.randrange(0, 25))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("name,cut", FILES.items())
+def test_pieces_add_up(name, cut):
+    with open(public_tokenizers.path(name), "rb") as f:
+        data = f.read()
+    kind = "sentencepiece" if name.endswith(".model") else "tokenizers"
+    assert tokens.boundary(kind, data) == cut
+    texts = odd_texts(1) + odd_texts(2)
+    counter = tokens.Counter(kind, data, cut)
+    assert counter.count(pa.array(texts)).tolist() == whole(name, texts)
+    assert counter.count(pa.array(texts[::-1])).tolist() == whole(name, texts)[::-1]  # from kept counts
+
+
+def test_unknown_rules_encode_whole_texts():
+    with open(public_tokenizers.path("word_bpe_49k.json"), "rb") as f:
+        data = f.read()
+    assert tokens.boundary("tokenizers", data.replace(b'"type":"NFC"', b'"type":"NFKC"').replace(b'"type": "NFC"', b'"type": "NFKC"')) == "none"
+    counter = tokens.Counter("tokenizers", data, "none")
+    texts = odd_texts(3, 50)
+    assert counter.count(pa.array(texts)).tolist() == whole("word_bpe_49k.json", texts)
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_rows(spark, documents, monkeypatch, name):
+    monkeypatch.setattr(tokens, "BATCH_BYTES", 3000)
+    monkeypatch.setattr(tokens, "CALL_BYTES", 50)
+    monkeypatch.setattr(tokens, "KEPT", 40)
+    long = "some words, " * 20_000
+    rows = [(1, None), (2, ""), (3, long), (4, "x" * 50_000), (5, "same row"), (5, "same row"), (None, "no id"),
+            *[(10 + i, t.replace("\x00", "")) for i, t in enumerate(odd_texts(4, 60))]]
+    got = sorted(map(tuple, tokens.token_counts(documents(rows), public_tokenizers.path(name)).collect()), key=repr)
+    n = dict(zip([t for _, t in rows if t], whole(name, [t for _, t in rows if t]), strict=True))
+    assert got == sorted([(i, len((t or "").encode()), n[t] if t else 0) for i, t in rows], key=repr)
+
+
+def test_bytes_that_are_not_text_and_empty_tables(spark, documents):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert tokens.token_counts(documents([]), path).collect() == []
+    bad = spark.sql("SELECT 1L AS doc_id, CAST(X'61FF62' AS string) AS text")
+    row = tokens.token_counts(bad, path).first()
+    assert (row.n_bytes, row.n_tokens) == (3, whole("word_bpe_49k.json", ["a�b"])[0])
+
+
+def test_query_counts_every_document(spark):
+    from conftest import SF_SMALL
+
+    from riskengine.llm import queries
+
+    got = {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in queries.op12_token_counts(spark, SF_SMALL).collect()}
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()
+    n = whole("word_bpe_49k.json", [r.text or "" for r in docs])
+    assert got == {r.doc_id: (len((r.text or "").encode()), c, c > 2048) for r, c in zip(docs, n, strict=True)}
