@@ -13,12 +13,14 @@ one that ends no later than an earlier one is dropped.
 
 **Affected grams.**  How far an edit can change that choice is bounded per gram
 (:func:`lasting`): edits at or behind ``after`` leave the gram and all in front of it as they are,
-edits before ``before`` leave it and all behind it.  A word therefore looks up just two lists: one
-of a gram that lasts when the edit is behind it, one of a gram that lasts when it is before it, so
-chosen that every edit is covered.  A list's key is the gram with all that stands on its sure side,
-and the length of the other word.  Grams are at most half of a word long, which is when such a
-pair always exists.  What the lists propose is verified by edit distance, inside the join, so that
-a list's pairs are never rows.
+edits before ``before`` leave it and all behind it.  The places of an edit fall into three windows,
+the word's start, middle and end.  An edit in a window leaves the grams whose bounds lie outside it,
+and these are the same grams in both words: so the lists of the last one in front of the window and
+of the first one behind it are merged, which means that two words are compared if they agree on
+both grams, with all that stands on their far sides (:func:`merged_lists`).  Every word stands in
+three lists for its own length and three for words that are one shorter.  Grams are at most half of
+a word long, which is when such grams always exist.  What the lists propose is verified by edit
+distance, inside the join, so that a list's pairs are never rows.
 
 A word's **form** is its most frequent near word, if that is ``factor`` times as frequent; forms
 are followed to the last, the **root**.  A step multiplies the count, so chains are short.
@@ -40,7 +42,7 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, Scratch, utf8
 
-SHORTEST, LONGEST = 2, 5   # code points of a gram
+SHORTEST, LONGEST = 2, 3   # code points of a gram; longer ones would leave less on the sure side
 GRAMS = 20_000             # grams of one length above the threshold: fewer than these
 TASK_WORDS = 200_000       # distinct words that a task holds before it sends them on
 STEPS = 5                  # doublings that follow forms; 2 ** 5 steps of a factor of 2 exceed a long
@@ -87,9 +89,9 @@ def _counted(total: dict[str, int]) -> pa.RecordBatch:
 
 # --- grams ------------------------------------------------------------------------------
 
-def longest_gram(n: int, most: int | None = None) -> int:
-    """Code points of the grams for a word of ``n`` and for the longer one of a pair."""
-    return max(1, min(LONGEST if most is None else most, n // 2))
+def longest_gram(n: int) -> int:
+    """Code points of the grams for words of ``n`` and those one longer."""
+    return max(1, min(LONGEST, n // 2))
 
 
 def reach(word: str, at: int, known: frozenset, most: int) -> tuple[int, int]:
@@ -122,41 +124,38 @@ def lasting(word: str, known: frozenset, most: int) -> list[tuple[int, int, int,
     return out
 
 
-def lists(word: str, known: frozenset, most: int) -> list[tuple[str, bool]]:
-    """Everything a shorter or equal word may look up: (text on the sure side, whether it is the start)."""
-    grams = lasting(word, known, most)
-    return [(word[:e], True) for _, e, _, _ in grams] + [(word[p:], False) for p, _, _, _ in grams]
+def merged_lists(word: str, known: frozenset, n: int) -> list[tuple[str, str]]:
+    """(start, end) for each window of edits: what stays of a word through its last gram in front of
+    the window and from its first gram behind it.
 
+    ``n`` is the length of the shorter word of a pair, ``word`` has it or is one longer.  Two words
+    one edit apart have one of these in common, at the same position of the list.
+    """
+    most = longest_gram(n)
+    grams, outer = lasting(word, known, most), max(n // 3, most)
+    middle = n - 2 * outer
 
-def looked_up(word: str, known: frozenset, most: int) -> list[tuple[str, bool]]:
-    """Two lists that hold every word one edit away that is not shorter.
+    def start(place: int) -> str:  # counted from the start of the word
+        return word[:max(e for _, e, after, _ in grams if after <= place)]
 
-    Of the pairs that cover all edits it is the one whose shorter side is longest.
-    """
-    grams = lasting(word, known, most)
-    _, e, p = max((min(e, len(word) - p), e, p) for _, e, after, _ in grams for p, _, _, before in grams if after <= before)
-    return [(word[:e], True), (word[p:], False)]
+    def end(place: int) -> str:    # counted from its end
+        return word[min(p for p, _, _, before in grams if before >= len(word) - place):]
+
+    windows = [("", end(n - outer)), (start(n - outer), "")]
+    return windows + [(start(outer), end(outer))] if middle else windows
 
 
-def _postings(known, asked: bool):
-    """Keys of words: what they look up for both lengths, or the lists that they stand in."""
+def _postings(known, lengths: tuple[int, ...]):
+    """The keys of words as the shorter of a pair (its length less 0) and as the longer one (less 1)."""
 
     def run(batches):
         held = known.value
         for b in batches:
-            words, keys, size, start, most = [], [], [], [], []
-            for w in b.column(0).to_pylist():
-                n = len(w)
-                for tier in {longest_gram(n)} if asked else {longest_gram(n), longest_gram(n - 1)}:
-                    for key, first in (looked_up if asked else lists)(w, held, tier):
-                        for other in (n, n + 1) if asked else (n,):
-                            words.append(w)
-                            keys.append(key)
-                            size.append(other)
-                            start.append(first)
-                            most.append(tier)
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(keys, pa.string()), pa.array(size, pa.int32()),
-                                              pa.array(start, pa.bool_()), pa.array(most, pa.int32())], ["word", "key", "size", "start", "most"])
+            out = [(w, start, end, window, len(w) - less, less) for w in b.column(0).to_pylist() for less in lengths
+                   for window, (start, end) in enumerate(merged_lists(w, held, len(w) - less))]
+            kinds = (pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 6, kinds, strict=True)],
+                                             ["word", "start", "end", "window", "n", "less"])
 
     return run
 
@@ -181,13 +180,12 @@ def near_words(scratch: Scratch, words: DataFrame) -> DataFrame:
 
     Words have at least 4 code points; each pair is there once.
     """
-    spark = words.sparkSession
-    known = spark.sparkContext.broadcast(gram_dictionary(words))
-    kinds = "word string, key string, size int, start boolean, most int"
-    posted = lambda asked, name: words.select("word").mapInArrow(_postings(known, asked), kinds).select(
-        F.col("word").alias(name), F.xxhash64("key", "size", "start", "most").alias(f"{name}_key"))
-    pair = (F.length("a") < F.length("b")) | (F.col("a") < F.col("b"))
-    found = posted(True, "a").join(posted(False, "b"), (F.col("a_key") == F.col("b_key")) & pair & (F.levenshtein("a", "b", 1) == 1))
+    known = words.sparkSession.sparkContext.broadcast(gram_dictionary(words))
+    kinds = "word string, start string, end string, window int, n int, less int"
+    posted = lambda name, *less: words.select("word").mapInArrow(_postings(known, less), kinds).select(
+        F.col("word").alias(name), F.col("less").alias(f"{name}_less"), F.xxhash64("start", "end", "window", "n").alias(f"{name}_key"))
+    pair = (F.col("b_less") == 1) | (F.col("a") < F.col("b"))
+    found = posted("a", 0).join(posted("b", 0, 1), (F.col("a_key") == F.col("b_key")) & pair & (F.levenshtein("a", "b", 1) == 1))
     return scratch.save(found.select("a", "b").distinct())
 
 

@@ -93,15 +93,19 @@ def test_equal_to_comparing_all_words(spark, documents, monkeypatch, seed, grams
     assert sum(w[4] for w in want) > 20 and any(w[2] != w[0] for w in want)
 
 
-@settings(max_examples=400, deadline=None)
+@settings(max_examples=600, deadline=None)
 @given(st.text("abé", min_size=4, max_size=14), st.sets(st.text("abé", min_size=3, max_size=6), max_size=60), st.integers(2, 6), st.data())
 def test_every_edit_leaves_a_list(word, grams, most, data):
-    """The other word of any insertion or replacement stands in a list that is looked up."""
+    """A word and the other one of any insertion or replacement stand in a list together."""
     known = frozenset(g[:k] for g in grams for k in range(3, len(g) + 1))
-    tier = spelling.longest_gram(len(word), most)
-    i, ch = data.draw(st.integers(0, len(word))), data.draw(st.sampled_from("abéz"))
-    for other in {word[:i] + ch + word[i:], word[:i] + ch + word[i + 1:] if i < len(word) else word}:
-        assert set(spelling.looked_up(word, known, tier)) & set(spelling.lists(other, known, tier))
+    i, ch, before = data.draw(st.integers(0, len(word))), data.draw(st.sampled_from("abéz")), spelling.LONGEST
+    try:
+        spelling.LONGEST = most
+        own = spelling.merged_lists(word, known, len(word))
+        for other in {word[:i] + ch + word[i:], word[:i] + ch + word[i + 1:] if i < len(word) else word}:
+            assert any(x == y for x, y in zip(own, spelling.merged_lists(other, known, len(word)), strict=True))
+    finally:
+        spelling.LONGEST = before
 
 
 @settings(max_examples=400, deadline=None)
