@@ -6,6 +6,8 @@ written, joined or collected by the caller.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -62,23 +64,24 @@ def evaluate_predictions(df: DataFrame, prediction_col: str = PREDICTION_COLUMN,
 
 
 def score_label_counts(df: DataFrame, label_col: str = LABEL_COLUMN,
-                       score_col: str = SCORE_COLUMN) -> DataFrame:
+                       score_col: str = SCORE_COLUMN, by: Sequence[str] = ()) -> DataFrame:
     """Positives and negatives per distinct score (rows with a null or NaN score, or a
     label other than 0/1, are left out, as the evaluator cannot use them)."""
     y, s = F.col(label_col).try_cast("double"), F.col(score_col).try_cast("double")
     return (df.where(s.isNotNull() & ~F.isnan(s) & y.isin(0.0, 1.0))
-            .groupBy(s.alias("score"))
+            .groupBy(*by, s.alias("score"))
             .agg(F.count_if(y == F.lit(1.0)).alias("pos"),
                  F.count_if(y == F.lit(0.0)).alias("neg")))
 
 
 def auc_exact(df: DataFrame, label_col: str = LABEL_COLUMN, score_col: str = SCORE_COLUMN,
-              partitions: int | None = None) -> DataFrame:
+              partitions: int | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Exact area under the ROC curve, one row ``auc`` (null if a class is absent).
 
     ``AUC = sum_s pos(s) * (neg_below(s) + neg(s) / 2) / (P * N)`` over distinct
     scores ``s`` -- the Mann-Whitney form, ties counted half; it equals the
-    trapezoid area of the un-binned ROC curve.
+    trapezoid area of the un-binned ROC curve.  With ``by``, a row for each group of those
+    columns, all from the same pass.
 
     The running count ``neg_below`` needs the scores in order, but never in one task:
     distinct scores (ties have collapsed, so none is hot) are range-partitioned into
@@ -87,26 +90,26 @@ def auc_exact(df: DataFrame, label_col: str = LABEL_COLUMN, score_col: str = SCO
     each part the rest.  Sums are exact decimals, so the answer does not depend on
     partitioning.
     """
-    spark = df.sparkSession
+    spark, by = df.sparkSession, list(by)
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    counts = materialize(score_label_counts(df, label_col, score_col).repartitionByRange(parts, "score")
+    counts = materialize(score_label_counts(df, label_col, score_col, by).repartitionByRange(parts, *by, "score")
                          .withColumn("part", F.spark_partition_id()))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (counts.groupBy("part").agg(F.sum("neg").alias("part_neg"))
-               .select("part", F.coalesce(F.sum("part_neg").over(earlier), F.lit(0)).alias("neg_before")))
-    within = Window.partitionBy("part").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (counts.join(offsets, "part")
+    earlier = Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (counts.groupBy(*by, "part").agg(F.sum("neg").alias("part_neg"))
+               .select(*by, "part", F.coalesce(F.sum("part_neg").over(earlier), F.lit(0)).alias("neg_before")))
+    within = Window.partitionBy(*by, "part").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = (counts.join(offsets, [*by, "part"])
               .withColumn("neg_below", F.col("neg_before") + F.coalesce(F.sum("neg").over(within), F.lit(0))))
 
     big = DecimalType(38, 0)
     term = (F.col("pos").cast(big)
             * (F.lit(2) * F.col("neg_below") + F.col("neg")).cast(big))
-    totals = ranked.agg(F.sum(term).alias("num2"), F.sum("pos").alias("p"),
-                        F.sum("neg").alias("n"))
+    totals = ranked.groupBy(*by).agg(F.sum(term).alias("num2"), F.sum("pos").alias("p"),
+                                     F.sum("neg").alias("n"))
     p, n = F.col("p"), F.col("n")
     return totals.select(
-        F.when((p > 0) & (n > 0),
-               F.col("num2").cast("double") / (F.lit(2.0) * p.cast("double") * n.cast("double")))
+        *by, F.when((p > 0) & (n > 0),
+                    F.col("num2").cast("double") / (F.lit(2.0) * p.cast("double") * n.cast("double")))
         .alias("auc"))
 
 

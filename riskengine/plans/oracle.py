@@ -390,3 +390,98 @@ joined AS (SELECT is_fraud, CAST({_BITS} AS DOUBLE) / 4294967296.0::DOUBLE AS pr
 ORACLE["histogram_continuous"] = _histogram_sql(_CONTINUOUS)
 ORACLE["auc_continuous"] = f"""{_CONTINUOUS},
 {_AUC}"""
+
+# --- five-feature models: Newton's method in SQL ---------------------------------------
+#
+# The optimum of the penalised, weighted log loss is unique, so a converged fit of any solver
+# must agree with these steps: sums of gradient and Hessian by fit, then Gauss-Jordan
+# elimination over lists.  Penalties are on standardised coefficients, as MLlib's.
+
+_X = range(1, 6)
+_REGS = (0.01, 0.1, 1.0)
+
+
+def _solve(m: str, n: int) -> str:
+    """The solution of an ``n`` x ``n`` system given as a list of rows with the right side last."""
+    pivots = ", ".join(f"[[{k}.0::DOUBLE]]" for k in range(1, n + 1))
+    k = "CAST(kk[1][1] AS BIGINT)"
+    return (f"list_transform(list_reduce([{m}, {pivots}], lambda m, kk: [CASE WHEN a = {k} THEN [c / m[a][a] FOR c IN m[a]] "
+            f"ELSE [m[a][b] - m[a][{k}] * m[{k}][b] / m[{k}][{k}] FOR b IN range(1, {n + 2})] END FOR a IN range(1, {n + 1})]), "
+            f"lambda row: row[{n + 1}])")
+
+
+def _five_features_sql(fits: list[tuple[int, float]], steps: int = 9) -> str:
+    """CTEs up to ``model`` (fit, fold_out, reg, loss, b0 ... b5) for fits (fold left out or -1, penalty)."""
+    side = "PARTITION BY first_side, customer_id"
+    frame = f"{side} ORDER BY timestamp_seconds RANGE BETWEEN {W} PRECEDING AND CURRENT ROW"
+    z = [f"z{j}" for j in range(6)]
+    values = ", ".join(f"({i}, {out}, {reg}::DOUBLE)" for i, (out, reg) in enumerate(fits))
+    eta = " + ".join(f"beta[{j + 1}] * {c}" for j, c in enumerate(z))
+    hess = ", ".join("[" + ", ".join(f"sum(v * {a} * {b})" for b in z) + "]" for a in z)
+    system = ("[list_concat([hh[a][b] / sw + CASE WHEN a = b THEN reg * pen[a] ELSE 0 END FOR b IN range(1, 7)], "
+              "[gg[a] / sw + reg * pen[a] * beta[a]]) FOR a IN range(1, 7)]")
+    spread = "(sum(w * {0} * {0}) - sum(w * {0}) ** 2 / sum(w)) / (sum(w) - sum(w * w) / sum(w))"
+    return f"""WITH RECURSIVE {SQL_TRANSACTIONS},
+sided AS (SELECT *, {_SECS} AS timestamp_seconds, {_in_first_side('transaction_id')} AS first_side, ({_BITS} // 16) % 3 AS fold FROM transactions),
+feats AS MATERIALIZED (
+  SELECT transaction_id, customer_id, first_side, fold, is_fraud, CAST(CAST(is_fraud AS INTEGER) AS DOUBLE) AS y,
+         CAST(COUNT(transaction_id) OVER ({frame}) AS DOUBLE) AS x1, SUM(amount) OVER ({frame}) AS x2,
+         CAST(COUNT(transaction_id) OVER ({side}, merchant_category) AS DOUBLE) AS x3,
+         CAST(hour("timestamp") AS DOUBLE) AS x4, CAST(extract(dow FROM "timestamp") + 1 AS DOUBLE) AS x5 FROM sided),
+balance AS (SELECT CAST(count(*) AS DOUBLE) AS total, sum(y) AS pos FROM feats WHERE first_side),
+weighted AS MATERIALIZED (SELECT feats.*, total / (2 * CASE WHEN y = 1 THEN pos ELSE total - pos END) AS w FROM feats, balance WHERE first_side),
+mean AS (SELECT {", ".join(f"sum(w * x{j}) / sum(w) AS m{j}, sqrt({spread.format(f'x{j}')}) AS s{j}" for j in _X)} FROM weighted),
+f AS MATERIALIZED (SELECT weighted.*, 1.0::DOUBLE AS z0, {", ".join(f"(x{j} - m{j}) / s{j} AS z{j}" for j in _X)} FROM weighted, mean),
+fits AS (SELECT * FROM (VALUES {values}) t(fit, fold_out, reg)),
+ready AS (SELECT fit, fold_out, reg, [0.0::DOUBLE, {", ".join(spread.format(f"z{j}") for j in _X)}] AS pen
+          FROM fits JOIN f ON fold <> fold_out GROUP BY fit, fold_out, reg),
+it AS (
+  SELECT 0 AS i, fit, fold_out, reg, pen, [0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE] AS beta, 0.0::DOUBLE AS loss FROM ready
+  UNION ALL
+  SELECT i + 1, fit, fold_out, reg, pen, [beta[j] - x FOR x, j IN {_solve(system, 6)}],
+         loss + reg / 2 * list_sum([pen[j] * beta[j] ** 2 FOR j IN range(1, 7)])
+  FROM (SELECT i, fit, fold_out, reg, pen, beta, sum(w) AS sw, [{", ".join(f"sum(r * {c})" for c in z)}] AS gg, [{hess}] AS hh,
+               sum(w * (greatest(eta, 0) + ln(1 + exp(-abs(eta))) - y * eta)) / sum(w) AS loss
+        FROM (SELECT *, w * (p - y) AS r, w * p * (1 - p) AS v
+              FROM (SELECT *, 1 / (1 + exp(-eta)) AS p FROM (SELECT *, {eta} AS eta FROM it JOIN f ON f.fold <> it.fold_out WHERE i < {steps})))
+        GROUP BY i, fit, fold_out, reg, pen, beta)),
+model AS MATERIALIZED (SELECT fit, fold_out, reg, loss, {", ".join(f"beta[{j + 1}] / s{j} AS b{j}" for j in _X)},
+                 beta[1] - {" - ".join(f"beta[{j + 1}] * m{j} / s{j}" for j in _X)} AS b0 FROM it, mean WHERE i = {steps})"""
+
+
+_MARGIN = "b0 + " + " + ".join(f"b{j} * x{j}" for j in _X)
+
+
+def _auc_by(source: str, by: str) -> str:
+    """(by, auc) of ``score`` for ``y`` in ``source``: ties count half."""
+    return f"""SELECT {by}, sum(pos * (coalesce(below, 0) + neg / 2.0)) / (sum(pos) * sum(neg)) AS auc
+  FROM (SELECT *, sum(neg) OVER (PARTITION BY {by} ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS below
+        FROM (SELECT {by}, score, sum(y) AS pos, sum(1 - y) AS neg FROM {source} GROUP BY ALL)) GROUP BY {by}"""
+
+
+_CV_FIVE = f"""{_five_features_sql([(k, reg) for reg in _REGS for k in range(3)])},
+judged AS (SELECT fit, reg, y, {_MARGIN} AS score FROM f JOIN model ON fold = fold_out),
+areas AS (SELECT reg, avg(auc) AS auc FROM ({_auc_by('judged', 'fit')}) JOIN model USING (fit) GROUP BY reg),
+grid AS (SELECT reg AS reg_param, round(auc, 6) AS avg_auc, row_number() OVER (ORDER BY auc DESC, reg) = 1 AS is_best FROM areas)"""
+ORACLE["cv_five_features"] = f"""{_CV_FIVE}
+SELECT * FROM grid"""
+ORACLE["training_five_features_via_files"] = ORACLE["cv_five_features"]
+
+_ALL_FIVE = _five_features_sql([(-1, reg) for reg in _REGS])
+_TERMS = ("intercept", "transaction_velocity", "amount_velocity", "merchant_category_count", "hour_of_day", "day_of_week")
+_COEFFICIENTS = " UNION ALL ".join(f"SELECT reg AS reg_param, '{t}' AS term, round(b{j}, 6) AS coefficient FROM model" for j, t in enumerate(_TERMS))
+ORACLE["fit_five_features"] = f"""{_ALL_FIVE}
+SELECT * FROM (SELECT unnest(['mllib', 'shared']) AS solver) CROSS JOIN ({_COEFFICIENTS})"""
+ORACLE["fit_certificate"] = f"""{_ALL_FIVE}
+SELECT reg AS reg_param, model_name AS model, round(loss, 8) AS loss, true AS near_optimum
+FROM model CROSS JOIN (SELECT unnest(['reference', 'converged']) AS model_name)"""
+
+_BEST_FIVE = f"""{_five_features_sql([(-1, _REGS[0])])},
+told AS (SELECT feats.*, 1 / (1 + exp(-({_MARGIN}))) AS p FROM feats, model)"""
+ORACLE["score_five_features"] = f"""{_BEST_FIVE}
+SELECT transaction_id, customer_id, round(1 - p, 3) AS prob_0, round(p, 3) AS prob_1, CAST(p > 0.5 AS DOUBLE) AS prediction
+FROM told WHERE NOT first_side"""
+ORACLE["scoring_five_features_via_files"] = ORACLE["score_five_features"]
+ORACLE["model_auc_five_features"] = f"""{_BEST_FIVE}, both_sides AS (SELECT first_side, y, p AS score FROM told)
+SELECT CASE WHEN first_side THEN 'train' ELSE 'inference' END AS rows, round(auc, 6) AS auc, true AS evaluator_agrees
+FROM ({_auc_by('both_sides', 'first_side')})"""

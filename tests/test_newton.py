@@ -1,0 +1,139 @@
+"""Shared-pass logistic regressions against MLlib's converged fits, and the certificate."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.ml.linalg import Vectors
+
+from riskengine.operators import evaluation as ev
+from riskengine.operators import learning as ml
+from riskengine.operators import newton
+
+REGS = (0.01, 0.1, 1.0)
+
+
+def rows(seed, n=600, d=3, constant=False, one_fold_constant=False):
+    rnd = random.Random(seed)
+    out = []
+    for i in range(n):
+        x = [rnd.gauss(3 * j, 10 ** j) for j in range(d)]
+        fold = rnd.randrange(3)
+        if constant:
+            x.append(7.25)
+        if one_fold_constant:
+            x.append(rnd.random() if fold == 1 else 0.1)
+        y = int(rnd.random() < 1 / (1 + np.exp(-(x[0] - 0.2 * x[1] + 1))))
+        out.append((i, Vectors.dense(x), y, rnd.choice([0.5, 1.0, 3.7]), fold))
+    return out
+
+
+def frame(spark, data):
+    return spark.createDataFrame(data, ["id", "features", "is_fraud", "class_weight", "fold"])
+
+
+@pytest.mark.parametrize("seed,kw", [(1, {}), (2, {"constant": True}), (3, {"one_fold_constant": True})])
+def test_fits_equal_mllib(spark, seed, kw):
+    data = frame(spark, rows(seed, **kw)).persist()
+    d = newton.width(data)
+    grid = [(None, 0.1), (0, 0.01), (1, 0.1), (2, 1.0)]
+    for fit in newton.fit_grid(newton.narrow(data, fold=data["fold"]), grid, d):
+        own = data if fit.fold is None else data.where(f"fold <> {fit.fold}")
+        model = ml.fit_logistic(own, reg_param=fit.reg_param, max_iter=1000, tol=1e-14)
+        assert np.allclose(fit.coefficients, model.coefficients.toArray(), atol=1e-6)
+        assert abs(fit.intercept - model.intercept) < 1e-6
+        assert fit.done and np.abs(fit.gradient).max() < 1e-6
+    data.unpersist()
+
+
+def test_certificate_is_the_loss_and_its_slope(spark):
+    data = frame(spark, rows(4)).persist()
+    model = ml.fit_logistic(data, reg_param=0.1, max_iter=1000, tol=1e-14)
+    best = ml.fit_certificate(data, model, 0.1)
+    early = ml.fit_certificate(data, ml.fit_logistic(data, reg_param=0.1, max_iter=2), 0.1)
+    assert best["norm"] < 1e-6 and best["gap"] < 1e-12
+    assert early["norm"] > 1e-4 and early["loss"] > best["loss"]
+    assert early["loss"] - best["loss"] == pytest.approx(early["gap"], rel=0.2)
+    # the loss and gradient by differences, on the rows as numpy has them
+    r = data.collect()
+    x, y, w = (np.array([q[c] for q in r]) for c in ("features", "is_fraud", "class_weight"))
+    mean = (w[:, None] * x).sum(0) / w.sum()
+    sd = np.sqrt((w[:, None] * (x - mean) ** 2).sum(0) / (w.sum() - (w * w).sum() / w.sum()))
+
+    def loss(beta):
+        eta = beta[0] + ((x - mean) / sd) @ beta[1:]
+        return (w * (np.logaddexp(0, eta) - y * eta)).sum() / w.sum() + 0.05 * (beta[1:] ** 2).sum()
+
+    coef, b0 = np.array([0.3, -0.01, 0.002]), 0.4
+    told = newton.certificate(newton.narrow(data), coef, b0, 0.1, 3)
+    beta = np.r_[b0 + coef @ mean, coef * sd]
+    assert told["loss"] == pytest.approx(loss(beta), rel=1e-12)
+    for j in range(4):
+        step = np.eye(4)[j] * 1e-5
+        assert told["gradient"][j] == pytest.approx((loss(beta + step) - loss(beta - step)) / 2e-5, abs=1e-8)
+    data.unpersist()
+
+
+def test_cross_validation_agrees_with_mllib(spark):
+    data = frame(spark, rows(5, n=900)).persist()
+    shared = ml.train_with_cv(data, reg_params=REGS, fold_col="fold", max_iter=200)
+    mllib = ml.train_with_cv(data, reg_params=REGS, fold_col="fold", max_iter=200, method="mllib")
+    assert np.allclose(shared.avg_auc, mllib.avg_auc, atol=2e-3)  # MLlib's areas have 1,000 bins
+    assert len(shared.fits) == 9 and not mllib.fits
+    for i, fit in enumerate(shared.fits):
+        held = data.where(f"fold = {fit.fold}")
+        model = ml.fit_logistic(data.where(f"fold <> {fit.fold}"), reg_param=fit.reg_param, max_iter=1000, tol=1e-14)
+        assert fit.fold == i % 3 and fit.reg_param == REGS[i // 3]
+        exact = ev.auc_exact(ml.score(model, held, ("is_fraud",))).first()["auc"]
+        own = ev.auc_exact(newton.margins(newton.narrow(data, fold=data["fold"]), [fit], 3), "y", "margin").first()["auc"]
+        assert own == pytest.approx(exact, abs=1e-6)
+    data.unpersist()
+
+
+def test_hashed_folds_are_the_rows_own(spark):
+    data = frame(spark, rows(6))
+    fold = ml.hashed_fold(data, 3, 42).alias("f")
+    a = {r["id"]: r["f"] for r in data.select("id", fold).collect()}
+    b = {r["id"]: r["f"] for r in data.repartition(7, "fold").select("id", fold).collect()}
+    assert a == b and {0, 1, 2} == set(a.values())
+    assert min(list(a.values()).count(k) for k in range(3)) > 150
+
+
+def test_what_cannot_be_fitted_is_an_error(spark):
+    good = rows(7, n=60)
+    for bad in ((1, Vectors.dense([1.0, 2.0, 3.0]), None, 1.0, 0), (1, Vectors.dense([1.0, 2.0, 3.0]), 2, 1.0, 0)):
+        with pytest.raises(ValueError, match="null"):
+            newton.fit_grid(newton.narrow(frame(spark, [*good, bad])), [(None, 0.1)], 3)
+    with pytest.raises(ValueError, match="no rows"):
+        newton.fit_grid(newton.narrow(frame(spark, good)).limit(0), [(None, 0.1)], 3)
+    with pytest.raises(ValueError, match="features"):
+        newton.fit_grid(newton.narrow(frame(spark, good)), [(None, 0.1)], newton.MAX_FEATURES + 1)
+    with pytest.raises(ValueError, match="holds all rows"):
+        newton.fit_grid(newton.narrow(frame(spark, [(*r[:4], 0) for r in good])), [(0, 0.1)], 3)
+    with pytest.raises(ValueError, match="method"):
+        ml.train_with_cv(frame(spark, good), method="other")
+
+
+def test_separable_and_one_class_rows_end(spark):
+    data = [(i, Vectors.dense([float(i)]), int(i >= 10), 1.0, i % 2) for i in range(20)]
+    fit, = newton.fit_grid(newton.narrow(frame(spark, data)), [(None, 0.01)], 1)
+    model = ml.fit_logistic(frame(spark, data), reg_param=0.01, max_iter=1000, tol=1e-14)
+    assert fit.done and fit.coefficients[0] == pytest.approx(model.coefficients[0], abs=1e-6)
+    one = [(*r[:2], 1, *r[3:]) for r in data]
+    fit, = newton.fit_grid(newton.narrow(frame(spark, one)), [(None, 0.01)], 1)
+    assert fit.loss < 1e-6 and abs(fit.coefficients[0]) < 1e-6
+    result = ml.train_with_cv(frame(spark, [(*r[:4], int(r[2])) for r in data]), reg_params=(0.1,), num_folds=2, fold_col="fold")
+    assert result.avg_auc[0] != result.avg_auc[0]  # each fold holds one class: no area
+
+
+def test_areas_by_group(spark):
+    rnd = random.Random(8)
+    data = [(g, rnd.randrange(20) / 10, float(rnd.random() < 0.3 + 0.2 * g)) for g in range(3) for _ in range(300)]
+    data += [(3, 0.5, 1.0), (3, 0.7, 1.0), (None, 0.1, 0.0), (None, 0.2, 1.0)]
+    df = spark.createDataFrame(data, "g int, prob_1 double, is_fraud double")
+    got = {r["g"]: r["auc"] for r in ev.auc_exact(df, by=["g"], partitions=5).collect()}
+    assert got[3] is None and got.get(None, 1.0) == 1.0
+    for g in range(3):
+        assert got[g] == ev.auc_exact(df.where(f"g = {g}")).first()["auc"]
