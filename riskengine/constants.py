@@ -35,4 +35,7 @@ PREDICTION_COLUMN = "prediction"
 CV_SEED = 42                      # the reference leaves the CV seed unset
 CV_PARALLELISM = 3                # fits of one fold run concurrently
 AMOUNT_TYPE = (28, 10)             # amounts are summed exactly as decimals of this type
+LARGE_AMOUNT = 1e30                # amounts from 1e18 up to here are summed exactly too, beyond the others
+HEAVY_ROWS = 100_000               # rows from which a customer's windows are cut into weeks ...
+HEAVY_CUSTOMERS = 50_000           # ... and a bound on how many customers that can be
 SPLIT_BUCKETS = 1_000_000         # hash buckets of the stable split

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType, StringType
 
-from ..constants import AMOUNT_TYPE
+from ..constants import AMOUNT_TYPE, LARGE_AMOUNT
 
 
 def as_col(c: str | Column) -> Column:
@@ -61,14 +61,21 @@ def exact_amount(c: str | Column, scale: int | None = None) -> Column:
     return as_col(c).try_cast(DecimalType(digits, places if scale is None else scale))
 
 
+def large_amount(c: str | Column) -> Column:
+    """A finite amount that :func:`exact_amount` can't hold, as a decimal without places, up to ``LARGE_AMOUNT``."""
+    x = as_col(c).cast("double")
+    digits, places = AMOUNT_TYPE
+    fits = (F.abs(x) >= F.lit(10.0 ** (digits - places))) & (F.abs(x) < F.lit(LARGE_AMOUNT))
+    return F.when(fits, x.cast(DecimalType(31, 0)))
+
+
 def odd_amount(c: str | Column, kind: str) -> Column:
-    """Whether an amount is outside the exact type: ``nan``, or ``high`` / ``low`` for
-    infinities and numbers of 19 digits and more."""
+    """Whether an amount is outside the exact types: ``nan``, or ``high`` / ``low`` for
+    infinities and amounts of ``LARGE_AMOUNT`` and more."""
     x = as_col(c).cast("double")
-    bound = F.lit(10.0 ** (AMOUNT_TYPE[0] - AMOUNT_TYPE[1]))
     if kind == "nan":
         return F.isnan(x)
-    return ~F.isnan(x) & ((x >= bound) if kind == "high" else (x <= -bound))
+    return ~F.isnan(x) & ((x >= F.lit(LARGE_AMOUNT)) if kind == "high" else (x <= F.lit(-LARGE_AMOUNT)))
 
 
 def null_safe_keys(left, right, keys) -> Column:

@@ -10,34 +10,35 @@ Semantics are those of the reference's window functions:
   ``partitionBy(customer, merchant_category)`` (whole partition, future rows included);
 * null seconds form one peer group seen only by each other; a null customer is a group.
 
-Physical plan (``method="bucketed"``, the default).  A plain customer window puts
-every row of one customer into one task, so a customer holding a third of the
-data would hold a third of the data in one task.  Instead:
-
-1. rows are pre-aggregated per (customer, second) -- a partial/final hash
-   aggregate, so a hot customer spreads over many shuffle keys and peers
-   collapse to one row;
-2. each per-second row goes to its week bucket ``b = floor(s / W)`` and is copied
-   once into ``b + 1`` as history; every frame ``[s - W, s]`` lies inside buckets
-   ``b - 1`` and ``b``.  A partition holds at most ``2 * W`` rows (two weeks of
-   distinct seconds), whatever the data size or the skew;
-3. the frame total is the difference of two growing frames of that partition, all
-   up to ``s`` and all before ``s - W``: O(1) work per row, where Spark's sliding
-   range frame re-aggregates the whole frame for every row -- quadratic for a
-   customer active in most seconds of a week;
-4. the per-second answers are equi-joined back (null-safe) to the rows.
-   The answer table has one row per key, so AQE's skew-join split of the big
-   side stays correct.
-
-Amounts are summed as ``decimal(38, 10)``: exact for amounts up to 18 integer digits
-and ten decimals, so differences of running sums don't drift.  A frame that holds a
-NaN sums to NaN.  Infinities, and amounts of 1e18 and beyond, which the decimal can't
-hold, make their frame's sum infinite (NaN where both signs meet).
-
-Category counts are a grouped count joined back; AQE turns that join into a
-broadcast when the measured aggregate is under the broadcast threshold, and
-otherwise splits the partitions of a hot (customer, category) key -- the answer
-side has one row per key, so every split needs just that row.
+Physical plan (``method="split"``, the default).  A plain customer window puts every row of one
+customer into one task, so a customer holding a third of the data would hold a third of the data
+in one task; and Spark's sliding range frame adds up the whole frame for every row.  Instead:
+
+1. customers with more than ``heavy_rows`` rows, and more than a ``HEAVY_CUSTOMERS``-th of all rows,
+   are *heavy*: a grouped count tells them, at most ``HEAVY_CUSTOMERS`` of them, so that their list
+   is broadcast with that bound;
+2. the others' rows go once to their customer's partition, which is that small.  A frame total is
+   the difference of two growing frames there, all up to ``s`` and all before ``s - W``: O(1) work
+   per row.  Category counts are a window of the same partitioning;
+3. heavy customers take the bucketed plan (``method="bucketed"``):
+
+   a. rows are pre-aggregated per (customer, second) -- a partial/final hash aggregate, so a hot
+      customer spreads over many shuffle keys and peers collapse to one row;
+   b. each per-second row goes to its week bucket ``b = floor(s / W)`` and is copied once into
+      ``b + 1`` as history; every frame ``[s - W, s]`` lies inside buckets ``b - 1`` and ``b``.  A
+      partition holds at most ``2 * W`` rows (two weeks of distinct seconds), whatever the data
+      size or the skew;
+   c. the same two growing frames inside the bucket give the per-second answers, which are
+      equi-joined back (null-safe) to the rows.  The answer table has one row per key, so AQE's
+      skew-join split of the big side stays correct.  Category counts are a grouped count joined
+      back; AQE turns that join into a broadcast when the measured aggregate is under the broadcast
+      threshold, and otherwise splits the partitions of a hot (customer, category) key.
+
+Amounts are summed as ``decimal(38, 10)``: exact for amounts up to 18 integer digits and ten
+decimals, so differences of running sums don't drift; finite amounts from 1e18 up to 1e30 are summed
+apart, as whole numbers.  NaN, and infinities or amounts of 1e30 and beyond, are counted: a frame
+that holds a NaN sums to NaN, one that holds an infinity is infinite (NaN where both signs meet).
+Windows may have any length.
 
 ``method="direct"`` runs the reference's plain window (used in tests as the
 equivalence oracle).
@@ -45,11 +46,11 @@ equivalence oracle).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import VELOCITY_WINDOW_SECONDS
-from ..functions.columns import epoch_seconds, exact_amount, null_safe_keys, odd_amount
+from ..constants import HEAVY_CUSTOMERS, HEAVY_ROWS, VELOCITY_WINDOW_SECONDS
+from ..functions.columns import epoch_seconds, exact_amount, large_amount, null_safe_keys, odd_amount
 
 CUSTOMER = "customer_id"
 SECONDS = "timestamp_seconds"
@@ -57,7 +58,7 @@ TXN_ID = "transaction_id"
 AMOUNT = "amount"
 CATEGORY = "merchant_category"
 TIMESTAMP = "timestamp"
-ODD_DIGIT = 1 << 21  # kinds of odd amounts are counted in digits of this base, one a second at most
+ODD = ("nan", "high", "low")
 
 
 def with_timestamp_seconds(df: DataFrame, timestamp_col: str = TIMESTAMP,
@@ -76,6 +77,48 @@ def _attach(df: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
             .select("_rows.*", *[F.col(f"_answer.`{c}`") for c in extra]))
 
 
+def _measures(id_col: str, amount_col: str, amount_scale: int | None, count_out: str | None,
+              sum_out: str | None) -> dict[str, Column]:
+    """What a row adds to its frames, by name; only what is asked for."""
+    if count_out is None and sum_out is None:
+        raise ValueError("ask for at least one of count_out, sum_out")
+    out = {}
+    if count_out is not None:
+        out["_n"] = F.col(id_col).isNotNull().cast("long")
+    if sum_out is not None:
+        out["_s"] = exact_amount(amount_col, amount_scale)
+        out["_large"] = large_amount(amount_col)
+        out["_nn"] = F.col(amount_col).isNotNull().cast("long")
+        out |= {f"_{kind}": F.coalesce(odd_amount(amount_col, kind), F.lit(False)).cast("long") for kind in ODD}
+    return out
+
+
+def _frame_totals(partition: list[str], seconds_col: str, window_seconds: int, names) -> dict[str, Column]:
+    """Each measure's total over the trailing window: what lies in the partition up to the second
+    ``s``, less what lies before ``s - W``.  Rows with null seconds are one peer group that only
+    sees itself, so nothing is subtracted there."""
+    growing = Window.partitionBy(*partition).orderBy(seconds_col)
+    upto = growing.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    before = growing.rangeBetween(Window.unboundedPreceding, -(window_seconds + 1))
+    known = F.col(seconds_col).isNotNull()
+    zero = F.lit(0)
+    return {m: F.coalesce(F.sum(m).over(upto), zero) - F.when(known, F.coalesce(F.sum(m).over(before), zero)).otherwise(zero)
+            for m in names}
+
+
+def _answers(total: dict[str, Column], count_out: str | None, sum_out: str | None) -> dict[str, Column]:
+    """The outputs from the measures' frame totals."""
+    out = {}
+    if count_out is not None:
+        out[count_out] = total["_n"]
+    if sum_out is not None:
+        nan, high, low = (total[f"_{kind}"] > 0 for kind in ODD)
+        plain = F.when(total["_nn"] > 0, total["_s"].cast("double") + total["_large"].cast("double"))
+        out[sum_out] = (F.when(nan | (high & low), F.lit(float("nan"))).when(high, F.lit(float("inf")))
+                        .when(low, F.lit(float("-inf"))).otherwise(plain))
+    return out
+
+
 def trailing_window_stats(
     df: DataFrame,
     *,
@@ -88,27 +131,9 @@ def trailing_window_stats(
     sum_out: str | None = "amount_velocity",
     amount_scale: int | None = None,
 ) -> DataFrame:
-    """One row per distinct (customer, second) with the trailing-window count and sum.
-
-    A frame total is what lies in the partition up to the second ``s``, less what lies
-    before ``s - W``: two growing frames over ``(customer, week bucket)``.  Rows with null
-    seconds are one peer group that only sees itself, so nothing is subtracted there.
-    """
-    if count_out is None and sum_out is None:
-        raise ValueError("ask for at least one of count_out, sum_out")
-    if sum_out is not None and 2 * window_seconds >= ODD_DIGIT:
-        raise ValueError(f"windows of amounts are limited to {ODD_DIGIT // 2 - 1} seconds")
-    measures = {}                     # per-second measures, only those asked for
-    if count_out is not None:
-        measures["_n"] = F.count(id_col)
-    if sum_out is not None:
-        measures["_s"] = F.sum(exact_amount(amount_col, amount_scale))
-        measures["_nn"] = F.count(amount_col)
-        # which kinds of odd amounts a second holds: one digit a kind, summed with the frame
-        measures["_odd"] = sum((F.max(odd_amount(amount_col, kind).cast("long")) * F.lit(ODD_DIGIT ** i)
-                                for i, kind in enumerate(("nan", "high", "low"))), F.lit(0))
-    per_second = df.groupBy(customer_col, seconds_col).agg(
-        *[(F.coalesce(e, F.lit(0)) if name == "_odd" else e).alias(name) for name, e in measures.items()])
+    """One row per distinct (customer, second) with the trailing-window count and sum, bucketed."""
+    measures = _measures(id_col, amount_col, amount_scale, count_out, sum_out)
+    per_second = df.groupBy(customer_col, seconds_col).agg(*[F.sum(e).alias(name) for name, e in measures.items()])
 
     secs = F.col(seconds_col)
     home = F.floor(secs / F.lit(window_seconds))
@@ -119,24 +144,38 @@ def trailing_window_stats(
     roles = F.when(secs.isNull(), F.array(role(home, True))).otherwise(
         F.array(role(home, True), role(home + F.lit(1), False)))  # itself; history for next week
     spread = per_second.select(customer_col, seconds_col, *measures, F.inline(roles))
+    total = _frame_totals([customer_col, "_bucket"], seconds_col, window_seconds, measures)
+    totals = spread.select(customer_col, seconds_col, "_out", *[e.alias(m) for m, e in total.items()]).where("_out")
+    answers = _answers({m: F.col(m) for m in measures}, count_out, sum_out)
+    return totals.select(customer_col, seconds_col, *[e.alias(out) for out, e in answers.items()])
 
-    growing = Window.partitionBy(customer_col, "_bucket").orderBy(seconds_col)
-    upto = growing.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    before = growing.rangeBetween(Window.unboundedPreceding, -(window_seconds + 1))
 
-    def total(m: str):
-        return F.sum(m).over(upto) - F.when(secs.isNotNull(), F.coalesce(F.sum(m).over(before), F.lit(0))).otherwise(F.lit(0))
+def heavy_customers(df: DataFrame, customer_col: str = CUSTOMER, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """Customers with more than ``heavy_rows`` rows and more than a ``HEAVY_CUSTOMERS``-th of all rows.
+
+    Fewer than ``HEAVY_CUSTOMERS`` can have so many: the bound of the list's broadcasts.
+    """
+    counts = df.groupBy(customer_col).agg(F.count(F.lit(1)).alias("_rows"))
+    share = counts.agg((F.sum("_rows") / F.lit(HEAVY_CUSTOMERS)).alias("share")).scalar()
+    return counts.where(F.col("_rows") > F.greatest(F.lit(float(heavy_rows)), F.coalesce(share, F.lit(0.0)))).select(customer_col)
+
+
+def _split(df: DataFrame, customer_col: str, heavy_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of ordinary and of heavy customers (a null customer is one too)."""
+    heavy = F.broadcast(heavy_customers(df, customer_col, heavy_rows).withColumnRenamed(customer_col, "_heavy"))
+    same = F.col(customer_col).eqNullSafe(F.col("_heavy"))
+    return df.join(heavy, same, "left_anti"), df.join(heavy, same, "left_semi")
 
-    totals = spread.select(customer_col, seconds_col, "_out", *[total(m).alias(m) for m in measures]).where("_out")
-    outs = []
-    if count_out is not None:
-        outs.append(F.col("_n").alias(count_out))
-    if sum_out is not None:
-        nan, high, low = (F.pmod(F.floor(F.col("_odd") / F.lit(ODD_DIGIT ** i)), F.lit(ODD_DIGIT)) > 0 for i in range(3))
-        plain = F.when(F.col("_nn") > 0, F.coalesce(F.col("_s"), F.lit(0)).cast("double"))
-        outs.append(F.when(F.col("_odd") == 0, plain).when(nan | (high & low), F.lit(float("nan")))
-                    .when(high, F.lit(float("inf"))).otherwise(F.lit(float("-inf"))).alias(sum_out))
-    return totals.select(customer_col, seconds_col, *outs)
+
+def _whole_velocity(df: DataFrame, *, customer_col, seconds_col, id_col, amount_col, window_seconds,
+                    count_out, sum_out, amount_scale) -> DataFrame:
+    """Growing frames over a customer's rows: for customers of a bounded number of rows."""
+    measures = _measures(id_col, amount_col, amount_scale, count_out, sum_out)
+    kept = df.columns
+    total = _frame_totals([customer_col], seconds_col, window_seconds, measures)
+    rows = df.withColumns(measures).select(*[F.col(f"`{c}`") for c in kept], *[e.alias(f"_total{m}") for m, e in total.items()])
+    answers = _answers({m: F.col(f"_total{m}") for m in measures}, count_out, sum_out)
+    return rows.select(*[F.col(f"`{c}`") for c in kept], *[e.alias(out) for out, e in answers.items()])
 
 
 def _direct_velocity(df: DataFrame, *, customer_col, seconds_col, id_col, amount_col,
@@ -151,10 +190,13 @@ def _direct_velocity(df: DataFrame, *, customer_col, seconds_col, id_col, amount
     return df
 
 
-def _velocity(df: DataFrame, method: str, **kw) -> DataFrame:
+def _velocity(df: DataFrame, method: str, heavy_rows: int, **kw) -> DataFrame:
     df = with_timestamp_seconds(df, seconds_col=kw["seconds_col"])
     if method == "direct":
         return _direct_velocity(df, **kw)
+    if method == "split":
+        ordinary, heavy = _split(df, kw["customer_col"], heavy_rows)
+        return _whole_velocity(ordinary, **kw).unionByName(_velocity(heavy, "bucketed", heavy_rows, **kw))
     if method != "bucketed":
         raise ValueError(f"unknown method {method!r}")
     stats = trailing_window_stats(df, **kw)
@@ -165,9 +207,9 @@ def transaction_velocity(df: DataFrame, *, customer_col: str = CUSTOMER,
                          seconds_col: str = SECONDS, id_col: str = TXN_ID,
                          window_seconds: int = VELOCITY_WINDOW_SECONDS,
                          out: str = "transaction_velocity",
-                         method: str = "bucketed") -> DataFrame:
+                         method: str = "split", heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Count of ``id_col`` per customer in the trailing window (adds ``timestamp_seconds``)."""
-    return _velocity(df, method, customer_col=customer_col, seconds_col=seconds_col,
+    return _velocity(df, method, heavy_rows, customer_col=customer_col, seconds_col=seconds_col,
                      id_col=id_col, amount_col=AMOUNT, window_seconds=window_seconds,
                      count_out=out, sum_out=None, amount_scale=None)
 
@@ -176,9 +218,9 @@ def amount_velocity(df: DataFrame, *, customer_col: str = CUSTOMER,
                     seconds_col: str = SECONDS, amount_col: str = AMOUNT,
                     window_seconds: int = VELOCITY_WINDOW_SECONDS,
                     out: str = "amount_velocity", amount_scale: int | None = None,
-                    method: str = "bucketed") -> DataFrame:
+                    method: str = "split", heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Sum of ``amount_col`` per customer in the trailing window."""
-    return _velocity(df, method, customer_col=customer_col, seconds_col=seconds_col,
+    return _velocity(df, method, heavy_rows, customer_col=customer_col, seconds_col=seconds_col,
                      id_col=TXN_ID, amount_col=amount_col, window_seconds=window_seconds,
                      count_out=None, sum_out=out, amount_scale=amount_scale)
 
@@ -188,9 +230,9 @@ def velocity_features(df: DataFrame, *, customer_col: str = CUSTOMER,
                       amount_col: str = AMOUNT,
                       window_seconds: int = VELOCITY_WINDOW_SECONDS,
                       amount_scale: int | None = None,
-                      method: str = "bucketed") -> DataFrame:
-    """W1 + W2 in one pass: both come from the same window, one join back."""
-    return _velocity(df, method, customer_col=customer_col, seconds_col=seconds_col,
+                      method: str = "split", heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """W1 + W2 in one pass: both come from the same window."""
+    return _velocity(df, method, heavy_rows, customer_col=customer_col, seconds_col=seconds_col,
                      id_col=id_col, amount_col=amount_col, window_seconds=window_seconds,
                      count_out="transaction_velocity", sum_out="amount_velocity",
                      amount_scale=amount_scale)
@@ -261,28 +303,31 @@ def full_feature_engineering(df: DataFrame, *, customer_col: str = CUSTOMER,
                              amount_col: str = AMOUNT, category_col: str = CATEGORY,
                              window_seconds: int = VELOCITY_WINDOW_SECONDS,
                              amount_scale: int | None = None,
-                             method: str = "bucketed") -> DataFrame:
+                             method: str = "split", heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Seconds, both velocities, category profile, time patterns -- in the reference's order.
 
-    Both answer tables (per second, per category) are aggregated from the raw
-    rows and joined back, so the input is scanned, not re-joined, for each.
+    Ordinary customers' rows are shuffled once, for all windows.  For heavy ones (and with
+    ``method="bucketed"``) both answer tables (per second, per category) are aggregated from the
+    raw rows and joined back, so the input is scanned, not re-joined, for each.
     """
     df = with_timestamp_seconds(df, timestamp_col)
+    kw = dict(customer_col=customer_col, seconds_col=SECONDS, id_col=id_col, amount_col=amount_col,
+              window_seconds=window_seconds, amount_scale=amount_scale,
+              count_out="transaction_velocity", sum_out="amount_velocity")
+    profile = dict(customer_col=customer_col, category_col=category_col, id_col=id_col)
+
+    def bucketed(rows: DataFrame) -> DataFrame:
+        stats, counts = trailing_window_stats(rows, **kw), category_counts(rows, **profile)
+        return _attach(_attach(rows, stats, [customer_col, SECONDS]), counts, [customer_col, category_col])
+
     if method == "direct":
-        df = velocity_features(df, customer_col=customer_col, id_col=id_col,
-                               amount_col=amount_col, window_seconds=window_seconds,
-                               amount_scale=amount_scale, method="direct")
-        df = merchant_category_profiling(df, customer_col=customer_col,
-                                         category_col=category_col, id_col=id_col,
-                                         method="direct")
+        df = merchant_category_profiling(_direct_velocity(df, **kw), method="direct", **profile)
+    elif method == "split":
+        ordinary, heavy = _split(df, customer_col, heavy_rows)
+        whole = merchant_category_profiling(_whole_velocity(ordinary, **kw), method="direct", **profile)
+        df = whole.unionByName(bucketed(heavy))
     elif method == "bucketed":
-        stats = trailing_window_stats(df, customer_col=customer_col, id_col=id_col,
-                                      amount_col=amount_col, window_seconds=window_seconds,
-                                      amount_scale=amount_scale)
-        counts = category_counts(df, customer_col=customer_col, category_col=category_col,
-                                 id_col=id_col)
-        df = _attach(df, stats, [customer_col, SECONDS])
-        df = _attach(df, counts, [customer_col, category_col])
+        df = bucketed(df)
     else:
         raise ValueError(f"unknown method {method!r}")
     return time_based_patterns(df, timestamp_col=timestamp_col)

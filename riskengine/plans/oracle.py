@@ -485,3 +485,24 @@ ORACLE["scoring_five_features_via_files"] = ORACLE["score_five_features"]
 ORACLE["model_auc_five_features"] = f"""{_BEST_FIVE}, both_sides AS (SELECT first_side, y, p AS score FROM told)
 SELECT CASE WHEN first_side THEN 'train' ELSE 'inference' END AS rows, round(auc, 6) AS auc, true AS evaluator_agrees
 FROM ({_auc_by('both_sides', 'first_side')})"""
+
+
+# --- heavy customers, long windows, large amounts ---------------------------------------
+
+ORACLE["feature_engineering_heavy"] = ORACLE["feature_engineering"].replace(
+    "FROM transactions)", "FROM (SELECT * REPLACE (CAST(CASE WHEN transaction_id % 3 = 0 THEN -1 ELSE customer_id END AS BIGINT) "
+    "AS customer_id) FROM transactions))", 1)
+
+
+def _far_amounts_sql(days: int) -> str:
+    frame = f"PARTITION BY customer_id ORDER BY timestamp_seconds RANGE BETWEEN {days * 86400} PRECEDING AND CURRENT ROW"
+    return f"""WITH {SQL_TRANSACTIONS},
+far AS (SELECT * REPLACE (CASE WHEN transaction_id % 80 = 0 THEN 1e21::DOUBLE WHEN transaction_id % 40 = 0 THEN -1e21::DOUBLE
+                               WHEN transaction_id % 40 = 1 THEN 3e18::DOUBLE ELSE amount END AS amount),
+               {_SECS} AS timestamp_seconds FROM transactions),
+summed AS (SELECT {_RAW}, timestamp_seconds, CAST(SUM(CAST(amount AS DECIMAL(38, 10))) OVER ({frame}) AS DOUBLE) AS v FROM far)
+SELECT {_RAW}, timestamp_seconds, CASE WHEN abs(v) < 1e15 THEN round(v, 6) ELSE round(v / 1e12) * 1e12 END AS amount_velocity FROM summed"""
+
+
+ORACLE["amount_velocity_30_days"] = _far_amounts_sql(30)
+ORACLE["amount_velocity_365_days"] = _far_amounts_sql(365)

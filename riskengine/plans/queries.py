@@ -71,6 +71,42 @@ def q_velocity_bucketed(spark, sf_dir):
     return _places(feat.velocity_features(tx.withColumn("customer_id", hot.cast("long")), method="bucketed"))
 
 
+@register("feature_engineering_heavy")
+def q_feature_engineering_heavy(spark, sf_dir):
+    """W4 where one customer holds a third of all rows and is heavy: both plans, each its rows."""
+    tx = td.transactions(spark, sf_dir)
+    hot = F.when(F.col("transaction_id") % 3 == 0, F.lit(-1)).otherwise(F.col("customer_id"))
+    return _places(feat.full_feature_engineering(tx.withColumn("customer_id", hot.cast("long")), heavy_rows=200))
+
+
+def _far_amounts(spark, sf_dir) -> DataFrame:
+    """Transactions of which every 40th is of 1e21 and every 40th other of 3e18, some negative."""
+    i = F.col("transaction_id")
+    far = (F.when(i % 40 == 0, F.when(i % 80 == 0, F.lit(1e21)).otherwise(F.lit(-1e21)))
+           .when(i % 40 == 1, F.lit(3e18)).otherwise(F.col("amount")))
+    return td.transactions(spark, sf_dir).withColumn("amount", far)
+
+
+def _far_places(df: DataFrame) -> DataFrame:
+    """Sums to 6 places, those of 1e15 and more to the next 1e12, as SQL rounds large ones twice."""
+    v = F.col("amount_velocity")
+    return df.withColumn("amount_velocity", F.when(F.abs(v) < 1e15, F.round(v, 6)).otherwise(F.round(v / 1e12) * 1e12))
+
+
+@register("amount_velocity_30_days")
+def q_amount_velocity_30_days(spark, sf_dir):
+    """W2 over 30 days, with amounts of 1e18 and more among the others."""
+    out = feat.amount_velocity(_far_amounts(spark, sf_dir), window_seconds=30 * 86400)
+    return _far_places(out)
+
+
+@register("amount_velocity_365_days")
+def q_amount_velocity_365_days(spark, sf_dir):
+    """W2 over 365 days through the bucketed plan, with amounts of 1e18 and more among the others."""
+    out = feat.amount_velocity(_far_amounts(spark, sf_dir), window_seconds=365 * 86400, method="bucketed")
+    return _far_places(out)
+
+
 @register("category_profile")
 def q_category_profile(spark, sf_dir):
     """Transactions per (customer, category), on every row."""

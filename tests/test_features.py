@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+from fractions import Fraction
 
 import math
 
@@ -153,17 +154,48 @@ def test_nan_and_infinite_amounts_stay_in_their_frames(spark):
     inf, nan = float("inf"), float("nan")
     rows = [(0, 1, 0, 1.0, "a"), (1, 1, 10, nan, "a"), (2, 1, 20, 2.0, "a"), (3, 1, W + 11, 4.0, "a"),
             (4, 2, 0, inf, "a"), (5, 2, 5, 1.0, "a"), (6, 2, 9, -inf, "a"), (7, 2, W + 1, 3.0, "a"),
-            (8, 2, W + 10, 5.0, "a"), (9, 3, 0, None, "a"), (10, 4, 0, -1e18, "a"), (11, 4, W + 1, 2.5, "a")]
+            (8, 2, W + 10, 5.0, "a"), (9, 3, 0, None, "a"), (10, 4, 0, -1e30, "a"), (11, 4, W + 1, 2.5, "a")]
     got, ref = both_ways(frame(spark, rows), feat.amount_velocity)
     a, b = ({r["transaction_id"]: r["amount_velocity"] for r in x.collect()} for x in (got, ref))
     same = lambda x, y: x == y or (x is not None and y is not None and math.isnan(x) and math.isnan(y))
     assert all(same(a[i], b[i]) for i in range(10)), (a, b)
-    assert a[10] == -inf and a[11] == 2.5                # beyond the decimal: infinite, in its frame only
-
-
-def test_windows_of_amounts_have_a_stated_limit(spark):
-    with pytest.raises(ValueError):
-        feat.amount_velocity(frame(spark, EDGE_ROWS), window_seconds=feat.ODD_DIGIT)
+    assert a[10] == -inf and a[11] == 2.5                # beyond the decimals: infinite, in its frame only
+
+
+def _exact_windows(rows, window):
+    """Sums over the trailing window in exact arithmetic, rounded once."""
+    out = {}
+    for i, cust, secs, *_ in rows:
+        own = [Fraction(repr(r[3])) for r in rows if r[1] == cust and r[3] is not None and (
+            r[2] is None if secs is None else r[2] is not None and secs - window <= r[2] <= secs)]
+        out[i] = float(sum(own)) if own else None
+    return out
+
+
+@pytest.mark.parametrize("method", ["bucketed", "split"])
+@pytest.mark.parametrize("days", [1, 30, 365, 4000])
+def test_windows_of_any_length_and_amounts_of_any_size(spark, days, method):
+    rnd = random.Random(days)
+    rows = [(i, rnd.randrange(3), rnd.choice([None, rnd.randrange(0, 3 * days * 86400)]),
+             rnd.choice([None, round(rnd.uniform(-500, 500), 2), 1e18, -3e18, 2.5e24, 7e29, -7e29, 0.01]), "a") for i in range(250)]
+    got = feat.amount_velocity(frame(spark, rows), window_seconds=days * 86400, method=method, heavy_rows=90)
+    want = _exact_windows(rows, days * 86400)
+    for r in got.collect():
+        a, b = r["amount_velocity"], want[r["transaction_id"]]
+        assert (a is None and b is None) or a == pytest.approx(b, rel=1e-15, abs=1e-9), r
+
+
+@pytest.mark.parametrize("heavy_rows", [0, 60, 61, 10_000])
+def test_both_sides_of_the_heavy_bound_agree(spark, heavy_rows):
+    """Customers of 60, 61 and a few rows, and the null one: the same rows whoever is heavy."""
+    rnd = random.Random(11)
+    rows = [(i, c, rnd.choice([None, rnd.randrange(0, 4 * W), W]), rnd.choice([None, round(rnd.uniform(1, 99), 2)]), rnd.choice(["a", "b", None]))
+            for i, c in enumerate([1] * 60 + [2] * 61 + [None] * 62 + [3] * 5)]
+    df = frame(spark, rows)
+    told = {r["customer_id"] for r in feat.heavy_customers(df, heavy_rows=heavy_rows).collect()}
+    assert told == {0: {1, 2, 3, None}, 60: {2, None}, 61: {None}, 10_000: set()}[heavy_rows]
+    for fn in (feat.full_feature_engineering, feat.transaction_velocity, feat.amount_velocity, feat.velocity_features):
+        assert rounded(fn(df, heavy_rows=heavy_rows)) == rounded(fn(df, method="direct")), fn.__name__
 
 
 def test_running_category_profile_equals_the_plain_window(spark):
@@ -179,7 +211,7 @@ def test_running_category_profile_equals_the_plain_window(spark):
 def test_plan_has_no_customer_only_window(spark):
     """The bucketed plan never partitions a window by customer alone."""
     df = frame(spark, EDGE_ROWS)
-    plan = feat.velocity_features(df)._jdf.queryExecution().executedPlan().toString()
+    plan = feat.velocity_features(df, method="bucketed")._jdf.queryExecution().executedPlan().toString()
     assert "_bucket" in plan
 
 
