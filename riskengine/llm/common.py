@@ -6,11 +6,13 @@ operations whatever the text holds; a null text has no words.
 
 from __future__ import annotations
 
+import pickle
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +60,30 @@ def lower_ascii(column):
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+class Shared:
+    """A value of bounded size for all tasks, broadcast as bytes that carry its classes.
+
+    A broadcast object is pickled by reference, so workers would have to import its class;
+    these bytes are pickled by value, like the tasks' functions, and workers need no copy of
+    this package.
+    """
+
+    def __init__(self, spark: SparkSession, value):
+        self.sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        if "held" not in self.__dict__:
+            self.held = pickle.loads(self.sent.value)
+        return self.held
+
+    def __getstate__(self):
+        return {"sent": self.sent}
+
+    def destroy(self) -> None:
+        self.sent.destroy()
+
+
 # --- scratch tables ---------------------------------------------------------------------
 
 class Scratch:

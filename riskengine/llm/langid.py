@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, bounded_sample, utf8
+from .common import LOWER, Shared, bounded_sample, utf8
 
 BITS = 14          # hashed n-grams: 2 ** BITS buckets
 ORDERS = (1, 2, 3)
@@ -80,12 +80,12 @@ class Model:
         self.code = codewords(len(languages))
         on, off = self.code.T > 0, self.code.T < 0
         self.odds = (np.log(on @ p / on.sum(axis=1, keepdims=True))
-                     - np.log(off @ p / off.sum(axis=1, keepdims=True))).T.astype(np.float32)
+                     - np.log(off @ p / off.sum(axis=1, keepdims=True))).T.astype(np.float32).astype(np.float64)
         self.weights = np.full_like(self.code, 1 / max(1, self.code.shape[1]))
 
     def margins(self, text: bytes) -> np.ndarray:
         counts = gram_counts(text)
-        return (counts @ self.odds) / np.sqrt(counts.sum())
+        return (counts.astype(np.float64) @ self.odds) / np.sqrt(counts.sum())
 
     def weigh(self, languages: list[str], margins: np.ndarray) -> None:
         """Set each bit's weight for a language to its share of right answers on it."""
@@ -134,7 +134,7 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
               got.column("n").to_numpy())
     model = Model(languages, counts)
     if len(languages) > 1:
-        shared = spark.sparkContext.broadcast(model)
+        shared = Shared(spark, model)
 
         def measure(batches):
             for b in batches:
@@ -146,13 +146,13 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
         sample = bounded_sample(rows.withColumn("o", F.xxhash64(text_col, "lang")), "o", SAMPLE)
         seen = sample.mapInArrow(measure, "lang string, m array<double>").collect()
         model.weigh([s.lang for s in seen], np.array([s.m for s in seen]))
-        shared.unpersist()
+        shared.destroy()
     return model
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", into: str = "language") -> DataFrame:
     """``docs`` with a struct column (lang, score, ambiguous) made from the text alone."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
 
     @F.arrow_udf("struct<lang: string, score: double, ambiguous: boolean>")
     def predict(text: pa.Array) -> pa.Array:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ALNUM, Scratch, bucket_of, packed, union_all, unpacked, utf8, word_hashes, words
+from .common import ALNUM, Scratch, Shared, bucket_of, packed, union_all, unpacked, utf8, word_hashes, words
 
 K1, B = 1.2, 0.75
 SHARD_DOCS, SHARD_TOKENS = 3072, 1_500_000
@@ -314,7 +314,7 @@ def top_k(docs: DataFrame, is_query: Column, k: int = 10, id_col: str = "doc_id"
             continue
         terms = [np.array(t, np.int64).view(np.uint64) for t in got.column("terms").to_pylist()]
         weights = [np.array(w) for w in got.column("weights").to_pylist()]
-        shared = spark.sparkContext.broadcast(Batch(got.column("query").to_numpy(), terms, weights))
+        shared = Shared(spark, Batch(got.column("query").to_numpy(), terms, weights))
         run = _search(shared, k, tokens / n, start)
         start += got.num_rows
         with rows_at_once(spark, 1):
