@@ -129,19 +129,15 @@ def feature_distribution(df: DataFrame, feature_columns: Sequence[str],
     return _long_form(wide, rows)
 
 
-def prediction_distribution(df: DataFrame, prediction_col: str = PREDICTION_COLUMN) -> DataFrame:
-    """A5: rows per predicted class (``prediction, count``)."""
-    return df.groupBy(prediction_col).agg(F.count(F.lit(1)).alias("count"))
-
+def _total(count_col: str | None) -> Column:
+    """Rows of a group; with ``count_col`` a row stands for so many."""
+    return F.count(F.lit(1)) if count_col is None else F.coalesce(F.sum(count_col), F.lit(0))
 
-def value_counts(df: DataFrame, col: str = SCORE_COLUMN) -> DataFrame:
-    """Rows per distinct finite value of ``col`` (``v, n``); nulls and NaN left out.
 
-    A grouped count with map-side partial aggregation, so tied scores collapse
-    before the shuffle."""
-    v = F.col(col).try_cast("double")
-    return (df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-            .groupBy("v").agg(F.count(F.lit(1)).alias("n")))
+def prediction_distribution(df: DataFrame, prediction_col: str = PREDICTION_COLUMN,
+                            count_col: str | None = None) -> DataFrame:
+    """A5: rows per predicted class (``prediction, count``)."""
+    return df.groupBy(prediction_col).agg(_total(count_col).alias("count"))
 
 
 def histogram_range(df: DataFrame, col: str = SCORE_COLUMN) -> tuple[float, float]:
@@ -161,7 +157,7 @@ def histogram_range(df: DataFrame, col: str = SCORE_COLUMN) -> tuple[float, floa
 
 
 def probability_histogram(df: DataFrame, col: str = SCORE_COLUMN,
-                          bins: int = HISTOGRAM_BINS) -> DataFrame:
+                          bins: int = HISTOGRAM_BINS, count_col: str | None = None) -> DataFrame:
     """Equal-width histogram, ``bin, lower, upper, count`` for every bin (empty ones too).
 
     Bin edges are ``lo + i * step`` with the last edge ``hi``; a value goes to the
@@ -169,7 +165,9 @@ def probability_histogram(df: DataFrame, col: str = SCORE_COLUMN,
     Null and NaN values are not counted; infinite ones are an error, as in numpy.
 
     Two aggregates over the input: its range, then the counts by bin, where each task
-    sends ``bins`` rows at most.  No value leaves the executors.
+    sends ``bins`` rows at most.  No value leaves the executors.  An input that is dear to
+    compute is better given as its written counts (``evaluation.outcome_counts``) with
+    ``count_col``.
     """
     lo, hi = histogram_range(df, col)
     step = (hi - lo) / bins
@@ -185,9 +183,10 @@ def probability_histogram(df: DataFrame, col: str = SCORE_COLUMN,
     fixed = (F.when(v < edge(guess), guess - 1)
              .when((v >= edge(guess + 1)) & (guess != F.lit(bins - 1)), guess + 1)
              .otherwise(guess))
-    counts = (df.select(F.col(col).try_cast("double").alias("v"))
+    rows = (F.lit(1) if count_col is None else F.col(count_col)).cast("long")
+    counts = (df.select(F.col(col).try_cast("double").alias("v"), rows.alias("n"))
               .where((v >= F.lit(lo)) & (v <= F.lit(hi)))  # drops null and NaN
-              .groupBy(fixed.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count")))
+              .groupBy(fixed.cast("int").alias("bin")).agg(F.sum("n").alias("count")))
     spark = df.sparkSession
     all_bins = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
     b = F.col("bin")

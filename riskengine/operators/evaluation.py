@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -26,15 +26,32 @@ def join_truth(scored: DataFrame, labels: DataFrame, on: str = "transaction_id",
     return scored.join(labels, on=on, how=how)
 
 
+def outcome_counts(df: DataFrame, label_col: str = LABEL_COLUMN, score_col: str = SCORE_COLUMN,
+                   prediction_col: str = PREDICTION_COLUMN, out: str = "n") -> DataFrame:
+    """Rows by (score, label, prediction): all that A5-A8 and L6 need to know of the joined rows.
+
+    A grouped count with map-side partial aggregation.  Written once, it lets every statistic be
+    taken (with ``count_col``) from one pass over the rows; it is never longer than they are.
+    """
+    return df.groupBy(score_col, label_col, prediction_col).agg(F.count(F.lit(1)).alias(out))
+
+
+def rows_where(cond: Column, count_col: str | None) -> Column:
+    """Rows that meet a condition; with ``count_col`` a row stands for so many."""
+    if count_col is None:
+        return F.count_if(cond)
+    return F.coalesce(F.sum(F.when(cond, F.col(count_col))), F.lit(0))
+
+
 def confusion_matrix(df: DataFrame, prediction_col: str = PREDICTION_COLUMN,
-                     label_col: str = LABEL_COLUMN) -> DataFrame:
+                     label_col: str = LABEL_COLUMN, count_col: str | None = None) -> DataFrame:
     """One row ``tp, fp, tn, fn``.  A null prediction or label counts in none."""
     p, y = F.col(prediction_col), F.col(label_col)
     one, zero = F.lit(1.0), F.lit(0.0)
-    return df.agg(F.count_if((p == one) & (y == one)).alias("tp"),
-                  F.count_if((p == one) & (y == zero)).alias("fp"),
-                  F.count_if((p == zero) & (y == zero)).alias("tn"),
-                  F.count_if((p == zero) & (y == one)).alias("fn"))
+    return df.agg(rows_where((p == one) & (y == one), count_col).alias("tp"),
+                  rows_where((p == one) & (y == zero), count_col).alias("fp"),
+                  rows_where((p == zero) & (y == zero), count_col).alias("tn"),
+                  rows_where((p == zero) & (y == one), count_col).alias("fn"))
 
 
 def classification_metrics(cm: DataFrame) -> DataFrame:
@@ -58,24 +75,26 @@ def classification_metrics(cm: DataFrame) -> DataFrame:
 
 
 def evaluate_predictions(df: DataFrame, prediction_col: str = PREDICTION_COLUMN,
-                         label_col: str = LABEL_COLUMN) -> DataFrame:
+                         label_col: str = LABEL_COLUMN, count_col: str | None = None) -> DataFrame:
     """A6 + A7 in one job."""
-    return classification_metrics(confusion_matrix(df, prediction_col, label_col))
+    return classification_metrics(confusion_matrix(df, prediction_col, label_col, count_col))
 
 
 def score_label_counts(df: DataFrame, label_col: str = LABEL_COLUMN,
-                       score_col: str = SCORE_COLUMN, by: Sequence[str] = ()) -> DataFrame:
+                       score_col: str = SCORE_COLUMN, by: Sequence[str] = (),
+                       count_col: str | None = None) -> DataFrame:
     """Positives and negatives per distinct score (rows with a null or NaN score, or a
     label other than 0/1, are left out, as the evaluator cannot use them)."""
     y, s = F.col(label_col).try_cast("double"), F.col(score_col).try_cast("double")
     return (df.where(s.isNotNull() & ~F.isnan(s) & y.isin(0.0, 1.0))
             .groupBy(*by, s.alias("score"))
-            .agg(F.count_if(y == F.lit(1.0)).alias("pos"),
-                 F.count_if(y == F.lit(0.0)).alias("neg")))
+            .agg(rows_where(y == F.lit(1.0), count_col).alias("pos"),
+                 rows_where(y == F.lit(0.0), count_col).alias("neg")))
 
 
 def auc_exact(df: DataFrame, label_col: str = LABEL_COLUMN, score_col: str = SCORE_COLUMN,
-              partitions: int | None = None, by: Sequence[str] = ()) -> DataFrame:
+              partitions: int | None = None, by: Sequence[str] = (),
+              count_col: str | None = None) -> DataFrame:
     """Exact area under the ROC curve, one row ``auc`` (null if a class is absent).
 
     ``AUC = sum_s pos(s) * (neg_below(s) + neg(s) / 2) / (P * N)`` over distinct
@@ -92,7 +111,7 @@ def auc_exact(df: DataFrame, label_col: str = LABEL_COLUMN, score_col: str = SCO
     """
     spark, by = df.sparkSession, list(by)
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    counts = materialize(score_label_counts(df, label_col, score_col, by).repartitionByRange(parts, *by, "score")
+    counts = materialize(score_label_counts(df, label_col, score_col, by, count_col).repartitionByRange(parts, *by, "score")
                          .withColumn("part", F.spark_partition_id()))
     earlier = Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (counts.groupBy(*by, "part").agg(F.sum("neg").alias("part_neg"))
@@ -114,14 +133,16 @@ def auc_exact(df: DataFrame, label_col: str = LABEL_COLUMN, score_col: str = SCO
 
 
 def auc_binned(df: DataFrame, label_col: str = LABEL_COLUMN, score_col: str = SCORE_COLUMN,
-               num_bins: int = 1000) -> float:
+               num_bins: int = 1000, count_col: str | None = None) -> float:
     """L6 as the reference computes it: MLlib's evaluator (ROC down-sampled to ``num_bins``;
-    ``num_bins=0`` gives the exact curve)."""
+    ``num_bins=0`` gives the exact curve).  ``count_col`` becomes the evaluator's weight."""
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    weight = {"weightCol": "_rows"} if count_col else {}
     ev = BinaryClassificationEvaluator(labelCol=label_col, rawPredictionCol=score_col,
-                                       metricName="areaUnderROC", numBins=num_bins)
+                                       metricName="areaUnderROC", numBins=num_bins, **weight)
+    rows = F.col(count_col).cast("double") if count_col else F.lit(1.0)
     return ev.evaluate(df.select(F.col(label_col).cast("double").alias(label_col),
-                                 F.col(score_col).cast("double").alias(score_col)))
+                                 F.col(score_col).cast("double").alias(score_col), rows.alias("_rows")))
 
 
 def top_risk(scored: DataFrame, k: int = 100, score_col: str = SCORE_COLUMN,

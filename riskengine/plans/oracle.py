@@ -506,3 +506,25 @@ SELECT {_RAW}, timestamp_seconds, CASE WHEN abs(v) < 1e15 THEN round(v, 6) ELSE
 
 ORACLE["amount_velocity_30_days"] = _far_amounts_sql(30)
 ORACLE["amount_velocity_365_days"] = _far_amounts_sql(365)
+
+
+# --- damaged files ---------------------------------------------------------------------
+
+_INTACT = "transaction_id % 7 <> 0 AND transaction_id % 11 <> 0 AND transaction_id % 13 <> 0"
+ORACLE["csv_checked"] = f"""WITH {SQL_TRANSACTIONS}
+SELECT transaction_id, customer_id, "timestamp", CASE WHEN transaction_id % 5 <> 0 THEN amount END AS amount,
+       merchant_category, is_fraud FROM transactions WHERE {_INTACT}"""
+
+_AMOUNT_TEXT = ("CASE WHEN transaction_id % 7 = 0 THEN '12.5x' WHEN transaction_id % 5 = 0 THEN '' "
+                "ELSE CAST(amount AS VARCHAR) END")
+_SHORT = "concat_ws(',', transaction_id, customer_id, strftime(\"timestamp\", '%Y-%m-%dT%H:%M:%S.%f'))"
+_LINE = f"concat_ws(',', {_SHORT}, {_AMOUNT_TEXT}, merchant_category, CAST(is_fraud AS VARCHAR))"
+ORACLE["csv_quarantine"] = f"""WITH {SQL_TRANSACTIONS}
+SELECT CASE WHEN transaction_id % 11 = 0 THEN {_SHORT} WHEN transaction_id % 13 = 0 THEN {_LINE} || ',more' ELSE {_LINE} END AS line
+FROM transactions WHERE NOT ({_INTACT})"""
+
+ORACLE["casts_checked"] = f"""WITH {SQL_SCORED},
+told AS (SELECT *, concat_ws(',', CASE WHEN transaction_id % 6 = 0 THEN 'prediction' END, CASE WHEN transaction_id % 9 = 0 THEN 'prob_1' END) AS failed
+         FROM scored)
+SELECT failed, count(*) AS n, CASE WHEN failed = '' THEN round(sum(prob_1), 6) END AS prob_1,
+       count(*) FILTER (WHERE failed = '' AND transaction_id % 10 <> 1) AS predictions FROM told GROUP BY failed"""

@@ -114,22 +114,28 @@ def label_pipeline(spark: SparkSession, features_path: str, output_path: str,
     return output_path
 
 
+def _outcomes(scored: DataFrame, labels: DataFrame) -> DataFrame:
+    """J1, then the written counts that the statistics of Q6 and Q7 read."""
+    return materialize(ev.outcome_counts(ev.join_truth(
+        scored.select("transaction_id", "prob_1", "prediction"), labels)))
+
+
 def monitoring(scored: DataFrame, labels: DataFrame,
                auc_method: str = "exact") -> tuple[DataFrame, DataFrame]:
     """Q6 core: J1 -> L6 and A5 (prediction distribution).
 
     ``auc_method="exact"`` is the un-binned area; ``"binned"`` is MLlib's evaluator
     with its default 1,000-bin ROC, as the reference's monitoring step computes it.
-    The joined table feeds both results, so it is materialised once."""
-    joined = materialize(ev.join_truth(
-        scored.select("transaction_id", "prob_1", "prediction"), labels))
+    The rows are joined and aggregated once: both results read the written counts by
+    (score, label, prediction)."""
+    seen = _outcomes(scored, labels)
     if auc_method == "exact":
-        auc = ev.auc_exact(joined)
+        auc = ev.auc_exact(seen, count_col="n")
     elif auc_method == "binned":
-        auc = joined.sparkSession.createDataFrame([(ev.auc_binned(joined),)], "auc double")
+        auc = seen.sparkSession.createDataFrame([(ev.auc_binned(seen, count_col="n"),)], "auc double")
     else:
         raise ValueError(f"unknown auc_method {auc_method!r}")
-    return auc, agg.prediction_distribution(joined)
+    return auc, agg.prediction_distribution(seen, count_col="n")
 
 
 def monitoring_pipeline(spark: SparkSession, scored_path: str, labels_path: str,
@@ -149,12 +155,11 @@ class EvaluationResult:
 def evaluation(scored: DataFrame, labels: DataFrame) -> EvaluationResult:
     """Q7 core: J1 -> A6 -> A7, and A8 over the joined probabilities.
 
-    The joined table (read from two CSV files and joined) feeds two jobs -- the
-    metrics and the histogram -- so it is materialised once."""
-    joined = materialize(ev.join_truth(
-        scored.select("transaction_id", "prob_1", "prediction"), labels))
-    return EvaluationResult(ev.evaluate_predictions(joined),
-                            agg.probability_histogram(joined, "prob_1"))
+    The rows are joined and aggregated once: the metrics and the histogram read the written
+    counts by (score, label, prediction)."""
+    seen = _outcomes(scored, labels)
+    return EvaluationResult(ev.evaluate_predictions(seen, count_col="n"),
+                            agg.probability_histogram(seen, "prob_1", count_col="n"))
 
 
 def evaluation_pipeline(spark: SparkSession, scored_path: str,

@@ -275,8 +275,9 @@ def q_prediction_distribution(spark, sf_dir):
 
 @register("probability_histogram")
 def q_probability_histogram(spark, sf_dir):
-    """The 20-bin histogram of the joined probabilities."""
-    return agg.probability_histogram(_joined(spark, sf_dir), "prob_1")
+    """The 20-bin histogram of the joined probabilities, from their written counts."""
+    seen = materialize(ev.outcome_counts(_joined(spark, sf_dir)))
+    return agg.probability_histogram(seen, "prob_1", count_col="n")
 
 
 @register("histogram_continuous")
@@ -358,6 +359,51 @@ def q_read_with_casts(spark, sf_dir):
     return io.read_with_casts(spark, path, pl.SCORED_CASTS)
 
 
+def _damaged_lines(spark, sf_dir) -> DataFrame:
+    """The transactions as CSV lines, some of them damaged: a field that is no number, a line cut
+    short, one with a field too many; and some with an empty amount, which is none."""
+    i = F.col("transaction_id")
+    amount = F.when(i % 7 == 0, F.lit("12.5x")).when(i % 5 == 0, F.lit("")).otherwise(F.col("amount").cast("string"))
+    stamp = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    fields = [F.col(c).cast("string") for c in ("transaction_id", "customer_id")] + [stamp, amount, F.col("merchant_category"),
+                                                                                      F.col("is_fraud").cast("string")]
+    line = (F.when(i % 11 == 0, F.concat_ws(",", *fields[:3])).when(i % 13 == 0, F.concat_ws(",", *fields, F.lit("more")))
+            .otherwise(F.concat_ws(",", *fields)))
+    return td.transactions(spark, sf_dir).select(line.alias("value"))
+
+
+def _checked(spark, sf_dir) -> io.CheckedRows:
+    path = scratch_path(spark, "damaged-csv")
+    _damaged_lines(spark, sf_dir).write.text(path)
+    return io.read_checked(spark, path, header=False, quarantine=scratch_path(spark, "quarantine"))
+
+
+@register("csv_checked")
+def q_csv_checked(spark, sf_dir):
+    """S1 on a damaged file: the rows that could be read, every value."""
+    return _checked(spark, sf_dir).good
+
+
+@register("csv_quarantine")
+def q_csv_quarantine(spark, sf_dir):
+    """S1 on a damaged file: the lines that could not, as they were, from the quarantine table."""
+    return _checked(spark, sf_dir).bad.select("line")
+
+
+@register("casts_checked")
+def q_casts_checked(spark, sf_dir):
+    """S2 on scored rows of which some hold text that is no number: rows by what failed."""
+    i, path = F.col("transaction_id"), scratch_path(spark, "scored-csv")
+    broken = td.scored(spark, sf_dir).withColumns({
+        "prob_1": F.when(i % 9 == 0, F.lit("n/a")).otherwise(F.col("prob_1").cast("string")),
+        "prediction": F.when(i % 6 == 0, F.lit("yes")).when(i % 10 == 1, F.lit(None)).otherwise(F.col("prediction").cast("string"))})
+    io.write_csv(broken, path)
+    checked = io.read_with_casts_checked(spark, path, pl.SCORED_CASTS)
+    good = checked.good.select(F.lit("").alias("failed"), "prob_1", "prediction")
+    return (good.unionByName(checked.bad.select("failed", F.lit(None).cast("double").alias("prob_1"), F.lit(None).cast("double").alias("prediction")))
+            .groupBy("failed").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("prob_1"), 6).alias("prob_1"), F.count("prediction").alias("predictions")))
+
+
 @register("features_via_files")
 def q_features_via_files(spark, sf_dir):
     """Q1 end to end: CSV -> preprocess -> features -> parquet, read back (S3)."""

@@ -6,12 +6,18 @@ overwrite, and run on the executors.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DoubleType, LongType, StringType, StructField,
                                StructType, TimestampNTZType)
 
 from ..operators.prepare import cast_columns
+from ..session import materialize
+
+CORRUPT = "_corrupt"  # the reader's column for lines that it can't parse
 
 # Raw transactions as our tables carry them (ids are numbers here; the
 # reference's text ids fit the same reader with a StringType schema).
@@ -63,6 +69,54 @@ def read_with_casts(spark: SparkSession, path: str, casts: dict[str, str]) -> Da
     return cast_columns(spark.read.option("header", "true").csv(path), casts)
 
 
+@dataclass
+class CheckedRows:
+    """Rows that could be read, and those that could not."""
+
+    good: DataFrame
+    bad: DataFrame
+
+
+def read_checked(spark: SparkSession, path: str, schema: StructType = TRANSACTION_SCHEMA, header: bool = True,
+                 quarantine: str | None = None) -> CheckedRows:
+    """S1 with damaged lines kept apart: ``good`` rows of ``schema``, ``bad`` ones as ``file, line``.
+
+    A line is bad if it has more or fewer fields than the schema, or a field that its type
+    doesn't take; an empty field is null and good.  The parsed rows are written once to the shared
+    folder and both sides read that; with ``quarantine`` the bad lines are written there (parquet).
+    """
+    if CORRUPT in schema.fieldNames():
+        raise ValueError(f"{CORRUPT!r} is the name of the lines that can't be read")
+    wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    parsed = materialize(spark.read.option("header", str(header).lower()).option("mode", "PERMISSIVE")
+                         .option("columnNameOfCorruptRecord", CORRUPT).schema(wide).csv(path)
+                         .withColumn("_file", F.input_file_name()))
+    good = parsed.where(F.col(CORRUPT).isNull()).select(*[F.col(f"`{n}`") for n in schema.fieldNames()])
+    return CheckedRows(good, _quarantined(parsed.where(F.col(CORRUPT).isNotNull())
+                                          .select(F.col("_file").alias("file"), F.col(CORRUPT).alias("line")), quarantine))
+
+
+def read_with_casts_checked(spark: SparkSession, path: str, casts: dict[str, str],
+                            quarantine: str | None = None) -> CheckedRows:
+    """S2 with malformed fields kept apart: ``good`` rows cast, ``bad`` ones as text with the names of
+    the columns that held text no cast took (``failed``, sorted)."""
+    text = materialize(spark.read.option("header", "true").csv(path))
+    names = sorted(casts)
+    if "failed" in text.columns:
+        raise ValueError("'failed' is the name of the columns that can't be cast")
+    lost = [F.when(F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(casts[c]).isNull(), F.lit(c)) for c in names]
+    told = text.withColumn("failed", F.array_compact(F.array(*lost)) if lost else F.array().cast("array<string>"))
+    bad = told.where(F.size("failed") > 0).withColumn("failed", F.array_join("failed", ","))
+    return CheckedRows(cast_columns(told.where(F.size("failed") == 0).drop("failed"), casts), _quarantined(bad, quarantine))
+
+
+def _quarantined(bad: DataFrame, path: str | None) -> DataFrame:
+    if path is None:
+        return bad
+    bad.write.mode("overwrite").parquet(path)
+    return bad.sparkSession.read.schema(bad.schema).parquet(path)
+
+
 def read_features(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """S3: a feature table in a columnar format (``parquet`` by default; ``delta``
     where the Delta package is on the classpath)."""
