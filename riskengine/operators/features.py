@@ -315,19 +315,37 @@ def full_feature_engineering(df: DataFrame, *, customer_col: str = CUSTOMER,
               window_seconds=window_seconds, amount_scale=amount_scale,
               count_out="transaction_velocity", sum_out="amount_velocity")
     profile = dict(customer_col=customer_col, category_col=category_col, id_col=id_col)
-
-    def bucketed(rows: DataFrame) -> DataFrame:
-        stats, counts = trailing_window_stats(rows, **kw), category_counts(rows, **profile)
-        return _attach(_attach(rows, stats, [customer_col, SECONDS]), counts, [customer_col, category_col])
-
     if method == "direct":
         df = merchant_category_profiling(_direct_velocity(df, **kw), method="direct", **profile)
     elif method == "split":
         ordinary, heavy = _split(df, customer_col, heavy_rows)
-        whole = merchant_category_profiling(_whole_velocity(ordinary, **kw), method="direct", **profile)
-        df = whole.unionByName(bucketed(heavy))
+        df = _ordinary_features(ordinary, kw, profile).unionByName(_heavy_features(heavy, kw, profile))
     elif method == "bucketed":
-        df = bucketed(df)
+        df = _heavy_features(df, kw, profile)
     else:
         raise ValueError(f"unknown method {method!r}")
     return time_based_patterns(df, timestamp_col=timestamp_col)
+
+
+def _ordinary_features(rows: DataFrame, kw: dict, profile: dict) -> DataFrame:
+    """Velocities and category profile as windows of a customer's rows: one partitioning for all."""
+    return merchant_category_profiling(_whole_velocity(rows, **kw), method="direct", **profile)
+
+
+def _heavy_features(rows: DataFrame, kw: dict, profile: dict) -> DataFrame:
+    """The same from answer tables by (customer, second) and (customer, category), joined back."""
+    stats, counts = trailing_window_stats(rows, **kw), category_counts(rows, **profile)
+    back = _attach(rows, stats, [kw["customer_col"], kw["seconds_col"]])
+    return _attach(back, counts, [profile["customer_col"], profile["category_col"]])
+
+
+def table_features(ordinary: DataFrame, heavy: DataFrame, *, window_seconds: int = VELOCITY_WINDOW_SECONDS) -> DataFrame:
+    """W4 over rows that are already told apart (``sources.bucketed.CustomerTable``), seconds included.
+
+    Nothing is counted again to find heavy customers, and where ``ordinary`` is bucketed by customer its
+    windows read the buckets as they are.
+    """
+    kw = dict(customer_col=CUSTOMER, seconds_col=SECONDS, id_col=TXN_ID, amount_col=AMOUNT, window_seconds=window_seconds,
+              amount_scale=None, count_out="transaction_velocity", sum_out="amount_velocity")
+    profile = dict(customer_col=CUSTOMER, category_col=CATEGORY, id_col=TXN_ID)
+    return time_based_patterns(_ordinary_features(ordinary, kw, profile).unionByName(_heavy_features(heavy, kw, profile)))

@@ -281,6 +281,10 @@ SELECT CAST(transaction_id AS VARCHAR) AS transaction_id,
 FROM scored"""
 
 ORACLE["features_via_files"] = ORACLE["feature_engineering"]
+ORACLE["features_by_batches"] = ORACLE["feature_engineering"]
+ORACLE["incremental_via_files"] = ORACLE["feature_engineering"]
+ORACLE["features_bucketed_table"] = ORACLE["feature_engineering"]
+ORACLE["join_truth_bucketed"] = ORACLE["join_truth"]
 
 ORACLE["split_via_files"] = ORACLE["stable_split"]
 

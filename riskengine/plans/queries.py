@@ -22,9 +22,10 @@ from ..operators import newton
 from ..operators import prepare as prep
 from ..operators import sampling
 from ..session import drop_scratch, materialize, scratch_path
-from ..sources import io
+from ..sources import bucketed, io
 from ..sources import testdata as td
 from ..streaming import scoring as stream
+from . import incremental as inc
 from . import pipelines as pl
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -415,6 +416,59 @@ def q_features_via_files(spark, sf_dir):
     return _places(io.read_features(spark, out_path))
 
 
+def _in_batches(tx: DataFrame) -> list[DataFrame]:
+    """Thirds of the covered time; every tenth row, by its id, comes a batch late."""
+    seconds = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    span = tx.agg(F.min(seconds).alias("first"), F.max(seconds).alias("last")).first()
+    cut = [span.first + (span.last - span.first) * i // 3 for i in (1, 2)]
+    due = F.when(seconds < cut[0], 0).when(seconds < cut[1], 1).otherwise(2) + F.when(F.col("transaction_id") % 10 == 0, 1).otherwise(0)
+    return [tx.where(F.least(due, F.lit(2)) == i) for i in range(3)]
+
+
+@register("features_by_batches")
+def q_features_by_batches(spark, sf_dir):
+    """Q1 batch by batch: three batches, some rows late, the second one given twice."""
+    store = scratch_path(spark, "feature-store")
+    batches = _in_batches(td.transactions(spark, sf_dir))
+    for i in (0, 1, 1, 2):
+        inc.apply_batch(spark, store, batches[i], f"batch {i}")
+    return _places(inc.feature_table(spark, store))
+
+
+@register("incremental_via_files")
+def q_incremental_via_files(spark, sf_dir):
+    """Q1 for new CSV files: each is parsed and added to the store."""
+    store = scratch_path(spark, "feature-store")
+    for i, batch in enumerate(_in_batches(td.transactions(spark, sf_dir))):
+        path = scratch_path(spark, "raw-csv")
+        io.write_csv(batch, path)
+        inc.incremental_feature_pipeline(spark, path, store, str(i))
+        drop_scratch(spark, path)
+    return _places(inc.feature_table(spark, store))
+
+
+def _table_name(path: str) -> str:
+    return path.rsplit("/", 1)[1].replace("-", "_")
+
+
+@register("features_bucketed_table")
+def q_features_bucketed_table(spark, sf_dir):
+    """S5 + W4: transactions bucketed by customer (some heavy, kept apart), features without an exchange of the ordinary."""
+    path = scratch_path(spark, "customers")
+    table = bucketed.write_customer_table(td.transactions(spark, sf_dir), _table_name(path), path, heavy_rows=70)
+    return _places(feat.table_features(table.ordinary, table.heavy))
+
+
+@register("join_truth_bucketed")
+def q_join_truth_bucketed(spark, sf_dir):
+    """S5 + J1: scores and truth bucketed by transaction, joined bucket by bucket."""
+    sides = []
+    for df in (td.scored(spark, sf_dir).select("transaction_id", "prob_1", "prediction"), td.truth(spark, sf_dir)):
+        path = scratch_path(spark, "bucketed")
+        sides.append(bucketed.write_bucketed(df, _table_name(path), path, ["transaction_id"]))
+    return ev.join_truth(*sides)
+
+
 @register("feature_round_trip")
 def q_feature_round_trip(spark, sf_dir):
     """S5 then S3: the feature table written as parquet and read back."""
