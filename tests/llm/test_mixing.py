@@ -93,6 +93,38 @@ def test_single_pairs_follow_their_odds(spark):
     assert set(per.values()) == {1.0}
 
 
+def test_equal_rows_are_numbered_and_spread_over_chunks(spark, documents, monkeypatch):
+    """A third of all rows equal, others equal in pairs: numbers are dense, chunks stay small."""
+    rows = [(None, "a b c", "en", "x")] * 300 + [(i // 2, "a b c", "en", "x") for i in range(500)] + [(5, "a b c", "en", None)] * 9
+    scratch = Scratch(spark, "test")
+    sizes = scratch.save(documents(rows).repartition(7).selectExpr("doc_id", "source", "3L AS size", "spark_partition_id() AS part"))
+    got = defaultdict(list)
+    for r in mixing.with_copies(scratch, sizes).collect():
+        got[r.doc_id, r.source].append(r["copy"])
+    assert sum(map(len, got.values())) == len(rows) and len(got[None, "x"]) == 300
+    assert all(sorted(v) == list(range(len(v))) for v in got.values())
+
+    monkeypatch.setattr(mixing, "CHUNK", 16)
+    saved = []
+    save = Scratch.save
+    monkeypatch.setattr(Scratch, "save", lambda self, df: saved.append(save(self, df)) or saved[-1])
+    mixed = mixing.mix(documents(rows))
+    longest = max(r.n for df in saved if "done" in df.columns for r in df.selectExpr("size(done) AS n").collect())
+    assert longest < 16 * 4
+    taken = [tuple(r) for r in mixed.select("source_size", "taken", "target").collect()]
+    for size in {t[0] for t in taken}:
+        assert abs(sum(t[1] for t in taken if t[0] == size) - next(t[2] for t in taken if t[0] == size)) <= 6
+    assert rows_of(mixing.mix(documents(rows).repartition(11))) == rows_of(mixed)
+
+
+def test_very_long_texts_and_clashing_columns(spark, documents):
+    rows = [(1, "w " * 200_000, "en", "x"), (2, "w " * 150, "en", "x"), (3, "w " * 150, "en", "y")]
+    plain = rows_of(mixing.mix(documents(rows)))
+    assert {r[1] for r in plain} == {200_000, 150}
+    extra = documents(rows).selectExpr("*", *[f"'z' AS {c}" for c in ("key", "copy", "size", "part", "target", "taken", "prob", "n", "unit")])
+    assert rows_of(mixing.mix(extra)) == plain
+
+
 def test_word_counts_and_empty_tables(spark, documents):
     rows = [(1, "a  b\tc\x0bd\x0ce\r\nf"), (2, " lead and trail "), (3, ""), (4, None), (5, "é ü x")]
     got = {r.doc_id: r["size_"] for r in documents(rows).select("doc_id", mixing.n_words("text").alias("size_")).collect()}
