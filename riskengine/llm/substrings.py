@@ -15,13 +15,16 @@ string depth ``length`` of the corpus's suffix tree, so the repeats are that tre
    2, 4, ... words, exactly, word by word, down to ``length``; those alone in their branch end
    there.  Each node reached at that depth is a maximal repeat's and gives its least document.
 4. A group beyond ``GROUP_SUFFIXES`` suffixes is split by a longer prefix, the whole ``length``
-   words: each of its nodes is then one key of a grouped minimum with map-side combine, so no
-   passage, however common, gathers in one task.
+   words (told by a 128-bit hash): each of its nodes is then one key of a grouped minimum with
+   map-side combine, and is joined back to its windows in rows of its own for each ``SPREAD`` of
+   them, so that a common passage is dealt over tasks.
 5. Fragments hand the repeats back to all their places by an equi-join, and the texts lose the
    covered words.
 
 Defined cases: a null text has no words; texts shorter than a window keep everything; rows that
-repeat (same id and text) get the same result each; a null id counts as the largest id.
+repeat (same id and text) get the same result each; a null id counts as the largest id; of windows
+of one id none is smaller, so they stay; a text is read whole by one task, and its cost is linear;
+columns beside id and text, whatever their names, are carried as they are.
 """
 
 from __future__ import annotations
@@ -39,6 +42,9 @@ from .common import MIX, Scratch, mixed, utf8, word_hashes, words
 GRAM = 10
 #: Suffixes of one subtree group; beyond that its prefix is extended to the whole window.
 GROUP_SUFFIXES = 200_000
+#: Windows of one prefix that meet one row of its node, and the bound of the prefixes that have several.
+SPREAD = 4096
+HOT_PREFIXES = 50_000
 #: Words that a task holds while it builds subtrees.
 TREE_WORDS = 1_500_000
 NO_ID = (1 << 63) - 1
@@ -212,6 +218,24 @@ def _split(length: int):
     return run
 
 
+def _with_least(scratch: Scratch, windows: DataFrame) -> DataFrame:
+    """Each window with the smallest document of its prefix's node (``least``).
+
+    The node of a prefix of more than ``SPREAD`` windows is repeated, a row for each ``SPREAD`` of them,
+    and its windows are dealt to these rows by their fragment.  Only prefixes of more than a
+    ``HOT_PREFIXES``-th of all windows need it, fewer than ``HOT_PREFIXES``: the bound of the broadcasts.
+    """
+    node = scratch.save(windows.groupBy("prefix").agg(F.min("first_doc").alias("least"), F.count(F.lit(1)).alias("n")))
+    total = node.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(scratch.save(node.where(F.col("n") > F.lit(max(float(SPREAD), total / HOT_PREFIXES)))
+                                   .select("prefix", F.ceil(F.col("n") / SPREAD).cast("long").alias("rows"))))
+    rows = F.coalesce(F.col("rows"), F.lit(1).cast("long"))
+    dealt = windows.join(hot, "prefix", "left").withColumn("row", F.pmod(F.xxhash64("piece", "off"), rows)).drop("rows")
+    nodes = (node.join(hot, "prefix", "left")
+             .select("prefix", "least", F.explode(F.sequence(F.lit(0).cast("long"), rows - 1)).alias("row")))
+    return dealt.join(nodes, ["prefix", "row"]).drop("row")
+
+
 def repeated_windows(scratch: Scratch, docs: DataFrame, length: int = 50, id_col: str = "doc_id",
                      text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """The scan of all rows, and the repeats as (doc, row, places): runs of ``cnt`` windows at ``start``.
@@ -247,8 +271,7 @@ def repeated_windows(scratch: Scratch, docs: DataFrame, length: int = 50, id_col
              .repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_subtrees(length), runs))
     windows = distinct.join(large, "anchor", "left_semi").select(cols).mapInArrow(
         _split(length), "anchor long, piece binary, off int, prefix binary, first_doc long, last_doc long")
-    node = windows.groupBy("prefix").agg(F.min("first_doc").alias("least"))
-    deep = (windows.join(node, "prefix").where("least < last_doc")
+    deep = (_with_least(scratch, windows).where("least < last_doc")
             .select("anchor", "piece", "off", F.lit(1).alias("cnt"), "least"))
     # one row a fragment, so that its places meet one row each
     runs = scratch.save(small.unionByName(deep).groupBy("anchor", "piece").agg(

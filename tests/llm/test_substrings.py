@@ -9,6 +9,7 @@ import pytest
 
 from llm_fixtures import documents  # noqa: F401 -- a fixture
 from riskengine.llm import substrings
+from riskengine.llm.common import Scratch
 
 
 def by_hand(rows, length=50):
@@ -57,6 +58,28 @@ def test_repeats_as_by_brute_force(spark, documents, monkeypatch, seed, group):
     assert sorted(map(str, got)) == sorted(str(w[:4]) for w in want)
 
 
+def test_a_common_passage_is_dealt_over_rows_of_its_node(spark, documents, monkeypatch):
+    """A third of all windows share one prefix; each still gets its least document, few of them a row."""
+    monkeypatch.setattr(substrings, "SPREAD", 20)
+    n = 1500
+    windows = spark.createDataFrame(
+        [(i % 5, str(i).encode(), i % 7, (b"hot" if i % 3 == 0 else b"warm" if i % 3 == 1 and i < 100 else str(i % 400).encode()), n - i, n)
+         for i in range(n)], "anchor long, piece binary, off int, prefix binary, first_doc long, last_doc long")
+    least = {}
+    rows = windows.collect()
+    for r in rows:
+        least[bytes(r.prefix)] = min(least.get(bytes(r.prefix), n), r.first_doc)
+    told = substrings._with_least(Scratch(spark, "test"), windows)
+    got = sorted((bytes(r.piece), r.off, bytes(r.prefix), r.least) for r in told.collect())
+    assert got == sorted((bytes(r.piece), r.off, bytes(r.prefix), least[bytes(r.prefix)]) for r in rows)
+
+    monkeypatch.setattr(substrings, "SPREAD", 2)
+    monkeypatch.setattr(substrings, "GROUP_SUFFIXES", 0)
+    texts = corpus(5)
+    made = [(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substrings.remove_repeats(documents(texts)).collect()]
+    assert sorted(map(str, made)) == sorted(str(w[:4]) for w in by_hand(texts))
+
+
 @pytest.mark.parametrize("words_at_once", [1_500_000, 200])
 def test_cleaned_texts(spark, documents, monkeypatch, words_at_once):
     monkeypatch.setattr(substrings, "TREE_WORDS", words_at_once)
