@@ -41,9 +41,33 @@ def test_base_score_is_exact(spark, documents, monkeypatch, common):
     assert all(r.score < 0 and math.isfinite(r.score) for r in got)
 
 
-def learned(spark, documents, rows, **kw):
-    scratch = Scratch(spark, "test")
-    return bloomlm.learn(scratch, documents(rows), **kw)
+class Filter:
+    """One order's segments of all buckets, asked by key."""
+
+    def __init__(self, n, segments, buckets):
+        self.n, self.buckets, self.held = n, buckets, bloomlm.Filter(segments, 0, buckets)
+
+    def levels(self, keys):
+        codes = bloomlm.coded(keys, self.n, self.buckets)
+        return self.held.levels(codes, bucket_of(keys, self.buckets)).astype(np.int64)
+
+
+class Model:
+    """All segments in one process: scores without slices, ranges and requests."""
+
+    def __init__(self, merged, buckets, tokens, types, order):
+        rows = merged.select("n", "bucket", "segment").collect()
+        self.tokens, self.types, self.buckets = tokens, types, buckets
+        self.filters = [Filter(n, {r.bucket: bytes(r.segment) for r in rows if r.n == n}, buckets) for n in range(1, order + 1)]
+
+    def log_probabilities(self, texts):
+        first = np.cumsum([0, *[len(t) for t in texts[:-1]]])
+        counts = [bloomlm.middle(f.levels(np.concatenate([bloomlm.ngram_keys(t, f.n) for t in texts]))) for f in self.filters]
+        return bloomlm.smoothed(counts, first, self.tokens, self.types)
+
+
+def learned(spark, documents, rows, order=2):
+    return Model(*bloomlm.count(Scratch(spark, "test"), documents(rows), order), order)
 
 
 def ngrams(texts, n):
@@ -56,7 +80,7 @@ def test_filter_holds_every_level(spark, documents, monkeypatch, bucket_tokens):
     """No n-gram is below its level, and few are above it; absent ones mostly have none."""
     monkeypatch.setattr(bloomlm, "BUCKET_TOKENS", bucket_tokens)
     rows = corpus(2)
-    model, _, _ = learned(spark, documents, rows)
+    model = learned(spark, documents, rows)
     for n in (1, 2):
         keys, counts = ngrams([t for _, t in rows], n)
         level, got = bloomlm.level_of(counts), model.filters[n - 1].levels(keys)
@@ -74,7 +98,7 @@ def test_levels_and_middles():
 def test_scores_follow_the_quantised_counts(spark, documents):
     """With every probe right, a token's probability is the stated interpolation."""
     rows = [(1, "a b a b a c"), (2, "a b b")]
-    model, _, _ = learned(spark, documents, rows)
+    model = learned(spark, documents, rows)
     count = {n: dict(zip(*(x.tolist() for x in ngrams([t for _, t in rows], n)))) for n in (1, 2)}
     h = bloomlm.token_hashes(b"a b c x")
     one, two = bloomlm.ngram_keys(h, 1), bloomlm.ngram_keys(h, 2)
@@ -89,17 +113,6 @@ def test_scores_follow_the_quantised_counts(spark, documents):
     assert np.allclose(model.log_probabilities([h]), want)
 
 
-def test_bounded_filter_leaves_rare_ngrams_to_smoothing(spark, documents):
-    rows = corpus(3)
-    model, _, _ = learned(spark, documents, rows, filter_bytes=1500)
-    assert sum(len(f.bits) for f in model.filters) <= 1500
-    assert max(model.filters[1].least) > 1
-    keys, counts = ngrams([t for _, t in rows], 2)
-    level, got = bloomlm.level_of(counts), model.filters[1].levels(keys)
-    least = np.array(model.filters[1].least)[bucket_of(keys, len(model.filters[1].least))]
-    assert (got[level >= least] >= level[level >= least]).all()
-
-
 @pytest.mark.parametrize("common", [1 << 18, 0])
 def test_scores_use_every_ngram_however_large_the_corpus(spark, documents, monkeypatch, common):
     """The filter outgrows the 32 MB that once bounded it, scaled down with the corpus; scores are the whole filter's."""
@@ -109,15 +122,15 @@ def test_scores_use_every_ngram_however_large_the_corpus(spark, documents, monke
     monkeypatch.setattr(bloomlm, "SCORE_BYTES", 4000)
     rows = corpus(4)
     kept = [(i, t) for i, t in rows if i is not None and zlib.crc32(str(i).encode()) % 7 != 2]
-    model, _, buckets = learned(spark, documents, kept, filter_bytes=1 << 30)
-    assert buckets > 4 and all(least == 1 for f in model.filters for least in f.least)
+    model = learned(spark, documents, kept)
+    assert model.buckets > 4
     want = sorted((str(i), round(float(model.log_probabilities([bloomlm.token_hashes(t.encode() if t else t)]).sum()), 5)) for i, t in rows)
     assert sorted((str(r.doc_id), round(r.score, 5)) for r in bloomlm.score(documents(rows)).collect()) == want
 
 
 def test_longer_ngrams_and_likelier_texts(spark, documents):
     rows = [(i, "the cat sat on the mat and the dog sat on the rug") for i in range(40)]
-    model, _, _ = learned(spark, documents, rows, order=2)
+    model = learned(spark, documents, rows, order=2)
     p = lambda t: model.log_probabilities([bloomlm.token_hashes(t.encode())]).sum()
     assert p("the cat sat on the mat") > p("mat the on sat cat the") > p("unknown words only stand in here")
 
@@ -125,7 +138,7 @@ def test_longer_ngrams_and_likelier_texts(spark, documents):
 def test_trigrams_interpolate_down_to_words(spark, documents):
     ids = [i for i in range(20) if zlib.crc32(str(i).encode()) % 7 != 2]
     rows = list(zip(ids, ["a b a b a c", "a b b", "a b a"]))
-    model, _, _ = learned(spark, documents, rows, order=3)
+    model = learned(spark, documents, rows, order=3)
     count = {n: dict(zip(*(x.tolist() for x in ngrams([t for _, t in rows], n)))) for n in (1, 2, 3)}
     q = lambda n, k: float(bloomlm.middle(bloomlm.level_of(np.array([count[n].get(int(k), 0)])))[0])
     want = {}
@@ -144,6 +157,65 @@ def test_trigrams_interpolate_down_to_words(spark, documents):
     assert got == pytest.approx(want)
 
 
+@pytest.mark.parametrize("bucket_tokens", [1_000_000, 100, 20])
+def test_rows_do_not_grow_with_the_buckets(spark, documents, monkeypatch, bucket_tokens):
+    """A slice sends a row of documents and at most one a range and order, and a task's run likewise."""
+    monkeypatch.setattr(bloomlm, "BUCKET_TOKENS", bucket_tokens)
+    monkeypatch.setattr(bloomlm, "SCORE_BYTES", 20_000)
+    docs = documents(corpus(5)).coalesce(1)
+    merged, buckets, _, _ = bloomlm.count(Scratch(spark, "test"), docs)
+    ranges = bloomlm.ranges_of(spark, buckets)
+    assert bucket_tokens > 100 or buckets > 10 * ranges
+    shared = spark.sparkContext.broadcast(bloomlm.common_words(merged, 0))
+    rows = bloomlm.requests(docs, shared, 2, buckets).groupBy("slice").count().collect()
+    assert rows and all(r["count"] <= 1 + 2 * ranges for r in rows)
+    runs = docs.select(bloomlm.utf8(docs)).mapInArrow(bloomlm._tally_tasks(2, buckets, ranges), bloomlm.RUNS)
+    assert runs.count() <= 2 * ranges
+
+
+def test_ranges_do_not_change_results(spark, documents, monkeypatch):
+    monkeypatch.setattr(bloomlm, "BUCKET_TOKENS", 1000)
+    got, docs = [], documents(corpus(8))
+    for ranges in (1, 3, 8):
+        monkeypatch.setattr(bloomlm, "ranges_of", lambda spark, buckets, ranges=ranges: min(ranges, buckets))
+        got.append(sorted(map(str, bloomlm.score(docs).collect())))
+    assert got[0] == got[1] == got[2]
+
+
+@pytest.mark.parametrize("limit", [0, 1, 40, 150, 1 << 18])
+def test_common_words_are_the_most_frequent(spark, documents, monkeypatch, limit):
+    """However many buckets there are; never more than the limit, none rarer than one left out."""
+    monkeypatch.setattr(bloomlm, "BUCKET_TOKENS", 20)
+    rows = corpus(6)
+    merged, _, _, _ = bloomlm.count(Scratch(spark, "test"), documents(rows))
+    keys, rank, n, level = bloomlm.common_words(merged, limit)
+    all_keys, all_counts = ngrams([t for _, t in rows], 1)
+    assert len(keys) == len(n) == len(level) <= limit and (limit < 40 or len(keys) > limit // 4 or len(keys) == len(all_keys))
+    exact = dict(zip(all_keys.tolist(), all_counts.tolist()))
+    assert [exact[k] for k in keys.tolist()] == n[rank].tolist()
+    assert (np.diff(keys.astype(object)) > 0).all() and (np.diff(n) <= 0).all()
+    left = [c for k, c in exact.items() if k not in set(keys.tolist())]
+    assert not len(n) or not left or n.min() > max(left)
+
+
+def test_packed_columns_round_trip():
+    rng = np.random.default_rng(1)
+    for size in (0, 1, 5000):
+        codes = np.unique(rng.integers(0, 1 << 64, size, np.uint64))
+        assert (bloomlm._from_gaps(bloomlm._gaps(codes)) == codes).all()
+        small = rng.integers(0, 1 << 32, size).astype(np.uint32)
+        assert (bloomlm._unsqueezed(bloomlm._squeezed(small), np.uint32) == small).all()
+
+
+def test_clashing_names(spark, documents):
+    rows = corpus(7, 20)
+    docs = documents(rows)
+    for c in ("range", "n", "slice", "bucket", "keys", "counts", "levels", "segment", "ids", "held", "sizes", "places"):
+        docs = docs.withColumn(c, bloomlm.F.lit("x"))
+    want = sorted(map(str, bloomlm.score(documents(rows)).collect()))
+    assert sorted(map(str, bloomlm.score(docs).collect())) == want
+
+
 def test_empty_tables(spark, documents):
     assert bloomlm.score(documents([])).collect() == []
     only = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
