@@ -43,8 +43,9 @@ from .common import LOWER, MIX, Scratch, bucket_of, mixed, tally, utf8, word_has
 from .langid import fold
 
 ORDER = 2
-TASK_TOKENS = 2_000_000        # tokens that a task tallies at once
+TASK_TOKENS = 1_000_000        # tokens that a task tallies at once
 SCORE_BYTES = 3_000_000        # bytes of text that a task scores at once
+ANSWER_CODES = 500_000         # n-grams that a task answers at once
 BUCKET_TOKENS = 250_000        # tokens of a bucket
 BITS_PER_ENTRY, PROBES = 12, 4
 COMMON = 1 << 18               # words whose counts are broadcast, at most
@@ -374,7 +375,7 @@ def _ask(shared, order: int, buckets: int, ranges: int):
                      pa.array([_gaps(codes[cuts[i]:cuts[i + 1]]) for i in some], pa.binary()),
                      *[pa.nulls(len(some), t) for t in DOC_TYPES]], _names(ASKED))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([own % ranges], pa.int32()), pa.array([0], pa.int32()), pa.array([own]), pa.nulls(1, pa.binary()),
+                [pa.array([int(mixed(np.array([own], np.uint64))[0]) % ranges], pa.int32()), pa.array([0], pa.int32()), pa.array([own]), pa.nulls(1, pa.binary()),
                  pa.array([b.column(0).to_pylist()], DOC_TYPES[0]), pa.array([b.column(1).to_pylist()], DOC_TYPES[1]),
                  pa.array([[len(t) for t in texts]], DOC_TYPES[2]),
                  pa.array([_squeezed(np.concatenate(places).astype("<u4"))], DOC_TYPES[3])], _names(ASKED))
@@ -389,12 +390,27 @@ def _answer(buckets: int, ranges: int):
     """
     bounds = _bounds(buckets, ranges)
 
+    def answers(n, asked, held, known, times):
+        """Levels and counts for some requests; an n-gram that several slices ask for is probed once."""
+        cuts = np.cumsum([0, *map(len, asked)])
+        codes, inverse = np.unique(np.concatenate(asked), return_inverse=True)
+        levels, counts = held.levels(codes, code_bucket(codes, n, buckets))[inverse], None
+        if n == 1:
+            place = np.minimum(np.searchsorted(known, codes), max(0, len(known) - 1))
+            counts = np.where(known[place] == codes, times[place], 0) if len(known) else np.zeros(len(codes), np.int64)
+            counts = counts[inverse]
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            yield levels[i:j].tobytes(), None if counts is None else counts[i:j].tobytes()
+
     def run(batches):
         at, segments, words_held, held, known, times = None, {}, [], None, None, None
         for b in batches:
-            of, levels, counts = [], [], []
+            of, got, asked = [], [], []
             for i, (r, n, slice_, keys, bucket, segment, c) in enumerate(zip(
                     *(b.column(x).to_pylist() for x in ("range", "n", "slice", "keys", "bucket", "segment", "counts")), strict=True)):
+                if asked and (at != (r, n) or sum(map(len, asked)) >= ANSWER_CODES):
+                    got.extend(answers(at[1], asked, held, known, times))
+                    asked = []
                 if at != (r, n):
                     at, segments, words_held, held = (r, n), {}, [], None
                 if slice_ is None:  # a bucket of the model
@@ -403,22 +419,19 @@ def _answer(buckets: int, ranges: int):
                     continue
                 of.append(i)
                 if n == 0:
-                    levels.append(None)
-                    counts.append(None)
+                    got.append((None, None))
                     continue
                 if held is None:
                     held = Filter(segments, bounds[r], bounds[r + 1] - bounds[r])
-                    known = np.frombuffer(b"".join(k for k, _ in words_held), np.uint64)
-                    times = np.frombuffer(b"".join(c for _, c in words_held), np.int64)
-                codes = _from_gaps(keys)
-                levels.append(held.levels(codes, code_bucket(codes, n, buckets)).tobytes())
-                if n == 1 and len(known):
-                    place = np.minimum(np.searchsorted(known, codes), len(known) - 1)
-                    counts.append(np.where(known[place] == codes, times[place], 0).tobytes())
-                else:
-                    counts.append(bytes(8 * len(codes)) if n == 1 else None)
+                    known = np.frombuffer(b"".join(k for k, _ in words_held), np.uint64) if n == 1 else None
+                    times = np.frombuffer(b"".join(c for _, c in words_held), np.int64) if n == 1 else None
+                    segments, words_held = {}, []
+                asked.append(_from_gaps(keys))
+            if asked:
+                got.extend(answers(at[1], asked, held, known, times))
             if of:
                 rows = b.take(pa.array(of))
+                levels, counts = zip(*got, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [*[rows.column(c) for c in ("slice", "n", "range")], pa.array(levels, pa.binary()), pa.array(counts, pa.binary()),
                      *[rows.column(c) for c in _names(DOCS)]], _names(ANSWERED))

@@ -175,6 +175,7 @@ def test_rows_do_not_grow_with_the_buckets(spark, documents, monkeypatch, bucket
 
 def test_ranges_do_not_change_results(spark, documents, monkeypatch):
     monkeypatch.setattr(bloomlm, "BUCKET_TOKENS", 1000)
+    monkeypatch.setattr(bloomlm, "SCORE_BYTES", 4000)
     got, docs = [], documents(corpus(8))
     for ranges in (1, 3, 8):
         monkeypatch.setattr(bloomlm, "ranges_of", lambda spark, buckets, ranges=ranges: min(ranges, buckets))
@@ -198,6 +199,15 @@ def test_common_words_are_the_most_frequent(spark, documents, monkeypatch, limit
     assert not len(n) or not left or n.min() > max(left)
 
 
+def test_documents_are_dealt_over_ranges(spark, documents, monkeypatch):
+    """Also where the ranges are a power of two, as the numbers of tasks are multiples of one."""
+    monkeypatch.setattr(bloomlm, "BUCKET_TOKENS", 20)
+    docs = documents(corpus(9)).repartition(40, "doc_id")
+    shared = spark.sparkContext.broadcast((np.zeros(0, np.uint64), np.zeros(0, np.int64), None, None))
+    got = bloomlm.requests(docs, shared, 2, 1000).where("n = 0").groupBy("range").count().collect()
+    assert len(got) > 4 and max(r["count"] for r in got) < 20
+
+
 def test_packed_columns_round_trip():
     rng = np.random.default_rng(1)
     for size in (0, 1, 5000):
