@@ -18,7 +18,9 @@ Spark's measured size of it is under the session's threshold; otherwise the join
 
 Defined cases: null and empty texts have no words; an item without words has no window; equal
 items count by their distinct ids, and an item with a null id marks words but isn't listed; rows
-of equal id and text get equal results; a null doc_id is kept.
+of equal id and text get equal results; a null doc_id is kept; a very long text is marked whole;
+all items whose windows occur are counted, so ties need no order; only the id and text columns
+are read, so others may have any names.
 """
 
 from __future__ import annotations

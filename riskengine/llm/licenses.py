@@ -19,7 +19,9 @@ parameter of the call, some hundred words each, and travel with the tasks; docum
 shuffle, and a document however long is handled block by block.
 
 Defined cases: a null or empty text has no words and no match; a text shorter than a block is
-one block; repeated rows get a row each; templates without words match nothing.
+one block; repeated rows get a row each; templates without words match nothing;
+every template that matches is returned, so ties need no order; only the id and text columns are read,
+so others may have any names.
 """
 
 from __future__ import annotations

@@ -17,7 +17,9 @@
 
 Defined cases: a null or empty text, or one of no words, has fingerprint zero; a text of fewer
 words than a shingle is one shingle; rows repeat freely (each gets its fingerprint and
-component); a null doc_id is never a component id, unless a component has none other (null).
+component); a null doc_id is never a component id, unless a component has none other (null);
+a bit set in exactly half of the shingles is 0; a very long text is one task's, read whole;
+only the id and text columns are read, so others may have any names.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ one record of each.
 
 Defined cases: a null payload is empty; a null url gives no target header; an empty table gives
 no archive and no records; of pages with equal payloads the smallest id (all rows of it) is the
-response, null ids revisit it, and where all ids are null all are responses.  A malformed
+response, null ids revisit it, and where all ids are null all are responses;
+a very long payload is one record; columns beside id, url and payload, whatever their names, are not read.  A malformed
 archive fails with its name and the record's number.
 """
 

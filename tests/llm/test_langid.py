@@ -39,6 +39,11 @@ def test_decoding_corrects_wrong_bits():
     assert model.predict(b"text")[2]                     # no bit tells: ambiguous
 
 
+def test_ties_go_to_the_first_language_and_are_flagged():
+    model = langid.Model(["b", "c", "d"], np.ones((3, 1 << langid.BITS)))
+    assert model.predict(b"any text") == ("b", pytest.approx(1 / 3), True)
+
+
 def test_gram_counts_ignore_case_and_layout():
     a, b = langid.gram_counts(b"Hello  World\n12"), langid.gram_counts(b"hello, world!")
     assert (a == b).all()

@@ -105,3 +105,8 @@ def test_keep_one_of_each_group(spark, documents):
 def test_empty_table(spark, documents):
     assert simhash.near_duplicates(documents([])).collect() == []
     assert simhash.keep_one(documents([])).collect() == []
+
+
+def test_bits_of_exactly_half_the_shingles_are_zero():
+    both = [xxhash.xxh64_intdigest(x, 42) for x in (b"a b c d", b"b c d e")]
+    assert simhash.fingerprint(b"a b c d e") & (1 << 64) - 1 == both[0] & both[1]
