@@ -7,7 +7,7 @@ its classifier does on it.  The gap to the next codeword tells ambiguous texts.
 
 N-gram counts cover every learning document: tasks count by language in numpy and a native
 grouped sum merges them, so what reaches the driver is buckets x languages.  Bit weights are
-measured on ``SAMPLE`` learning documents at most.  Only the text enters a prediction.
+measured on every learning document too.  Only the text enters a prediction.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; with no learned
 language all are ``und``; with one, all texts with letters get it; a null language is not
@@ -18,6 +18,7 @@ as they are, but for one named as the result (``into``), which is replaced.
 
 from __future__ import annotations
 
+import math
 import re
 
 import numpy as np
@@ -25,11 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, Shared, bounded_sample, utf8
+from .common import LOWER, Shared, utf8
 
 BITS = 14          # hashed n-grams: 2 ** BITS buckets
 ORDERS = (1, 2, 3)
-SAMPLE = 4000      # learning documents that bit weights are measured on
+SAMPLE = math.inf  # learning documents that bit weights are measured on: no bound
 GAP = 0.35         # least gap of mean losses between the best two languages
 EXHAUSTIVE = 7     # languages up to which every distinct split is a bit
 UNKNOWN = "und"
@@ -87,15 +88,17 @@ class Model:
 
     def margins(self, text: bytes) -> np.ndarray:
         counts = gram_counts(text)
-        return (counts.astype(np.float64) @ self.odds) / np.sqrt(counts.sum())
-
-    def weigh(self, languages: list[str], margins: np.ndarray) -> None:
-        """Set each bit's weight for a language to its share of right answers on it."""
-        at = {x: i for i, x in enumerate(self.languages)}
-        row = np.array([at[x] for x in languages], int)
-        right = (margins * self.code[row]) > 0
-        for k in set(row.tolist()):
-            self.weights[k] = right[row == k].mean(axis=0) + 1e-3
+        some = np.flatnonzero(counts)
+        return (counts[some].astype(np.float64) @ self.odds[some]) / np.sqrt(counts.sum())
+
+    def weigh(self, right: dict[str, tuple[int, list[int]]]) -> None:
+        """Set each bit's weight for a language to its share of right answers on it.
+
+        ``right``: a language's texts, and on how many of them each bit answers right.
+        """
+        for k, x in enumerate(self.languages):
+            n, bits = right[x]
+            self.weights[k] = np.array(bits) / n + 1e-3
         self.weights /= self.weights.sum(axis=1, keepdims=True)
 
     def predict(self, text: bytes | None) -> tuple[str, float, bool]:
@@ -139,15 +142,22 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
         shared = Shared(spark, model)
 
         def measure(batches):
+            model, right = shared.value, {}
+            at = {x: i for i, x in enumerate(model.languages)}
             for b in batches:
-                some = [(x, shared.value.margins(t).tolist()) for t, x in
-                        zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if has_letter(t)]
-                yield pa.RecordBatch.from_arrays([pa.array([s[0] for s in some], pa.string()),
-                                                  pa.array([s[1] for s in some], pa.list_(pa.float64()))], ["lang", "m"])
-
-        sample = bounded_sample(rows.withColumn("o", F.xxhash64(text_col, "lang")), "o", SAMPLE)
-        seen = sample.mapInArrow(measure, "lang string, m array<double>").collect()
-        model.weigh([s.lang for s in seen], np.array([s.m for s in seen]))
+                for t, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                    if has_letter(t):
+                        n, bits = right.get(x, (0, 0))
+                        right[x] = n + 1, bits + (model.margins(t) * model.code[at[x]] > 0)
+            for x, (n, bits) in right.items():
+                yield pa.RecordBatch.from_arrays([pa.array([x] * len(bits)), pa.array(range(len(bits)), pa.int32()), pa.array([n] * len(bits), pa.int64()),
+                                                  pa.array(bits, pa.int64())], ["lang", "bit", "n", "good"])
+
+        seen = rows.mapInArrow(measure, "lang string, bit int, n long, good long").groupBy("lang", "bit").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+        right: dict[str, tuple[int, list[int]]] = {}
+        for r in seen.orderBy("lang", "bit").collect():  # languages x bits
+            right.setdefault(r.lang, (r.n, []))[1].append(r.good)
+        model.weigh(right)
         shared.destroy()
     return model
 

@@ -141,3 +141,16 @@ def test_prediction_uses_the_text_alone(spark, documents):
     model = langid.learn(documents([(1, "der die das und " * 9, "de"), (2, "the and of to " * 9, "en")]))
     a = langid.identify(documents([(1, "the of", "de", "x"), (2, "the of", None, None)]), model).collect()
     assert a[0].language == a[1].language
+
+
+def test_bit_weights_count_every_document(spark):
+    """Shares of right answers over all 5,000 documents, one in five of them told wrongly."""
+    texts = [("abc abc" if i % 5 else "xyz xyz", "en") for i in range(2500)] + [("xyz xyz", "de")] * 2500
+    model = langid.learn(spark.createDataFrame(texts, "text string, lang string"))
+    assert model.weights.tolist() == [[1.0], [1.0]]
+    three = texts + [("mno mno" if i % 7 else "abc abc", "fr") for i in range(500)]
+    model = langid.learn(spark.createDataFrame(three, "text string, lang string"))
+    for k, lang in enumerate(model.languages):
+        own = [t.encode() for t, x in three if x == lang]
+        share = np.mean([model.margins(t) * model.code[k] > 0 for t in own], axis=0) + 1e-3
+        assert model.weights[k] == pytest.approx(share / share.sum(), abs=1e-12)

@@ -100,3 +100,49 @@ def test_without_both_classes(spark, documents, labels, want):
     fitted = toxicity.learn(df, spark.createDataFrame(labels, LABELS))
     assert [r.toxicity for r in toxicity.score(df, *fitted).collect()] == [want, want]
     assert toxicity.score(documents([]), *fitted).collect() == []
+
+
+def test_every_labelled_row_is_learned_from(spark, documents, monkeypatch):
+    """Words that two texts alone share are known for all 3,250 such pairs, in one chunk and in several."""
+    docs = [(i, f"pair{i // 2:05d}") for i in range(6500)]
+    df, lab = documents(docs), spark.createDataFrame([(i, 1, int(i % 10 < 4), 7, 7) for i in range(6500)], LABELS)
+    monkeypatch.setattr(toxicity, "EPOCHS", 1)
+    for rows in (6500, 1500):
+        monkeypatch.setattr(toxicity, "CHUNK_ROWS", rows)
+        net, _ = toxicity.learn(df, lab)
+        assert net.rows(np.array([toxicity.features(f"pair{i:05d}".encode())[0] for i in range(3250)])).all()
+
+
+def test_training_in_chunks(spark, documents, monkeypatch):
+    """Chunks that meet in means tell held-out texts as well as one does; features may share rows."""
+    docs, labels = planted(1500)
+    df, lab = documents(docs), spark.createDataFrame(labels, LABELS)
+    monkeypatch.setattr(toxicity, "CHUNK_ROWS", 400)
+    monkeypatch.setattr(toxicity, "MOST", 1 << 10)
+    net, lang = toxicity.learn(df.where("doc_id % 3 <> 1"), lab)
+    assert net.shift == 14 and len(net.known) <= 1 << 10 and set(net.cuts) == {None, "de", "en"}
+    truth = {x[0]: x[2] for x in labels}
+    out = [(truth[r.doc_id], r.toxicity >= toxicity.CUT) for r in toxicity.score(df, net, lang).collect() if r.doc_id % 3 == 1]
+    assert sum(a == b for a, b in out) >= 0.95 * len(out)
+
+
+def test_best_cuts_against_one_process(spark):
+    rnd = random.Random(6)
+    rows = [(rnd.choice(["en", "de", None]), y + rnd.gauss(0, 1), y) for y in (int(rnd.random() < 0.3) for _ in range(700))]
+    rows += [("one", 0.5, 1), ("one", 1.5, 1), ("no", 0.25, 0)]
+    got = toxicity.best_cuts(toxicity.Scratch(spark, "cuts"), spark.createDataFrame(
+        [r for r in rows if r[0] is not None], "lang string, v double, y long"))
+    rows = [r for r in rows if r[0] is not None]
+    assert set(got) == {None, "en", "de", "one", "no"}
+    for x, (cut, pos, neg) in got.items():
+        own = [r for r in rows if x in (None, r[0])]
+        y = np.array([r[2] for r in own])
+        assert (pos, neg) == (y.sum(), (1 - y).sum())
+        assert cut == pytest.approx(toxicity.best_cut(np.array([r[1] for r in own]), y))
+
+
+@pytest.mark.parametrize("text", ["", "a word"])
+def test_two_equal_texts_of_both_labels(spark, documents, text):
+    df = documents([(1, text), (2, text), (2, text)])
+    fitted = toxicity.learn(df, spark.createDataFrame([(1, 1, 1, 0, 0), (2, 1, 0, 0, 0), (2, 1, 0, 0, 0)], LABELS))
+    assert all(0 <= r.toxicity <= 1 for r in toxicity.score(df, *fitted).collect())
