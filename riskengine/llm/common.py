@@ -118,6 +118,22 @@ def bounded_sample(rows: DataFrame, order: str, limit: int) -> DataFrame:
     return rows.where(F.pmod(F.col(order), F.lit(1 << 20)) < share).orderBy(F.pmod(F.col(order), F.lit(1 << 20)), order).limit(limit)
 
 
+def marked(rows: DataFrame, by: list[str], keys: DataFrame) -> DataFrame:
+    """``rows`` with a column ``_maybe``: false where ``by`` are sure to be no row of ``keys``.
+
+    Told by a broadcast bitmap of 2^26 bits at most, so a join may leave out the others instead of
+    moving their texts; with more keys than that has room for, more rows are kept.
+    """
+    bits = 1 << min(26, max(10, (32 * keys.count()).bit_length()))  # in words of 64
+    place = F.pmod(F.xxhash64(*by), F.lit(bits))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.col("_place"), F.lit(64)).cast("int"))
+    masks = (keys.select(place.alias("_place")).groupBy(F.shiftright("_place", 6).alias("_word"))
+             .agg(F.bit_or(bit).alias("_mask")))
+    found = rows.withColumn("_place", place).join(F.broadcast(masks), F.shiftright("_place", 6) == F.col("_word"), "left")
+    return found.select(*[F.col(c) for c in rows.columns],
+                        F.coalesce(F.col("_mask").bitwiseAND(bit) != 0, F.lit(False)).alias("_maybe"))
+
+
 # --- connected components ---------------------------------------------------------------
 
 def components(scratch: Scratch, edges: DataFrame) -> DataFrame:

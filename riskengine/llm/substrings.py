@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MIX, Scratch, mixed, utf8, word_hashes, words
+from .common import MIX, Scratch, marked, mixed, utf8, word_hashes, words
 
 GRAM = 10
 #: Suffixes of one subtree group; beyond that its prefix is extended to the whole window.
@@ -253,10 +253,11 @@ def repeated_windows(scratch: Scratch, docs: DataFrame, length: int = 50, id_col
     own = scratch.save(own)
     shared = (own.groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
               .where("lo < hi").select("anchor"))
-    lists = (own.join(shared, "anchor").groupBy("doc", "row")
-             .agg(F.collect_list("anchor").alias("shared")))
+    lists = scratch.save(own.join(shared, "anchor").groupBy("doc", "row")
+                         .agg(F.collect_list("anchor").alias("shared")))
+    scratch.drop(own)
     pieces = scratch.save(
-        src.join(lists, ["doc", "row"]).select("doc", "row", text_col, "shared")
+        marked(src, ["doc", "row"], lists).where("_maybe").join(lists, ["doc", "row"]).select("doc", "row", text_col, "shared")
         .mapInArrow(_cut(length), "anchor long, piece binary, doc long, row long, start int, n int, content binary"))
     distinct = pieces.groupBy("anchor", "piece").agg(
         F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"), F.max("n").alias("n"),
@@ -276,6 +277,7 @@ def repeated_windows(scratch: Scratch, docs: DataFrame, length: int = 50, id_col
     # one row a fragment, so that its places meet one row each
     runs = scratch.save(small.unionByName(deep).groupBy("anchor", "piece").agg(
         F.sort_array(F.collect_list(F.struct("off", "cnt", "least"))).alias("runs")))
+    scratch.drop(distinct, lists)
     own = F.filter("runs", lambda r: r.least < F.col("doc"))
     repeats = (pieces.drop("content").join(runs, ["anchor", "piece"])
                .select("doc", "row", F.transform(own, lambda r: F.struct(
@@ -349,6 +351,7 @@ def cleaned_texts(docs: DataFrame, length: int = 50, id_col: str = "doc_id",
               .select("doc", "row", F.array(F.struct(
                   F.lit(0).alias("start"), (F.col("n_words") - length + 1).cast("int").alias("cnt"))).alias("places")))
     spans = scratch.save(_spans(repeats.unionByName(copies)))
+    scratch.drop(*scratch.saved[:-1])
 
     @F.arrow_udf("string")
     def strip(text: pa.Array, spans: pa.Array) -> pa.Array:
@@ -356,8 +359,13 @@ def cleaned_texts(docs: DataFrame, length: int = 50, id_col: str = "doc_id",
                          for t, s in zip(text.to_pylist(), spans.to_pylist(), strict=True)], pa.string())
 
     # the row travels as one struct, so that none of its columns can clash with ours
-    rows = docs.select(F.struct("*").alias("d"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
-                       F.xxhash64(F.col(text_col).cast("string")).alias("row")).join(spans, ["doc", "row"], "left")
+    rows = marked(docs.select(F.struct("*").alias("d"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
+                              F.xxhash64(F.col(text_col).cast("string")).alias("row")), ["doc", "row"], spans)
     text = F.col(f"d.`{text_col}`").cast("string")
     stripped = F.coalesce(strip(F.when(F.col("spans").isNotNull(), text.cast("binary")), F.col("spans")), text)
-    return rows.select(*[stripped.alias(c) if c == text_col else F.col(f"d.`{c}`").alias(c) for c in docs.columns])
+
+    def with_text(rows: DataFrame, new) -> DataFrame:
+        return rows.select(*[new.alias(c) if c == text_col else F.col(f"d.`{c}`").alias(c) for c in docs.columns])
+
+    return (with_text(rows.where("_maybe").join(spans, ["doc", "row"], "left"), stripped)
+            .union(with_text(rows.where(~F.col("_maybe")), text)))  # texts that lose nothing aren't moved

@@ -9,7 +9,7 @@ import pytest
 
 from llm_fixtures import documents  # noqa: F401 -- a fixture
 from riskengine.llm import substrings
-from riskengine.llm.common import Scratch
+from riskengine.llm.common import Scratch, marked
 
 
 def by_hand(rows, length=50):
@@ -104,3 +104,33 @@ def test_other_lengths_and_a_very_long_text(spark, documents):
 def test_empty_table(spark, documents):
     assert substrings.remove_repeats(documents([])).collect() == []
     assert substrings.cleaned_texts(documents([])).collect() == []
+
+
+def test_rows_that_are_no_key_are_told_apart(spark):
+    """Every key is marked, few others are; nulls and equal rows too, and without keys none."""
+    rows = spark.range(20_000).selectExpr("nullif(id % 10000, 0L) AS a", "id % 10000 % 7 AS b", "id AS c")
+    keys = rows.where("coalesce(a, 0) % 100 = 0").select("a", "b").distinct()
+    got = marked(rows, ["a", "b"], keys)
+    assert got.columns == ["a", "b", "c", "_maybe"] and got.count() == 20_000
+    assert got.where("coalesce(a, 0) % 100 = 0").where("_maybe").count() == 200
+    assert got.where("_maybe").count() < 2000
+    assert marked(rows, ["a", "b"], keys.limit(0)).where("_maybe").count() == 0
+
+
+def test_only_texts_with_repeats_are_moved(spark, documents):
+    """Of 2,000 texts two share a passage; they alone are joined with their spans, by a shuffle."""
+    rnd = random.Random(4)
+    rows = [(i, " ".join(str(rnd.randrange(10 ** 9)) for _ in range(60))) for i in range(2000)]
+    rows[1500] = (1500, f"before {rows[3][1]}  after")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = substrings.cleaned_texts(documents(rows).repartition(4))
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.startswith("Union") and plan.count("Join LeftOuter, ((doc") == 1
+        got = {r.doc_id: r.text for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == {i: "before after" if i == 1500 else t for i, t in rows}
+    repeats = substrings.repeated_windows(Scratch(spark, "test"), documents(rows))[1]
+    assert [r.doc for r in repeats.collect()] == [1500]
