@@ -50,6 +50,7 @@ EPOCHS, BATCH, RATE, DECAY = 12, 32, 0.02, 1e-4
 CUT = 0.7
 SHRINK = 50            # calibration positives at which a language's own threshold counts half
 PAD = max(WIDTHS)
+SLICE = 1 << 21        # bytes of texts that are scored together
 
 
 def features(word: bytes) -> tuple[int, ...]:
@@ -111,9 +112,16 @@ class Network:
 
     def response(self, vectors: np.ndarray) -> float:
         """The logit of a text given as its words' vectors."""
-        x = np.concatenate([vectors, np.zeros((PAD, DIM), np.float32)])
-        best, _ = self.pooled(x, np.array([0]))
-        return float(np.maximum(best[0], 0) @ self.out + self.base)
+        words_on = [[k for k, w in enumerate(WIDTHS) if w > o] for o in range(PAD)]
+        z = np.concatenate([self.filters[k][o] for o, ks in enumerate(words_on) for k in ks], axis=1).T @ vectors.T
+        first = len(WIDTHS) * FILTERS  # rows of the filters' first words; the others' follow
+        at = first
+        for o, ks in enumerate(words_on[1:], 1):
+            z[first - len(ks) * FILTERS:first, :-o] += z[at:at + len(ks) * FILTERS, o:]
+            at += len(ks) * FILTERS
+        # the zero vectors that end a text respond with 0
+        best = z[:first].max(axis=1, initial=0) + self.bias.ravel()
+        return float(np.maximum(best, 0) @ self.out + self.base)
 
     def start(self, seed: int = 5) -> np.random.Generator:
         """Random embeddings and fresh optimisers; the generator goes on to shuffle texts."""
@@ -269,28 +277,61 @@ def best_cuts(scratch: Scratch, logits: DataFrame) -> dict[str | None, tuple[flo
     return out
 
 
-class Reader:
-    """Turns texts into word vectors; keeps the vectors of recent words in one array."""
-
-    def __init__(self, net: Network, limit: int = 200_000):
-        self.net, self.limit = net, limit
-        self.at: dict[bytes, int] = {}
-        self.kept = np.zeros((1024, DIM), np.float32)
-
-    def __call__(self, text: bytes | None) -> np.ndarray:
-        ws = words(text, ALNUM)
-        new = [w for w in dict.fromkeys(ws) if w not in self.at]
-        if len(self.at) + len(new) > max(self.limit, len(new)):
-            self.at.clear()
-            new = list(dict.fromkeys(ws))
-        if new:
-            first = len(self.at)
-            rows = self.net.rows(np.array([features(w) for w in new], np.int32))
-            while first + len(new) > len(self.kept):
-                self.kept = np.concatenate([self.kept, np.zeros_like(self.kept)])
-            self.kept[first:first + len(new)] = self.net.vectors(rows)
-            self.at.update(zip(new, range(first, first + len(new)), strict=True))
-        return self.kept[np.fromiter(map(self.at.__getitem__, ws), np.int64, len(ws))]
+def xxh32(data: np.ndarray, start: np.ndarray, size: np.ndarray, seed: int = 0) -> np.ndarray:
+    """``xxhash.xxh32_intdigest`` of many short runs of bytes; those of 16 and more are hashed one by one."""
+    p1, p2, p3, p4, p5 = (np.uint32(p) for p in (2654435761, 2246822519, 3266489917, 668265263, 374761393))
+    turned = lambda h, n: (h << np.uint32(n)) | (h >> np.uint32(32 - n))
+    data = np.concatenate([data, np.zeros(16, np.uint8)])
+    lanes = np.ndarray(len(data) - 3, "<u4", data, strides=(1,))
+    h = size.astype(np.uint32) + np.uint32((seed + int(p5)) & 0xFFFFFFFF)
+    at = start.copy()
+    for k in range(3):
+        some = np.flatnonzero(size >= 4 * k + 4)
+        h[some] = turned(h[some] + lanes[at[some]] * p3, 17) * p4
+        at[some] += 4
+    for k in range(3):
+        some = np.flatnonzero(size % 4 > k)
+        h[some] = turned(h[some] + data[np.minimum(at[some] + k, len(data) - 1)] * p5, 11) * p1
+    h = (h ^ (h >> np.uint32(15))) * p2
+    h = (h ^ (h >> np.uint32(13))) * p3
+    h ^= h >> np.uint32(16)
+    for i in np.flatnonzero(size >= 16).tolist():
+        h[i] = xxhash.xxh32_intdigest(data[start[i]:start[i] + size[i]].tobytes(), seed)
+    return h
+
+
+def all_features(distinct: pa.LargeBinaryArray) -> np.ndarray:
+    """``features`` of each word, a row a word."""
+    ends, data = (np.frombuffer(b, kind) for b, kind in zip(distinct.buffers()[1:], (np.int64, np.uint8), strict=True))
+    start, size = ends[:len(distinct)], np.diff(ends[:len(distinct) + 1])
+    hashes = [xxh32(data, start, size), *[xxh32(data, start, np.minimum(size, n), n) for n in PREFIXES]]
+    return (np.stack(hashes, axis=1) & np.uint32((1 << HASH_BITS) - 1)).astype(np.int32)
+
+
+def numbered(texts: list[bytes | None]) -> tuple[pa.LargeBinaryArray, np.ndarray, np.ndarray]:
+    """Distinct words of texts, all words as numbers of these, and how many words there are up to each text's end."""
+    joined = np.frombuffer(b" ".join([b"", *(t or b"" for t in texts), b""]).translate(ALNUM), np.uint8)
+    inside = joined != 32
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    start, stop = edges[::2], edges[1::2]
+    ends = np.searchsorted(start, np.cumsum([len(t or b"") + 1 for t in texts]))
+    offsets = np.cumsum(np.r_[0, stop - start]).astype(np.int64)
+    coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(joined[inside])]).dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(), ends
+
+
+def word_vectors(net: Network, texts: list[bytes | None]) -> Iterable[np.ndarray]:
+    """Word vectors of each text; the distinct words of ``SLICE`` bytes of texts are looked up together."""
+    lo = 0
+    while lo < len(texts):
+        hi, size = lo, 0
+        while hi < len(texts) and size < SLICE:
+            size += len(texts[hi] or b"") + 1
+            hi += 1
+        distinct, at, ends = numbered(texts[lo:hi])
+        held = net.vectors(net.rows(all_features(distinct)))
+        yield from (held.take(x, axis=0) for x in np.split(at, ends[:-1]))
+        lo = hi
 
 
 class Chunk:
@@ -518,12 +559,11 @@ def learn_network(docs: DataFrame, labels: DataFrame, language: langid.Model, id
 def score(docs: DataFrame, net: Network, language: langid.Model, text_col: str = "text", into: str = "toxicity") -> DataFrame:
     """``docs`` with the score of each text, in 0 to 1; ``CUT`` is its language's threshold."""
     shared = Shared(docs.sparkSession, (net, language))
-    readers = {}
 
     @F.arrow_udf("double")
     def scored(text: pa.Array) -> pa.Array:
         net, language = shared.value
-        read = readers.setdefault(0, Reader(net))
-        return pa.array([net.score(read(t), language.predict(t)[0]) for t in text.to_pylist()], pa.float64())
+        texts = text.to_pylist()
+        return pa.array([net.score(v, language.predict(t)[0]) for t, v in zip(texts, word_vectors(net, texts), strict=True)], pa.float64())
 
     return docs.withColumn(into, scored(F.col(text_col).cast("string").cast("binary")))

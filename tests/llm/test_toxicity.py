@@ -64,6 +64,35 @@ def test_forward_pass_against_a_plain_twin(n):
     assert net.logit(rows) == pytest.approx(want, abs=1e-3)
 
 
+def test_word_vectors_against_word_by_word(monkeypatch):
+    """Words are split, hashed and looked up together as one at a time, in slices of any size."""
+    rnd = random.Random(3)
+    words = [bytes(rnd.choices([*range(97, 123), *range(48, 58), *range(128, 256)], k=n)) for n in range(1, 40) for _ in range(20)]
+    distinct, at, ends = toxicity.numbered([b" ".join(words), None, b"", b"., ", words[0] + b"-" + words[1].upper()])
+    assert toxicity.all_features(distinct).tolist() == [list(toxicity.features(w)) for w in distinct.to_pylist()]
+    assert ends.tolist() == [780, 780, 780, 780, 782] and [distinct[i].as_py() for i in at[:780].tolist()] == words
+    net = toxicity.Network(np.unique([toxicity.features(w) for w in words[::2]]))
+    net.start()
+    texts = [None, b"", b" ", words[0], b".".join(words[1:3]), None, *(b" ".join(rnd.choices(words, k=n)) for n in (1, 7, 300)), b"x" * 50, b""]
+    for size in (1, 500, 1 << 21):
+        monkeypatch.setattr(toxicity, "SLICE", size)
+        got = list(toxicity.word_vectors(net, texts))
+        assert len(got) == len(texts) and not list(toxicity.word_vectors(net, []))
+        for t, v in zip(texts, got):
+            ids = np.array([toxicity.features(w) for w in toxicity.words(t, toxicity.ALNUM)], np.int32).reshape(-1, 3)
+            assert v.shape == (len(ids), toxicity.DIM) and (v == net.vectors(net.rows(ids))).all()
+    assert [v.shape for v in toxicity.word_vectors(toxicity.Network([]), [None, b"a b"])] == [(0, toxicity.DIM), (2, toxicity.DIM)]
+    assert [v.shape for v in toxicity.word_vectors(net, [None])] == [(0, toxicity.DIM)]
+
+
+def test_a_word_is_looked_up_once_for_many_texts(spark, documents, monkeypatch):
+    """The scoring pass hashes the distinct words of its texts, not each text's."""
+    net, seen = toxicity.Network([]), []
+    rows = net.rows
+    net.rows = lambda ids: seen.append(len(ids)) or rows(ids)
+    assert len(list(toxicity.word_vectors(net, [b"some few words " * 9] * 200))) == 200 and sum(seen) == 3
+
+
 def test_held_out_accuracy_and_thresholds(spark, documents):
     docs, labels = planted(1500)
     df, lab = documents(docs), spark.createDataFrame(labels, LABELS)
