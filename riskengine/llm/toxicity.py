@@ -112,16 +112,13 @@ class Network:
 
     def response(self, vectors: np.ndarray) -> float:
         """The logit of a text given as its words' vectors."""
-        words_on = [[k for k, w in enumerate(WIDTHS) if w > o] for o in range(PAD)]
-        z = np.concatenate([self.filters[k][o] for o, ks in enumerate(words_on) for k in ks], axis=1).T @ vectors.T
-        first = len(WIDTHS) * FILTERS  # rows of the filters' first words; the others' follow
-        at = first
-        for o, ks in enumerate(words_on[1:], 1):
-            z[first - len(ks) * FILTERS:first, :-o] += z[at:at + len(ks) * FILTERS, o:]
-            at += len(ks) * FILTERS
-        # the zero vectors that end a text respond with 0
-        best = z[:first].max(axis=1, initial=0) + self.bias.ravel()
-        return float(np.maximum(best, 0) @ self.out + self.base)
+        x, best = np.concatenate([vectors, np.zeros((PAD, DIM), np.float32)]), []
+        for f in self.filters:  # as in ``pooled``, without the places
+            z = x @ f[0]
+            for o in range(1, len(f)):
+                z[:-o] += x[o:] @ f[o]
+            best.append(z[:len(vectors) + 1].max(axis=0))
+        return float(np.maximum(np.concatenate(best) + self.bias.ravel(), 0) @ self.out + self.base)
 
     def start(self, seed: int = 5) -> np.random.Generator:
         """Random embeddings and fresh optimisers; the generator goes on to shuffle texts."""
