@@ -41,11 +41,11 @@ PAGE = 4                   # shards whose documents are sorted by kind
 KINDS, HEAD = 6, 128       # kinds of documents, told by so many words of a text
 READ_DOCS = 512            # documents whose texts are held at once while a shard is built
 BLOCK = 128
-COMMON_SHARE = 16          # a term in more than a 16th of a shard's documents is common there
-BATCH_TERMS = 2_000_000    # query terms that are broadcast at once
+COMMON_SHARE = 12          # a term in more than a 12th of a shard's documents is common there
+BATCH_TERMS = 3_000_000    # query terms that are broadcast at once
 GROUP_DOCS, GROUP_POSTINGS = 4 * SHARD_DOCS, 5_000_000  # of index rows that are searched together
-CHUNK = 256                # queries that a shard handles at once
-FEW, LONG = 4, 32          # queries whose short lists of postings are gathered at once; from how many postings on a list is long
+CHUNK = 128                # queries that a shard handles at once
+FEW, LONG = 8, 32          # queries whose rare terms are added up at once; from how many postings on a list is long
 STRIP = 4                  # blocks that are scored at once
 PIECE = 1024               # exact scores at once
 BUCKET_KEYS = 2_000_000
@@ -104,7 +104,7 @@ def kinds(texts: list[np.ndarray]) -> np.ndarray:
     x[doc[hit], at[hit]] = 1
     n = x.sum(axis=1)
     x /= np.sqrt(np.maximum(n, 1))[:, None]
-    telling = np.flatnonzero(n >= min(16, n.max()))
+    few = n < min(16, n.max())  # tell too little to start a kind
 
     def unit(rows):
         mean = rows.mean(axis=0)
@@ -112,7 +112,7 @@ def kinds(texts: list[np.ndarray]) -> np.ndarray:
 
     centres = unit(x)[None]
     while len(centres) < KINDS:  # one more around the document least like the others
-        far = telling[(x[telling] @ centres.T).max(axis=1).argmin()]
+        far = ((x @ centres.T).max(axis=1) + 2 * few).argmin()
         centres = np.concatenate([centres, unit(x[np.argsort(-(x @ x[far]), kind="stable")[:32]])[None]])
     for _ in range(3):
         kind = (x @ centres.T).argmax(axis=1)
@@ -311,16 +311,12 @@ def _merged(parts: list[Part]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 
 def _add_rare(shard: Shard, query: np.ndarray, term: np.ndarray, partial: np.ndarray) -> None:
     """Add the scores of rare terms' postings to rows of ``partial``."""
-    width, flat = partial.shape[1], partial.reshape(-1)
     lo, hi = shard.begin[term], shard.begin[term + 1]
     long = hi - lo > LONG
-    # short lists: those of a few queries are gathered at once
-    q, a, b = query[~long], lo[~long], hi[~long]
-    cuts = np.searchsorted(q, np.arange(0, len(partial) + FEW, FEW))
-    for some in map(slice, cuts[:-1], cuts[1:]):
-        got = shard.postings[_ranges(a[some], b[some])]
-        np.add.at(flat, np.repeat(q[some] * width, b[some] - a[some]) + got["doc"], got["score"])
-    # long ones: bytes are joined, which costs less a list than arrays do
+    short = ~long
+    got = shard.postings[_ranges(lo[short], hi[short])]
+    np.add.at(partial.reshape(-1), np.repeat(query[short] * partial.shape[1], hi[short] - lo[short]) + got["doc"], got["score"])
+    # long lists: bytes are joined, which costs less a list than arrays do
     data, kind = memoryview(shard.postings.view(np.uint8)), shard.postings.dtype
     cuts = np.searchsorted(query[long], np.arange(len(partial) + 1))
     lo, hi = (lo[long] * kind.itemsize).tolist(), (hi[long] * kind.itemsize).tolist()
@@ -344,11 +340,16 @@ def search_shard(shard: Shard, batch: Batch, some: np.ndarray, best: np.ndarray,
     rare = place < 0
     common = np.zeros((len(some), len(shard.common)), np.float32)  # weights are in the shard's scores
     common[query[~rare], place[~rare]] = 1
-    partial = np.zeros((len(some), width))
-    _add_rare(shard, query[rare], term[rare], partial)
+    query, term = query[rare], term[rare]
+    partial, rough = np.zeros((len(some), width)), np.empty((len(some), width), np.float32)
+    top = np.empty((len(some), shard.blocks), np.float32)
+    cuts = np.searchsorted(query, np.arange(0, len(some) + FEW, FEW))
+    for lo, a, b in zip(range(0, len(some), FEW), cuts[:-1], cuts[1:], strict=True):
+        few = slice(lo, lo + FEW)  # whose sums stay in the cache
+        _add_rare(shard, query[a:b] - lo, term[a:b], partial[few])
+        rough[few] = partial[few]
+        top[few] = rough[few].reshape(-1, shard.blocks, BLOCK).max(axis=2)
     # a block's bound: its best sum of rare terms, and what common terms can add there
-    rough = partial.astype(np.float32)
-    top = rough.reshape(len(some), shard.blocks, BLOCK).max(axis=2)
     bound = top + np.minimum(common @ shard.dense_most, shard.mass)
     slack = 10.0 ** -PLACES + (common.shape[1] + 2) * 2.0 ** -23 * bound.max(axis=1)  # rounding, single precision
 
